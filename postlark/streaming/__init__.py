@@ -1,0 +1 @@
+"""Nothing here: every job this engine covers is a batch job over stored posts."""
