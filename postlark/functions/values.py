@@ -58,7 +58,7 @@ def time_key(date: Column, tie: Column) -> Column:
     ``min_by``/``max_by`` on a struct would fall back to a sort-based aggregate;
     a decimal key keeps the hash aggregate and its map-side combine.
     """
-    micros = F.unix_micros(date).cast("decimal(18,0)")
+    micros = F.unix_micros(date.cast("timestamp")).cast("decimal(18,0)")
     return (micros * F.lit("10000000000000000000").cast("decimal(20,0)")).cast(
         "decimal(38,0)"
     ) + tie.cast("decimal(19,0)")
