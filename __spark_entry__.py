@@ -30,7 +30,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # thresholds that fit the stand-in posts
 LOW, HIGH, SIZE = 60, 75, 50
-RANGE = (datetime(2024, 1, 5), datetime(2024, 1, 20))
+RANGE = (datetime(2024, 1, 1), datetime(2024, 1, 20))
 SUFFIXES = ("com", "net", "org", "io", "example.com", "co.uk")
 LDA_ITERATIONS = 10
 

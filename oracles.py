@@ -346,7 +346,7 @@ SELECTS = {
     "date_bounds": "select userid, min(date) as min_date, max(date) as max_date from ut_any group by userid",
     "profile_report": f"select userid, {DELTAS}, min(date) as min_date, max(date) as max_date from ut_any group by userid",
     "profile_series": """select userid, date, tweetid, followers_count, friends_count, favourites_count from ut_any
-        where date between timestamp '2024-01-05 00:00:00' and timestamp '2024-01-20 00:00:00'""",
+        where date between timestamp '2024-01-01 00:00:00' and timestamp '2024-01-20 00:00:00'""",
     "default_range_first": """select s.userid, s.tweetid, s.video_id from shares s
         join (select userid, min(tweet_sharing_date) as first from shares group by userid) b
           on b.userid = s.userid and s.tweet_sharing_date = b.first""",
@@ -440,7 +440,7 @@ SELECTS = {
         cast(m.video_view_count as bigint) as video_view_count, cast(m.video_comment_count as bigint) as video_comment_count,
         cast(m.video_like_count as bigint) as video_like_count, m.video_description, s.tweet_sharing_date, {", ".join(f"s.{c}" for c in SCORES)}
         from shares s join full_metadata m on m.video_id = s.video_id
-        where s.tweet_sharing_date between timestamp '2024-01-05 00:00:00' and timestamp '2024-01-20 00:00:00'""",
+        where s.tweet_sharing_date between timestamp '2024-01-01 00:00:00' and timestamp '2024-01-20 00:00:00'""",
     "video_report_cards": f"""select s.userid, s.tweetid, s.video_id, m.video_title, m.channel_title,
         cast(m.video_view_count as bigint) as video_view_count, cast(m.video_comment_count as bigint) as video_comment_count,
         cast(m.video_like_count as bigint) as video_like_count, m.video_description, s.tweet_sharing_date, {", ".join(f"s.{c}" for c in SCORES)}
