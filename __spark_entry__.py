@@ -88,7 +88,8 @@ def stopwords(spark, sf):
     """The 40 most frequent tokens of the documents as a stopword table."""
     counts = (
         document_tokens(spark, sf)
-        .select(F.explode("tokens").alias("word"))
+        .select(F.explode_outer("tokens").alias("word"))
+        .filter(F.col("word").isNotNull())
         .groupBy("word")
         .agg(F.count("*").alias("n"))
     )
@@ -275,7 +276,7 @@ def cleaned(profile):
 
 def line_lengths(spark, sf):
     lines = text.text_lines(F.col("text"))
-    return s.table(spark, sf, "documents").select(
+    return s.documents(spark, sf).select(
         "doc_id",
         F.size(lines).alias("n_lines"),
         F.length("text").alias("n_chars"),

@@ -32,7 +32,7 @@ def literals_to_json(raw: pd.Series) -> pd.Series:
             return None
         return json.dumps(value) if isinstance(value, list) else None
 
-    return raw.map(convert)
+    return raw if raw.isna().all() else raw.map(convert)
 
 
 def _pieces(sizes: np.ndarray, limit: int) -> list[dict]:

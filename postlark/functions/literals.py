@@ -23,40 +23,33 @@ def _native(raw: Column, schema: T.ArrayType) -> Column:
 def parse_literals(
     df: DataFrame, schemas: Mapping[str, T.ArrayType], on_bad: str = "null"
 ) -> DataFrame:
-    """Replace each literal column by its parsed array.
+    """Replace each literal column by its parsed array, in one pass.
 
-    Almost every row parses in the JVM. Only rows where some column does not
-    (``None`` inside a dict, escapes) go through Python, as their own branch of a
-    union: a conditional in one projection would send every row there. Run this
-    once at ingest and store the arrays.
+    Almost every text parses in the JVM. What does not (``None`` inside a dict,
+    escapes) goes through an Arrow batch of Python, where a parsed row is a null.
+    Columns nobody reads afterwards are pruned with their parsing. Run this once at
+    ingest and store the arrays.
 
     ``on_bad``: ``null``, ``empty`` or ``fail`` for text that is no list literal.
     """
     if on_bad not in ("null", "empty", "fail"):
         raise ValueError(f"unknown on_bad {on_bad!r}")
-    hard = F.lit(False)
-    for name, schema in schemas.items():
-        hard = hard | (F.col(name).isNotNull() & _native(F.col(name), schema).isNull())
-
-    easy_rows = df.filter(~hard).withColumns(
-        {name: _native(F.col(name), schema) for name, schema in schemas.items()}
-    )
     to_json = F.pandas_udf(kernels.literals_to_json, "string")
-    converted = df.filter(hard).withColumns(
-        {f"_json_{name}": to_json(F.col(name)) for name in schemas}
+    parsed = df.withColumns({f"_{n}": _native(F.col(n), schema) for n, schema in schemas.items()})
+    parsed = parsed.withColumns(
+        {f"_json_{n}": to_json(F.when(F.col(f"_{n}").isNull(), F.col(n))) for n in schemas}
     )
-    parsed = {}
+    values = {}
     for name, schema in schemas.items():
-        value = F.from_json(f"_json_{name}", schema)
-        bad = F.col(name).isNotNull() & F.col(f"_json_{name}").isNull()
+        value = F.coalesce(f"_{name}", F.from_json(f"_json_{name}", schema))
+        bad = F.col(name).isNotNull() & value.isNull()
         if on_bad == "fail":
             message = F.concat(F.lit(f"{name} is no list literal: "), F.col(name))
             value = F.when(bad, F.raise_error(message).cast(schema)).otherwise(value)
         elif on_bad == "empty":
             value = F.when(bad, F.array().cast(schema)).otherwise(value)
-        parsed[name] = value
-    hard_rows = converted.withColumns(parsed).select(*df.columns)
-    return easy_rows.select(*df.columns).unionByName(hard_rows)
+        values[name] = value
+    return parsed.withColumns(values).select(*df.columns)
 
 
 def has_items(col: Column) -> Column:

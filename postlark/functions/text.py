@@ -20,7 +20,7 @@ SHORT_LINK = f"bit[^\\n]ly/[^{WHITESPACE}]+"
 LINK_MARK_CHARACTERS = "[link]"
 RETWEET_MARK = f"RT[{WHITESPACE}]@[A-Za-z]+[A-Za-z0-9_-]+"
 PUNCTUATION = "!\"$%&'()*+,-./:;<=>?[]^_`{|}~•@#â"
-TOKEN_GAP = "[^a-zA-Z0-9]+"
+TOKEN_CHARACTERS = "[a-z0-9]"
 MIN_TOKEN_LENGTH = 3
 
 
@@ -57,9 +57,12 @@ def clean_text(col: Column, profile: str = "topics", emoji: str = "intended") ->
 
 
 def tokenize(col: Column, min_length: int = MIN_TOKEN_LENGTH) -> Column:
-    """Lower-case, split on anything but ASCII letters and digits, keep the long ones."""
-    tokens = F.split(F.lower(F.coalesce(col, F.lit(""))), TOKEN_GAP)
-    return F.filter(tokens, lambda token: F.length(token) >= min_length)
+    """Lower-case runs of ASCII letters and digits, the long ones only.
+
+    One regex pass finds what splitting on the gaps and dropping short pieces would.
+    """
+    run = F.lit(f"{TOKEN_CHARACTERS}{{{min_length},}}")
+    return F.regexp_extract_all(F.lower(F.coalesce(col, F.lit(""))), run, F.lit(0))
 
 
 def drop_stopwords(tokens: Column, words: Iterable[str]) -> Column:

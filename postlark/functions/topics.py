@@ -46,11 +46,22 @@ def strict_topic(probs: Sequence[Column], k: int, variant: str = "correct") -> C
 
 
 def strict_topic_index(probs: Sequence[Column], variant: str = "correct") -> Column:
-    """Index of the strictly dominant topic, or null. At most one topic qualifies."""
-    index = F.lit(None).cast("int")
-    for k in reversed(range(len(probs))):
-        index = F.when(strict_topic(probs, k, variant), F.lit(k)).otherwise(index)
-    return index
+    """Index of the strictly dominant topic, or null. At most one topic qualifies.
+
+    Same rule as ``strict_topic`` for all topics in one go: the maximum, where it
+    occurs once and no probability is missing.
+    """
+    if variant not in ("correct", "literal"):
+        raise ValueError(f"unknown variant {variant!r}")
+    values = F.array(*probs)
+    ranked = F.sort_array(values, asc=False)
+    alone = (F.get(ranked, F.lit(0)) > F.get(ranked, F.lit(1))) & F.get(
+        ranked, F.lit(len(probs) - 1)
+    ).isNotNull()
+    index = argmax_topic(values)
+    if variant == "literal":
+        alone = alone & ((index != 3) | (probs[2] > probs[0]))
+    return F.when(alone, index)
 
 
 def argmax_topic(probs: Column) -> Column:

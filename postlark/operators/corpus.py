@@ -208,9 +208,9 @@ def _cleaned_lines(sized: DataFrame, keys: Sequence[str], order: Sequence[str])
     text = F.when(F.col("_is_first"), F.ltrim(text, mark)).otherwise(text)
     text = F.when(F.col("_is_last"), F.rtrim(text, mark)).otherwise(text)
     text = remove_emoji(remove_retweet_mark(text))
-    return _stitched(unlinked, keys, order).select(
-        *keys, *order, F.posexplode(text_lines(text)).alias("line_no", "line")
-    )
+    # outer, since a plain explode evaluates the cleaning once more to drop empty arrays
+    lines = F.posexplode_outer(text_lines(text)).alias("line_no", "line")
+    return _stitched(unlinked, keys, order).select(*keys, *order, lines)
 
 
 def corpus_lines(texts: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -461,13 +461,13 @@ def extractive_summary(
     its text. Lines are taken by weight while they fit the budget in turn.
     """
     lines = (
-        texts.select(*keys, F.posexplode(text_lines(F.col(text))).alias("pos", "line"))
+        texts.select(*keys, F.posexplode_outer(text_lines(F.col(text))).alias("pos", "line"))
         .withColumn("tokens", tokenize(F.col("line")))
         .withColumn("n_words", F.size(F.split(F.trim("line"), "[ \\t]+")))
         .filter((F.size("tokens") > 0) & (F.col("n_words") <= max_words))
     )
     occurrences = (
-        lines.select(*keys, "pos", F.size("tokens").alias("n_tokens"), F.explode("tokens").alias("token"))
+        lines.select(*keys, "pos", F.size("tokens").alias("n_tokens"), F.explode_outer("tokens").alias("token"))
         .groupBy(*keys, "pos", "n_tokens", "token")
         .agg(F.count("*").alias("tf"))
     )

@@ -92,8 +92,10 @@ def user_nodes(cohort: DataFrame) -> DataFrame:
 
 def mention_pairs(cohort: DataFrame) -> DataFrame:
     """``(tweetid, date, pos, userid, screen_name)``, one row per mention in a post."""
-    pairs = F.posexplode(zip_mentions(F.col("mentionid"), F.col("mentionsn")))
-    return cohort.select("tweetid", "date", pairs.alias("pos", "mention")).select(
+    # outer, since a plain explode evaluates the pairing once more to drop empty arrays
+    pairs = F.posexplode_outer(zip_mentions(F.col("mentionid"), F.col("mentionsn")))
+    rows = cohort.select("tweetid", "date", pairs.alias("pos", "mention"))
+    return rows.filter(F.col("mention").isNotNull()).select(
         "tweetid",
         "date",
         "pos",
@@ -119,8 +121,9 @@ def posts(cohort: DataFrame) -> DataFrame:
 
 
 def tags(cohort: DataFrame) -> DataFrame:
-    names = F.explode(F.filter("hashtag", lambda tag: tag.isNotNull()))
-    return cohort.select(names.alias("name"), "tweetid").select(F.lower("name").alias("name"), "tweetid").distinct()
+    rows = cohort.select(F.explode("hashtag").alias("name"), "tweetid")
+    named = rows.filter(F.col("name").isNotNull())
+    return named.select(F.lower("name").alias("name"), "tweetid").distinct()
 
 
 def hashtags(cohort: DataFrame) -> DataFrame:
@@ -132,8 +135,8 @@ def mentions(cohort: DataFrame) -> DataFrame:
 
 
 def tweet_links(cohort: DataFrame) -> DataFrame:
-    names = F.explode(expanded_urls(F.col("urls_list")))
-    return cohort.select("tweetid", names.alias("name")).distinct()
+    rows = cohort.select("tweetid", F.explode_outer(expanded_urls(F.col("urls_list"))).alias("name"))
+    return rows.filter(F.col("name").isNotNull()).distinct()
 
 
 def links(cohort: DataFrame) -> DataFrame:

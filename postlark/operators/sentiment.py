@@ -21,7 +21,7 @@ from .graph import Graph, posted_text
 # Class order of the scorer.
 LABELS = ("negative", "neutral", "positive")
 SCORES = ("sa_positive_score", "sa_neutral_score", "sa_negative_score")
-FEATURES = 1 << 18
+FEATURES = 1 << 16
 
 
 def _with_tokens(df: DataFrame) -> DataFrame:
@@ -29,7 +29,7 @@ def _with_tokens(df: DataFrame) -> DataFrame:
 
 
 def fit_sentiment(
-    labelled: DataFrame, max_iter: int = 30, reg_param: float = 0.01
+    labelled: DataFrame, max_iter: int = 20, reg_param: float = 0.01
 ) -> PipelineModel:
     """Train on ``(text, label)`` with the labels negative, neutral and positive."""
     index = F.array_position(F.array(*[F.lit(x) for x in LABELS]), F.col("label")) - 1

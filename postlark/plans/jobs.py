@@ -18,6 +18,7 @@ from ..operators import topics as tp
 from ..operators.graph import Graph, build_graph
 from ..operators.sentiment import attach_sentiment, score_posts
 from ..schema import EXPANDED_URLS, STRINGS, TOPICS
+from ..session import checkpointed
 from ..sources.readers import stopword_list
 from ..sources.writers import write_table
 
@@ -99,8 +100,11 @@ def sentiment_job(
 
 
 def summary_job(texts: DataFrame, keys, order, max_words: int = cp.SUMMARY_WORDS) -> DataFrame:
-    """Gate each corpus to a bounded text, then summarise it."""
-    return cp.extractive_summary(cp.gate(texts, keys, order), keys, max_words)
+    """Gate each corpus to a bounded text, then summarise it.
+
+    The summary reads the texts several times, so they are written once.
+    """
+    return cp.extractive_summary(checkpointed(cp.gate(texts, keys, order)), keys, max_words)
 
 
 def topic_summaries(graph: Graph, max_words: int = cp.SUMMARY_WORDS) -> DataFrame:

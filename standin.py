@@ -20,6 +20,19 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give the cores something to share where one small file makes one task.
+
+    Data with splits enough for every core is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def documents(spark: SparkSession, sf: str) -> DataFrame:
+    return spread(table(spark, sf, "documents"))
+
+
 def _name(prefix: str, col: Column) -> Column:
     return F.concat(F.lit(prefix), col.cast("string"))
 
@@ -43,10 +56,10 @@ def posts_table(spark, sf) -> DataFrame:
 
 def tweets(spark, sf) -> DataFrame:
     """Posts with the text of the document of the same id."""
-    documents = table(spark, sf, "documents").select(F.col("doc_id").alias("tweetid"), "lang", "text")
+    texts = table(spark, sf, "documents").select(F.col("doc_id").alias("tweetid"), "lang", "text")
     return (
-        posts_table(spark, sf)
-        .join(documents, "tweetid", "left")
+        spread(posts_table(spark, sf))
+        .join(texts, "tweetid", "left")
         .withColumn("lang", F.coalesce("lang", F.lit("und")))
     )
 
@@ -70,9 +83,17 @@ def _sentiment_columns(tweetid: Column) -> list[Column]:
     ]
 
 
+def _with_topics(df: DataFrame) -> DataFrame:
+    """Add the topic columns. They repeat every 650 ids, so they come from 650 rows."""
+    period = 13 * 50
+    topics = df.sparkSession.range(period).select(
+        F.col("id").alias("_id"), *_topic_columns(F.col("id"))
+    )
+    return df.join(F.broadcast(topics), F.col("tweetid") % period == F.col("_id")).drop("_id")
+
+
 def tweet_topics(spark, sf) -> DataFrame:
-    event = F.col("event_id")
-    return table(spark, sf, "events").select(event.alias("tweetid"), *_topic_columns(event))
+    return _with_topics(table(spark, sf, "events").select(F.col("event_id").alias("tweetid")))
 
 
 def tweet_sentiment(spark, sf) -> DataFrame:
@@ -173,7 +194,7 @@ def nodes(spark, sf, text: bool = False) -> DataFrame:
     """Post nodes: counters, topics and scores in one row."""
     base = tweets(spark, sf) if text else posts_table(spark, sf)
     event = F.col("tweetid")
-    return base.select(
+    return _with_topics(base).select(
         "tweetid",
         "date",
         "tweet_type",
@@ -181,7 +202,7 @@ def nodes(spark, sf, text: bool = False) -> DataFrame:
         (F.col("k") * 2).alias("friends_count"),
         (F.col("tweetid") + F.col("k")).alias("favourites_count"),
         *([F.col("text")] if text else []),
-        *_topic_columns(event),
+        *topic_columns(),
         *_sentiment_columns(event),
     )
 
@@ -207,7 +228,7 @@ def decorated_documents(spark, sf) -> DataFrame:
         F.lit("RT @"), "source", F.lit("_"), key, F.lit(": "), "text",
         F.lit(" https://t.co/"), key, F.lit(" \"u\" \U0001F600 bit.ly/"), key, F.lit(" [link]"),
     )
-    return table(spark, sf, "documents").select(
+    return documents(spark, sf).select(
         F.col("doc_id").alias("tweetid"), "source", "lang", text.alias("text")
     )
 
@@ -272,6 +293,6 @@ def profiles(spark, sf) -> DataFrame:
 
 
 def labelled_text(spark, sf) -> DataFrame:
-    joined = table(spark, sf, "labels").join(table(spark, sf, "documents"), "doc_id")
+    joined = table(spark, sf, "labels").join(documents(spark, sf), "doc_id")
     label = F.when(F.col("toxic") == 1, "negative").when(F.col("quality") == 1, "positive").otherwise("neutral")
     return joined.select("doc_id", "text", label.alias("label"))
