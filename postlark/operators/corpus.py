@@ -18,10 +18,10 @@ from ..functions import kernels
 from ..functions.emoji import remove_emoji
 from ..functions.text import (
     LINK_MARK_CHARACTERS,
-    clean_text,
     remove_links,
     remove_retweet_mark,
     remove_short_links,
+    strip_link_mark,
     text_lines,
     tokenize,
 )
@@ -101,10 +101,7 @@ def _continuations(texts: DataFrame, keys: Sequence[str], order: Sequence[str])
     from a table with one row per chunk and group.
     """
     at = F.struct(*order)
-    narrow = texts.select(
-        *keys, *order, _opens(F.col("text")).alias("_opens"), _joins(F.col("text")).alias("_joins")
-    )
-    chunks = _in_chunks(narrow, keys, order)
+    chunks = _in_chunks(texts.select(*keys, *order, "_opens", "_joins"), keys, order)
     here = Window.partitionBy("_chunk", *keys).orderBy(*order)
     earlier = Window.partitionBy(*keys).orderBy("_chunk")
 
@@ -138,11 +135,14 @@ def _stitched(texts: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Da
     """Merge runs of texts that one retweet mark may span.
 
     The mark is ``RT``, one whitespace, ``@name``, and the newline between two texts
-    is whitespace. Runs are rare; only their rows move.
+    is whitespace. Only groups that have both an open end and a name in front are
+    put in order for it; runs are rare, and only their rows move.
     """
-    runs = checkpointed(_continuations(texts, keys, order))
-    if runs.isEmpty():
-        return texts
+    suspects = texts.filter("_may_join")
+    columns = [*keys, *order, "text", "_is_first", "_is_last"]
+    if suspects.isEmpty():
+        return texts.select(*columns)
+    runs = _continuations(suspects, keys, order)
     own = F.struct(*order)
     heads = runs.select(*keys, "_start").distinct().withColumn("_in_run", F.lit(True))
     tagged = (
@@ -176,32 +176,45 @@ def _stitched(texts: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Da
 
 def corpus_sizes(texts: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Per group: number of texts, characters before cleaning, first and last position."""
-    return texts.filter(F.col("text").isNotNull()).groupBy(*keys).agg(
+    return _sizes(_measured(texts, keys, order), keys, order).drop("_may_join")
+
+
+def _measured(texts: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Texts without links and what the sizes need, so that no later step shuffles text for it.
+
+    Links end at whitespace, so removing them per text is removing them from the corpus.
+    """
+    present = texts.filter(F.col("text").isNotNull())
+    unlinked = remove_short_links(remove_links(F.col("text")))
+    return present.select(
+        *keys, *order, F.length("text").alias("_chars"), unlinked.alias("text")
+    ).withColumns({"_opens": _opens(F.col("text")), "_joins": _joins(F.col("text"))})
+
+
+def _sizes(measured: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    narrow = measured.select(*keys, F.struct(*order).alias("_at"), "_chars", "_opens", "_joins")
+    return narrow.groupBy(*keys).agg(
         F.count("*").alias("n_texts"),
-        (F.sum(F.length("text")) + F.count("*") - 1).alias("raw_chars"),
-        F.min(F.struct(*order)).alias("_first"),
-        F.max(F.struct(*order)).alias("_last"),
+        (F.sum("_chars") + F.count("*") - 1).alias("raw_chars"),
+        F.min("_at").alias("_first"),
+        F.max("_at").alias("_last"),
+        (F.max("_opens") & F.max("_joins")).alias("_may_join"),
     )
 
 
 def _sized(texts: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    present = texts.filter(F.col("text").isNotNull())
-    return present.join(corpus_sizes(texts, keys, order), list(keys))
+    measured = _measured(texts, keys, order)
+    return measured.join(_sizes(measured, keys, order), list(keys))
 
 
 def _cleaned_lines(sized: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Lines of the cleaned corpus, never joining a whole corpus.
 
-    Links end at whitespace, so they are removed per text. The link mark is stripped
-    at the two ends of the corpus only.
+    The link mark is stripped at the two ends of the corpus only.
     """
     own = F.struct(*order)
-    unlinked = sized.select(
-        *keys,
-        *order,
-        remove_short_links(remove_links(F.col("text"))).alias("text"),
-        (own == F.col("_first")).alias("_is_first"),
-        (own == F.col("_last")).alias("_is_last"),
+    ends = sized.withColumns(
+        {"_is_first": own == F.col("_first"), "_is_last": own == F.col("_last")}
     )
     text = F.col("text")
     mark = F.lit(LINK_MARK_CHARACTERS)
@@ -210,7 +223,7 @@ def _cleaned_lines(sized: DataFrame, keys: Sequence[str], order: Sequence[str])
     text = remove_emoji(remove_retweet_mark(text))
     # outer, since a plain explode evaluates the cleaning once more to drop empty arrays
     lines = F.posexplode_outer(text_lines(text)).alias("line_no", "line")
-    return _stitched(unlinked, keys, order).select(*keys, *order, lines)
+    return _stitched(ends, keys, order).select(*keys, *order, lines)
 
 
 def corpus_lines(texts: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -236,7 +249,9 @@ def short_corpora(
 def _joined(sized: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     rows = F.sort_array(F.collect_list(F.struct(F.struct(*order).alias("at"), "text")))
     joined = F.array_join(F.transform(rows, lambda r: r["text"]), "\n")
-    return sized.groupBy(*keys).agg(clean_text(joined, "corpus").alias("corpus"))
+    # the links are gone already
+    cleaned = remove_emoji(remove_retweet_mark(strip_link_mark(joined)))
+    return sized.groupBy(*keys).agg(cleaned.alias("corpus"))
 
 
 def topic_corpus(graph: Graph) -> DataFrame:
