@@ -371,16 +371,6 @@ def corpus_lines(spark, sf):
     return cp.corpus_lines(topic_texts(spark, sf), cp.TOPIC_KEYS, cp.TOPIC_ORDER)
 
 
-def numbered_lines(spark, sf):
-    """Line numbers for the twin's sake; the operator itself keeps the order columns."""
-    from pyspark.sql import Window
-
-    order = Window.partitionBy(*cp.TOPIC_KEYS).orderBy(*cp.TOPIC_ORDER, "line_no")
-    return corpus_lines(spark, sf).select(
-        *cp.TOPIC_KEYS, F.row_number().over(order).alias("rn"), "line"
-    )
-
-
 def packed(spark, sf):
     return cp.pack_lines(corpus_lines(spark, sf), cp.TOPIC_KEYS, [*cp.TOPIC_ORDER, "line_no"])
 
@@ -403,13 +393,8 @@ def gated(spark, sf):
 
 
 def moderated_corpus(spark, sf):
-    lines = cp.moderated_corpus(shares(spark, sf), s.video_metadata(spark, sf))
-    rows = F.sort_array(F.collect_list(F.struct(*cp.VIDEO_ORDER, "line_no", "line")))
-    joined = F.array_join(F.transform(rows, lambda r: r["line"]), "\n")
-    return lines.groupBy("userid").agg(
-        F.count("*").alias("n_lines"),
-        F.length(joined).alias("n_chars"),
-        F.md5(joined).alias("corpus_md5"),
+    return cp.moderated_corpus(shares(spark, sf), s.video_metadata(spark, sf)).select(
+        "userid", "line"
     )
 
 
@@ -569,7 +554,7 @@ QUERIES: dict[str, Query] = {
     "corpus_lengths": lambda spark, sf: cp.corpus_lengths(
         corpus_lines(spark, sf), cp.TOPIC_KEYS
     ),
-    "topic_corpus": numbered_lines,
+    "topic_corpus": lambda spark, sf: corpus_lines(spark, sf).select(*cp.TOPIC_KEYS, "line"),
     "short_corpora": lambda spark, sf: cp.short_corpora(
         topic_texts(spark, sf), cp.TOPIC_KEYS, cp.TOPIC_ORDER
     ),

@@ -450,15 +450,14 @@ SELECTS = {
     # corpora
     "corpus_sizes": "select userid, topic, count(*) as n_texts, sum(length(text)) + count(*) - 1 as raw_chars from topic_texts group by all",
     "corpus_lengths": "select userid, topic, len(string_split(corpus, chr(10))) as n_lines, length(corpus) as n_chars from corpora",
-    "topic_corpus": "select userid, topic, rn, line from corpus_lines",
+    "topic_corpus": "select userid, topic, line from corpus_lines",
     "short_corpora": "select userid, topic, corpus from corpora where raw_chars <= 12000",
     "packed_batches": "select userid, topic, batch_no, batch from batches",
     "sampled_batches": "select userid, topic, pick, batch from drawn where pick <= 12",
     "gate": "select userid, topic, n_chars, sampled, text from gated",
     "topic_summaries": """select userid, topic, string_agg(line, chr(10) order by pos) as summary, sum(n_words) as n_words
         from budgeted where total <= 150 group by userid, topic""",
-    "moderated_corpus": """select userid, len(string_split(corpus, chr(10))) as n_lines, length(corpus) as n_chars,
-        md5(corpus) as corpus_md5 from video_corpora""",
+    "moderated_corpus": "select userid, unnest(string_split(corpus, chr(10))) as line from video_corpora",
 }
 
 

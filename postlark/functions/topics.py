@@ -83,11 +83,22 @@ def label_topics(
     return df.withColumn("topic_label", F.try_element_at(named, F.col(topic)))
 
 
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once, not once per array element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def softmax(logits: Column) -> Column:
     """Array of logits to array of probabilities, shifted by the maximum."""
-    exps = F.transform(logits, lambda x: F.exp(x - F.array_max(logits)))
-    total = F.aggregate(exps, F.lit(0.0), lambda acc, x: acc + x)
-    return F.transform(exps, lambda x: x / total)
+    exps = _bound(
+        F.array_max(logits), lambda top: F.transform(logits, lambda x: F.exp(x - top))
+    )
+
+    def scaled(values):
+        total = F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x)
+        return _bound(total, lambda t: F.transform(values, lambda x: x / t))
+
+    return _bound(exps, scaled)
 
 
 def rank_labels(scores: Mapping[str, Column]) -> Column:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import LDAModel
 from pyspark.ml.feature import CountVectorizerModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.literals import parse_literals
@@ -15,11 +16,11 @@ from ..functions.topics import vector_columns
 from ..operators import cohort as co
 from ..operators import corpus as cp
 from ..operators import topics as tp
-from ..operators.graph import Graph, build_graph
+from ..operators.graph import Graph
 from ..operators.sentiment import attach_sentiment, score_posts
 from ..schema import EXPANDED_URLS, STRINGS, TOPICS
 from ..session import checkpointed
-from ..sources.readers import stopword_list
+from ..sources.readers import read_tweets, stopword_list
 from ..sources.writers import write_table
 
 
@@ -29,6 +30,12 @@ def parse_posts(raw: DataFrame, on_bad: str = "null") -> DataFrame:
     return parse_literals(raw, {**lists, "urls_list": EXPANDED_URLS}, on_bad)
 
 
+def ingest_posts(spark: SparkSession, csv_path: str, path: str, on_bad: str = "null") -> DataFrame:
+    """Collector CSV to parsed parquet. Every other job reads the parquet, which splits."""
+    write_table(parse_posts(read_tweets(spark, csv_path), on_bad), path)
+    return spark.read.parquet(path)
+
+
 @dataclass(frozen=True)
 class TopicResult:
     topics: DataFrame
@@ -50,11 +57,16 @@ def topic_job(
     words = stopword_list(stopwords, languages)
     tokens = tp.topic_tokens(tweets.select("tweetid", "text"), words).select("tweetid", "tokens")
     vocabulary = tp.fit_vocabulary(tokens)
-    features = vocabulary.transform(tokens)
-    model = tp.fit_topics(features, k, max_iter, seed)
-    topics = tp.score_topics(model, features)
-    if path is not None:
-        write_table(topics, path)
+    features = vocabulary.transform(tokens).select("tweetid", "features")
+    if path is None:
+        model = tp.fit_topics(features, k, max_iter, seed)
+        topics = tp.score_topics(model, features)
+    else:
+        # the fit and the scoring read the same stored vectors
+        features = features.persist(StorageLevel.MEMORY_AND_DISK)
+        model = tp.fit_topics(features, k, max_iter, seed)
+        write_table(tp.score_topics(model, features), path)
+        features.unpersist()
         topics = tweets.sparkSession.read.parquet(path)
     return TopicResult(topics, tp.topic_terms(model, vocabulary), vocabulary, model)
 
@@ -83,10 +95,6 @@ def build_cohort(
     return co.normalise_dates(co.enrich_profiles(scored, users))
 
 
-def graph_job(cohort: DataFrame) -> Graph:
-    return build_graph(cohort)
-
-
 def sentiment_job(
     graph: Graph, model: PipelineModel, translations: DataFrame | None = None
 ) -> Graph:

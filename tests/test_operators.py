@@ -129,6 +129,9 @@ def test_csv_sources(spark, tmp_path):
     assert len(got) == 1 and got[0]["text"] == 'two\nlines, "quoted"' and got[0]["followers_count"] == 12
     assert got[0]["verified"] is True and got[0]["hashtag"] == "['a', 'b']"
 
+    stored = jobs.ingest_posts(spark, str(tmp_path / "tweets"), str(tmp_path / "parsed")).collect()
+    assert stored[0]["hashtag"] == ["a", "b"] and stored[0]["text"] == got[0]["text"]
+
     (tmp_path / "users.csv").write_text("user,cat\nu1,MYT\n")
     assert [tuple(r) for r in sources.read_users(spark, str(tmp_path / "users.csv")).collect()] == [("u1", "MYT")]
 
