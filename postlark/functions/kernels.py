@@ -149,6 +149,23 @@ def border_summaries(limit: int):
     return summarise
 
 
+def fold_chunks(limit: int):
+    """Walk the chunks of one group in order; a group within one chunk needs no start."""
+
+    def fold(chunks: pd.DataFrame) -> pd.DataFrame:
+        rows, fill, batch = [], 0, 0
+        if len(chunks) > 1:
+            for row in chunks.sort_values("_chunk").itertuples(index=False, name=None):
+                group, chunk, size, pieces = row
+                rows.append((group, chunk, fill, batch))
+                piece = [p for p in pieces if p["from_fill"] <= min(fill, limit)][-1]
+                fill = fill + size if piece["fill"] is None else piece["fill"]
+                batch += piece["batches"]
+        return pd.DataFrame(rows, columns=["_group", "_chunk", "_fill", "_batch"])
+
+    return fold
+
+
 def number_lines(limit: int, columns: Sequence[str]):
     def number(batches):
         current, fill, batch_no = None, 0, 0

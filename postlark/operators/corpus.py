@@ -293,39 +293,8 @@ _PIECE = "array<struct<from_fill:bigint,fill:bigint,batches:bigint>>"
 
 def _carries(summaries: DataFrame, limit: int) -> DataFrame:
     """Fill and number of the batch each chunk starts in, for groups that span chunks."""
-    start = F.struct(
-        F.lit(0).cast("bigint").alias("fill"),
-        F.lit(0).cast("bigint").alias("batch"),
-        F.array().cast("array<struct<_chunk:int,_fill:bigint,_batch:bigint>>").alias("out"),
-    )
-
-    def step(acc, chunk):
-        piece = F.element_at(
-            F.filter(
-                chunk["_pieces"], lambda p: p["from_fill"] <= F.least(acc["fill"], F.lit(limit))
-            ),
-            -1,
-        )
-        return F.struct(
-            F.coalesce(piece["fill"], acc["fill"] + chunk["_size"]).alias("fill"),
-            (acc["batch"] + piece["batches"]).alias("batch"),
-            F.array_append(
-                acc["out"],
-                F.struct(
-                    chunk["_chunk"].alias("_chunk"),
-                    acc["fill"].alias("_fill"),
-                    acc["batch"].alias("_batch"),
-                ),
-            ).alias("out"),
-        )
-
-    chunks = F.sort_array(F.collect_list(F.struct("_chunk", "_size", "_pieces")))
-    folded = F.aggregate(F.col("_chunks"), start, step, lambda acc: acc["out"])
-    return (
-        summaries.groupBy("_group")
-        .agg(chunks.alias("_chunks"))
-        .filter(F.size("_chunks") > 1)
-        .select("_group", F.inline(folded))
+    return summaries.groupBy("_group").applyInPandas(
+        kernels.fold_chunks(limit), "_group string, _chunk int, _fill bigint, _batch bigint"
     )
 
 

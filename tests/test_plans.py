@@ -49,7 +49,7 @@ def test_user_filter_reaches_the_scan(spark, tmp_path):
 
 
 def test_task_code_needs_no_copy_of_the_package(tmp_path):
-    functions = (kernels.number_lines(10, ["a"]), kernels.border_summaries(10), kernels.literals_to_json)
+    functions = (kernels.number_lines(10, ["a"]), kernels.border_summaries(10), kernels.fold_chunks(10), kernels.literals_to_json)
     (tmp_path / "f").write_bytes(cloudpickle.dumps(functions))
     code = "import pickle, sys; pickle.load(open('f', 'rb')); assert 'postlark' not in sys.modules"
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, timeout=120, env={"PATH": "/usr/bin"})
