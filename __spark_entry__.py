@@ -26,6 +26,14 @@ from postlark.operators import video as vd  # noqa: E402
 from postlark.plans import jobs, reports  # noqa: E402
 from postlark.session import apply_defaults  # noqa: E402
 
+try:  # the subpackage and the pipeline may be absent; all else works without them
+    import corpus_pipeline
+    from postlark.llm import queries as llm
+except ModuleNotFoundError as missing:
+    if (missing.name or "").split(".")[0] not in ("corpus_pipeline", "postlark"):
+        raise
+    corpus_pipeline = llm = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 # thresholds that fit the stand-in posts
@@ -576,8 +584,12 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {name: _with_settings(query) for name, query in QUERIES.items()}
+    added = {**llm.QUERIES, "pipeline": corpus_pipeline.run} if llm else {}
+    return {name: _with_settings(query) for name, query in {**QUERIES, **added}.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles.sql()
+    added = dict(llm.ORACLES) if llm else {}
+    if llm and corpus_pipeline.ORACLE_SQL:
+        added["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return {**oracles.sql(), **added}
