@@ -112,3 +112,46 @@ def list_array(rows: list[bytes], dtype: str) -> pa.Array:
     sizes = np.fromiter(map(len, rows), np.int64, len(rows)) // np.dtype(dtype).itemsize
     offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(rows), dtype)))
+
+
+# --- hashes of all words of a buffer ---------------------------------------------------
+
+BASE = 0x9E3779B97F4A7C15
+
+
+def mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse modulo 2^64; a longer text makes a longer table."""
+    held = worker_cache("powers", dict)
+    if len(held.get("up", ())) < size:
+        for name, base in (("up", BASE), ("down", pow(BASE, -1, 1 << 64))):
+            factors = np.full(max(size, 1 << 21), base, np.uint64)
+            factors[0] = 1
+            held[name] = np.cumprod(factors, dtype=np.uint64)
+    return held["up"], held["down"]
+
+
+def run_hashes(data: np.ndarray, inside: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every maximal run of ``inside`` bytes, and the number of runs before each row.
+
+    ``starts`` tells where the rows begin, and where the last ends; runs do not cross rows.
+    """
+    size = len(data)
+    if not size:
+        return np.zeros(0, np.uint64), np.zeros(len(starts), np.int64)
+    begins, ends = inside.copy(), inside.copy()
+    begins[1:] &= ~inside[:-1]
+    ends[:-1] &= ~inside[1:]
+    borders = starts[(starts > 0) & (starts < size)]
+    begins[borders] |= inside[borders]
+    ends[borders - 1] |= inside[borders - 1]
+    first, last = np.flatnonzero(begins), np.flatnonzero(ends) + 1
+    up, down = powers(size)
+    sums = np.zeros(size + 1, np.uint64)
+    np.cumsum((data + np.uint64(1)) * up[:size], dtype=np.uint64, out=sums[1:])
+    return mixed((sums[last] - sums[first]) * down[first]), np.searchsorted(first, starts, "left")

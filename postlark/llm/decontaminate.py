@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postlark.llm.common import slices, text_buffer, travels, with_fields, worker_cache
+from postlark.llm.common import mixed, run_hashes, slices, text_buffer, travels, with_fields
 
 travels(__name__)
 
@@ -41,7 +41,6 @@ FILTER_BITS = 20
 # word characters after lower case: ASCII letters and digits, and all beyond Latin-1
 # signs and general punctuation
 WORD = re.compile("[a-z0-9À-῿⁀-\U0010ffff]+")
-BASE = 0x9E3779B97F4A7C15
 WORD_FACTORS = (0x8CB92BA72F3D8DD7, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 1)
 
 
@@ -58,23 +57,6 @@ def shingles(words: list[str]) -> set[str]:
 # --- hashes of all words of a buffer ---------------------------------------------------
 
 
-def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2^64; a longer text makes a longer table."""
-    held = worker_cache("powers", dict)
-    if len(held.get("up", ())) < size:
-        for name, base in (("up", BASE), ("down", pow(BASE, -1, 1 << 64))):
-            factors = np.full(max(size, 1 << 21), base, np.uint64)
-            factors[0] = 1
-            held[name] = np.cumprod(factors, dtype=np.uint64)
-    return held["up"], held["down"]
-
-
-def _mix(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xA0761D6478BD642F)
-    return h ^ (h >> np.uint64(32))
-
-
 def word_mask(data: np.ndarray) -> np.ndarray:
     """Which bytes of lower-case UTF-8 belong to a word."""
     inside = ((data >= 97) & (data <= 122)) | ((data >= 48) & (data <= 57)) | (data >= 128)
@@ -90,21 +72,7 @@ def word_mask(data: np.ndarray) -> np.ndarray:
 
 def word_hashes(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every word, and the number of words before each document (one more at the end)."""
-    size = len(data)
-    if not size:
-        return np.zeros(0, np.uint64), np.zeros(len(starts), np.int64)
-    inside = word_mask(data)
-    begins, ends = inside.copy(), inside.copy()
-    begins[1:] &= ~inside[:-1]
-    ends[:-1] &= ~inside[1:]
-    borders = starts[(starts > 0) & (starts < size)]
-    begins[borders] |= inside[borders]
-    ends[borders - 1] |= inside[borders - 1]
-    first, last = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-    up, down = powers(size)
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum((data + np.uint64(1)) * up[:size], dtype=np.uint64)))
-    hashes = _mix((sums[last] - sums[first]) * down[first])
-    return hashes, np.searchsorted(first, starts, "left")
+    return run_hashes(data, word_mask(data), starts)
 
 
 def shingle_hashes(words: np.ndarray) -> np.ndarray:
@@ -115,7 +83,7 @@ def shingle_hashes(words: np.ndarray) -> np.ndarray:
     total = np.zeros(n, np.uint64)
     for k, factor in enumerate(WORD_FACTORS):
         total = total * np.uint64(0xD6E8FEB86659FD93) + words[k : k + n] * np.uint64(factor)
-    return _mix(total)
+    return mixed(total)
 
 
 def _hash_shingle(shingle: str) -> int:

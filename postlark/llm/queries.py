@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlark.llm import decontaminate, language, pieces, records, secret_scan, simhash
+from postlark.llm import decontaminate, language, pieces, records, secret_scan, simhash, suffix_dedup
 from postlark.llm.common import folds, id_and_text, prepared, shared_folder
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -17,6 +17,18 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
     return prepared(spark).read.parquet(f"{sf}/documents.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Bytes of every text that repeat a 50-byte string of an earlier document, removed."""
+    cut = suffix_dedup.remove_repeats(id_and_text(documents(spark, sf)))
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op2_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     """Candidates by kind, their spans, and how many look live or are copied examples."""
     found = secret_scan.scan_secrets(documents(spark, sf))
@@ -93,6 +105,7 @@ def op10_simhash(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_secret_scan": op2_secret_scan,
     "op3_decontaminate": op3_decontaminate,
     "op5_pieces": op5_pieces,
