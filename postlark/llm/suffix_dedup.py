@@ -298,6 +298,10 @@ def _answer_keys(hot_blocks: int):
     return answer
 
 
+def _squeezed(strings: list[bytes]) -> bytes:
+    return pa.Codec("zstd", 3).compress(b"".join(strings), asbytes=True)
+
+
 def _numbers(column, dtype) -> np.ndarray:
     return np.concatenate([np.zeros(0, dtype), *[np.frombuffer(x.as_py(), dtype) for x in column]])
 
@@ -356,7 +360,7 @@ def _send_strings(buckets: int, length: int, anchor: int):
                     strings = [out[i][2] for i in own.tolist()]
                     sizes = np.fromiter(map(len, strings), np.int32, len(strings))
                     rows.append(
-                        (k, block, False, key[own].tobytes(), place[own].tobytes(), sizes.tobytes(), b"".join(strings))
+                        (k, block, False, key[own].tobytes(), place[own].tobytes(), sizes.tobytes(), _squeezed(strings))
                     )
         return _packed(rows, STRINGS_SCHEMA.names, STRINGS_SCHEMA)
 
@@ -375,6 +379,7 @@ def _find_repeats(length: int):
                 rows.append((block, place))
                 continue
             ends = np.cumsum(np.frombuffer(sizes, np.int32), dtype=np.int64)
+            joined = pa.decompress(joined, int(ends[-1]), codec="zstd", asbytes=True)
             strings += [joined[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
             keys.append(np.frombuffer(key, np.uint64))
             places.append(np.frombuffer(place, np.int64))
