@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlark.llm import decontaminate, language, pieces, records, secret_scan, simhash, suffix_dedup
+from postlark.llm import decontaminate, language, pieces, records, secret_scan, simhash, suffix_dedup, trie_lm
 from postlark.llm.common import folds, id_and_text, prepared, shared_folder
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -99,6 +99,22 @@ def op7_records(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op9_trie_lm(spark: SparkSession, sf: str) -> DataFrame:
+    """Unigram and trie-model log probabilities of every text; one fold of seven is held out."""
+    docs = documents(spark, sf)
+    fold = folds(F.col("doc_id"), 7)
+    scored = trie_lm.score_texts(id_and_text(docs), fold != 2)
+    return scored.select(
+        "doc_id",
+        F.coalesce(fold == 2, F.lit(False)).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )
+
+
 def op10_simhash(spark: SparkSession, sf: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     return simhash.near_duplicates(id_and_text(documents(spark, sf)))
@@ -111,6 +127,7 @@ QUERIES = {
     "op5_pieces": op5_pieces,
     "op6_language": op6_language,
     "op7_records": op7_records,
+    "op9_trie_lm": op9_trie_lm,
     "op10_simhash": op10_simhash,
 }
 
