@@ -6,10 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlark.llm import decontaminate, language, pieces, records, secret_scan, simhash, suffix_dedup, trie_lm
+from postlark.llm import decontaminate, language, pieces, records, secret_scan, simhash, suffix_dedup, surrogates, syncmers, trie_lm
 from postlark.llm.common import folds, id_and_text, prepared, shared_folder
 
 PIECE_MODEL = "piece_bpe_32k.model"
+# on a cluster the caller of `replace_entities` passes a secret of their own
+SURROGATE_KEY = b"surrogates of the stand-in tables"
 WORD_MODEL, RECORD_END = "byte_bpe_50k.json", 2
 
 
@@ -64,6 +66,16 @@ def op3_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     return found.withColumn("containment", F.col("n_shared") / F.col("n_item"))
 
 
+def op4_surrogates(spark: SparkSession, sf: str) -> DataFrame:
+    """Every text with its entities replaced, and how many there are by kind."""
+    found = surrogates.replace_entities(documents(spark, sf).select("doc_id", "text"), SURROGATE_KEY)
+
+    def count(kind):
+        return F.size(F.filter("entities", lambda e: e["kind"] == kind)).cast("bigint").alias(f"n_{surrogates.KINDS[kind]}")
+
+    return found.select("doc_id", "text", *[count(k) for k in range(len(surrogates.KINDS))], "entities")
+
+
 def op5_pieces(spark: SparkSession, sf: str) -> DataFrame:
     """Digests of the piece ids of every text and of what they decode to."""
     path = public_tokenizers.path(PIECE_MODEL)
@@ -99,6 +111,11 @@ def op7_records(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op8_syncmers(spark: SparkSession, sf: str) -> DataFrame:
+    """Fingerprint of every text and of its edited text, and their likeness."""
+    return syncmers.fingerprints(id_and_text(documents(spark, sf)))
+
+
 def op9_trie_lm(spark: SparkSession, sf: str) -> DataFrame:
     """Unigram and trie-model log probabilities of every text; one fold of seven is held out."""
     docs = documents(spark, sf)
@@ -124,9 +141,11 @@ QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_secret_scan": op2_secret_scan,
     "op3_decontaminate": op3_decontaminate,
+    "op4_surrogates": op4_surrogates,
     "op5_pieces": op5_pieces,
     "op6_language": op6_language,
     "op7_records": op7_records,
+    "op8_syncmers": op8_syncmers,
     "op9_trie_lm": op9_trie_lm,
     "op10_simhash": op10_simhash,
 }
