@@ -1,0 +1,506 @@
+"""Every operator against a plain brute-force version, with nulls, empty texts, ties, repeated rows and clashing names."""
+
+import hashlib
+import itertools
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from postlark.llm import (
+    decontaminate,
+    language,
+    pieces,
+    records,
+    secret_scan,
+    simhash,
+    suffix_dedup,
+    surrogates,
+    syncmers,
+    trie_lm,
+)
+from postlark.llm.common import folds, id_and_text
+
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+WORD_MODEL = public_tokenizers.path("byte_bpe_50k.json")
+DOCS = "doc_id long, text string"
+SYLLABLES = ["the", "er", "on", "an", "re", "he", "in", "ed", "nd", "ha", "at", "en"]
+
+
+def words(rng, n):
+    return " ".join("".join(rng.choice(SYLLABLES) for _ in range(rng.randint(1, 3))) for _ in range(n))
+
+
+def corpus(seed=1, n=60):
+    """Texts with copies, near copies, shared passages, nulls, empty and spaceless ones."""
+    rng = random.Random(seed)
+    texts = [words(rng, rng.randint(1, 120)) for _ in range(n)]
+    passage = words(rng, 40)
+    for i in range(0, n, 7):
+        texts[i] = words(rng, 5) + " " + passage + " " + words(rng, rng.randint(0, 9))
+    for i in range(3, n, 11):
+        texts[i] = texts[i - 1]
+    for i in range(5, n, 13):
+        texts[i] = texts[i - 2] + " tail"
+    texts += [None, "", " ", "x" * 200, "É" * 60, "É" * 61, "\n\tÀ b  c   d \n e", "x" * 200]
+    return [(i * 3, t) for i, t in enumerate(texts)]
+
+
+def frame(spark, rows, schema=DOCS):
+    return spark.createDataFrame(rows, schema)
+
+
+def texts_of(spark, rows):
+    return id_and_text(frame(spark, rows))
+
+
+# --- suffix arrays -------------------------------------------------------------------
+
+
+def removed_bytes(rows, length=50):
+    first, out = {}, {}
+    for doc, text in sorted(rows, key=lambda r: r[0]):
+        data = (text or "").encode()
+        gone = bytearray(len(data))
+        for i in range(len(data) - length + 1):
+            if first.setdefault(data[i : i + length], doc) < doc:
+                gone[i : i + length] = b"\1" * length
+        kept = bytes(b for b, g in zip(data, gone) if not g)
+        spans = [(k, len(list(g))) for k, g in itertools.groupby(gone)]
+        out[doc] = (len(data), sum(gone), sum(k for k, _ in spans), kept)
+    return out
+
+
+@pytest.mark.parametrize("block_docs,hot", [(1, 1), (16, 512), (1024, 512)])
+def test_repeats_are_removed_exactly(spark, block_docs, hot):
+    rows = corpus()
+    cut = suffix_dedup.remove_repeats(texts_of(spark, rows), block_docs=block_docs, hot_blocks=hot).collect()
+    found = {r.doc_id: (r.n_bytes, r.n_removed, len(r.spans), bytes(r.kept)) for r in cut}
+    assert found == removed_bytes(rows)
+
+
+def test_repeats_of_one_id_and_of_no_id(spark):
+    text = "abcdefghij" * 7
+    rows = [(1, text), (1, text), (None, text), (2, text), (2, None)]
+    cut = suffix_dedup.remove_repeats(texts_of(spark, rows)).collect()
+    assert sorted((r.doc_id or 0, r.n_removed) for r in cut) == [(0, 0), (1, 0), (1, 0), (2, 0), (2, 70)]
+    assert suffix_dedup.remove_repeats(texts_of(spark, [])).count() == 0
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.lists(st.text("ab", min_size=0, max_size=40), min_size=1, max_size=12), st.integers(2, 9))
+def test_family_finds_all_earlier_windows(strings, length):
+    strings = [s.encode() for s in strings if len(s) >= length]
+    order = np.arange(len(strings)) // 2
+    old, suffix_dedup.BATCH_STRINGS = suffix_dedup.BATCH_STRINGS, 3
+    try:
+        found = suffix_dedup.repeats(strings, np.zeros(len(strings), np.uint64), order, length)
+    finally:
+        suffix_dedup.BATCH_STRINGS = old
+    got = {(i, k) for i, a, b in found for k in range(a, b + 1)}
+    windows = [[s[k : k + length] for k in range(len(s) - length + 1)] for s in strings]
+    expected = {
+        (i, k)
+        for i, own in enumerate(windows)
+        for k, w in enumerate(own)
+        if any(w in windows[j] for j in range(len(strings)) if order[j] < order[i])
+    }
+    assert got == expected
+
+
+def test_anchors_of_a_long_document_are_cut_with_overlap():
+    data = np.frombuffer(random.Random(2).randbytes((1 << 22) + 500), np.uint8)
+    keys, first, last = suffix_dedup.block_anchors(data, np.array([0, len(data)]), 50, 24)
+    assert first[0] == 0 and last[-1] == len(data) - 50
+    assert np.array_equal(first[1:], last[:-1] + 1)
+
+
+# --- secrets -------------------------------------------------------------------------
+
+
+def test_secret_spans_and_ownership(spark):
+    key, own = "AKIA" + "Q1W2E3R4T5Y6U7I8", "zX9" + "k2Lm4Np6Qr8St0Uv1Wx3"
+    copied = "9f86d081884c7d659a2feaa0c55ad015"
+    rows = [(i, f'token = "{copied}"', f"s{i}", "en") for i in range(6)]
+    rows += [(10, f"see {key} and {own}", "s1", "en"), (11, None, "s1", "en"), (12, "", None, None)]
+    rows += [(13, "secret=token: abcdefgh api_key:abcde PASSWD='hunter22'", "s2", None)]
+    rows += [(13, "secret=token: abcdefgh api_key:abcde PASSWD='hunter22'", "s2", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    found = {}
+    for r in secret_scan.scan_secrets(docs).collect():
+        found.setdefault(r.doc_id, []).append([(s.kind, s.start, s.end, s.live) for s in r.secrets])
+    assert found[0] == [[(0, 0, 42, False), (2, 9, 41, False)]] or found[0][0][0][3] is False
+    assert found[10] == [[(1, 4, 24, True), (3, 29, 52, True)]]
+    assert found[11] == [[]] and found[12] == [[]]
+    # the short value of `secret` uses up `token`; `abcde` is too short
+    assert found[13] == [[(0, 36, 53, False)]] * 2
+    masked = {r.doc_id: r.text for r in secret_scan.mask_live(docs).collect()}
+    assert masked[10] == "see [SECRET] and [SECRET]"
+    assert masked[0] == rows[0][1] and masked[11] is None and masked[12] == ""
+    assert secret_scan.scan_secrets(docs.limit(0)).count() == 0
+
+
+def test_base_spans_equal_the_plain_patterns():
+    rng = random.Random(4)
+    bits = ["token", "secret", "=", ": ", '"', "AKIA", "ABCDEF0123456789", "0123456789abcdef", " ", "x", "zq7", "API_KEY", "é"]
+    assign = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A)
+    for _ in range(2000):
+        text = "".join(rng.choice(bits) for _ in range(rng.randint(0, 12)))
+        plain = [(0, m.start(), m.end()) for m in assign.finditer(text) if len(m[2]) >= 6]
+        plain += [(1, m.start(), m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+        plain += [(2, m.start(), m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+        found = [s[:3] for s in secret_scan.find_spans(text) if s[0] < 3]
+        assert sorted(found) == sorted(plain), text
+        if plain:
+            assert pa.compute.match_substring_regex(pa.array([text]), secret_scan.ANY)[0].as_py()
+
+
+# --- decontamination -----------------------------------------------------------------
+
+
+def test_contained_items(spark):
+    rng = random.Random(5)
+    items = [(i, words(rng, n)) for i, n in enumerate((3, 5, 9, 20, 64, 65, 200))] + [(90, None), (91, ""), (3, None)]
+    docs = []
+    for i, text in items[:7]:
+        own = text.split()
+        docs.append((len(docs), words(rng, 300) + " " + text.upper() + ". " + words(rng, 30)))
+        docs.append((len(docs), words(rng, 9) + " «" + " ".join(own[: math.ceil(len(own) * 0.9)]) + "» " + words(rng, 9)))
+        docs.append((len(docs), words(rng, 9) + " " + " ".join(own[: len(own) // 2])))
+    docs += [(100, None), (101, ""), (102, items[0][1] + "!"), (103, words(rng, 500)), (None, items[3][1]), (5, items[4][1])]
+    expected = set()
+    for row, (doc, text) in enumerate(docs):
+        have = decontaminate.shingles(decontaminate.words_of(text or ""))
+        for item, body in items:
+            want = decontaminate.shingles(decontaminate.words_of(body or ""))
+            if want and len(want & have) >= 0.8 * len(want):
+                expected.add((row, doc, item, len(want & have), len(want)))
+    table = spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.contained_items(texts_of(spark, docs), table).collect()
+    assert Counter((r.doc_id, r.item_id, r.n_shared, r.n_item) for r in found) == Counter(x[1:] for x in expected)
+    assert len(expected) >= 14
+    kept = decontaminate.decontaminated(frame(spark, docs), table)
+    assert kept.count() == len(docs) - len({x[0] for x in expected})
+    assert decontaminate.contained_items(texts_of(spark, docs), table.limit(0)).count() == 0
+    assert decontaminate.contained_items(texts_of(spark, []), table).count() == 0
+
+
+# --- surrogates ----------------------------------------------------------------------
+
+
+def test_surrogates_keep_form_distinctness_and_coreference(spark):
+    rng = random.Random(6)
+    mails = [f"{words(rng, 1)}.{i}@mail{i % 7}.example.com" for i in range(80)]
+    phones = [f"+1 ({rng.randint(100, 999)}) 555-{rng.randint(1000, 9999)}" for _ in range(30)]
+    ips = [f"{rng.randint(1, 255)}.{rng.randint(0, 255)}.3.{i}" for i in range(30)]
+    card = "4111111111111111"
+    rows = [(i, f"write {m} or {m.upper()}") for i, m in enumerate(mails)]
+    rows += [(100 + i, f"call {p}, host {q}.") for i, (p, q) in enumerate(zip(phones, ips))]
+    rows += [(200, f"card {card}, Mrs. Anna Schmidt and Mr Иван"), (201, None), (202, ""), (203, "none here"), (203, "none here")]
+    docs = frame(spark, rows)
+    found = surrogates.replace_entities(docs, b"key").collect()
+    assert Counter(r.doc_id for r in found) == Counter(r[0] for r in rows)
+    by = {r.doc_id: r for r in found}
+    new = [re.findall(r"\S+@\S+", by[i].text) for i in range(80)]
+    assert all(len(x) == 2 and x[0].upper() == x[1] and x[0].endswith(".example.com") for x in new)
+    assert len({x[0] for x in new}) == 80 and not {x[0] for x in new} & set(mails)
+    assert all(re.fullmatch(r"call \+1 \(\d{3}\) \d{3}-\d{4}, host \d+\.\d+\.\d+\.\d+\.", by[100 + i].text) for i in range(30))
+    held = by[200].text
+    digits = re.search(r"\d{16}", held)[0]
+    assert digits != card and surrogates._luhn(digits[:-1]) == int(digits[-1])
+    assert re.fullmatch(r"card \d{16}, Mrs\. [A-Z][a-z]{2}a [A-Z][a-z]{6} and Mr [А-Я][а-яё]{3}", held)
+    assert by[201].text is None and by[202].text == "" and by[203].text == "none here"
+    assert surrogates.replace_entities(docs.limit(0), b"key").count() == 0
+
+
+def test_colliding_surrogates_draw_again(spark, monkeypatch):
+    originals = spark.createDataFrame([(2, f"1.1.1.{i}") for i in range(40)], "kind int, value string")
+    plain = surrogates.surrogate
+
+    def narrow(kind, value, attempt, key):
+        return "9.9.9." + plain(kind, value, attempt, key).split(".")[0][-2:]
+
+    monkeypatch.setattr(surrogates, "surrogate", narrow)
+    found = surrogates.assign_surrogates(originals, b"k").collect()
+    assert len(found) == 40 and len({r.surrogate for r in found}) == 40
+
+
+# --- pieces --------------------------------------------------------------------------
+
+
+def model():
+    import sentencepiece
+
+    return sentencepiece.SentencePieceProcessor(model_file=PIECE_MODEL)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.one_of(st.sampled_from("ab the▁ \n\tÉ.1"), st.characters(exclude_categories=("Cs",))), max_size=40))
+def test_chunk_table_encodes_like_the_library(text):
+    table = pieces._table(PIECE_MODEL)
+    assert np.frombuffer(table.encode(text), np.int32).tolist() == table.model.encode(text)
+
+
+def test_pieces_round_trip(spark):
+    rows = corpus()
+    library = model()
+    encoded = pieces.encode_pieces(texts_of(spark, rows), PIECE_MODEL)
+    found = {r.doc_id: (list(r.ids), r.decoded) for r in pieces.decode_pieces(encoded, PIECE_MODEL).collect()}
+    for doc, text in rows:
+        ids = [*library.encode(text or ""), library.eos_id()]
+        assert found[doc] == (ids, library.decode(ids))
+
+
+def test_a_full_table_is_emptied(monkeypatch):
+    monkeypatch.setattr(pieces, "TABLE_ENTRIES", 8)
+    table = pieces.ChunkTable(PIECE_MODEL)
+    for text in ("a b c d e f", "g h a b", "a b c d e f g h i j k l m n", "  x  "):
+        assert np.frombuffer(table.encode(text), np.int32).tolist() == table.model.encode(text)
+
+
+# --- language ------------------------------------------------------------------------
+
+
+def test_language_on_held_out_texts(spark):
+    rng = random.Random(7)
+    own = {"en": SYLLABLES, "de": ["der", "und", "keit", "sch", "ung", "ein"], "fr": ["eau", "le", "que", "é", "oi"]}
+    rows = []
+    for i in range(300):
+        lang = rng.choice(sorted(own))
+        rows.append((i, " ".join("".join(rng.choices(own[lang], k=2)) for _ in range(rng.randint(3, 30))), lang))
+    rows += [(900, None, "en"), (901, "123 !", "en"), (902, "", None), (903, "der und", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    fitted = language.train_language(docs.filter(folds(F.col("doc_id"), 3) != 1))
+    found = {r.doc_id: r for r in language.identify_language(docs, fitted).collect()}
+    held = [r for r in rows[:300] if zlib.crc32(str(r[0]).encode()) % 3 == 1]
+    assert sum(found[r[0]].lang_pred == r[2] for r in held) / len(held) > 0.98
+    assert [found[i].lang_pred for i in (900, 901, 902, 903)] == ["und", "und", "und", "de"]
+    assert all(0 <= r.score <= 1 for r in found.values()) and found[900].score == 0
+    nothing = language.train_language(docs.limit(0))
+    assert {r.lang_pred for r in language.identify_language(docs, nothing).collect()} == {"und"}
+
+
+def test_a_prediction_depends_on_its_text_alone():
+    rng = np.random.default_rng(0)
+    matrix = np.log(rng.random((language.BUCKETS + 1, 3)))
+    texts = ["ab", "a", "the house", "É", "b" * 50]
+    together = language.predict(texts, ["x", "y", "z"], matrix)
+    alone = [language.predict([t], ["x", "y", "z"], matrix) for t in texts]
+    assert together[0] == [a[0][0] for a in alone]
+    assert np.allclose(together[1], [a[1][0] for a in alone])
+
+
+# --- records -------------------------------------------------------------------------
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.one_of(st.sampled_from("ab 's\n\t\x1c1.É"), st.characters(exclude_categories=("Cs",))), max_size=30))
+def test_word_table_encodes_like_the_library(text):
+    from postlark.llm.common import worker_cache
+
+    table = worker_cache("test_words", lambda: records.WordTable(WORD_MODEL))
+    assert np.frombuffer(table.encode(text), np.uint32).tolist() == table.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_records_round_trip(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(WORD_MODEL)
+    rows = [*corpus(), (None, "no id"), (6, "same id again")]
+    folder = str(tmp_path / "records")
+    index = records.write_records(texts_of(spark, rows), folder, WORD_MODEL, 2)
+    read = records.read_records(records.corpus_starts(index), folder).collect()
+    assert len(read) == len(rows)
+    expected = Counter(
+        (doc, tuple([*tokenizer.encode(text or "", add_special_tokens=False).ids, 2])) for doc, text in rows
+    )
+    assert Counter((r.doc_id, tuple(r.ids)) for r in read) == expected
+    in_order = sorted(read, key=lambda r: r.start)
+    assert [r.doc_id for r in in_order] == sorted((r[0] for r in rows), key=lambda d: -1 if d is None else d)
+    assert [r.start for r in in_order] == [0, *itertools.accumulate(len(r.ids) for r in in_order)][:-1]
+    shuffled = records.read_records(index.orderBy(F.rand(1)).limit(9), folder).collect()
+    assert {(r.doc_id, tuple(r.ids)) for r in shuffled} <= set(expected)
+
+
+def test_a_damaged_record_is_refused():
+    data = bytearray(records.frame(np.array([1, 2, 70_000], np.uint32)))
+    assert records.unframe(bytes(data), 0)[0].tolist() == [1, 2, 70_000]
+    data[14] ^= 1
+    with pytest.raises(ValueError, match="checksum"):
+        records.unframe(bytes(data), 0)
+    data[0] ^= 1
+    with pytest.raises(ValueError, match="length"):
+        records.unframe(bytes(data), 0)
+
+
+# --- syncmers ------------------------------------------------------------------------
+
+
+def test_edited_texts_and_likeness(spark):
+    rows = corpus()
+    found = {r.doc_id: r for r in syncmers.fingerprints(texts_of(spark, rows)).collect()}
+    for (doc, text), (_, after) in zip(rows, [*rows[1:], rows[0]]):
+        text, after = text or "", after or ""
+        quarter = len(text) // 4
+        edited = text[: len(text) - quarter] + after[:quarter]
+        assert found[doc].n_chars == len(text)
+        assert found[doc].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
+        assert 0 <= found[doc].near_next <= 1 and 0 <= found[doc].near_edited <= 1
+        if text == after:
+            assert found[doc].near_next == 1
+        if text == edited:
+            assert found[doc].near_edited == 1 and found[doc].fingerprint == found[doc].edited_fingerprint
+    long = [r for r in found.values() if r.n_chars > 300]
+    assert np.mean([r.near_edited for r in long]) > 0.4 > np.mean([r.near_next for r in long])
+
+
+def test_anchors_are_context_free_and_closed(spark):
+    rng = random.Random(8)
+    shared = words(rng, 40)
+    rows = [(0, shared), (1, words(rng, 9) + " " + shared + " " + words(rng, 7))]
+    found = {r.doc_id: r.a for r in texts_of(spark, rows).select("doc_id", syncmers.anchors(F.col("text")).alias("a")).collect()}
+    shift = {}
+    for a, b in itertools.product(found[0], found[1]):
+        if a.hash == b.hash:
+            shift[b.place - a.place] = shift.get(b.place - a.place, 0) + 1
+    assert max(shift.values()) == len(found[0]) > 10
+
+
+def test_fingerprints_of_odd_rows(spark):
+    rows = [(1, "a b c d e f"), (1, "a b c d e f"), (None, "a b"), (2, None)]
+    found = syncmers.fingerprints(texts_of(spark, rows)).collect()
+    assert sorted((r.doc_id or 0, r.n_chars, r.near_next) for r in found) == [(0, 3, 0.0), (1, 11, 0.0), (1, 11, 0.0), (2, 0, 0.0)]
+    assert syncmers.fingerprints(texts_of(spark, [])).count() == 0
+    single = syncmers.fingerprints(texts_of(spark, [(4, "a b c d")])).collect()
+    assert [r.near_next for r in single] == [1.0]
+
+
+# --- language model ------------------------------------------------------------------
+
+
+def plain_scores(rows):
+    lower = str.maketrans({chr(65 + i): chr(97 + i) for i in range(26)})
+    tokens = [re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(lower)) + ["</s>"] for _, t in rows]
+    learned = [d is not None and zlib.crc32(str(d).encode()) % 7 != 2 for d, _ in rows]
+    one, two = Counter(), Counter()
+    for own, yes in zip(tokens, learned):
+        if yes:
+            one.update(own)
+            two.update(zip(["<s>"] + own, own))
+    n, v, starts = sum(one.values()), len(one), sum(learned)
+    for own in tokens:
+        p1 = [(one[w] + 1) / (n + v + 1) for w in own]
+        totals = [starts, *[one[w] for w in own[:-1]]]
+        pairs = [two[p] for p in zip(["<s>"] + own, own)]
+        model = [(c + trie_lm.MASS * p) / (t + trie_lm.MASS) for c, p, t in zip(pairs, p1, totals)]
+        yield len(own), sum(one[w] > 0 for w in own), n, sum(map(math.log10, p1)), sum(map(math.log10, model))
+
+
+@pytest.mark.parametrize("block_docs,hot", [(8, 1 << 17), (2048, 3)])
+def test_scores(spark, monkeypatch, block_docs, hot):
+    monkeypatch.setattr(trie_lm, "HOT_CONTEXT", hot)
+    rows = [*corpus(), (None, "the on the on"), (6, "Over AGAIN")]
+    found = trie_lm.score_texts(texts_of(spark, rows), folds(F.col("doc_id"), 7) != 2, block_docs=block_docs).collect()
+    got = sorted((r.doc_id or -1, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in found)
+    expected = sorted((d or -1, *s) for (d, _), s in zip(rows, plain_scores(rows)))
+    for g, e in zip(got, expected, strict=True):
+        assert g[:4] == e[:4] and math.isclose(g[4], e[4], rel_tol=1e-9)
+        assert e[5] - trie_lm.STEP * e[1] <= g[5] <= e[5] + 1e-9
+
+
+def test_scores_without_training_texts(spark):
+    rows = [(1, "a b"), (2, None)]
+    found = trie_lm.score_texts(texts_of(spark, rows), F.lit(False)).collect()
+    assert [(r.base_score, r.score, r.train_tokens, r.n_known) for r in found] == [(0.0, 0.0, 0, 0)] * 2
+    assert trie_lm.score_texts(texts_of(spark, []), F.lit(True)).count() == 0
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(0, 1 << 40), min_size=1, max_size=300))
+def test_elias_fano(values):
+    values = np.sort(np.array(values, np.int64))
+    assert np.array_equal(trie_lm.ef_get(trie_lm.elias_fano(values), np.arange(len(values))), values)
+    assert np.array_equal(trie_lm.unpack(trie_lm.pack(values)), values)
+
+
+# --- simhash -------------------------------------------------------------------------
+
+
+def plain_fingerprint(text):
+    from xxhash import xxh64_intdigest
+
+    lowered = (text or "").translate(str.maketrans({chr(65 + i): chr(97 + i) for i in range(26)}))
+    own = re.findall(r"[^\x20\x09-\x0D]+", lowered)
+    found = [" ".join(own[i : i + 4]) for i in range(len(own) - 3)] or ([" ".join(own)] if own else [])
+    hashes = [xxh64_intdigest(s.encode(), seed=42) for s in found]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def plain_components(values, radius):
+    labels = list(range(len(values)))
+    for a, b in itertools.combinations(range(len(values)), 2):
+        if bin(values[a] ^ values[b]).count("1") <= radius and labels[a] != labels[b]:
+            low, high = sorted((labels[a], labels[b]))
+            labels = [low if x == high else x for x in labels]
+    return labels
+
+
+def test_simhash_components(spark):
+    rows = [r for r in corpus() if r[1] != "x" * 200] + [(900, "Word one"), (901, None), (901, None)]
+    found = simhash.near_duplicates(texts_of(spark, rows)).collect()
+    prints = [plain_fingerprint(t) for _, t in rows]
+    labels = plain_components(prints, 4)
+    low = {x: min(rows[i][0] for i, y in enumerate(labels) if y == x) for x in labels}
+    expected = Counter((rows[i][0], f"{prints[i]:016x}", low[labels[i]]) for i in range(len(rows)))
+    assert Counter((r.doc_id, r.fingerprint, r.component_id) for r in found) == expected
+    kept = simhash.keep_first(frame(spark, rows)).collect()
+    assert sorted(r.doc_id for r in kept) == sorted(set(low.values()))
+
+
+@pytest.mark.parametrize("most", [2, 50, 100_000])
+def test_links_of_fingerprints_in_cut_shards(spark, most):
+    rng = random.Random(9)
+    centers = [rng.getrandbits(64) for _ in range(12)]
+    values = {c ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 6))) for c in centers for _ in range(12)}
+    values = sorted(values | {0, (1 << 64) - 1, 15, 31})
+    nodes = spark.createDataFrame([(simhash.signed(v), i) for i, v in enumerate(values)], "bits long, node long")
+    cut = simhash.shards(nodes, 4, most).withColumn("part", F.col("bits").bitwiseAND(F.col("mask")))
+    links = cut.repartition(3, "mask", "part").select("mask", "bits", "node").mapInArrow(simhash._links(4), "a long, b long")
+    roots = {r.node: r.root for r in simhash.components(links).collect()}
+    assert [roots.get(i, i) for i in range(len(values))] == plain_components(values, 4)
+
+
+def test_bk_tree_walk_finds_all_pairs(monkeypatch):
+    monkeypatch.setattr(simhash, "FRONTIER", 64)
+    rng = np.random.default_rng(3)
+    values = rng.integers(0, 1 << 12, 300).astype(np.uint64)
+    shards = rng.integers(0, 3, 300)
+    pairs = [tuple(p) for a, b in simhash.walk(*simhash.grow(shards, values), values, 3) for p in zip(a.tolist(), b.tolist())]
+    expected = [
+        (i, j)
+        for i, j in itertools.combinations(range(300), 2)
+        if shards[i] == shards[j] and bin(int(values[i] ^ values[j])).count("1") <= 3
+    ]
+    assert sorted(pairs) == expected
+
+
+def test_components_of_long_chains_and_stars(spark):
+    chain = [(i + 1, i) for i in range(40)] + [(100 + i, 100) for i in range(1, 30)] + [(7, 7)]
+    roots = {r.node: r.root for r in simhash.components(spark.createDataFrame(chain, "a long, b long")).collect()}
+    assert roots == {**{i: 0 for i in range(1, 41)}, **{100 + i: 100 for i in range(1, 30)}}
+
+
+def test_keep_first_of_empty_and_clashing_tables(spark):
+    rows = [(1, "a b c d e", 5), (1, "a b c d e", 5), (2, "a b c d e", 5), (None, "a b c d e", 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, copy_number int")
+    assert sorted((r.doc_id or 0) for r in simhash.keep_first(docs).collect()) == [0, 1]
+    assert simhash.keep_first(docs.limit(0)).count() == 0
