@@ -19,6 +19,7 @@ gives no file and an empty index.
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 import zlib
@@ -72,6 +73,8 @@ class WordTable:
     """Ids of distinct words with the space before them, as bytes of 32-bit integers."""
 
     def __init__(self, path: str):
+        # its threads cost more than they give on short words, and Spark fills the cores
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -82,17 +85,16 @@ class WordTable:
         for word, encoded in zip(words, found):
             self.ids[word] = np.array(encoded.ids, np.uint32).tobytes()
 
-    def encode(self, text: str) -> bytes:
-        first, *rest = WORD_START.split(text)
-        words = [first, *[" " + w for w in rest]]
-        try:
-            return b"".join(map(self.ids.__getitem__, words))
-        except KeyError:
-            pass
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text; words that the table lacks are encoded together."""
+        split = []
+        for text in texts:
+            first, *rest = WORD_START.split(text)
+            split.append([first, *[" " + w for w in rest]])
         if len(self.ids) > TABLE_ENTRIES:
             self.ids.clear()
-        self._learn(list(set(words) - self.ids.keys()))
-        return b"".join(map(self.ids.__getitem__, words))
+        self._learn(list(set().union(*split) - self.ids.keys()))
+        return [b"".join(map(self.ids.__getitem__, words)) for words in split]
 
 
 def _write(tokenizer_path: str, folder: str, end_id: int):
@@ -109,8 +111,8 @@ def _write(tokenizer_path: str, folder: str, end_id: int):
                 store.create_dir(path, recursive=True)
                 out = store.open_output_stream(own)
             sizes, counts = [], []
-            for text in batch.column(1).to_pylist():
-                ids = np.frombuffer(table.encode(text) + end, np.uint32)
+            for data in table.encode(batch.column(1).to_pylist()):
+                ids = np.frombuffer(data + end, np.uint32)
                 record = frame(ids)
                 out.write(record)
                 sizes.append(len(record))

@@ -308,7 +308,7 @@ def test_word_table_encodes_like_the_library(text):
     from postlark.llm.common import worker_cache
 
     table = worker_cache("test_words", lambda: records.WordTable(WORD_MODEL))
-    assert np.frombuffer(table.encode(text), np.uint32).tolist() == table.tokenizer.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(table.encode([text])[0], np.uint32).tolist() == table.tokenizer.encode(text, add_special_tokens=False).ids
 
 
 def test_records_round_trip(spark, tmp_path):
