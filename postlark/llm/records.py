@@ -23,6 +23,7 @@ import os
 import re
 import struct
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,7 @@ from postlark.llm.common import list_array, travels, with_fields, worker_cache
 travels(__name__)
 
 WORD_START = re.compile(r" (?=\S)")
-TABLE_ENTRIES = 500_000
+TABLE_ENTRIES = 1_000_000
 FRAME = 16
 READ_BYTES = 8_000_000
 MASK_DELTA = 0xA282EAD8
@@ -80,21 +81,21 @@ class WordTable:
         self.tokenizer = Tokenizer.from_file(path)
         self.ids: dict[str, bytes] = {}
 
-    def _learn(self, words: list[str]) -> None:
-        found = self.tokenizer.encode_batch(words, add_special_tokens=False)
-        for word, encoded in zip(words, found):
-            self.ids[word] = np.array(encoded.ids, np.uint32).tobytes()
+    def _encoded(self, words: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text; words that the table lacks are encoded together."""
-        split = []
-        for text in texts:
-            first, *rest = WORD_START.split(text)
-            split.append([first, *[" " + w for w in rest]])
+        """Ids of each text; words that the table lacks are encoded together.
+
+        The table holds words behind a space; what a text begins with is encoded as it is.
+        """
+        split = [WORD_START.split(text) for text in texts]
+        heads = self._encoded([words.pop(0) for words in split])
         if len(self.ids) > TABLE_ENTRIES:
             self.ids.clear()
-        self._learn(list(set().union(*split) - self.ids.keys()))
-        return [b"".join(map(self.ids.__getitem__, words)) for words in split]
+        new = list(set().union(*split) - self.ids.keys())
+        self.ids.update(zip(new, self._encoded([" " + w for w in new])))
+        return [head + b"".join(map(self.ids.__getitem__, words)) for head, words in zip(heads, split)]
 
 
 def _write(tokenizer_path: str, folder: str, end_id: int):
