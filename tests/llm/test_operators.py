@@ -142,7 +142,7 @@ def test_secret_spans_and_ownership(spark):
     assert found[10] == [[(1, 4, 24, True), (3, 29, 52, True)]]
     assert found[11] == [[]] and found[12] == [[]]
     # the short value of `secret` uses up `token`; `abcde` is too short
-    assert found[13] == [[(0, 36, 53, False)]] * 2
+    assert found[13] == [[(0, 37, 53, False)]] * 2
     masked = {r.doc_id: r.text for r in secret_scan.mask_live(docs).collect()}
     assert masked[10] == "see [SECRET] and [SECRET]"
     assert masked[0] == rows[0][1] and masked[11] is None and masked[12] == ""
