@@ -24,6 +24,7 @@ from postlark.operators import sentiment as st  # noqa: E402
 from postlark.operators import topics as tp  # noqa: E402
 from postlark.operators import video as vd  # noqa: E402
 from postlark.plans import jobs, reports  # noqa: E402
+from postlark.schema import EXPANDED_URLS  # noqa: E402
 from postlark.session import apply_defaults  # noqa: E402
 
 try:  # the subpackage and the pipeline may be absent; all else works without them
@@ -40,7 +41,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 LOW, HIGH, SIZE = 60, 75, 50
 RANGE = (datetime(2024, 1, 1), datetime(2024, 1, 20))
 SUFFIXES = ("com", "net", "org", "io", "example.com", "co.uk")
-LDA_ITERATIONS = 10
 
 
 # --- inputs built from the stand-in ------------------------------------------------
@@ -105,16 +105,11 @@ def stopwords(spark, sf):
 
 
 def kept_tokens(spark, sf):
-    from postlark.sources import stopword_list
-
-    words = stopword_list(stopwords(spark, sf))
-    return tp.topic_tokens(s.decorated_documents(spark, sf), words)
+    return tp.topic_tokens(s.decorated_documents(spark, sf), stopwords(spark, sf))
 
 
 def topic_run(spark, sf):
-    return jobs.topic_job(
-        s.decorated_documents(spark, sf), stopwords(spark, sf), max_iter=LDA_ITERATIONS
-    )
+    return jobs.topic_job(s.decorated_documents(spark, sf), stopwords(spark, sf))
 
 
 def scorer(spark, sf):
@@ -140,7 +135,7 @@ def parsed_lists(spark, sf):
 
 
 def restricted(spark, sf):
-    return co.restrict_to(parsed(spark, sf), ranking(spark, sf), SIZE).select(
+    return co.restrict_to(parsed(spark, sf), ranking(spark, sf)).select(
         "tweetid", "userid", "tweets_count", "yt_shares_count", "hashtags_count"
     )
 
@@ -151,8 +146,6 @@ def built_cohort(spark, sf):
         s.profiles(spark, sf),
         s.tweet_topics(spark, sf),
         ranking(spark, sf),
-        SIZE,
-        HIGH,
     )
     return built.select(
         "tweetid",
@@ -425,9 +418,7 @@ QUERIES: dict[str, Query] = {
     # cohort
     "rank_users": ranking,
     "rank_users_literal_hashtags": lambda spark, sf: co.rank_users(
-        s.raw_tweets(spark, sf).drop("urls_list").join(
-            parsed(spark, sf).select("tweetid", "urls_list"), "tweetid"
-        ),
+        literals.parse_literals(s.raw_tweets(spark, sf), {"urls_list": EXPANDED_URLS}),
         LOW,
         HIGH,
         SIZE,
@@ -563,9 +554,6 @@ QUERIES: dict[str, Query] = {
         corpus_lines(spark, sf), cp.TOPIC_KEYS
     ),
     "topic_corpus": lambda spark, sf: corpus_lines(spark, sf).select(*cp.TOPIC_KEYS, "line"),
-    "short_corpora": lambda spark, sf: cp.short_corpora(
-        topic_texts(spark, sf), cp.TOPIC_KEYS, cp.TOPIC_ORDER
-    ),
     "packed_batches": packed_batches,
     "sampled_batches": sampled_batches,
     "gate": gated,

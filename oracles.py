@@ -196,9 +196,11 @@ gated as (
   from corpora c join sampled s on s.userid = c.userid and s.topic = c.topic),
 summary_lines as (
   select userid, topic, pos, line, {tokens("line")} as tokens, len(regexp_split_to_array(trim(line), '[ \\t]+')) as n_words
+  from (select userid, topic, pos, case when len(regexp_split_to_array(trim(line), '[ \\t]+')) > 150
+               then array_to_string(regexp_split_to_array(trim(line), '[ \\t]+')[1:150], ' ') else line end as line
   from (select userid, topic, unnest(string_split(text, chr(10))) as line,
-               generate_subscripts(string_split(text, chr(10)), 1) as pos from gated)),
-good_lines as (select * from summary_lines where len(tokens) > 0 and n_words <= 150),
+               generate_subscripts(string_split(text, chr(10)), 1) as pos from gated))),
+good_lines as (select * from summary_lines where len(tokens) > 0),
 occurrences as (
   select userid, topic, pos, n_tokens, token, count(*) as tf
   from (select userid, topic, pos, len(tokens) as n_tokens, unnest(tokens) as token from good_lines)
@@ -451,8 +453,7 @@ SELECTS = {
     "corpus_sizes": "select userid, topic, count(*) as n_texts, sum(length(text)) + count(*) - 1 as raw_chars from topic_texts group by all",
     "corpus_lengths": "select userid, topic, len(string_split(corpus, chr(10))) as n_lines, length(corpus) as n_chars from corpora",
     "topic_corpus": "select userid, topic, line from corpus_lines",
-    "short_corpora": "select userid, topic, corpus from corpora where raw_chars <= 12000",
-    "packed_batches": "select userid, topic, batch_no, batch from batches",
+    "packed_batches": "select userid, topic, batch_no, batch from all_batches",
     "sampled_batches": "select userid, topic, pick, batch from drawn where pick <= 12",
     "gate": "select userid, topic, n_chars, sampled, text from gated",
     "topic_summaries": """select userid, topic, string_agg(line, chr(10) order by pos) as summary, sum(n_words) as n_words

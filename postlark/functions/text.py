@@ -65,14 +65,6 @@ def tokenize(col: Column, min_length: int = MIN_TOKEN_LENGTH) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(col, F.lit(""))), run, F.lit(0))
 
 
-def drop_stopwords(tokens: Column, words: Iterable[str]) -> Column:
-    """Case-insensitive. ``words`` is a bounded list, see ``sources.stopword_list``."""
-    lowered = sorted({word.lower() for word in words})
-    if not lowered:
-        return tokens
-    return F.filter(tokens, lambda token: ~F.lower(token).isin(lowered))
-
-
 def split_raw_list(col: Column) -> Column:
     """Split an unparsed list literal on ``', '``; ``'[]'`` gives one element."""
     return F.split(col, ", ")

@@ -45,18 +45,21 @@ def video_id(url: Column) -> Column:
 
 
 def with_registered_domain(
-    df: DataFrame, url: str, suffixes: DataFrame, out: str = "domain", max_labels: int = 3
+    df: DataFrame, url: str, suffixes: DataFrame, out: str = "domain"
 ) -> DataFrame:
     """Add the registered domain of ``url``: the longest known suffix plus one label.
 
-    ``suffixes`` has one column ``suffix``. One join per suffix depth keeps every
-    row in place; no host is exploded into its candidates. A host without a known
+    ``suffixes`` has one column ``suffix``. One join per depth that occurs in it (a
+    handful, read first) keeps every row in place; no host is exploded into its
+    candidates. A host without a known
     suffix keeps its last label followed by a dot.
     """
     host = F.lower(F.regexp_extract(url, HOST, 1))
     result = df.withColumn("_labels", F.split(host, "[.]"))
     known = suffixes.select(F.lower("suffix").alias("suffix")).distinct()
-    for depth in range(1, max_labels + 1):
+    labels = F.size(F.split("suffix", "[.]"))
+    depths = sorted(row[0] for row in known.select(labels).distinct().collect())
+    for depth in depths:
         tail = F.array_join(
             F.slice(
                 "_labels",
@@ -71,7 +74,7 @@ def with_registered_domain(
         result = result.withColumn(
             f"_tail_{depth}", F.when(F.size("_labels") >= depth, tail)
         ).join(level, f"_tail_{depth}", "left")
-    depth = F.coalesce(*[f"_depth_{d}" for d in range(max_labels, 0, -1)], F.lit(0))
+    depth = F.coalesce(*[f"_depth_{d}" for d in reversed(depths)], F.lit(0))
     size = F.size("_labels")
     before = F.when(size > depth, F.element_at("_labels", F.greatest(size - depth, F.lit(1))))
     suffix = F.when(

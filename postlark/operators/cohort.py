@@ -12,10 +12,6 @@ from ..functions.values import format_date, parse_date, to_id
 # The study's cohort rule.
 MIN_TWEETS, MAX_TWEETS, COHORT_SIZE = 500, 800, 50
 
-# A cohort within these bounds is small enough to send to every task.
-BROADCAST_USERS = 10_000
-BROADCAST_TWEETS = 100_000
-
 
 def _hashtag_count(mode: str) -> Column:
     if mode == "parsed":
@@ -83,14 +79,12 @@ def rank_users(
     )
 
 
-def restrict_to(tweets: DataFrame, cohort: DataFrame, size: int = COHORT_SIZE) -> DataFrame:
+def restrict_to(tweets: DataFrame, cohort: DataFrame) -> DataFrame:
     """Facts of the cohort's users with the cohort's counts.
 
-    ``size`` is the limit the cohort was cut to. Within ``BROADCAST_USERS`` the
-    facts stay where they are; beyond it the join shuffles.
+    The cohort is narrow and a limit has cut it: Spark's own size check broadcasts it.
     """
-    side = F.broadcast(cohort) if size <= BROADCAST_USERS else cohort
-    return tweets.join(side, "userid")
+    return tweets.join(cohort, "userid")
 
 
 def enrich_profiles(tweets: DataFrame, users: DataFrame) -> DataFrame:
@@ -99,14 +93,9 @@ def enrich_profiles(tweets: DataFrame, users: DataFrame) -> DataFrame:
     return matched.drop(users["user"])
 
 
-def with_topics(tweets: DataFrame, topics: DataFrame, max_tweets: int | None = None) -> DataFrame:
-    """Inner join on the post. ``max_tweets`` is a proven bound on ``tweets``, if any.
-
-    A small cohort against the topics of all posts then costs a scan of the topics,
-    not a shuffle of them.
-    """
-    small = max_tweets is not None and max_tweets <= BROADCAST_TWEETS
-    return (F.broadcast(tweets) if small else tweets).join(topics, "tweetid")
+def with_topics(tweets: DataFrame, topics: DataFrame) -> DataFrame:
+    """Inner join on the post."""
+    return tweets.join(topics, "tweetid")
 
 
 def normalise_dates(df: DataFrame) -> DataFrame:

@@ -138,11 +138,7 @@ def _stitched(texts: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Da
     is whitespace. Only groups that have both an open end and a name in front are
     put in order for it; runs are rare, and only their rows move.
     """
-    suspects = texts.filter("_may_join")
-    columns = [*keys, *order, "text", "_is_first", "_is_last"]
-    if suspects.isEmpty():
-        return texts.select(*columns)
-    runs = _continuations(suspects, keys, order)
+    runs = _continuations(texts.filter("_may_join"), keys, order)
     own = F.struct(*order)
     heads = runs.select(*keys, "_start").distinct().withColumn("_in_run", F.lit(True))
     tagged = (
@@ -239,13 +235,6 @@ def corpus_lengths(lines: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def short_corpora(
-    texts: DataFrame, keys: Sequence[str], order: Sequence[str], limit: int = GATE_CHARS
-) -> DataFrame:
-    """Cleaned corpus as one string, for groups of at most ``limit`` characters uncleaned."""
-    return _joined(_sized(texts, keys, order).filter(F.col("raw_chars") <= limit), keys, order)
-
-
 def _joined(sized: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     rows = F.sort_array(F.collect_list(F.struct(F.struct(*order).alias("at"), "text")))
     joined = F.array_join(F.transform(rows, lambda r: r["text"]), "\n")
@@ -267,27 +256,6 @@ def moderated_corpus(shares: DataFrame, metadata: DataFrame) -> DataFrame:
 # --- packing lines into batches ----------------------------------------------------
 
 
-def pack_text(text: Column, max_size: int = BATCH_CHARS) -> Column:
-    """Batches of a short text as an array.
-
-    A line joins the batch if both and a newline fit in ``max_size``. A line that is
-    too long is a batch of its own; as the first line it leaves an empty batch before.
-    """
-    line = F.transform(text_lines(text), lambda x: F.concat(x, F.lit("\n")))
-    start = F.struct(
-        F.array().cast("array<string>").alias("done"), F.lit("").alias("batch")
-    )
-
-    def add(acc, x):
-        fits = F.length(acc["batch"]) + F.length(x) <= max_size
-        return F.struct(
-            F.when(fits, acc["done"]).otherwise(F.array_append(acc["done"], acc["batch"])).alias("done"),
-            F.when(fits, F.concat(acc["batch"], x)).otherwise(x).alias("batch"),
-        )
-
-    return F.aggregate(line, start, add, lambda acc: F.array_append(acc["done"], acc["batch"]))
-
-
 _PIECE = "array<struct<from_fill:bigint,fill:bigint,batches:bigint>>"
 
 
@@ -345,10 +313,16 @@ def batch_sizes(packed: DataFrame, keys: Sequence[str], text: str = "line") -> D
 
 
 def batch_texts(packed: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Text of every batch; a batch is short by construction, or one line."""
+    """Text of every batch; a batch is short by construction, or one line.
+
+    The empty batch that an overlong first line leaves is among them.
+    """
     rows = F.sort_array(F.collect_list(F.struct(F.struct(*order).alias("at"), "line")))
     text = F.concat(F.array_join(F.transform(rows, lambda r: r["line"]), "\n"), F.lit("\n"))
-    return packed.groupBy(*keys, "batch_no").agg(text.alias("batch"))
+    batches = packed.groupBy(*keys, "batch_no").agg(text.alias("batch"))
+    first = packed.groupBy(*keys).agg(F.min("batch_no").alias("_least")).filter(F.col("_least") > 0)
+    empty = first.select(*keys, F.lit(0).cast("bigint").alias("batch_no"), F.lit("").alias("batch"))
+    return batches.unionByName(empty)
 
 
 def sample_batches(
@@ -442,13 +416,18 @@ def extractive_summary(
     """Best lines of each (gated, so short) text within ``max_words``, in text order.
 
     A line's weight is the mean inverse frequency of its tokens among the lines of
-    its text. Lines are taken by weight while they fit the budget in turn.
+    its text. Lines are taken by weight while they fit the budget in turn; a line
+    longer than the budget counts as its first ``max_words`` words, so a text with a
+    token has a summary. A text without one has an empty summary.
     """
+    words = F.split(F.trim("line"), "[ \\t]+")
+    long = F.size(words) > max_words
     lines = (
         texts.select(*keys, F.posexplode_outer(text_lines(F.col(text))).alias("pos", "line"))
+        .withColumn("line", F.when(long, F.array_join(F.slice(words, 1, max_words), " ")).otherwise(F.col("line")))
         .withColumn("tokens", tokenize(F.col("line")))
-        .withColumn("n_words", F.size(F.split(F.trim("line"), "[ \\t]+")))
-        .filter((F.size("tokens") > 0) & (F.col("n_words") <= max_words))
+        .withColumn("n_words", F.size(words))
+        .filter(F.size("tokens") > 0)
     )
     occurrences = (
         lines.select(*keys, "pos", F.size("tokens").alias("n_tokens"), F.explode_outer("tokens").alias("token"))
@@ -471,7 +450,12 @@ def extractive_summary(
         .filter(F.col("_total") <= max_words)
     )
     picked = F.sort_array(F.collect_list(F.struct("pos", "line")))
-    return chosen.groupBy(*keys).agg(
+    found = chosen.groupBy(*keys).agg(
         F.array_join(F.transform(picked, lambda p: p["line"]), "\n").alias("summary"),
         F.sum("n_words").alias("n_words"),
     )
+    return texts.select(*keys).distinct().join(found, list(keys), "left").select(
+        *keys,
+        F.coalesce("summary", F.lit("")).alias("summary"),
+        F.coalesce("n_words", F.lit(0)).cast("bigint").alias("n_words"),
+    )

@@ -96,13 +96,17 @@ def date_bounds(df: DataFrame, by: Sequence[str] = ("userid",), date: str = "dat
 
 
 def counter_delta(
-    user_tweets: DataFrame, counters: Sequence[str] = PROFILE_COUNTERS
+    user_tweets: DataFrame, counters: Sequence[str] = PROFILE_COUNTERS, bounds: bool = False
 ) -> DataFrame:
-    """First and last value of each counter in time order, and the change. One pass."""
+    """First and last value of each counter in time order, and the change. One pass.
+
+    ``bounds`` adds the first and last date from the same aggregate.
+    """
     key = time_key(F.col("date"), F.col("tweetid"))
     ends = user_tweets.withColumn("_at", key).groupBy("userid").agg(
         *[F.min_by(c, "_at").alias(f"first_{c}") for c in counters],
         *[F.max_by(c, "_at").alias(f"last_{c}") for c in counters],
+        *([F.min("date").alias("min_date"), F.max("date").alias("max_date")] if bounds else []),
     )
     return ends.withColumns(
         {f"delta_{c}": F.col(f"last_{c}") - F.col(f"first_{c}") for c in counters}
@@ -124,10 +128,12 @@ def default_range(
     """
     if kind not in ("full", "first"):
         raise ValueError(f"unknown range kind {kind!r}")
-    bounds = date_bounds(df, (by,), date)
-    if kind == "first":
-        bounds = bounds.withColumn("max_date", F.col("min_date"))
-    return between_dates(df.join(bounds, by), date, F.col("min_date"), F.col("max_date"))
+    dated = df.filter(F.col(date).isNotNull())
+    if kind == "full":
+        return dated
+    # a rank cuts each task's rows to the first date before they are shuffled
+    order = Window.partitionBy(by).orderBy(date)
+    return dated.withColumn("_rank", F.rank().over(order)).filter(F.col("_rank") == 1).drop("_rank")
 
 
 def time_series(

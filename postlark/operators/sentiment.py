@@ -25,7 +25,8 @@ FEATURES = 1 << 16
 
 
 def _with_tokens(df: DataFrame) -> DataFrame:
-    return df.withColumn("_tokens", tokenize(F.col("text")))
+    """Tokens of the cleaned text, in training as in scoring."""
+    return df.withColumn("_tokens", tokenize(clean_text(F.col("text"), "sentiment")))
 
 
 def fit_sentiment(

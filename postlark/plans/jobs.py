@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import LDAModel
 from pyspark.ml.feature import CountVectorizerModel
@@ -20,7 +19,7 @@ from ..operators.graph import Graph
 from ..operators.sentiment import attach_sentiment, score_posts
 from ..schema import EXPANDED_URLS, STRINGS, TOPICS
 from ..session import checkpointed
-from ..sources.readers import read_tweets, stopword_list
+from ..sources.readers import read_tweets
 from ..sources.writers import write_table
 
 
@@ -54,19 +53,17 @@ def topic_job(
     path: str | None = None,
 ) -> TopicResult:
     """Clean, tokenise, fit topics, score every post; write the scores if ``path`` is given."""
-    words = stopword_list(stopwords, languages)
-    tokens = tp.topic_tokens(tweets.select("tweetid", "text"), words).select("tweetid", "tokens")
+    if languages is not None:
+        stopwords = stopwords.filter(F.col("lang").isin(list(languages)))
+    tokens = tp.topic_tokens(tweets.select("tweetid", "text"), stopwords).select("tweetid", "tokens")
+    # the vocabulary, the fit and the scoring read the same stored tokens
+    tokens = checkpointed(tokens)
     vocabulary = tp.fit_vocabulary(tokens)
     features = vocabulary.transform(tokens).select("tweetid", "features")
-    if path is None:
-        model = tp.fit_topics(features, k, max_iter, seed)
-        topics = tp.score_topics(model, features)
-    else:
-        # the fit and the scoring read the same stored vectors
-        features = features.persist(StorageLevel.MEMORY_AND_DISK)
-        model = tp.fit_topics(features, k, max_iter, seed)
-        write_table(tp.score_topics(model, features), path)
-        features.unpersist()
+    model = tp.fit_topics(features, k, max_iter, seed)
+    topics = tp.score_topics(model, features)
+    if path is not None:
+        write_table(topics, path)
         topics = tweets.sparkSession.read.parquet(path)
     return TopicResult(topics, tp.topic_terms(model, vocabulary), vocabulary, model)
 
@@ -77,21 +74,10 @@ def topic_probabilities(topics: DataFrame, k: int = TOPICS) -> DataFrame:
 
 
 def build_cohort(
-    tweets: DataFrame,
-    users: DataFrame,
-    topics: DataFrame,
-    ranking: DataFrame,
-    size: int = co.COHORT_SIZE,
-    high: int = co.MAX_TWEETS,
+    tweets: DataFrame, users: DataFrame, topics: DataFrame, ranking: DataFrame
 ) -> DataFrame:
-    """Posts of the ranked users with counts, profile and topics.
-
-    ``ranking`` comes from ``rank_users`` with limit ``size`` and bound ``high``, so the
-    cohort has at most ``size * high`` posts. That bound decides whether it is sent
-    to the topics or shuffled against them.
-    """
-    chosen = co.restrict_to(tweets, ranking, size)
-    scored = co.with_topics(chosen, topics, size * high)
+    """Posts of the ranked users with counts, profile and topics; ``ranking`` is from ``rank_users``."""
+    scored = co.with_topics(co.restrict_to(tweets, ranking), topics)
     return co.normalise_dates(co.enrich_profiles(scored, users))
 
 

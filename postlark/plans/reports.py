@@ -26,8 +26,7 @@ def overview_report(graph: Graph) -> DataFrame:
 def profile_report(graph: Graph) -> DataFrame:
     """Date bounds, first, last and change of the counters: one row per user, one pass."""
     rows = user_tweets(graph, "any", ["date", *mt.PROFILE_COUNTERS])
-    deltas = mt.counter_delta(rows)
-    return deltas.join(mt.date_bounds(rows), "userid")
+    return mt.counter_delta(rows, bounds=True)
 
 
 def profile_series(graph: Graph, low=None, high=None) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 SESSION_DEFAULTS = {
@@ -41,8 +39,7 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
 def checkpointed(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the cluster's checkpoint folder.
 
-    The folder is ``spark.checkpoint.dir``. Only a local session without one
-    gets a temporary folder; on a cluster a missing setting is an error, since
+    The folder is ``spark.checkpoint.dir``. A missing setting is an error, since
     a machine-local folder is lost with its executor.
     """
     spark = df.sparkSession
@@ -50,8 +47,6 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-            folder = tempfile.mkdtemp(prefix="postlark-checkpoint-")
+            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         context.setCheckpointDir(folder)
     return df.checkpoint()

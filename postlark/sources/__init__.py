@@ -5,7 +5,6 @@ from .readers import (
     read_tweets,
     read_users,
     read_video_metadata,
-    stopword_list,
 )
 from .writers import read_bucketed_graph, read_graph, write_bucketed_graph, write_graph, write_table
 
@@ -18,7 +17,6 @@ __all__ = [
     "read_tweets",
     "read_users",
     "read_video_metadata",
-    "stopword_list",
     "write_bucketed_graph",
     "write_graph",
     "write_table",

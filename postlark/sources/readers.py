@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .. import schema
 
@@ -18,17 +19,29 @@ STOPWORD_FILES = {
     "pt": "portuguese_stopwords",
     "it": "italian_stopwords",
 }
-MAX_STOPWORDS = 20_000
+
+
+def _read_csv(spark: SparkSession, path: str, wanted: StructType, **options) -> DataFrame:
+    """The columns of ``wanted`` by header name; others may stand among them in any order.
+
+    A missing column is an error, and so is a file whose header differs from the first one's.
+    """
+    names = spark.read.csv(path, header=True, **options).columns
+    kinds = {f.name.lower(): f for f in wanted}
+    missing = sorted(kinds.keys() - {n.lower() for n in names})
+    if missing:
+        raise ValueError(f"{path} lacks the columns {missing}")
+    found = StructType([kinds.get(n.lower(), StructField(n, StringType())) for n in names])
+    rows = spark.read.schema(found).csv(path, header=True, enforceSchema=False, **options)
+    return rows.select(*wanted.names)
 
 
 def read_tweets(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schema.TWEETS).csv(
-        path, header=True, sep=",", multiLine=True, quote='"', escape='"', enforceSchema=True
-    )
+    return _read_csv(spark, path, schema.TWEETS, sep=",", multiLine=True, quote='"', escape='"')
 
 
 def read_users(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schema.USERS).csv(path, header=True, sep=",")
+    return _read_csv(spark, path, schema.USERS, sep=",")
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -42,8 +55,8 @@ def read_translations(spark: SparkSession, path: str) -> DataFrame:
 
 def read_video_metadata(spark: SparkSession, path: str) -> DataFrame:
     """Supplied video metadata as delivered; ``operators.video`` types it."""
-    return spark.read.schema(schema.RAW_VIDEO_METADATA).csv(
-        path, header=True, multiLine=True, quote='"', escape='"'
+    return _read_csv(
+        spark, path, schema.RAW_VIDEO_METADATA, multiLine=True, quote='"', escape='"'
     )
 
 
@@ -58,19 +71,3 @@ def read_stopwords(
         for lang in languages
     ]
     return reduce(DataFrame.unionByName, parts)
-
-
-def stopword_list(
-    stopwords: DataFrame, languages: Sequence[str] | None = None, limit: int = MAX_STOPWORDS
-) -> list[str]:
-    """The words as a literal list, refused beyond ``limit``: the list ends up in the plan.
-
-    All languages by default. The source study's expression keeps only the first
-    non-empty language; ``languages=["en"]`` gives that.
-    """
-    if languages is not None:
-        stopwords = stopwords.filter(F.col("lang").isin(list(languages)))
-    rows = stopwords.select(F.lower("word").alias("word")).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} stopwords; join them as a table instead")
-    return sorted(row["word"] for row in rows)

@@ -20,17 +20,8 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give the cores something to share where one small file makes one task.
-
-    Data with splits enough for every core is left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def documents(spark: SparkSession, sf: str) -> DataFrame:
-    return spread(table(spark, sf, "documents"))
+    return table(spark, sf, "documents")
 
 
 def _name(prefix: str, col: Column) -> Column:
@@ -58,7 +49,7 @@ def tweets(spark, sf) -> DataFrame:
     """Posts with the text of the document of the same id."""
     texts = table(spark, sf, "documents").select(F.col("doc_id").alias("tweetid"), "lang", "text")
     return (
-        spread(posts_table(spark, sf))
+        posts_table(spark, sf)
         .join(texts, "tweetid", "left")
         .withColumn("lang", F.coalesce("lang", F.lit("und")))
     )

@@ -16,8 +16,9 @@ def spark(tmp_path_factory):
         **{
             "spark.sql.shuffle.partitions": "4",
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoints")),
         },
     )
-    session.sparkContext.setLogLevel("OFF")
+    session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

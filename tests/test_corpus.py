@@ -2,12 +2,10 @@
 
 import hashlib
 import random
-import re
 from collections import defaultdict
 from datetime import datetime, timedelta
 
 import pytest
-from pyspark.sql import functions as F
 
 from postlark.operators import corpus as cp
 
@@ -15,21 +13,13 @@ KEYS, ORDER = ["g"], ["date", "tweetid"]
 START = datetime(2020, 11, 1)
 
 
-def cleaned(joined):
-    joined = re.sub(r"http\S+", "", joined)
-    joined = re.sub(r"bit.ly/\S+", "", joined).strip("[link]")
-    return re.sub(r"RT\s@[A-Za-z]+[A-Za-z0-9_-]+", "", joined)
-
-
-def packed(corpus, limit):
-    batches, batch = [], ""
-    for line in corpus.split("\n"):
-        if len(batch) + len(line) + 1 <= limit:
-            batch += line + "\n"
-        else:
-            batches.append(batch)
-            batch = line + "\n"
-    return batches + [batch]
+def check_batches(corpus, batches, limit):
+    """The properties that make a packing the greedy one."""
+    assert "".join(batches) == corpus + "\n"
+    for batch, after in zip(batches, batches[1:]):
+        assert len(batch) + after.index("\n") + 1 > limit
+    for batch in batches:
+        assert len(batch) <= limit or batch.count("\n") == 1
 
 
 @pytest.fixture
@@ -47,50 +37,51 @@ def many_chunks(spark):
         spark.conf.set(key, value)
 
 
-def posts(seed=3, n=240):
-    """One hot group, texts that begin and end with pieces of a retweet mark."""
-    rng = random.Random(seed)
-    pieces = ["RT", "@bob", "@xRT", "@SMART", "kin", "hello", "http://t.co/a", "bit.ly/b", "[link]", "", "a\nb", "RT @al_1"]
-    rows = []
-    for i in range(n):
-        group = "hot" if rng.random() < 0.7 else rng.choice(["a", "b", "c"])
-        words = [rng.choice(pieces) for _ in range(rng.randint(0, 3))]
-        rows.append((group, START + timedelta(hours=rng.randint(0, 60)), i, " ".join(words)))
-    rows += [("one", START, 9001, "kin"), ("none", START, 9002, None)]
+# texts in order, and the cleaned corpus they form together
+CASES = {
+    "plain": (["hello", "a\nb", ""], "hello\na\nb\n"),
+    "links": (["see http://t.co/a now", "bit.ly/b", "x"], "see  now\n\nx"),
+    "mark_in_text": (["RT @al_1 hi", "so RT @bob: yes"], " hi\nso : yes"),
+    "mark_across": (["hello RT", "@bob there"], "hello  there"),
+    "mark_across_many": (["RT", "@SMART", "@xRT", "kin", "end"], "\n@xRT\nkin\nend"),
+    "short_name": (["RT", "@b c"], "RT\n@b c"),
+    "ends_stripped": (["[link] first", "last link]"], " first\nlast "),
+    "inner_kept": (["a", "[link] b", "c"], "a\n[link] b\nc"),
+    "one": (["kin"], ""),
+}
+
+
+def posts(n=240):
+    """A hot group of many texts, the small cases, and a group without text."""
+    rows = [("hot", START + timedelta(hours=i // 4), i, f"RT @u{i}a word{i} http://t.co/{i}\nend {i}") for i in range(n)]
+    for k, (group, (texts, _)) in enumerate(CASES.items()):
+        rows += [(group, START + timedelta(hours=i), 1000 * (k + 1) + i, t) for i, t in enumerate(texts)]
+    rows.append(("none", START, 90_002, None))
+    random.Random(3).shuffle(rows)
     return rows
 
 
-def expected(rows):
-    groups = defaultdict(list)
-    for group, date, tweetid, text in rows:
-        if text is not None:
-            groups[group].append((date, tweetid, text))
-    return {g: cleaned("\n".join(t for _, _, t in sorted(v))) for g, v in groups.items()}
+def expected(n=240):
+    hot = "\n".join(f" word{i} \nend {i}" for i in range(n))
+    return {"hot": hot, **{g: corpus for g, (_, corpus) in CASES.items()}}
 
 
 def frame(spark, rows):
     return spark.createDataFrame(rows, "g string, date timestamp, tweetid long, text string").repartition(5)
 
 
-@pytest.mark.parametrize("seed", [3, 4])
-def test_lines_of_hot_groups_with_marks_across_texts(many_chunks, seed):
-    rows = posts(seed)
-    lines = cp.corpus_lines(frame(many_chunks, rows), KEYS, ORDER).collect()
+def test_lines_of_hot_groups_with_marks_across_texts(many_chunks):
+    lines = cp.corpus_lines(frame(many_chunks, posts()), KEYS, ORDER).collect()
     got = defaultdict(list)
     for r in sorted(lines, key=lambda r: (r["g"], r["date"], r["tweetid"], r["line_no"])):
         got[r["g"]].append(r["line"])
-    assert {g: "\n".join(v) for g, v in got.items()} == expected(rows)
+    assert {g: "\n".join(v) for g, v in got.items()} == expected()
 
 
-def test_short_corpora_and_lengths(spark):
-    rows = posts()
-    texts = frame(spark, rows)
-    want = expected(rows)
-    short = {r["g"]: r["corpus"] for r in cp.short_corpora(texts, KEYS, ORDER, 10**6).collect()}
-    assert short == want
-    lines = cp.corpus_lines(texts, KEYS, ORDER)
+def test_lengths(spark):
+    lines = cp.corpus_lines(frame(spark, posts()), KEYS, ORDER)
     lengths = {r["g"]: (r["n_lines"], r["n_chars"]) for r in cp.corpus_lengths(lines, KEYS).collect()}
-    assert lengths == {g: (t.count("\n") + 1, len(t)) for g, t in want.items()}
+    assert lengths == {g: (t.count("\n") + 1, len(t)) for g, t in expected().items()}
 
 
 @pytest.mark.parametrize("limit", [1, 8, 40])
@@ -105,50 +96,38 @@ def test_packing_is_greedy_across_chunks(many_chunks, limit):
     texts = {(r["g"], r["batch_no"]): r["batch"] for r in cp.batch_texts(result, ["g"], ["i"]).collect()}
     sizes = cp.batch_sizes(result, ["g"]).collect()
     for group in ("hot", "a", "b", "c"):
-        want = packed("\n".join(x for g, _, x in rows if g == group), limit)
-        assert [texts.get((group, k), "") for k in range(len(want))] == want
+        own = {k: b for (g, k), b in texts.items() if g == group}
+        batches = [own[k] for k in range(len(own))]
+        # an overlong first line leaves an empty batch before it
+        assert (batches[0] == "") == (len(batches[1 if batches[0] == "" else 0].split("\n")[0]) + 1 > limit)
+        check_batches("\n".join(x for g, _, x in rows if g == group), [b for b in batches if b], limit)
         assert {r["batch_no"]: r["batch_chars"] for r in sizes if r["g"] == group} == {
-            k: len(b) for k, b in enumerate(want)
+            k: len(b) for k, b in enumerate(batches)
         }
 
 
-def test_pack_text(spark):
-    cases = {
-        "aaa\nbb\ncccccc\nd": ["aaa\nbb\n", "cccccc\n", "d\n"],
-        "cccccccccc\na": ["", "cccccccccc\n", "a\n"],
-        "": ["\n"],
-    }
-    df = spark.createDataFrame([(x,) for x in cases], "x string")
-    got = df.select("x", cp.pack_text(F.col("x"), 7).alias("b")).collect()
-    assert {r["x"]: r["b"] for r in got} == cases
-
-
 def test_gate(many_chunks):
-    rows = posts(5, 400)
-    want = expected(rows)
+    want = expected()
     limit, size, n = 120, 30, 4
-    gated = cp.gate(frame(many_chunks, rows), KEYS, ORDER, limit, size, n, seed=1).collect()
-    assert {r["g"] for r in gated} == set(want)
-    for r in gated:
-        corpus = want[r["g"]]
-        assert r["n_chars"] == len(corpus)
-        assert r["sampled"] == (len(corpus) > limit)
+    rows = frame(many_chunks, posts())
+    gated = {r["g"]: r for r in cp.gate(rows, KEYS, ORDER, limit, size, n, seed=1).collect()}
+    assert gated.keys() == want.keys()
+    for group, r in gated.items():
+        assert r["n_chars"] == len(want[group]) and r["sampled"] == (len(want[group]) > limit)
         if not r["sampled"]:
-            assert r["text"] == corpus
-        else:
-            batches = packed(corpus, size)
-            draw = sorted(
-                range(len(batches)),
-                key=lambda k: hashlib.md5(f"1|{r['g']}|{k}".encode()).hexdigest(),
-            )
-            assert len(batches) > n
-            assert r["text"] == "\n".join(batches[k] for k in draw[:n])
+            assert r["text"] == want[group]
+    lines = cp.corpus_lines(rows.filter("g = 'hot'"), KEYS, ORDER)
+    batches = cp.batch_texts(cp.pack_lines(lines, KEYS, [*ORDER, "line_no"], size), KEYS, [*ORDER, "line_no"])
+    texts = {r["batch_no"]: r["batch"] for r in batches.collect()}
+    assert len(texts) > n
+    draw = sorted(texts, key=lambda k: hashlib.md5(f"1|hot|{k}".encode()).hexdigest())
+    assert gated["hot"]["text"] == "\n".join(texts[k] for k in draw[:n])
 
 
 def test_gate_puts_cleaned_down_corpora_together(many_chunks):
     rows = [("g", START + timedelta(hours=i), i, f"{i} http://{'x' * 50}") for i in range(20)]
     row = cp.gate(frame(many_chunks, rows), KEYS, ORDER, 200, 30).collect()[0]
-    assert not row["sampled"] and row["text"] == cleaned("\n".join(r[3] for r in rows))
+    assert not row["sampled"] and row["text"] == "\n".join(f"{i} " for i in range(20))
 
 
 def test_sample_takes_all_if_fewer(spark):
@@ -169,3 +148,10 @@ def test_summary_keeps_order_and_budget(spark):
     got = {r["g"]: r for r in cp.extractive_summary(df, KEYS, 6).collect()}
     assert got["a"]["summary"] == "rare words here\nunique thing" and got["a"]["n_words"] == 5
     assert got["b"]["summary"] == "one line only"
+
+
+def test_every_text_has_a_summary(spark):
+    rows = [("long", "\n".join(["alpha beta gamma " * 70] * 3)), ("blank", "a\n!"), ("short", "alpha beta")]
+    df = spark.createDataFrame(rows, "g string, text string")
+    got = {r["g"]: (r["summary"], r["n_words"]) for r in cp.extractive_summary(df, KEYS).collect()}
+    assert got == {"long": (" ".join(["alpha beta gamma"] * 50), 150), "blank": ("", 0), "short": ("alpha beta", 2)}

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from postlark.functions import literals, text, topics, urls, values
+from postlark.operators import topics as topic_operators
 from postlark.functions.emoji import remove_emoji
 from postlark.schema import EXPANDED_URLS, STRINGS
 
@@ -52,8 +53,14 @@ def test_tokens_and_stopwords(spark):
     inputs = ["Élection présidentielle foo_bar the", "", None, "a bb ccc"]
     got = apply(spark, inputs, text.tokenize)
     assert got == [["lection", "sidentielle", "foo", "bar", "the"], [], [], ["ccc"]]
-    kept = apply(spark, inputs, lambda c: text.drop_stopwords(text.tokenize(c), ["THE", "ccc"]))
-    assert kept[0] == ["lection", "sidentielle", "foo", "bar"] and kept[3] == []
+
+
+def test_stopwords_are_dropped_in_place(spark):
+    texts = ["election sidentielle foo the bar THE foo", "", None, "a bb ccc"]
+    df = spark.createDataFrame(list(enumerate(texts)), "tweetid long, text string")
+    words = spark.createDataFrame([("en", "THE"), ("en", "ccc")], "lang string, word string")
+    got = {r["tweetid"]: r["tokens"] for r in topic_operators.topic_tokens(df, words).collect()}
+    assert got == {0: ["election", "sidentielle", "foo", "bar", "foo"], 1: [], 2: [], 3: []}
 
 
 VIDEO_IDS = {

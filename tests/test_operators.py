@@ -139,10 +139,20 @@ def test_csv_sources(spark, tmp_path):
         (tmp_path / name).write_text(words + "\n")
     words = sources.read_stopwords(spark, str(tmp_path), ["en", "it"])
     assert words.count() == 5
-    assert sources.stopword_list(words) == ["il", "of", "the"]
-    assert sources.stopword_list(words, ["en"]) == ["of", "the"]
-    with pytest.raises(ValueError):
-        sources.stopword_list(words, limit=1)
+    assert {tuple(r) for r in words.collect()} == {("en", "the"), ("en", "The"), ("en", "of"), ("it", "il"), ("it", "the")}
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "users.csv").write_text("cat,extra,user\nMYT,x,u1\n")
+    assert [tuple(r) for r in sources.read_users(spark, str(tmp_path / "users.csv")).collect()] == [("u1", "MYT")]
+    (tmp_path / "short.csv").write_text("user,extra\nu1,x\n")
+    with pytest.raises(ValueError, match="cat"):
+        sources.read_users(spark, str(tmp_path / "short.csv"))
+    names = list(reversed(TWEETS.names))
+    row = dict.fromkeys(names, "") | {"tweetid": "1", "userid": "2", "text": "hello", "followers_count": "7"}
+    (tmp_path / "tweets.csv").write_text(",".join(names) + "\n" + ",".join(row[n] for n in names) + "\n")
+    got = sources.read_tweets(spark, str(tmp_path / "tweets.csv")).collect()[0]
+    assert (got["text"], got["followers_count"], got.__fields__) == ("hello", 7, TWEETS.names)
 
 
 def test_video_metadata_source(spark, tmp_path):
@@ -239,7 +249,7 @@ def test_topic_model(spark, tmp_path):
         assert abs(total - (0 if r["tweetid"] % 5 == 4 else 1)) < 1e-9
     terms = result.terms.collect()
     assert {r["topic"] for r in terms} == {0, 1} and all(r["term"] not in ("the", "of") for r in terms)
-    counts = {r["term"]: tuple(r)[1:] for r in tp.term_counts(tp.topic_tokens(df, ["the", "of"])).collect()}
+    counts = {r["term"]: tuple(r)[1:] for r in tp.term_counts(tp.topic_tokens(df, stopwords)).collect()}
     # stripping the link mark leaves "ba" of the last "bank", which is too short
     assert counts["cats"] == (8, 8) and len(counts) == 7
 
