@@ -75,7 +75,8 @@ class ChunkTable:
             return b"".join(map(self.ids.__getitem__, words))
         except KeyError:
             distinct = set(words)
-            self._learn(distinct - self.ids.keys() if len(distinct) < TABLE_ENTRIES // 2 else distinct)
+            # word by word: a set less the keys would go through the whole table
+            self._learn({w for w in distinct if w not in self.ids})
             if not distinct <= self.ids.keys():  # the table was emptied meanwhile
                 self._learn(distinct)
             return b"".join(map(self.ids.__getitem__, words))

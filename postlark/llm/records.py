@@ -93,7 +93,7 @@ class WordTable:
         heads = self._encoded([words.pop(0) for words in split])
         if len(self.ids) > TABLE_ENTRIES:
             self.ids.clear()
-        new = list(set().union(*split) - self.ids.keys())
+        new = [w for w in set().union(*split) if w not in self.ids]
         self.ids.update(zip(new, self._encoded([" " + w for w in new])))
         return [head + b"".join(map(self.ids.__getitem__, words)) for head, words in zip(heads, split)]
 
