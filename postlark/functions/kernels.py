@@ -28,9 +28,10 @@ def literals_to_json(raw: pd.Series) -> pd.Series:
             return None
         try:
             value = ast.literal_eval(text)
+            # bytes and sets have no JSON form
+            return json.dumps(value) if isinstance(value, list) else None
         except (SyntaxError, ValueError, TypeError, MemoryError, RecursionError):
             return None
-        return json.dumps(value) if isinstance(value, list) else None
 
     return raw if raw.isna().all() else raw.map(convert)
 

@@ -14,10 +14,37 @@ from .urls import is_video_prefix
 _JSON_OPTIONS = {"allowSingleQuotes": "true"}
 
 
+def _separated(item: str) -> str:
+    # possessive: a loop without a stack, however long the list
+    return f"(?:{item}[ \\t]*+(?:,[ \\t]*+{item}[ \\t]*+)*+)?+"
+
+
+_STRING = r"""(?:'[^'\\]*+'|"[^"\\]*+")"""
+_SCALAR = rf"(?:{_STRING}|0|-?[1-9][0-9]*+|None|True|False)"
+_VALUE = rf"(?:{_SCALAR}|\[[ \t]*+{_separated(_SCALAR)}\])"
+_DICT = rf"\{{[ \t]*+{_separated(rf'{_STRING}[ \t]*+:[ \t]*+{_VALUE}')}\}}"
+# lists that mean the same to Python and, with the three words replaced, to JSON
+PLAIN_LIST = rf"^ *+\[[ \t]*+{_separated(rf'(?:{_SCALAR}|{_DICT})')}\] *+\z"
+_TOKEN = r"""'[^']*+'|"[^"]*+"|None|True|False|[^'"NTF]++"""
+_JSON_WORDS = {"None": "null", "True": "true", "False": "false"}
+
+
+def _as_json(raw: Column) -> Column:
+    """A plain list with Python's three words as JSON's, outside of strings only."""
+
+    def word(token):
+        out = token
+        for python, json in _JSON_WORDS.items():
+            out = F.when(token == python, json).otherwise(out)
+        return out
+
+    tokens = F.regexp_extract_all(raw, F.lit(_TOKEN), F.lit(0))
+    return F.when(raw.rlike("None|True|False"), F.array_join(F.transform(tokens, word), "")).otherwise(raw)
+
+
 def _native(raw: Column, schema: T.ArrayType) -> Column:
-    """Parse in the JVM; null where the text is not plain enough to be read as JSON."""
-    plain = F.btrim(raw).startswith("[") & F.btrim(raw).endswith("]") & ~raw.contains("\\")
-    return F.when(plain, F.from_json(raw, schema, _JSON_OPTIONS))
+    """Parse in the JVM; null where the text is no plain list."""
+    return F.from_json(F.when(raw.rlike(PLAIN_LIST), _as_json(raw)), schema, _JSON_OPTIONS)
 
 
 def parse_literals(
@@ -25,8 +52,8 @@ def parse_literals(
 ) -> DataFrame:
     """Replace each literal column by its parsed array, in one pass.
 
-    Almost every text parses in the JVM. What does not (``None`` inside a dict,
-    escapes) goes through an Arrow batch of Python, where a parsed row is a null.
+    Almost every text parses in the JVM. What does not (escapes, floats, joined
+    strings) goes through an Arrow batch of Python, where a parsed row is a null.
     Columns nobody reads afterwards are pruned with their parsing. Run this once at
     ingest and store the arrays.
 

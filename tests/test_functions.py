@@ -1,9 +1,11 @@
+import random
 from datetime import datetime
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from postlark.functions import literals, text, topics, urls, values
+from postlark.functions import kernels, literals, text, topics, urls, values
 from postlark.operators import topics as topic_operators
 from postlark.functions.emoji import remove_emoji
 from postlark.schema import EXPANDED_URLS, STRINGS
@@ -141,6 +143,39 @@ def test_parse_literals(spark):
         literals.parse_literals(df, {"links": EXPANDED_URLS}, "fail").collect()
 
 
+def literal_texts(n=3000):
+    """List literals and what only looks like one."""
+    rng = random.Random(11)
+    scalars = ["'a'", '"it\'s"', "'say \"x\"'", "'None'", "''", "'x\\'y'", "None", "True", "False", "0", "-7", "05", "1.5", "'é😀'", "'a' 'b'", "b'q'"]
+
+    def value(depth):
+        kind = rng.random()
+        if depth and kind < 0.25:
+            keys = rng.sample(["expanded_url", "url", "n"], rng.randint(0, 3))
+            pairs = [f"'{key}': {value(depth - 1)}" for key in keys]
+            return "{" + ", ".join(pairs) + "}"
+        if depth and kind < 0.35:
+            return "[" + ",".join(value(depth - 1) for _ in range(rng.randint(0, 3))) + "]"
+        return rng.choice(scalars)
+
+    texts = ["[" + rng.choice([", ", ",", " , "]).join(value(2) for _ in range(rng.randint(0, 4))) + "]" for _ in range(n)]
+    texts += ["['a'] + ['b']", "['a'], ['b']", "[null, true]", "['a',]", " ['a'] ", "\n['a']", "['a']\n", "[", "['a'", "", "('a',)", "[,]"]
+    return [*texts, "[" + ", ".join(["'x'"] * 20_000) + "]"]
+
+
+def test_literals_equal_the_python_reading(spark):
+    texts = literal_texts()
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, tags string")
+    plain = df.filter(F.col("tags").rlike(literals.PLAIN_LIST))
+    assert plain.count() > 300
+    got = {r["i"]: r["tags"] for r in literals.parse_literals(df, {"tags": STRINGS}).collect()}
+    # the Python reading of every text, through the same JSON reader
+    as_json = [(i, kernels.literals_to_json(pd.Series([t]))[0]) for i, t in enumerate(texts)]
+    read = spark.createDataFrame(as_json, "i int, j string").select("i", F.from_json("j", STRINGS).alias("tags"))
+    assert got == {r["i"]: r["tags"] for r in read.collect()}
+    assert all(got[i] is None for i, t in enumerate(texts) if t in ("['a'] + ['b']", "['a'], ['b']", "[null, true]", "[,]"))
+
+
 def test_link_lists(spark):
     df = spark.createDataFrame(
         [([("https://youtu.be/x",), (None,), ("https://a.b/",)],), ([],), (None,)],
