@@ -446,6 +446,7 @@ QUERIES: dict[str, Query] = {
     "graph_tweets": node_table("tweet_nodes"),
     "graph_authors": node_table("user_nodes"),
     "graph_stub_users": node_table("stub_users"),
+    "graph_users": lambda spark, sf: gr.build_graph(cohort_rows(spark, sf)).users,
     "graph_posts": node_table("posts"),
     "graph_tags": node_table("tags"),
     "graph_hashtags": node_table("hashtags"),

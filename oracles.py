@@ -319,6 +319,12 @@ SELECTS = {
         from raw r left join customer c on concat('u', c.c_custkey) = r.screen_name) where rn = 1""",
     "graph_stub_users": """select userid, arg_min(screen_name, (date, tweetid, pos)) as screen_name from raw_mentions
         where userid not in (select userid from raw) group by userid""",
+    "graph_users": f"""select userid, {RAW_USER_PROPERTIES} from (
+        select r.*, c.c_mktsegment as cat, row_number() over (partition by r.userid order by date desc, tweetid desc) as rn
+        from raw r left join customer c on concat('u', c.c_custkey) = r.screen_name) where rn = 1
+        union all by name
+        select userid, arg_min(screen_name, (date, tweetid, pos)) as screen_name from raw_mentions
+        where userid not in (select userid from raw) group by userid""",
     "graph_posts": "select distinct userid, tweetid from raw",
     "graph_tags": "select distinct lower(name) as name, tweetid from (select unnest(hashtag) as name, tweetid from raw)",
     "graph_hashtags": "select distinct lower(name) as name from (select unnest(hashtag) as name from raw)",
