@@ -114,6 +114,19 @@ def list_array(rows: list[bytes], dtype: str) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(rows), dtype)))
 
 
+def ids_by_word(ids: np.ndarray, begins: np.ndarray, n_words: int) -> list[bytes]:
+    """Ids of ``n_words`` words encoded side by side, one buffer per word.
+
+    ``begins[id]`` tells whether a piece opens a word. Where that does not give
+    ``n_words`` words, the list is empty and the caller encodes one by one.
+    """
+    cuts = (np.flatnonzero(begins[ids]) * ids.itemsize).tolist()
+    if len(cuts) != n_words or cuts[0]:
+        return []
+    data = ids.tobytes()
+    return [data[a:b] for a, b in zip(cuts, [*cuts[1:], len(data)])]
+
+
 # --- hashes of all words of a buffer ---------------------------------------------------
 
 BASE = 0x9E3779B97F4A7C15

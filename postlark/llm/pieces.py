@@ -3,8 +3,10 @@
 No piece of a suitable model holds a whitespace marker after another character,
 so no merge crosses the start of a marked word. Each task keeps a table of
 distinct marked words, segments every new one once with the library, and joins
-the ids back by position. The table is a cache of the Python worker and is
-emptied at a fixed number of entries, so its memory is bounded; no text moves.
+the ids back by position. New words go to the library side by side, many in one
+text, and are told apart by the pieces that open with a marker. The table is a
+cache of the Python worker and is emptied at a fixed number of entries, so its
+memory is bounded; no text moves.
 
 Defined results: a null or empty text has no pieces but the end id; repeated
 rows give one result each; an empty table gives none.
@@ -19,7 +21,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from postlark.llm.common import list_array, slices, travels, with_fields, worker_cache
+from postlark.llm.common import ids_by_word, list_array, slices, travels, with_fields, worker_cache
 
 travels(__name__)
 
@@ -28,6 +30,8 @@ MARKED_WORD = re.compile(f"{MARK}+[^{MARK}]*")
 # a table beyond this is emptied and filled anew
 TABLE_ENTRIES = 500_000
 SLICE_BYTES = 4_000_000
+# new words that the library gets in one text
+TOGETHER = 1_000
 
 
 def check_model(model) -> None:
@@ -52,34 +56,41 @@ class ChunkTable:
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         check_model(self.model)
-        self.ids: dict[str, bytes] = {}
-
-    def _learn(self, words: set[str]) -> None:
-        if len(self.ids) + len(words) > TABLE_ENTRIES:
-            self.ids.clear()
-        new = [w for w in words if w]
-        for word, ids in zip(new, self.model.encode(new, num_threads=1)):
-            self.ids[word] = np.array(ids, np.int32).tobytes()
+        pieces = range(self.model.get_piece_size())
+        self.opens = np.array([self.model.id_to_piece(i).startswith(MARK) for i in pieces])
         # the library adds no marker to an empty text; a lone marker is what follows a word
         bare, alone = self.model.encode("a"), self.model.encode("a ")
-        self.ids[""] = np.array(alone[len(bare) :], np.int32).tobytes()
+        self.lone = np.array(alone[len(bare) :], np.int32).tobytes()
+        self.ids: dict[str, bytes] = {}
 
-    def encode(self, text: str) -> bytes:
+    def _learn(self, words: list[str]) -> None:
+        plain = [w for w in words if w and " " not in w]
+        for at in range(0, len(plain), TOGETHER):
+            part = plain[at : at + TOGETHER]
+            ids = np.array(self.model.encode(" ".join(part)), np.int32)
+            self.ids.update(zip(part, ids_by_word(ids, self.opens, len(part))))
+        self.ids[""] = self.lone
+        for word in words:
+            if word not in self.ids:
+                self.ids[word] = np.array(self.model.encode(word), np.int32).tobytes()
+
+    @staticmethod
+    def _words(text: str) -> list[str]:
         if not text:
-            return b""
+            return []
         words = text.replace(MARK, " ").split(" ")
         if "" in words:
             marked = MARK + " ".join(words).replace(" ", MARK)
             words = [w[1:].replace(MARK, " ") for w in MARKED_WORD.findall(marked)]
-        try:
-            return b"".join(map(self.ids.__getitem__, words))
-        except KeyError:
-            distinct = set(words)
-            # word by word: a set less the keys would go through the whole table
-            self._learn({w for w in distinct if w not in self.ids})
-            if not distinct <= self.ids.keys():  # the table was emptied meanwhile
-                self._learn(distinct)
-            return b"".join(map(self.ids.__getitem__, words))
+        return words
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text; words that the table lacks are segmented together."""
+        split = [self._words(text) for text in texts]
+        if len(self.ids) > TABLE_ENTRIES:
+            self.ids.clear()
+        self._learn([w for w in set().union(*split) if w not in self.ids])
+        return [b"".join(map(self.ids.__getitem__, words)) for words in split]
 
 
 def _table(path: str) -> ChunkTable:
@@ -94,7 +105,7 @@ def _encode(path: str, end: bool):
             texts = batch.column(1)
             sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
             for a, b in slices(sizes, SLICE_BYTES):
-                rows = [table.encode(t) + tail for t in texts[a:b].to_pylist()]
+                rows = [ids + tail for ids in table.encode(pc.fill_null(texts[a:b], "").to_pylist())]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0)[a:b], list_array(rows, "int32")], ["doc_id", "ids"]
                 )
