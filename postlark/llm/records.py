@@ -10,7 +10,8 @@ replaces its file with the same bytes.
 
 Ids come from a table of distinct words per Python worker: a text is cut before
 each space that a non-space follows, where the pre-tokeniser always cuts, and
-the library encodes each distinct part once.
+the library encodes each distinct part once: many side by side in one text, told
+apart by the tokens that open with a space.
 
 Defined results: a null or empty text is one record with only the end id; a null
 document id sorts first; repeated rows give one record each; an empty table
@@ -32,12 +33,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from postlark.llm.common import list_array, travels, with_fields, worker_cache
+from postlark.llm.common import ids_by_word, list_array, travels, with_fields, worker_cache
 
 travels(__name__)
 
 WORD_START = re.compile(r" (?=\S)")
 TABLE_ENTRIES = 1_000_000
+# new words that the library gets in one text
+TOGETHER = 1_000
+# how a byte-level vocabulary writes a space
+SPACE = "Ġ"
 FRAME = 16
 READ_BYTES = 8_000_000
 MASK_DELTA = 0xA282EAD8
@@ -79,10 +84,23 @@ class WordTable:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        tokens = map(self.tokenizer.id_to_token, range(max(self.tokenizer.get_vocab().values()) + 1))
+        self.opens = np.array([(token or "").startswith(SPACE) for token in tokens])
         self.ids: dict[str, bytes] = {}
 
     def _encoded(self, words: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
+        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        return [array("I", e.ids).tobytes() for e in found]
+
+    def _learn(self, words: list[str]) -> None:
+        plain = [w for w in words if " " not in w]
+        for at in range(0, len(plain), TOGETHER):
+            part = plain[at : at + TOGETHER]
+            found = self.tokenizer.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)
+            ids = np.array(found[0].ids, np.uint32)
+            self.ids.update(zip(part, ids_by_word(ids, self.opens, len(part))))
+        rest = [w for w in words if w not in self.ids]
+        self.ids.update(zip(rest, self._encoded([" " + w for w in rest])))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text; words that the table lacks are encoded together.
@@ -93,8 +111,7 @@ class WordTable:
         heads = self._encoded([words.pop(0) for words in split])
         if len(self.ids) > TABLE_ENTRIES:
             self.ids.clear()
-        new = [w for w in set().union(*split) if w not in self.ids]
-        self.ids.update(zip(new, self._encoded([" " + w for w in new])))
+        self._learn([w for w in set().union(*split) if w not in self.ids])
         return [head + b"".join(map(self.ids.__getitem__, words)) for head, words in zip(heads, split)]
 
 
