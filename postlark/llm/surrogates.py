@@ -10,8 +10,11 @@ corpus (coreference), and no two originals share one.
 The corpus says which distinct originals there are. A surrogate is drawn with a
 keyed hash of type, original and attempt; one that is an original itself, or that
 another original holds, is refused, and its loser draws again, until every
-original has its own. Only documents with an entity are joined with the table of
-surrogates; all others pass untouched.
+original has its own. A form may have too few surrogates, or only the original
+itself: after ``IN_FORM`` attempts the form widens with each attempt (free letters,
+then more letters or digits, for addresses at last a numbered suffix), so that the
+rounds end. Only documents with an entity are joined with the table of surrogates;
+all others pass untouched.
 
 Defined results: a null text stays null; repeated rows give one result each;
 spellings of one original that differ in case only get one surrogate in their own
@@ -23,13 +26,14 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+import unicodedata
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from postlark.llm.common import fresh, travels, with_fields
+from postlark.llm.common import fresh, travels, with_fields, worker_cache
 from postlark.session import checkpointed
 
 travels(__name__)
@@ -64,6 +68,10 @@ SCRIPTS = (
     ("cyrillic", "абвгдежзийклмнопрстуфхцчшщыэюя"),
 )
 VOWELS = "aeiou"
+# attempts that keep the form; each later one widens it more
+IN_FORM = 6
+# a widened IPv4 address stays an address for so many attempts more
+WHOLE_IP = 8
 
 
 # --- detection -------------------------------------------------------------------------
@@ -122,14 +130,40 @@ class Draw:
         return value % n
 
 
+def _alphabet(low: str) -> tuple[str, str]:
+    """Script of a lower-case letter and the letters it is replaced by: never fewer than two."""
+    held = worker_cache("alphabets", dict)
+    if low not in held:
+        known = dict(SCRIPTS)
+        script = unicodedata.name(low, "").split(" ")[0].lower()
+        for name, letters in SCRIPTS:
+            if low in letters or (name == "latin" and ord(low) < 0x250):
+                script = name
+        letters = known.get(script, "")
+        if not letters:  # letters nearby of the same script that keep their case
+            near = map(chr, range(max(0x80, ord(low) - 0x200), min(0x110000, ord(low) + 0x200)))
+            kind = unicodedata.category(low)
+            letters = "".join(
+                c
+                for c in near
+                if unicodedata.category(c) == kind
+                and unicodedata.name(c, "").split(" ")[0].lower() == script
+                and c.lower() == c == c.upper().lower()
+            )
+        held[low] = (script, letters) if len(letters) > 1 else ("latin", known["latin"])
+    return held[low]
+
+
 def _letter(char: str, draw: Draw, vowel: bool | None = None) -> str:
-    low = char.lower()
-    for name, letters in SCRIPTS:
-        if low in letters or (name == "latin" and ord(low) < 0x250):
-            if name == "latin" and vowel is not None:
-                letters = "".join(c for c in letters if (c in VOWELS) == vowel)
-            return letters[draw.below(len(letters))]
-    return chr(0x4E00 + draw.below(0x5000)) if 0x4E00 <= ord(low) < 0xA000 else low
+    low = char.lower()[:1]
+    if 0x4E00 <= ord(low) < 0xA000:
+        return chr(0x4E00 + draw.below(0x5000))
+    if unicodedata.category(low)[0] == "M":
+        return low
+    script, letters = _alphabet(low)
+    if script == "latin" and vowel is not None:
+        letters = "".join(c for c in letters if (c in VOWELS) == vowel)
+    return letters[draw.below(len(letters))]
 
 
 def _digits(value: str, draw: Draw) -> str:
@@ -156,37 +190,42 @@ def _luhn(digits: str) -> int:
 
 
 def surrogate(kind: int, value: str, attempt: int, key: bytes) -> str:
-    """The replacement of a canonical original, in lower case."""
+    """The replacement of a canonical original, in lower case; wider with each attempt from ``IN_FORM`` on."""
     draw = Draw(key, f"{KINDS[kind]}\0{value}\0{attempt}")
+    more = max(0, attempt - IN_FORM + 1)
     if KINDS[kind] == "email":
         local, _, domain = value.rpartition("@")
         # the reserved domains stay, else the last label
         host, last = RESERVED.fullmatch(domain).groups()
-        return f"{_digits(local, draw)}@{_digits(host, draw)}{last}"
+        return f"{_digits(local + 'x' * more, draw)}@{_digits(host, draw)}{last}"
     if KINDS[kind] == "ip":
-        return ".".join(str(draw.below(254) + 1) for _ in value.split("."))
+        parts = [str(draw.below(256) if more else draw.below(254) + 1) for _ in value.split(".")]
+        beyond = more - WHOLE_IP
+        return ".".join(parts) + (f"-{_digits('1' * beyond, draw)}" if beyond > 0 else "")
     if KINDS[kind] == "card":
-        plain = _digits(re.sub(r"\D", "", value)[:-1], draw)
-        valid = _luhn(re.sub(r"\D", "", value)[:-1]) == int(value[-1])
-        digits = iter(plain + str(_luhn(plain) if valid else draw.below(10)))
-        return "".join(next(digits) if c.isdigit() else c for c in value)
+        digits = re.sub(r"\D", "", value)
+        plain = _digits(digits[:-1] + "1" * more, draw)
+        valid = _luhn(digits[:-1]) == int(digits[-1])
+        whole = plain + str(_luhn(plain) if valid else draw.below(10))
+        new = iter(whole)
+        return "".join(next(new) if c.isdigit() else c for c in value) + "".join(new)
     if KINDS[kind] == "phone":
         # the country code stays
         head = re.match(r"\+\d{1,3}(?=[ .-])", value)
         at = head.end() if head else 0
-        return value[:at] + _digits(value[at:], draw)
+        return value[:at] + _digits(value[at:] + "1" * more, draw)
     gender, _, name = value.partition(":")
     parts = []
     for n, part in enumerate(re.split(r"([ -])", name)):
         if part in " -":
             parts.append(part)
             continue
-        letters = [_letter(c, draw, vowel=i % 2 == 1) for i, c in enumerate(part)]
-        if n == 0 and gender != "n" and len(letters) > 1 and ord(letters[-1]) < 0x250:
+        letters = [_letter(c, draw, vowel=None if more else i % 2 == 1) for i, c in enumerate(part)]
+        if n == 0 and gender != "n" and not more and len(letters) > 1 and ord(letters[-1]) < 0x250:
             # given names sound like the title's gender
             letters[-1] = "a" if gender == "f" else "o"
         parts.append("".join(letters))
-    return "".join(parts)
+    return "".join(parts) + "".join(_letter(parts[-1][-1], draw) for _ in range(more - 1))
 
 
 def in_case_of(original: str, replacement: str) -> str:
@@ -237,7 +276,8 @@ def assign_surrogates(originals: DataFrame, key: bytes) -> DataFrame:
     """``kind, value, surrogate`` for distinct ``kind, value``; no surrogate twice, none that is an original.
 
     Names of either gender share one space. Rounds go on until nothing collides;
-    each settles most of what is left, since a draw that collides is rare.
+    each settles most of what is left, since a draw that collides is rare, and a
+    form that is too small for its originals widens.
     """
     plain = F.when(F.col("kind") == 4, F.substring_index("value", ":", -1)).otherwise(F.col("value"))
     taken = originals.select("kind", plain.alias("surrogate")).distinct()

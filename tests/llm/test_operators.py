@@ -234,6 +234,33 @@ def test_colliding_surrogates_draw_again(spark, monkeypatch):
     assert len(found) == 40 and len({r.surrogate for r in found}) == 40
 
 
+def test_small_forms_widen(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    three = ["".join(x) for x in itertools.islice(itertools.product("bcdfg", "aeiou", letters), 0, None, 3)][:200]
+    values = [(4, f"m:{c}") for c in letters] + [(4, f"{g}:{n}") for n in three for g in "mf"]
+    values += [(4, "n:արամ"), (4, "m:їв"), (0, "_@example.com"), (0, "...@example.com")]
+    values += [(0, f"{c}@example.com") for c in letters]
+    found = surrogates.assign_surrogates(spark.createDataFrame(values, "kind int, value string"), b"k").collect()
+    assert Counter((r.kind, r.value) for r in found) == Counter(values)
+    assert len({(r.kind, r.surrogate) for r in found}) == len(values)
+    assert not {(r.kind, r.surrogate) for r in found} & {(k, v.split(":")[-1]) for k, v in values}
+    by = {r.value: r.surrogate for r in found}
+    assert re.fullmatch("[ա-ֆ]{4}", by["n:արամ"]) and not set(by["m:їв"]) & set("ї")
+    assert all(surrogates.EMAIL.fullmatch(r.surrogate) for r in found if r.kind == 0)
+    docs = frame(spark, [(1, "Mr. J. Smith, Dr. Արամ, _@example.com"), (2, "Dr. ԱՐԱՄ")])
+    text = {r.doc_id: r.text for r in surrogates.replace_entities(docs, b"k").collect()}
+    assert not re.search(r"Mr\. J\.|Արամ| _@", text[1])
+    assert re.search(r"Dr\. (\w+)", text[1])[1].upper() == re.search(r"Dr\. (\w+)", text[2])[1]
+
+
+def test_every_form_has_a_wider_one():
+    for kind, value in enumerate(("_@example.com", "+1 555-123-4567", "1.2.3.4", "4111 1111 1111 1111", "m:j")):
+        drawn = [surrogates.surrogate(kind, value, n, b"k") for n in range(40)]
+        assert len(drawn[-1]) > len(value.split(":")[-1]) + 20 and len(set(drawn[20:])) == 20
+    wide = re.sub(r"\D", "", surrogates.surrogate(3, "4111 1111 1111 1111", 8, b"k"))
+    assert len(wide) == 19 and surrogates._luhn(wide[:-1]) == int(wide[-1])
+
+
 # --- pieces --------------------------------------------------------------------------
 
 
