@@ -164,6 +164,37 @@ def test_base_spans_equal_the_plain_patterns():
             assert pa.compute.match_substring_regex(pa.array([text]), secret_scan.ANY)[0].as_py()
 
 
+CLEAN = """src/main/java/com/example docs/getting-started/install state-of-the-art-technology
+max_position_embeddings_size getElementById2Name/x X509CertificateFactory2Impl 2024-01-15-10-30-00-12
+Donaudampfschifffahrt-Gesellschaft aujourd-hui-peut-etre-bientot desarrollo-de-aplicaciones-web
+https://www.example.org/en/getting-started/installation_2"""
+
+
+def test_paths_and_long_words_are_no_secrets(spark):
+    docs = spark.createDataFrame([(1, CLEAN, "s1", "en")], "doc_id long, text string, source string, lang string")
+    assert [r.secrets for r in secret_scan.scan_secrets(docs).collect()] == [[]]
+    assert [r.text for r in secret_scan.mask_live(docs).collect()] == [CLEAN]
+
+
+def test_random_tokens_look_random():
+    rng = random.Random(8)
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    for letters in (upper + upper.lower() + "0123456789+/", upper.lower() + "0123456789", upper + "234567"):
+        drawn = ["".join(rng.choices(letters, k=32)) for _ in range(500)]
+        assert sum(map(secret_scan.looks_random, drawn)) >= 490
+        assert sum(secret_scan.looks_random("docs/getting-started/install/" + x) for x in drawn) >= 470
+
+
+def test_base_kinds_are_judged_by_owners(spark):
+    plain = ["password = correcthorsebattery", "token: aaaaaaaaaaaab1", "key " + "0" * 23 + "1", "AKIA" + "B" * 16]
+    rows = [(i, t, "s1", f"r{j}") for i, t in enumerate(plain) for j in range(6)]
+    rows += [(9, "password = copiedexamplevalue", f"s{j}", "en") for j in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    for r in secret_scan.scan_secrets(docs).collect():
+        # six repositories of one owner are one owner
+        assert [(s.n_owners, s.n_repos, s.live) for s in r.secrets] == [(5, 5, False) if r.doc_id == 9 else (1, 6, True)]
+
+
 # --- decontamination -----------------------------------------------------------------
 
 
