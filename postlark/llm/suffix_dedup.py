@@ -43,6 +43,8 @@ BLOCK_DOCS = 1024
 HOT_BLOCKS = 512
 BATCH_STRINGS = 4096
 SLICE_BYTES = 1_000_000
+# a longer document is cut for its anchors, whose places have 24 bits
+LONG_BYTES = 1 << 22
 
 
 # --- anchors -------------------------------------------------------------------------
@@ -105,16 +107,18 @@ def anchors(data: np.ndarray, starts: np.ndarray, length: int, anchor: int):
 
 
 def block_anchors(data: np.ndarray, starts: np.ndarray, length: int, anchor: int):
-    """`anchors` of a whole block, in slices of whole documents."""
+    """`anchors` of a whole block, in slices of whole documents; long documents in pieces."""
     keys, first, last = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     pieces = []
     for a, b in slices(np.diff(starts), SLICE_BYTES):
         begin, end = int(starts[a]), int(starts[b])
-        if b - a > 1 or end - begin <= 1 << 22:
+        if end - begin <= LONG_BYTES:
             pieces.append((begin, end, starts[a : b + 1] - begin))
-        else:  # a long document: pieces that share all but one byte of a window
-            for p in range(begin, end - length + 1, 1 << 22):
-                q = min(end, p + (1 << 22) + length - 1)
+            continue
+        # a slice this long holds a long document, perhaps among empty ones: pieces that share all but one byte of a window
+        for begin, end in zip(starts[a:b].tolist(), starts[a + 1 : b + 1].tolist()):
+            for p in range(begin, end - length + 1, LONG_BYTES):
+                q = min(end, p + LONG_BYTES + length - 1)
                 pieces.append((p, q, np.array([0, q - p])))
     for begin, end, own in pieces:
         k, f, t = anchors(data[begin:end], own, length, anchor)

@@ -124,6 +124,18 @@ def test_anchors_of_a_long_document_are_cut_with_overlap():
     assert np.array_equal(first[1:], last[:-1] + 1)
 
 
+def test_a_long_document_behind_an_empty_one(spark):
+    size = 17_000_000
+    text = np.random.default_rng(3).integers(97, 123, size, np.uint8).tobytes().decode()
+    alone = suffix_dedup.block_anchors(np.frombuffer(text.encode(), np.uint8), np.array([0, size]), 50, 24)
+    behind = suffix_dedup.block_anchors(np.frombuffer(text.encode(), np.uint8), np.array([0, 0, 0, size]), 50, 24)
+    assert all(np.array_equal(a, b) for a, b in zip(alone, behind))
+    docs = frame(spark, [(1, ""), (2, text), (3, "head " + text[-5000:])])
+    found = {r.doc_id: r for r in suffix_dedup.remove_repeats(docs).drop("kept").collect()}
+    assert (found[2].n_bytes, found[2].n_removed) == (size, 0)
+    assert [tuple(s) for s in found[3].spans] == [(5, 5005)]
+
+
 # --- secrets -------------------------------------------------------------------------
 
 
