@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlark.llm import decontaminate, language, pieces, records, secret_scan, simhash, suffix_dedup, surrogates, syncmers, trie_lm
+from postlark.llm import (
+    decontaminate,
+    divergence,
+    fm_dedup,
+    infill,
+    language,
+    pieces,
+    records,
+    secret_scan,
+    simhash,
+    suffix_dedup,
+    surrogates,
+    syncmers,
+    trie_lm,
+)
 from postlark.llm.common import folds, id_and_text, prepared, shared_folder
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -137,6 +151,31 @@ def op10_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(id_and_text(documents(spark, sf)))
 
 
+def op11_divergence(spark: SparkSession, sf: str) -> DataFrame:
+    """Divergence of every (language, source) group from the others, and the terms it has more of."""
+    return divergence.audit_sources(documents(spark, sf), shared_folder(spark, "divergence"))
+
+
+def op12_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Words of every text that a repeated window of 20 words covers, removed."""
+    cut = fm_dedup.remove_repeated_windows(documents(spark, sf))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf: str) -> DataFrame:
+    """Digests of every text in fill-in-the-middle form, and of the text rebuilt from it."""
+    formed = infill.fill_in_middle(documents(spark, sf))
+    return formed.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(infill.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_secret_scan": op2_secret_scan,
@@ -148,6 +187,88 @@ QUERIES = {
     "op8_syncmers": op8_syncmers,
     "op9_trie_lm": op9_trie_lm,
     "op10_simhash": op10_simhash,
+    "op11_divergence": op11_divergence,
+    "op12_substring_dedup": op12_substring_dedup,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op11_divergence": """
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms
+  FROM documents),
+t AS (SELECT r, lang, source, unnest(terms) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS lang_n FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+v AS (SELECT lang, count(*) AS v, sum(lang_n) AS lang_total FROM kept GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+n AS (SELECT lang, source, term, count(*) AS n FROM t SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+total AS (
+  SELECT g.lang, g.source, coalesce(sum(n.n), 0)::BIGINT AS total
+  FROM g LEFT JOIN n USING (lang, source) GROUP BY ALL),
+p AS (
+  SELECT lang, source, term, coalesce(n.n, 0) AS n,
+    1 + (1000000000::HUGEINT * (coalesce(n.n, 0) + 2)) // (total + 2 * v) AS p,
+    1 + (1000000000::HUGEINT * (lang_n + 2)) // (lang_total + 2 * v) AS whole
+  FROM total JOIN v USING (lang) JOIN kept USING (lang) LEFT JOIN n USING (lang, source, term)),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item,
+    coalesce(sum(((x.p - y.p) * (x.p - y.p)) // (x.p + y.p)), 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN p x ON x.lang = a.lang AND x.source = a.source
+  LEFT JOIN p y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+  GROUP BY a.lang, a.source, b.source),
+terms AS (
+  SELECT lang, source, 'term' AS part, term AS item, (((p - whole) * (p - whole)) // (p + whole))::BIGINT AS value
+  FROM p WHERE n > 0 AND p > whole)
+SELECT lang, source, part, item, value,
+  (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)))::INTEGER AS rank
+FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
+QUALIFY part = 'pair' OR rank <= 10
+""",
+    "op12_substring_dedup": """
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+starts AS (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS i FROM d),
+windows AS (SELECT doc_id, i, array_to_string(words[i:i + 19], ' ') AS win FROM starts),
+again AS (
+  SELECT doc_id, i FROM windows QUALIFY row_number() OVER (PARTITION BY win ORDER BY doc_id, i) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS pos FROM again),
+each AS (SELECT doc_id, unnest(range(1, len(words) + 1)) AS pos, unnest(words) AS word FROM d),
+kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY pos) AS kept
+  FROM each ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id)
+SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+""",
+    "op13_fill_in_middle": """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h,
+    regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS units
+  FROM documents),
+drawn AS (
+  SELECT doc_id, text, units, len(units) AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+    ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4
+  FROM d),
+cut AS (
+  SELECT doc_id, text, units, n,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90
+      THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form,
+    least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b
+  FROM drawn),
+parts AS (
+  SELECT doc_id, text, n, form, array_to_string(units[1:a], '') AS prefix,
+    array_to_string(units[a + 1:b], '') AS middle, array_to_string(units[b + 1:n], '') AS suffix
+  FROM cut)
+SELECT doc_id, n::BIGINT AS n, form,
+  CASE WHEN form <> 'plain' THEN length(prefix) END::BIGINT AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(middle) END::BIGINT AS middle_chars,
+  sha256(CASE form WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle ELSE text END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM parts
+""",
+}
