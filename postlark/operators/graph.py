@@ -6,14 +6,16 @@ user is one long id whether they posted or were mentioned.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.literals import expanded_urls, zip_mentions
 from ..functions.topics import topic_columns
 from ..functions.urls import contains_video_url
+from ..functions.values import time_key
 from ..schema import COUNTERS
 
 GRAPH_TABLES = (
@@ -64,32 +66,95 @@ def effective_text(tweet_type: str = "tweet_type") -> Column:
     return F.when(retweeted, F.col("rt_text")).otherwise(F.col("text"))
 
 
-def tweet_nodes(cohort: DataFrame) -> DataFrame:
-    """One row per post. The latest row wins; the values themselves break a tie."""
-    written = cohort.withColumn("text", effective_text()).select(
-        "tweetid", F.struct("date", *[c for c in TWEET_PROPERTIES if c != "date"]).alias("row")
-    )
-    return (
-        written.groupBy("tweetid")
-        .agg(F.max("row").alias("row"))
-        .select("tweetid", *[F.col(f"row.{c}").alias(c) for c in TWEET_PROPERTIES])
-    )
+def _number(digits: str) -> Column:
+    return F.lit(digits).cast("decimal(38,0)")
 
 
-def user_nodes(cohort: DataFrame) -> DataFrame:
-    """One row per author, from their latest post.
+def _place(date: Column, tie: Column) -> Column:
+    """Position in time as one decimal; a missing date comes before all others."""
+    return F.coalesce(time_key(date, tie), _number("-2" + "0" * 37))
+
+
+# added to the place of an author's row and taken from that of a mention, so that any author ranks above all mentions
+_AUTHOR = "45" + "0" * 36
+
 
-    A struct maximum combines map-side, so a user with a third of the rows costs
-    one row per map task in the shuffle.
+def latest(rows: DataFrame, key: str, rank: Column, ties: Sequence[Column]) -> DataFrame:
+    """The row of each ``key`` with the largest decimal ``rank``; among equal ranks the first by ``ties``.
+
+    Only key and rank are aggregated, which keeps the hash aggregate and its
+    map-side combine. The rows then join on key and rank together, so the rows of a
+    hot key spread out.
     """
+    ranked = rows.withColumn("_rank", rank)
+    best = ranked.groupBy(key).agg(F.max("_rank").alias("_rank"))
+    among = Window.partitionBy(key, "_rank").orderBy(*ties)
     return (
-        cohort.select("userid", F.struct("date", "tweetid", *USER_PROPERTIES).alias("row"))
-        .groupBy("userid")
-        .agg(F.max("row").alias("row"))
-        .select("userid", *[F.col(f"row.{c}").alias(c) for c in USER_PROPERTIES])
+        ranked.join(best, [key, "_rank"])
+        .withColumn("_nth", F.row_number().over(among))
+        .filter("_nth = 1")
+        .select(*rows.columns)
+    )
+
+
+def tweet_rows(cohort: DataFrame) -> DataFrame:
+    """What each row says of its post."""
+    return cohort.withColumn("text", effective_text()).select("tweetid", *TWEET_PROPERTIES)
+
+
+def latest_tweets(rows: DataFrame) -> DataFrame:
+    """One row per post: the latest; the values themselves break a tie."""
+    place = _place(F.col("date"), F.lit(0))
+    return latest(rows, "tweetid", place, [F.desc(c) for c in TWEET_PROPERTIES])
+
+
+def author_rows(cohort: DataFrame) -> DataFrame:
+    """What each row says of its author, and when: ``_author, _date, _tweetid, _pos``."""
+    return cohort.select(
+        "userid",
+        *USER_PROPERTIES,
+        F.lit(True).alias("_author"),
+        F.col("date").alias("_date"),
+        F.col("tweetid").alias("_tweetid"),
+        F.lit(None).cast("int").alias("_pos"),
+    )
+
+
+def mentioned_rows(cohort: DataFrame) -> DataFrame:
+    """What each mention says of a user: only a name."""
+    return mention_pairs(cohort).select(
+        "userid",
+        "screen_name",
+        F.lit(False).alias("_author"),
+        F.col("date").alias("_date"),
+        F.col("tweetid").alias("_tweetid"),
+        F.col("pos").alias("_pos"),
     )
 
 
+def user_rows(cohort: DataFrame) -> DataFrame:
+    return author_rows(cohort).unionByName(mentioned_rows(cohort), allowMissingColumns=True)
+
+
+def latest_users(rows: DataFrame) -> DataFrame:
+    """One row per user: what their latest post says, else the name of their first mention."""
+    place = _place(F.col("_date"), F.col("_tweetid"))
+    rank = F.when(F.col("_author"), place + _number(_AUTHOR)).otherwise(-place - _number(_AUTHOR))
+    mentioned = F.when(~F.col("_author"), F.col("screen_name"))
+    ties = [F.asc("_pos"), mentioned.asc(), *[F.desc(c) for c in USER_PROPERTIES]]
+    return latest(rows, "userid", rank, ties)
+
+
+def tweet_nodes(cohort: DataFrame) -> DataFrame:
+    """One row per post. The latest row wins; the values themselves break a tie."""
+    return latest_tweets(tweet_rows(cohort))
+
+
+def user_nodes(cohort: DataFrame) -> DataFrame:
+    """One row per author, from their latest post."""
+    return latest_users(author_rows(cohort)).select("userid", *USER_PROPERTIES)
+
+
 def mention_pairs(cohort: DataFrame) -> DataFrame:
     """``(tweetid, date, pos, userid, screen_name)``, one row per mention in a post."""
     # outer, since a plain explode evaluates the pairing once more to drop empty arrays
@@ -106,14 +171,8 @@ def mention_pairs(cohort: DataFrame) -> DataFrame:
 
 def stub_users(cohort: DataFrame) -> DataFrame:
     """Mentioned users who never posted: only a name, the first one seen."""
-    first = (
-        mention_pairs(cohort)
-        .groupBy("userid")
-        .agg(F.min(F.struct("date", "tweetid", "pos", "screen_name")).alias("row"))
-        .select("userid", F.col("row.screen_name").alias("screen_name"))
-    )
-    authors = cohort.select("userid").distinct()
-    return first.join(authors, "userid", "left_anti")
+    rows = user_rows(cohort)
+    return latest_users(rows).filter(~F.col("_author")).select("userid", "screen_name")
 
 
 def posts(cohort: DataFrame) -> DataFrame:
@@ -151,7 +210,7 @@ def build_graph(cohort: DataFrame) -> Graph:
     """
     return Graph(
         tweets=tweet_nodes(cohort),
-        users=user_nodes(cohort).unionByName(stub_users(cohort), allowMissingColumns=True),
+        users=latest_users(user_rows(cohort)).select("userid", *USER_PROPERTIES),
         hashtags=hashtags(cohort),
         links=links(cohort),
         posts=posts(cohort),
@@ -205,9 +264,9 @@ def user_links(graph: Graph) -> DataFrame:
 
 
 def posted_text(graph: Graph) -> DataFrame:
-    """``(tweetid, text, lang)`` of every posted post, with its author's language."""
-    return (
-        graph.posts.join(graph.tweets.select("tweetid", "text"), "tweetid")
-        .join(graph.users.select("userid", "lang"), "userid")
-        .select("tweetid", "text", "lang")
-    )
+    """``(tweetid, text, lang)`` of every posted post, with its author's language.
+
+    Languages join the narrow edges first, so no text moves by user.
+    """
+    languages = graph.posts.join(graph.users.select("userid", "lang"), "userid")
+    return languages.join(graph.tweets.select("tweetid", "text"), "tweetid").select("tweetid", "text", "lang")

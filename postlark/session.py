@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 SESSION_DEFAULTS = {
@@ -36,17 +38,23 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the cluster's checkpoint folder.
+def _checkpoint_dir(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``. A missing setting is an error: a machine-local folder is lost with its executor."""
+    folder = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+    return folder
+
 
-    The folder is ``spark.checkpoint.dir``. A missing setting is an error, since
-    a machine-local folder is lost with its executor.
-    """
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` in the cluster's checkpoint folder."""
     spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        context.setCheckpointDir(folder)
+    folder = _checkpoint_dir(spark)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint()
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path below the cluster's checkpoint folder, which every executor can reach."""
+    return f"{_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
