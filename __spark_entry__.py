@@ -25,7 +25,8 @@ from postlark.operators import topics as tp  # noqa: E402
 from postlark.operators import video as vd  # noqa: E402
 from postlark.plans import jobs, reports  # noqa: E402
 from postlark.schema import EXPANDED_URLS  # noqa: E402
-from postlark.session import apply_defaults  # noqa: E402
+from postlark.session import apply_defaults, checkpointed, shared_path  # noqa: E402
+from postlark.sources import create_graph_store, merge_into_store, read_stored  # noqa: E402
 
 try:  # the subpackage and the pipeline may be absent; all else works without them
     import corpus_pipeline
@@ -166,6 +167,21 @@ def node_table(name):
     return lambda spark, sf: getattr(gr, name)(cohort_rows(spark, sf))
 
 
+def merged(*names):
+    """Tables of the graph of three batches of rows, the newest first, merged one after the other."""
+
+    def query(spark, sf):
+        rows = checkpointed(cohort_rows(spark, sf))
+        path = shared_path(spark, "graph")
+        day = F.dayofyear("date") % 3
+        create_graph_store(rows.filter(day == 2), path, buckets=8, names=names)
+        for k in (0, 1):
+            merge_into_store(rows.filter(day == k), path)
+        return read_stored(spark, path, names[0])
+
+    return query
+
+
 def effective_text(spark, sf):
     chosen = parsed(spark, sf).select("tweetid", gr.effective_text().alias("text"))
     return chosen.select("tweetid", md5("text"))
@@ -373,20 +389,15 @@ def corpus_lines(spark, sf):
 
 
 def packed(spark, sf):
-    return cp.pack_lines(corpus_lines(spark, sf), cp.TOPIC_KEYS, [*cp.TOPIC_ORDER, "line_no"])
+    return cp.packed_corpora(topic_texts(spark, sf), cp.TOPIC_KEYS, cp.TOPIC_ORDER)
 
 
 def packed_batches(spark, sf):
-    return cp.batch_texts(packed(spark, sf), cp.TOPIC_KEYS, [*cp.TOPIC_ORDER, "line_no"])
+    return cp.corpus_batches(packed(spark, sf), cp.TOPIC_KEYS)
 
 
 def sampled_batches(spark, sf):
-    lines = packed(spark, sf)
-    drawn = cp.sample_batches(cp.batch_sizes(lines, cp.TOPIC_KEYS), cp.TOPIC_KEYS)
-    texts = cp.batch_texts(lines, cp.TOPIC_KEYS, [*cp.TOPIC_ORDER, "line_no"])
-    return drawn.join(texts, [*cp.TOPIC_KEYS, "batch_no"], "left").select(
-        *cp.TOPIC_KEYS, "pick", F.coalesce("batch", F.lit("")).alias("batch")
-    )
+    return cp.sampled_texts(packed(spark, sf), cp.TOPIC_KEYS)
 
 
 def gated(spark, sf):
@@ -453,6 +464,9 @@ QUERIES: dict[str, Query] = {
     "graph_mentions": node_table("mentions"),
     "graph_tweet_links": node_table("tweet_links"),
     "graph_links": node_table("links"),
+    "merged_graph_tweets": merged("tweets"),
+    "merged_graph_users": merged("users"),
+    "merged_graph_mentions": merged("mentions"),
     "mention_pairs": lambda spark, sf: gr.mention_pairs(parsed(spark, sf)).select(
         "tweetid", "userid", "screen_name"
     ),

@@ -468,5 +468,10 @@ SELECTS = {
 }
 
 
+# a graph merged from batches is the graph built at once
+for name in ("tweets", "users", "mentions"):
+    SELECTS[f"merged_graph_{name}"] = SELECTS[f"graph_{name}"]
+
+
 def sql() -> dict[str, str]:
     return {name: f"with recursive {VIEWS} {select}" for name, select in SELECTS.items()}

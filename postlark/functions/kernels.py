@@ -1,4 +1,4 @@
-"""What runs in Python inside a task: packing arithmetic and the literal fallback.
+"""What runs in Python inside a task: scans over ordered chunks, and the literal fallback.
 
 The module travels with its functions, so executors need numpy, pandas and pyarrow
 but no copy of this package.
@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import ast
 import json
+import re
 import sys
 from collections.abc import Iterator, Sequence
 
@@ -100,69 +101,342 @@ def _runs(labels: pa.Array) -> Iterator[tuple[str, int, int]]:
         start = end
 
 
-def border_summaries(limit: int):
-    """Summarise the first and the last group of a chunk; others cannot leave it."""
+# --- texts in order: which marks reach across a border ------------------------------------
+
+# what a text does at its borders
+JOINS, OPENS, OPENS_CUT, JOINS_LAST = 1, 2, 4, 8
+# what a text is in its corpus
+FIRST, LAST, HEAD_CUT, TAIL_CUT = 1, 2, 4, 8
+# what a line does: it goes on with the line before, the line behind goes on with it
+CONTINUES, OPEN = 1, 2
+
+
+def _bit(marks: np.ndarray, bit: int) -> np.ndarray:
+    return (marks & bit) != 0
+
+
+def _open_after(marks: np.ndarray, state: bool) -> np.ndarray:
+    """Whether a mark is open behind each text, if ``state`` says so for the first.
+
+    A text that ends alike with and without its head settles the state; the others
+    keep it or turn it over.
+    """
+    plain = _bit(marks, OPENS)
+    cut = np.where(_bit(marks, JOINS), _bit(marks, OPENS_CUT), plain)
+    at = np.arange(len(marks))
+    settled = np.maximum.accumulate(np.where(plain == cut, at, -1))
+    turns = np.concatenate(([0], np.cumsum(plain & ~cut)))
+    base = np.where(settled >= 0, plain[settled], state)
+    return base ^ ((turns[1:] - turns[settled + 1]) % 2 == 1)
+
+
+class Cleaner:
+    """The rules for the few texts that a mark across a border touches, as compiled patterns."""
+
+    def __init__(self, name: str, mark: str, strip: str, emoji: str):
+        self.name, self.mark, self.strip = re.compile(name), re.compile(mark), strip
+        self.emoji = re.compile(emoji)
+
+    def stray(self, marks: np.ndarray, heads: list, last: bool) -> tuple[str, bool]:
+        """What the first texts of a chunk add to a line that began before, and whether all of them do.
+
+        ``heads`` are the texts that begin with a name. ``last``: the group ends here.
+        """
+        line, n = "", len(marks)
+        for k in range(n):
+            ends = last and k == n - 1
+            text = heads[k].rstrip(self.strip) if ends else heads[k]
+            text = self.mark.sub("", self.name.sub("", text, count=1))
+            head, newline, _ = text.partition("\n")
+            if newline:
+                return line + head, False
+            if k == n - 1:
+                return line + text, True
+            joins = JOINS_LAST if last and k == n - 2 else JOINS
+            if not marks[k] & OPENS_CUT or not marks[k + 1] & joins:
+                return line + text, False
+            line += text[:-2]
+        return line, False
+
+
+MARKS_SCHEMA = pa.schema(
+    [
+        ("_group", pa.string()),
+        ("_chunk", pa.int32()),
+        ("_first", pa.int32()),
+        ("_single", pa.bool_()),
+        ("_after", pa.list_(pa.bool_())),
+        ("_stray", pa.list_(pa.string())),
+        ("_whole", pa.bool_()),
+    ]
+)
+
+
+def border_marks(cleaner: Cleaner):
+    """For the first and the last group of a chunk: how marks pass through it, and what it adds to a line before."""
+
+    def row(group, chunk, marks, heads):
+        stray, stray_last, whole = "", "", False
+        if marks[0] & JOINS:
+            stray, whole = cleaner.stray(marks, heads, False)
+        if marks[0] & (JOINS_LAST if len(marks) == 1 else JOINS):
+            stray_last, _ = cleaner.stray(marks, heads, True)
+        after = [bool(_open_after(marks, state)[-1]) for state in (False, True)]
+        return dict(zip(MARKS_SCHEMA.names, (group, chunk, int(marks[0]), len(marks) == 1, after, [stray, stray_last], whole)))
 
     def summarise(batches):
-        schema = pa.schema(
-            [
-                ("_group", pa.string()),
-                ("_chunk", pa.int32()),
-                ("_size", pa.int64()),
-                (
-                    "_pieces",
-                    pa.list_(
-                        pa.struct(
-                            [("from_fill", pa.int64()), ("fill", pa.int64()), ("batches", pa.int64())]
-                        )
-                    ),
-                ),
-            ]
-        )
-        first, current, parts, chunk = None, None, [], None
-
-        def row():
-            sizes = np.concatenate(parts)
-            return {
-                "_group": current,
-                "_chunk": chunk,
-                "_size": int(sizes.sum()),
-                "_pieces": _pieces(sizes, limit),
-            }
-
-        rows = []
+        first, current, marks, heads, chunk, rows = None, None, [], [], None, []
         for batch in batches:
             if batch.num_rows == 0:
                 continue
             chunk = batch.column("_chunk")[0].as_py()
-            sizes = batch.column("_size").to_numpy()
+            own = batch.column("_mark").to_numpy()
+            names = batch.column("_head")
             for label, start, end in _runs(batch.column("_group")):
                 if label != current:
                     if current is not None and first is None:
                         first = current
-                        rows.append(row())
+                        rows.append(row(current, chunk, np.concatenate(marks), heads))
+                    current, marks, heads = label, [], []
+                marks.append(own[start:end])
+                # only texts in an unbroken run from the first can be a stray
+                if len(heads) == sum(map(len, marks[:-1])):
+                    run = names.slice(start, end - start)
+                    broken = np.flatnonzero(np.append(run.is_null().to_numpy(zero_copy_only=False), True))[0]
+                    heads += run.slice(0, int(broken)).to_pylist()
+        if current is not None:
+            rows.append(row(current, chunk, np.concatenate(marks), heads))
+        yield pa.RecordBatch.from_pylist(rows, schema=MARKS_SCHEMA)
+
+    return summarise
+
+
+def fold_marks(chunks: pd.DataFrame) -> pd.DataFrame:
+    """Walk the chunks of one group in order: the state each begins in, its neighbours, what ends its last line."""
+    names = ["_group", "_chunk", "_open", "_earlier", "_later", "_next_joins", "_append"]
+    chunks = chunks.sort_values("_chunk").to_dict("records")
+    n, state, rows = len(chunks), False, []
+    if n < 2:
+        return pd.DataFrame([], columns=names)
+    joins = [bool(c["_first"] & (JOINS_LAST if k == n - 1 and c["_single"] else JOINS)) for k, c in enumerate(chunks)]
+    for k, c in enumerate(chunks):
+        behind = joins[k + 1] if k < n - 1 else False
+        rows.append([c["_group"], c["_chunk"], state, k > 0, k < n - 1, behind, None])
+        state = bool(c["_after"][int(state)])
+    tail = None
+    for k in range(n - 1, -1, -1):
+        rows[k][-1] = tail
+        enters = k > 0 and rows[k][2] and joins[k]
+        if not enters:
+            tail = None
+        elif k == n - 1:
+            tail = chunks[k]["_stray"][1]
+        else:
+            # all texts of the chunk are on the line: the mark that ends it may go on in the next chunk
+            whole = chunks[k]["_whole"] and tail is not None
+            tail = chunks[k]["_stray"][0][:-2] + tail if whole else chunks[k]["_stray"][0]
+    return pd.DataFrame(rows, columns=names)
+
+
+def _with_rows_behind(batches) -> Iterator[tuple[pa.RecordBatch, int]]:
+    """Batches that end with up to two rows of what follows, and how many rows are their own."""
+    held = None
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        if held is not None:
+            batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+        n = batch.num_rows
+        if n > 2:
+            yield batch, n - 2
+            held = batch.slice(n - 2)
+        else:
+            held = batch
+    if held is not None:
+        yield held, held.num_rows
+
+
+def place_texts(columns: Sequence[str]):
+    """Add ``_place`` to the texts of a chunk: ends of the corpus, and marks that reach across a border."""
+
+    def place(batches):
+        current, state = None, False
+        for batch, n in _with_rows_behind(batches):
+            marks = batch.column("_mark").to_numpy()
+            places = np.zeros(len(marks), np.int8)
+            for label, start, end in _runs(batch.column("_group")):
+                if start >= n:
+                    break
+                own, carry = marks[start:end], {name: batch.column(name)[start].as_py() for name in CARRIED}
+                here = np.zeros(end - start, np.int8)
+                if label != current:
+                    current, state = label, bool(carry["_open"])
+                    if not carry["_earlier"]:
+                        here[0] |= FIRST
+                ends = end < len(marks) or n == len(marks)  # in this chunk
+                joins = _bit(own, JOINS)
+                if ends and not carry["_later"]:
+                    here[-1] |= LAST
+                    joins[-1] = bool(own[-1] & JOINS_LAST)
+                after = _open_after(own, state)
+                before = np.concatenate(([state], after[:-1]))
+                behind = np.append(joins[1:], bool(carry["_later"] and carry["_next_joins"]))
+                here[before & joins] |= HEAD_CUT
+                here[after & behind] |= TAIL_CUT
+                places[start:end] = here
+                state = bool(after[min(end, n) - start - 1])
+            kept = [batch.column(name).slice(0, n) for name in columns]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(places[:n])], names=[*columns, "_place"])
+
+    return place
+
+
+CARRIED = ("_open", "_earlier", "_later", "_next_joins")
+
+
+def merge_lines(cleaner: Cleaner, columns: Sequence[str]):
+    """Put lines together that a removed mark joined; ``_more`` says which, ``_append`` what a later chunk adds."""
+
+    def emit(batch, lines, kept, touched):
+        texts = [cleaner.emoji.sub("", t) if i in touched else t for i, t in enumerate(lines)]
+        arrays = [pa.array(texts, pa.string()) if n == "line" else batch.column(n) for n in columns]
+        return pa.RecordBatch.from_arrays(arrays, names=list(columns)).filter(pa.array(kept))
+
+    def merge(batches):
+        held = None  # the last line so far, if a line behind it may go on with it
+
+        def closed():
+            line = held.column("line")[0].as_py() + (held.column("_append")[0].as_py() or "")
+            return emit(held, [line], [True], {0})
+
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            more = batch.column("_more").to_numpy()
+            if held is not None and not more[0] & CONTINUES:
+                yield closed()
+                held = None
+            if not more.any():
+                yield pa.RecordBatch.from_arrays([batch.column(n) for n in columns], names=list(columns))
+                continue
+            begins_held = held is not None
+            if begins_held:
+                batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+                more = batch.column("_more").to_numpy()
+            held = None
+            lines, kept = batch.column("line").to_pylist(), np.ones(len(more), bool)
+            flagged = np.flatnonzero(more).tolist()
+            host, end = None, -1  # the line that may go on, and its last piece so far
+            for i in flagged:
+                if more[i] & CONTINUES and not (i == 0 and begins_held):
+                    kept[i] = False
+                    if host is None or end != i - 1:
+                        host = None  # it belongs to a line of an earlier chunk
+                        continue
+                    lines[host] += lines[i]
+                else:
+                    host = i
+                end = i
+            if host is not None and end == len(more) - 1 and more[end] & OPEN:
+                row = batch.slice(host, 1)
+                at = batch.schema.get_field_index("line")
+                text = pa.array([lines[host]], batch.schema.field("line").type)
+                held = row.set_column(at, batch.schema.field("line"), text)
+                kept[host] = False
+            yield emit(batch, lines, kept, set(flagged))
+        if held is not None:
+            yield closed()
+
+    return merge
+
+
+def with_sizes(batches):
+    """Add ``_size``, the characters of a line and its newline."""
+    for batch in batches:
+        size = pc.add(pc.utf8_length(batch.column("line")).cast(pa.int64()), 1)
+        yield pa.RecordBatch.from_arrays([*batch.columns, size], names=[*batch.schema.names, "_size"])
+
+
+def chained(*steps):
+    """One task function of several, each fed by the one before."""
+
+    def run(batches):
+        for step in steps:
+            batches = step(batches)
+        return batches
+
+    return run
+
+
+# --- lines in order: which batch each falls into -----------------------------------------
+
+
+SUMMARY_SCHEMA = pa.schema(
+    [
+        ("_group", pa.string()),
+        ("_chunk", pa.int32()),
+        ("_size", pa.int64()),
+        ("_batches", pa.int64()),
+        (
+            "_pieces",
+            pa.list_(pa.struct([("from_fill", pa.int64()), ("fill", pa.int64()), ("batches", pa.int64())])),
+        ),
+    ]
+)
+
+
+def group_summaries(limit: int):
+    """Summarise the groups of a chunk: size and number of batches, and for the first and the last group,
+    which alone can leave the chunk, what they do to a batch filled to any level."""
+
+    def row(group, chunk, parts, border):
+        sizes = np.concatenate(parts)
+        _, _, batch = _assign(sizes, limit, 0, 0)
+        pieces = _pieces(sizes, limit) if border else None
+        return dict(zip(SUMMARY_SCHEMA.names, (group, chunk, int(sizes.sum()), batch + 1, pieces)))
+
+    def summarise(batches):
+        current, parts, chunk, rows, any_yet = None, [], None, [], False
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            chunk = batch.column("_chunk")[0].as_py()
+            sizes = batch.column("_size").to_numpy()
+            for label, start, end in _runs(batch.column("_group")):
+                if label != current:
+                    if current is not None:
+                        rows.append(row(current, chunk, parts, not any_yet))
+                        any_yet = True
                     current, parts = label, []
                 parts.append(sizes[start:end])
+            if len(rows) > 10_000:
+                yield pa.RecordBatch.from_pylist(rows, schema=SUMMARY_SCHEMA)
+                rows = []
         if current is not None:
-            rows.append(row())
-        yield pa.RecordBatch.from_pylist(rows, schema=schema)
+            rows.append(row(current, chunk, parts, True))
+        yield pa.RecordBatch.from_pylist(rows, schema=SUMMARY_SCHEMA)
 
     return summarise
 
 
 def fold_chunks(limit: int):
-    """Walk the chunks of one group in order; a group within one chunk needs no start."""
+    """Walk the chunks of one group in order: the batch each starts in, and size and batches of the whole group."""
 
     def fold(chunks: pd.DataFrame) -> pd.DataFrame:
         rows, fill, batch = [], 0, 0
-        if len(chunks) > 1:
-            for row in chunks.sort_values("_chunk").itertuples(index=False, name=None):
-                group, chunk, size, pieces = row
-                rows.append((group, chunk, fill, batch))
+        if len(chunks) == 1:
+            group, chunk, size, batches, _ = next(chunks.itertuples(index=False, name=None))
+            rows, total, batch = [[group, chunk, 0, 0]], size, batches - 1
+        else:
+            total = int(chunks["_size"].sum())
+            for group, chunk, size, _, pieces in chunks.sort_values("_chunk").itertuples(index=False, name=None):
+                rows.append([group, chunk, fill, batch])
                 piece = [p for p in pieces if p["from_fill"] <= min(fill, limit)][-1]
                 fill = fill + size if piece["fill"] is None else piece["fill"]
                 batch += piece["batches"]
-        return pd.DataFrame(rows, columns=["_group", "_chunk", "_fill", "_batch"])
+        rows = [(*r, total, batch + 1, k == 0) for k, r in enumerate(rows)]
+        names = ["_group", "_chunk", "_fill", "_batch", "_total", "_batches", "_head"]
+        return pd.DataFrame(rows, columns=names)
 
     return fold
 
@@ -187,3 +461,30 @@ def number_lines(limit: int, columns: Sequence[str]):
             )
 
     return number
+
+
+def batch_fragments(keys: Sequence[str]):
+    """The lines of a chunk that fall into one batch as one row, each line with its newline behind it."""
+
+    def fragments(batches):
+        part = 0
+        for batch in batches:
+            n = batch.num_rows
+            if n == 0:
+                continue
+            numbers = batch.column("batch_no").to_numpy()
+            codes = pc.dictionary_encode(batch.column("_group")).indices.to_numpy()
+            new = np.concatenate(([True], (numbers[1:] != numbers[:-1]) | (codes[1:] != codes[:-1])))
+            starts = np.flatnonzero(new)
+            at = pa.array(starts)
+            lists = pa.ListArray.from_arrays(pa.array(np.append(starts, n).astype(np.int32)), batch.column("line"))
+            text = pc.binary_join_element_wise(pc.binary_join(lists, "\n"), "", "\n")
+            chars = np.add.reduceat(batch.column("_size").to_numpy(), starts)
+            own = [batch.column(name).take(at) for name in (*keys, "batch_no", "_chunk")]
+            yield pa.RecordBatch.from_arrays(
+                [*own, pa.array(np.arange(part, part + len(starts))), pa.array(chars), text],
+                names=[*keys, "batch_no", "_chunk", "_part", "_chars", "_text"],
+            )
+            part += len(starts)
+
+    return fragments

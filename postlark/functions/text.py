@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column
@@ -24,6 +25,13 @@ TOKEN_CHARACTERS = "[a-z0-9]"
 MIN_TOKEN_LENGTH = 3
 
 
+def python_pattern(pattern: str) -> str:
+    """A Java pattern of this package for Python's ``re``: code points are spelled ``\\x{..}`` there."""
+    spelled = re.sub(r"\\x\{([0-9A-F]+)\}", lambda m: f"\\U{int(m[1], 16):08x}", pattern)
+    # the span in front of an intersection only speeds Java up
+    return re.sub(r"\[[^\[\]]*&&(\[[^\]]*\])\]", r"\1", spelled)
+
+
 def remove_links(col: Column) -> Column:
     return F.regexp_replace(col, LINK, "")
 

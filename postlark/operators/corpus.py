@@ -1,27 +1,32 @@
 """Text corpora per group: order, clean, pack into batches, sample, summarise.
 
 A corpus is the texts of a group in time order, one after the other with a newline
-between, cleaned as one text. One group may hold a third of all rows, so a corpus
-is only ever one string where it is known to be short (``gate``). Beyond that it
-stays a table of lines, ordered by range partitions that split a hot group.
+between, cleaned as one text. One group may hold a third of all rows, so texts are
+ordered once by range partitions that split a hot group into chunks, and that layout
+is stored. What depends on a whole group (where it begins and ends, which marks cross
+from text to text, how full a batch is) is a scan over its chunks: each says what it
+does, a fold over the statements tells each what it starts with. A corpus becomes one
+string only where it is known to be short (``gate``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import kernels
-from ..functions.emoji import remove_emoji
+from ..functions.emoji import emoji_regex, remove_emoji
 from ..functions.text import (
     LINK_MARK_CHARACTERS,
+    RETWEET_MARK,
+    python_pattern,
     remove_links,
     remove_retweet_mark,
     remove_short_links,
-    strip_link_mark,
     text_lines,
     tokenize,
 )
@@ -72,159 +77,144 @@ TOPIC_KEYS, TOPIC_ORDER = ("userid", "topic"), ("date", "tweetid", "edge")
 VIDEO_KEYS, VIDEO_ORDER = ("userid",), ("date", "tweetid", "video_url")
 
 
-# --- distributed order -------------------------------------------------------------
+# --- one ordered, stored layout ----------------------------------------------------
 
 
 def _in_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Sort by key and order into range partitions, numbered ``_chunk``.
+    """Sort by key and order into range partitions, numbered ``_chunk``; ``_group`` names the key.
 
     The order is unique, so a hot group spreads over many chunks. The result is
     checkpointed: a second run of the range partitioner may cut elsewhere.
     """
-    ordered = df.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
+    named = df.withColumn("_group", F.to_json(F.struct(*keys)))
+    ordered = named.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
     return checkpointed(ordered.withColumn("_chunk", F.spark_partition_id()))
 
 
-def _opens(text: Column) -> Column:
-    return text.endswith("RT")
+def corpus_sizes(texts: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Per group: number of texts and characters before cleaning."""
+    return texts.filter(F.col("text").isNotNull()).groupBy(*keys).agg(
+        F.count("*").alias("n_texts"),
+        (F.sum(F.length("text")) + F.count("*") - 1).alias("raw_chars"),
+    )
 
 
-def _joins(text: Column) -> Column:
-    return text.rlike("^@[A-Za-z]+[A-Za-z0-9_-]+")
+# A mark is ``RT``, one whitespace, ``@name``; the newline between two texts is whitespace.
+_NAME = "^@[A-Za-z]+[A-Za-z0-9_-]+"
 
 
-def _continuations(texts: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Texts whose retweet mark may start in the text before: ``keys, order, _start``.
+def _border_mark(text: Column) -> Column:
+    """What a text does to a mark that may reach into it or out of it, as bits.
 
-    ``_start`` is the order of the text the run begins with. Neighbours inside a
-    chunk come from a window over that chunk, the neighbour across a chunk border
-    from a table with one row per chunk and group.
+    An ``RT`` at the end opens a mark unless a mark within the text has used it, which
+    may depend on whether the name at the start is already part of a mark.
     """
-    at = F.struct(*order)
-    chunks = _in_chunks(texts.select(*keys, *order, "_opens", "_joins"), keys, order)
-    here = Window.partitionBy("_chunk", *keys).orderBy(*order)
-    earlier = Window.partitionBy(*keys).orderBy("_chunk")
-
-    ends = chunks.groupBy("_chunk", *keys).agg(F.max_by("_opens", at).alias("_last_opens"))
-    ends = ends.withColumn("_before", F.lag("_last_opens").over(earlier)).drop("_last_opens")
-    marked = (
-        chunks.join(ends, ["_chunk", *keys])
-        .withColumn(
-            "_continues",
-            F.col("_joins")
-            & F.coalesce(F.lag("_opens").over(here), F.col("_before"), F.lit(False)),
-        )
-        .withColumn("_fresh", F.when(~F.col("_continues"), at))
-    )
-    starts = marked.groupBy("_chunk", *keys).agg(F.max("_fresh").alias("_last_fresh"))
-    starts = starts.withColumn(
-        "_carried",
-        F.last("_last_fresh", ignorenulls=True).over(
-            earlier.rowsBetween(Window.unboundedPreceding, -1)
-        ),
-    ).drop("_last_fresh")
-    return (
-        marked.withColumn("_near", F.last("_fresh", ignorenulls=True).over(here))
-        .filter("_continues")
-        .join(starts, ["_chunk", *keys])
-        .select(*keys, *order, F.coalesce("_near", "_carried").alias("_start"))
-    )
+    ends = text.endswith("RT")
 
+    def opens(own: Column) -> Column:
+        return ends & F.regexp_replace(own, RETWEET_MARK, " ").endswith("RT")
 
-def _stitched(texts: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Merge runs of texts that one retweet mark may span.
+    bits = {
+        kernels.JOINS: text.rlike(_NAME),
+        kernels.OPENS: F.when(ends, opens(text)),
+        kernels.OPENS_CUT: F.when(ends, opens(F.regexp_replace(text, _NAME, " "))),
+        kernels.JOINS_LAST: F.rtrim(text, F.lit(LINK_MARK_CHARACTERS)).rlike(_NAME),
+    }
+    mark = F.lit(0)
+    for bit, found in bits.items():
+        mark = mark + F.when(found, bit).otherwise(0)
+    return mark.cast("tinyint")
 
-    The mark is ``RT``, one whitespace, ``@name``, and the newline between two texts
-    is whitespace. Only groups that have both an open end and a name in front are
-    put in order for it; runs are rare, and only their rows move.
-    """
-    runs = _continuations(texts.filter("_may_join"), keys, order)
-    own = F.struct(*order)
-    heads = runs.select(*keys, "_start").distinct().withColumn("_in_run", F.lit(True))
-    tagged = (
-        texts.join(runs, [*keys, *order], "left")
-        .withColumn("_start", F.coalesce("_start", own))
-        .join(heads, [*keys, "_start"], "left")
-    )
-    rows = F.sort_array(F.collect_list(F.struct(own.alias("at"), "text")))
-    merged = (
-        tagged.filter("_in_run")
-        .groupBy(*keys, "_start")
-        .agg(
-            rows.alias("_rows"),
-            F.max("_is_first").alias("_is_first"),
-            F.max("_is_last").alias("_is_last"),
-        )
-        .select(
-            *keys,
-            *[F.col(f"_start.{c}").alias(c) for c in order],
-            F.array_join(F.transform("_rows", lambda r: r["text"]), "\n").alias("text"),
-            "_is_first",
-            "_is_last",
-        )
-    )
-    single = tagged.filter(F.col("_in_run").isNull()).select(*merged.columns)
-    return single.unionByName(merged)
 
+def _ordered_texts(texts: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """All texts of all groups in order, stored once; every later step reads this layout chunk by chunk.
 
-# --- corpora as lines and as strings -----------------------------------------------
+    Links end at whitespace, so removing them per text is removing them from the corpus.
+    """
+    unlinked = remove_short_links(remove_links(F.col("text")))
+    present = texts.filter(F.col("text").isNotNull()).select(*keys, *order, unlinked.alias("text"))
+    return _in_chunks(present.withColumn("_mark", _border_mark(F.col("text"))), keys, order)
 
 
-def corpus_sizes(texts: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Per group: number of texts, characters before cleaning, first and last position."""
-    return _sizes(_measured(texts, keys, order), keys, order).drop("_may_join")
+def _cleaner() -> kernels.Cleaner:
+    return kernels.Cleaner(_NAME, python_pattern(RETWEET_MARK), LINK_MARK_CHARACTERS, python_pattern(emoji_regex()))
 
 
-def _measured(texts: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Texts without links and what the sizes need, so that no later step shuffles text for it.
+_MARKS = (
+    "_group string, _chunk int, _first int, _single boolean, _after array<boolean>, "
+    "_stray array<string>, _whole boolean"
+)
+_CARRIES = (
+    "_group string, _chunk int, _open boolean, _earlier boolean, _later boolean, "
+    "_next_joins boolean, _append string"
+)
 
-    Links end at whitespace, so removing them per text is removing them from the corpus.
-    """
-    present = texts.filter(F.col("text").isNotNull())
-    unlinked = remove_short_links(remove_links(F.col("text")))
-    return present.select(
-        *keys, *order, F.length("text").alias("_chars"), unlinked.alias("text")
-    ).withColumns({"_opens": _opens(F.col("text")), "_joins": _joins(F.col("text"))})
 
+def _placed_texts(ordered: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Texts with ``_place``: whether a corpus begins or ends with them, and which marks cross their borders.
 
-def _sizes(measured: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    narrow = measured.select(*keys, F.struct(*order).alias("_at"), "_chars", "_opens", "_joins")
-    return narrow.groupBy(*keys).agg(
-        F.count("*").alias("n_texts"),
-        (F.sum("_chars") + F.count("*") - 1).alias("raw_chars"),
-        F.min("_at").alias("_first"),
-        F.max("_at").alias("_last"),
-        (F.max("_opens") & F.max("_joins")).alias("_may_join"),
-    )
+    Each chunk says of its first and last group how a mark passes through; a fold over
+    those statements (at most two per chunk) tells each chunk what it begins in.
+    """
+    head = F.when(F.col("_mark").bitwiseAND(kernels.JOINS) != 0, F.col("text")).alias("_head")
+    marks = ordered.select("_group", "_chunk", "_mark", head).mapInArrow(kernels.border_marks(_cleaner()), _MARKS)
+    carries = F.broadcast(marks.groupBy("_group").applyInPandas(kernels.fold_marks, _CARRIES))
+    started = ordered.join(carries, ["_group", "_chunk"], "left")
+    kept = [*keys, *order, "text", "_group", "_chunk", "_append"]
+    fields = [started.schema[c] for c in kept]
+    schema = T.StructType([*fields, T.StructField("_place", T.ByteType())])
+    return started.select(*kept, "_mark", *kernels.CARRIED).mapInArrow(kernels.place_texts(kept), schema)
 
 
-def _sized(texts: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    measured = _measured(texts, keys, order)
-    return measured.join(_sizes(measured, keys, order), list(keys))
+def _chunk_lines(ordered: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Pieces of cleaned lines in order, with ``_more`` where a removed mark joins two of them.
 
+    The link mark is stripped at the two ends of a corpus only.
+    """
 
-def _cleaned_lines(sized: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Lines of the cleaned corpus, never joining a whole corpus.
+    def at(bit: int) -> Column:
+        return F.col("_place").bitwiseAND(bit) != 0
 
-    The link mark is stripped at the two ends of the corpus only.
-    """
-    own = F.struct(*order)
-    ends = sized.withColumns(
-        {"_is_first": own == F.col("_first"), "_is_last": own == F.col("_last")}
-    )
     text = F.col("text")
     mark = F.lit(LINK_MARK_CHARACTERS)
-    text = F.when(F.col("_is_first"), F.ltrim(text, mark)).otherwise(text)
-    text = F.when(F.col("_is_last"), F.rtrim(text, mark)).otherwise(text)
-    text = remove_emoji(remove_retweet_mark(text))
+    text = F.when(at(kernels.FIRST), F.ltrim(text, mark)).otherwise(text)
+    text = F.when(at(kernels.LAST), F.rtrim(text, mark)).otherwise(text)
+    text = F.when(at(kernels.HEAD_CUT), F.regexp_replace(text, _NAME, "")).otherwise(text)
+    cleaned = _placed_texts(ordered, keys, order).withColumn("_clean", remove_retweet_mark(text))
+    whole = F.col("_clean")
+    cut = F.substring(whole, F.lit(1), F.length(whole) - 2)
+    cleaned = cleaned.withColumn("_clean", F.when(at(kernels.TAIL_CUT), cut).otherwise(whole))
+    cleaned = cleaned.withColumn("_lines", F.when(at(kernels.TAIL_CUT), F.size(text_lines(F.col("_clean")))))
     # outer, since a plain explode evaluates the cleaning once more to drop empty arrays
-    lines = F.posexplode_outer(text_lines(text)).alias("line_no", "line")
-    return _stitched(ends, keys, order).select(*keys, *order, lines)
+    pieces = cleaned.select(
+        *keys, *order, "_group", "_chunk", "_append", "_place", "_lines",
+        F.posexplode_outer(text_lines(F.col("_clean"))).alias("line_no", "line"),
+    )
+    continues = at(kernels.HEAD_CUT) & (F.col("line_no") == 0)
+    opens = F.coalesce(F.col("line_no") == F.col("_lines") - 1, F.lit(False))
+    more = F.when(continues, kernels.CONTINUES).otherwise(0) + F.when(opens, kernels.OPEN).otherwise(0)
+    joined = pieces.withColumn("_more", more.cast("tinyint"))
+    # a piece loses its emoji when its line is whole
+    line = F.when(F.col("_more") == 0, remove_emoji(F.col("line"))).otherwise(F.col("line"))
+    return joined.withColumn("line", line).drop("_place", "_lines")
+
+
+def _line_columns(keys: Sequence[str], order: Sequence[str]) -> list[str]:
+    return [*keys, *order, "line_no", "line", "_group", "_chunk"]
+
+
+# --- corpora as lines --------------------------------------------------------------
 
 
 def corpus_lines(texts: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Every line of every cleaned corpus: ``keys, order, line_no, line``."""
-    return _cleaned_lines(_sized(texts, keys, order), keys, order)
+    """Every line of every cleaned corpus: ``keys, order, line_no, line``.
+
+    A line that a mark across texts joined belongs to the first of them.
+    """
+    pieces = _chunk_lines(_ordered_texts(texts, keys, order), keys, order)
+    columns = _line_columns(keys, order)
+    schema = T.StructType([pieces.schema[c] for c in columns])
+    return pieces.mapInArrow(kernels.merge_lines(_cleaner(), columns), schema).drop("_group", "_chunk")
 
 
 def corpus_lengths(lines: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -235,14 +225,6 @@ def corpus_lengths(lines: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def _joined(sized: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    rows = F.sort_array(F.collect_list(F.struct(F.struct(*order).alias("at"), "text")))
-    joined = F.array_join(F.transform(rows, lambda r: r["text"]), "\n")
-    # the links are gone already
-    cleaned = remove_emoji(remove_retweet_mark(strip_link_mark(joined)))
-    return sized.groupBy(*keys).agg(cleaned.alias("corpus"))
-
-
 def topic_corpus(graph: Graph) -> DataFrame:
     """Lines of the corpus of every user and first-argmax topic."""
     return corpus_lines(topic_texts(graph), TOPIC_KEYS, TOPIC_ORDER)
@@ -256,14 +238,30 @@ def moderated_corpus(shares: DataFrame, metadata: DataFrame) -> DataFrame:
 # --- packing lines into batches ----------------------------------------------------
 
 
-_PIECE = "array<struct<from_fill:bigint,fill:bigint,batches:bigint>>"
+_SUMMARY = (
+    "_group string, _chunk int, _size bigint, _batches bigint, "
+    "_pieces array<struct<from_fill:bigint,fill:bigint,batches:bigint>>"
+)
+_STARTS = (
+    "_group string, _chunk int, _fill bigint, _batch bigint, _total bigint, _batches bigint, _head boolean"
+)
 
 
-def _carries(summaries: DataFrame, limit: int) -> DataFrame:
-    """Fill and number of the batch each chunk starts in, for groups that span chunks."""
-    return summaries.groupBy("_group").applyInPandas(
-        kernels.fold_chunks(limit), "_group string, _chunk int, _fill bigint, _batch bigint"
-    )
+def _starts(summaries: DataFrame, limit: int) -> DataFrame:
+    """Fill and number of the batch in which each chunk starts its first and last group.
+
+    Packing is sequential, but what a chunk of lines does depends only on how full
+    the batch is that it meets. Each chunk says that for every fill at once; a fold
+    over the chunks of a group gives each its start, and the group its total.
+    """
+    borders = summaries.filter(F.col("_pieces").isNotNull())
+    return borders.groupBy("_group").applyInPandas(kernels.fold_chunks(limit), _STARTS)
+
+
+def _with_starts(lines: DataFrame, starts: DataFrame) -> DataFrame:
+    """Lines with the start of their chunk and group; at most two rows per chunk are broadcast."""
+    carried = starts.select("_group", "_chunk", "_fill", "_batch")
+    return lines.join(F.broadcast(carried), ["_group", "_chunk"], "left")
 
 
 def pack_lines(
@@ -275,31 +273,81 @@ def pack_lines(
 ) -> DataFrame:
     """Add ``batch_no``: greedy packing of each group's lines, exact for a group of any size.
 
-    Packing is sequential, but what a chunk of lines does depends only on how full
-    the batch is that it meets. Each chunk says that for every fill at once; a fold
-    over the chunks of a group (at most one row per chunk) gives each its start; then
-    all chunks number their lines side by side.
+    ``packed_corpora`` does it for the lines of corpora without another ordering.
     """
     columns = lines.columns
-    sized = lines.withColumns(
-        {
-            "_group": F.to_json(F.struct(*keys)),
-            "_size": (F.length(text) + 1).cast("bigint"),
-        }
-    )
+    sized = lines.withColumn("_size", (F.length(text) + 1).cast("bigint"))
     chunks = _in_chunks(sized, keys, order)
-    summaries = chunks.select("_group", "_chunk", "_size").mapInArrow(
-        kernels.border_summaries(max_size), f"_group string, _chunk int, _size bigint, _pieces {_PIECE}"
-    )
-    # at most two rows per chunk, whatever the data
-    carries = F.broadcast(_carries(summaries, max_size))
-    started = chunks.join(carries, ["_group", "_chunk"], "left").select(
-        *columns, "_group", "_size", "_fill", "_batch"
-    )
+    narrow = chunks.select("_group", "_chunk", "_size")
+    summaries = narrow.mapInArrow(kernels.group_summaries(max_size), _SUMMARY)
+    started = _with_starts(chunks, _starts(summaries, max_size))
     schema = T.StructType([*lines.schema.fields, T.StructField("batch_no", T.LongType())])
     return started.mapInArrow(kernels.number_lines(max_size, columns), schema)
 
 
+@dataclass(frozen=True)
+class PackedCorpora:
+    """``groups``: keys, ``n_chars``, ``n_batches``. ``fragments``: keys, ``batch_no`` and parts of its text.
+
+    A batch is one fragment, or several in the order of ``(_chunk, _part)``.
+    """
+
+    groups: DataFrame
+    fragments: DataFrame
+
+
+def packed_corpora(
+    texts: DataFrame, keys: Sequence[str], order: Sequence[str], max_size: int = BATCH_CHARS
+) -> PackedCorpora:
+    """Clean every corpus and pack its lines greedily, reading the ordered texts twice.
+
+    The first reading tells the size of every group and where each chunk starts, the
+    second cuts the batches. An overlong first line leaves batch 0 empty, which then has
+    no fragment.
+    """
+    pieces = _chunk_lines(_ordered_texts(texts, keys, order), keys, order)
+    columns = _line_columns(keys, order)
+    merge = kernels.merge_lines(_cleaner(), columns)
+    summarise = kernels.chained(merge, kernels.with_sizes, kernels.group_summaries(max_size))
+    summaries = checkpointed(pieces.mapInArrow(summarise, _SUMMARY))
+    starts = checkpointed(_starts(summaries, max_size))
+
+    inner = summaries.filter(F.col("_pieces").isNull()).select("_group", "_size", "_batches")
+    totals = inner.unionByName(starts.filter("_head").select("_group", F.col("_total").alias("_size"), "_batches"))
+    key_schema = T.StructType([pieces.schema[k] for k in keys])
+    groups = totals.withColumn("_key", F.from_json("_group", key_schema)).select(
+        "_key.*", (F.col("_size") - 1).alias("n_chars"), F.col("_batches").alias("n_batches")
+    )
+
+    numbered = [*columns, "_size"]
+    cut = kernels.chained(
+        kernels.merge_lines(_cleaner(), [*columns, "_fill", "_batch"]),
+        kernels.with_sizes,
+        kernels.number_lines(max_size, numbered),
+        kernels.batch_fragments(keys),
+    )
+    fields = [pieces.schema[k] for k in keys]
+    more = T.StructType.fromDDL("batch_no bigint, _chunk int, _part bigint, _chars bigint, _text string")
+    fragments = _with_starts(pieces, starts).mapInArrow(cut, T.StructType([*fields, *more.fields]))
+    return PackedCorpora(groups, fragments)
+
+
+def corpus_batches(packed: PackedCorpora, keys: Sequence[str]) -> DataFrame:
+    """``keys, batch_no, batch``: every batch with the newline behind each line, the empty ones too."""
+    rows = F.sort_array(F.collect_list(F.struct("_chunk", "_part", "_text")))
+    text = F.array_join(F.transform(rows, lambda r: r["_text"]), "")
+    found = packed.fragments.groupBy(*keys, "batch_no").agg(text.alias("batch"))
+    first = packed.fragments.groupBy(*keys).agg(F.min("batch_no").alias("_least")).filter(F.col("_least") > 0)
+    empty = first.select(*keys, F.lit(0).cast("bigint").alias("batch_no"), F.lit("").alias("batch"))
+    return found.unionByName(empty)
+
+
+def _numbers(groups: DataFrame) -> DataFrame:
+    """Groups once for every batch: ``batch_no``."""
+    numbers = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n_batches") - 1))
+    return groups.withColumn("batch_no", numbers)
+
+
 def batch_sizes(packed: DataFrame, keys: Sequence[str], text: str = "line") -> DataFrame:
     """Characters of every batch, with the empty batch an overlong first line leaves."""
     sizes = packed.groupBy(*keys, "batch_no").agg(F.sum(F.length(text) + 1).alias("batch_chars"))
@@ -344,6 +392,31 @@ def sample_batches(
     )
 
 
+def sampled_texts(
+    packed: PackedCorpora, keys: Sequence[str], n: int = BATCHES_SAMPLED, seed: int = 42
+) -> DataFrame:
+    """``keys, pick, batch``: the sampled batches of every group with their texts."""
+    drawn = sample_batches(_numbers(packed.groups), keys, n, seed).select(*keys, "batch_no", "pick")
+    rows = F.sort_array(F.collect_list(F.struct("_chunk", "_part", F.coalesce("_text", F.lit("")).alias("_text"))))
+    joined = drawn.join(packed.fragments, [*keys, "batch_no"], "left").groupBy(*keys, "pick").agg(rows.alias("_rows"))
+    return joined.select(*keys, "pick", F.array_join(F.transform("_rows", lambda r: r["_text"]), "").alias("batch"))
+
+
+def _chosen_text(chosen: DataFrame, packed: PackedCorpora, keys: Sequence[str], between: Column) -> DataFrame:
+    """One text per group of its ``chosen`` batches in the order of ``pick``; ``between`` stands between two."""
+    named = chosen.columns
+    joined = chosen.join(packed.fragments, [*keys, "batch_no"], "left")
+    part = F.struct("pick", "_chunk", "_part", F.coalesce("_text", F.lit("")).alias("text"))
+    kept = [c for c in named if c not in ("batch_no", "pick")]
+    rows = joined.groupBy(*kept).agg(F.sort_array(F.collect_list(part)).alias("_rows"))
+
+    def with_border(row: Column, i: Column) -> Column:
+        begins = (i > 0) & (F.get("_rows", i - 1)["pick"] != row["pick"])
+        return F.concat(F.when(begins, between).otherwise(""), row["text"])
+
+    return rows.select(*kept, F.array_join(F.transform("_rows", with_border), "").alias("text"))
+
+
 # --- the gate ----------------------------------------------------------------------
 
 
@@ -358,53 +431,20 @@ def gate(
 ) -> DataFrame:
     """One bounded text per group: the whole corpus, or a sample of its batches.
 
-    ``keys, n_chars, sampled, text``. Groups that cannot exceed ``limit`` are joined
-    and cleaned as one string. The others are packed as lines; those that cleaning
-    brought within the limit are put together whole, the rest are sampled.
+    ``keys, n_chars, sampled, text``. The sizes of the packed groups decide which
+    batches are wanted; only their texts are put together.
     """
-    sized = _sized(texts, keys, order)
-    short = _joined(sized.filter(F.col("raw_chars") <= limit), keys, order).select(
-        *keys,
-        F.length("corpus").cast("bigint").alias("n_chars"),
-        F.lit(False).alias("sampled"),
-        F.col("corpus").alias("text"),
-    )
-    line_order = [*order, "line_no"]
-    lines = _cleaned_lines(sized.filter(F.col("raw_chars") > limit), keys, order)
-    packed = pack_lines(lines, keys, line_order, max_size)
-
-    batches = batch_sizes(packed, keys)
-    totals = batches.groupBy(*keys).agg((F.sum("batch_chars") - 1).alias("n_chars"))
-    counted = batches.join(totals, list(keys))
-    whole = counted.filter(F.col("n_chars") <= limit).withColumns(
-        {"pick": F.col("batch_no").cast("int"), "sampled": F.lit(False)}
-    )
-    drawn = sample_batches(counted.filter(F.col("n_chars") > limit), keys, n, seed).withColumn(
-        "sampled", F.lit(True)
-    )
-    chosen = whole.unionByName(drawn)
-    texts_of = batch_texts(
-        packed.join(chosen.select(*keys, "batch_no"), [*keys, "batch_no"], "left_semi"),
-        keys,
-        line_order,
-    )
-    picks = F.sort_array(F.collect_list(F.struct("pick", F.coalesce("batch", F.lit("")).alias("batch"))))
-    parts = F.transform("_picks", lambda p: p["batch"])
-    joined = F.array_join(parts, "")
-    long = (
-        chosen.join(texts_of, [*keys, "batch_no"], "left")
-        .groupBy(*keys, "n_chars", "sampled")
-        .agg(picks.alias("_picks"))
-        .select(
-            *keys,
-            "n_chars",
-            "sampled",
-            F.when(F.col("sampled"), F.array_join(parts, "\n"))
-            .otherwise(F.substring(joined, F.lit(1), F.length(joined) - 1))
-            .alias("text"),
-        )
+    packed = packed_corpora(texts, keys, order, max_size)
+    groups = packed.groups.withColumn("sampled", F.col("n_chars") > limit)
+    whole = _numbers(groups.filter(~F.col("sampled"))).withColumn("pick", F.col("batch_no").cast("int"))
+    drawn = sample_batches(_numbers(groups.filter("sampled")), keys, n, seed)
+    chosen = whole.unionByName(drawn).drop("n_batches")
+    joined = _chosen_text(chosen, packed, keys, F.when(F.col("sampled"), "\n").otherwise(""))
+    text = F.col("text")
+    # a whole corpus has no newline behind its last line
+    return joined.withColumn(
+        "text", F.when(F.col("sampled"), text).otherwise(F.substring(text, F.lit(1), F.length(text) - 1))
     )
-    return short.unionByName(long)
 
 
 # --- extractive summary ------------------------------------------------------------

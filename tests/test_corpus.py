@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 from collections import defaultdict
 from datetime import datetime, timedelta
 
@@ -78,6 +79,47 @@ def test_lines_of_hot_groups_with_marks_across_texts(many_chunks):
     assert {g: "\n".join(v) for g, v in got.items()} == expected()
 
 
+PARTS = ["RT", "RT ", "@bob", "@b", "@kin", "@blink", "x", "link", "\n", " ", "RTRT", "5", "\ufe0f\u20e3", "\U0001f600", "RT @al", "@SMART"]
+
+
+def whole_corpus(texts):
+    """The rules on one string."""
+    corpus = "\n".join(re.sub(r"bit[^\n]ly/\S+", "", re.sub(r"http\S+", "", t)) for t in texts)
+    corpus = re.sub(r"RT\s@[A-Za-z]+[A-Za-z0-9_-]+", "", corpus.strip("[link]"))
+    return re.sub("[#*0-9]\ufe0f?\u20e3|[\ufe0f\u20e3\U0001f600]+", "", corpus)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_marks_across_texts_and_chunks_equal_one_string(many_chunks, seed):
+    rng = random.Random(seed)
+    groups = {}
+    for g in range(12):
+        n = rng.choice([1, 2, 3, 5, 60])
+        groups[f"g{g}"] = ["".join(rng.choices(PARTS, k=rng.randint(0, 3))) for _ in range(n)]
+    # a line that goes through many texts, and so through several chunks
+    groups["chain"] = ["a RT", *[f"@n{'x' * i} RT" for i in range(40)], "@end", "b"]
+    groups["turns"] = ["RT", *["@xyRT"] * 41]
+    rows = [(g, START + timedelta(hours=i), i, t) for g, texts in groups.items() for i, t in enumerate(texts)]
+    rng.shuffle(rows)
+    settings = {"spark.sql.execution.arrow.maxRecordsPerBatch": rng.choice(["1", "2", "3", "10000"])}
+    before = many_chunks.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    many_chunks.conf.set(*settings.popitem())
+    try:
+        packed = cp.packed_corpora(frame(many_chunks, rows), KEYS, ORDER, 12)
+        batches = cp.corpus_batches(packed, KEYS).collect()
+        sizes = {r["g"]: (r["n_chars"], r["n_batches"]) for r in packed.groups.collect()}
+        lines = cp.corpus_lines(frame(many_chunks, rows), KEYS, ORDER).collect()
+    finally:
+        many_chunks.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    for g, texts in groups.items():
+        want = whole_corpus(texts)
+        own = sorted((r for r in lines if r["g"] == g), key=lambda r: (r["date"], r["tweetid"], r["line_no"]))
+        assert "\n".join(r["line"] for r in own) == want
+        cut = [r["batch"] for r in sorted((r for r in batches if r["g"] == g), key=lambda r: r["batch_no"])]
+        assert sizes[g] == (len(want), len(cut))
+        check_batches(want, [b for b in cut if b], 12)
+
+
 def test_lengths(spark):
     lines = cp.corpus_lines(frame(spark, posts()), KEYS, ORDER)
     lengths = {r["g"]: (r["n_lines"], r["n_chars"]) for r in cp.corpus_lengths(lines, KEYS).collect()}
@@ -116,9 +158,11 @@ def test_gate(many_chunks):
         assert r["n_chars"] == len(want[group]) and r["sampled"] == (len(want[group]) > limit)
         if not r["sampled"]:
             assert r["text"] == want[group]
+    packed = cp.packed_corpora(rows.filter("g = 'hot'"), KEYS, ORDER, size)
+    texts = {r["batch_no"]: r["batch"] for r in cp.corpus_batches(packed, KEYS).collect()}
     lines = cp.corpus_lines(rows.filter("g = 'hot'"), KEYS, ORDER)
-    batches = cp.batch_texts(cp.pack_lines(lines, KEYS, [*ORDER, "line_no"], size), KEYS, [*ORDER, "line_no"])
-    texts = {r["batch_no"]: r["batch"] for r in batches.collect()}
+    again = cp.batch_texts(cp.pack_lines(lines, KEYS, [*ORDER, "line_no"], size), KEYS, [*ORDER, "line_no"])
+    assert texts == {r["batch_no"]: r["batch"] for r in again.collect()}
     assert len(texts) > n
     draw = sorted(texts, key=lambda k: hashlib.md5(f"1|hot|{k}".encode()).hexdigest())
     assert gated["hot"]["text"] == "\n".join(texts[k] for k in draw[:n])
