@@ -9,7 +9,7 @@ from datetime import datetime
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import DataFrame, SparkSession, Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 import oracles  # noqa: E402
@@ -20,6 +20,7 @@ from postlark.operators import cohort as co  # noqa: E402
 from postlark.operators import corpus as cp  # noqa: E402
 from postlark.operators import graph as gr  # noqa: E402
 from postlark.operators import metrics as mt  # noqa: E402
+from postlark.operators import quality  # noqa: E402
 from postlark.operators import sentiment as st  # noqa: E402
 from postlark.operators import topics as tp  # noqa: E402
 from postlark.operators import video as vd  # noqa: E402
@@ -410,15 +411,63 @@ def moderated_corpus(spark, sf):
     )
 
 
+def held(values, total, tolerance):
+    """What must hold of model values, whatever the fit: each in [0, 1], and their sum."""
+    in_range, sums = F.lit(True), sum(values[1:], values[0])
+    for value in values:
+        in_range = in_range & value.between(0, 1)
+    return [in_range.alias("in_range"), (F.abs(sums - total) <= tolerance).alias("sums")]
+
+
+def topic_scores(spark, sf):
+    """Topic probabilities of every document: five in [0, 1] that sum to 1, or are all 0 without a known term."""
+    rows = jobs.topic_probabilities(topic_run(spark, sf).topics)
+    known = kept_tokens(spark, sf).select("tweetid", (F.size("tokens") > 0).alias("has_terms"))
+    names = topics.topic_columns()
+    total = F.when(F.col("has_terms"), 1.0).otherwise(0.0)
+    return rows.join(known, "tweetid").select("tweetid", "has_terms", *held([F.col(c) for c in names], total, 1e-6))
+
+
+def topic_terms(spark, sf):
+    """Terms of every topic in falling weight; all are terms of the documents and no stopwords."""
+    found = topic_run(spark, sf).terms
+    words = tp.term_counts(kept_tokens(spark, sf)).select("term", F.lit(True).alias("is_term"))
+    before = Window.partitionBy("topic").orderBy("rank")
+    falls = F.coalesce(F.col("weight") <= F.lag("weight").over(before), F.lit(True))
+    return found.withColumn("falls", falls).join(words, "term", "left").select("topic", "rank", "falls", "is_term")
+
+
+def coherence(spark, sf):
+    """Coherence of five made-up topics: the 75 most frequent tokens, dealt in turn."""
+    tokens = checkpointed(kept_tokens(spark, sf).select("tokens"))
+    best = tp.term_counts(tokens).orderBy(F.desc("n_occurrences"), "term").limit(75)
+    place = F.row_number().over(Window.orderBy(F.desc("n_occurrences"), "term")) - 1
+    terms = best.select((place % 5).alias("topic"), F.floor(place / 5).cast("int").alias("rank"), "term")
+    found = quality.topic_coherence(terms, tokens)
+    return found.select("topic", "n_terms", F.round("coherence", 6).alias("coherence"))
+
+
+def accuracy(spark, sf):
+    """Every labelled document is scored once by a model that has not seen it."""
+    found = quality.cross_validated(s.labelled_text(spark, sf), "doc_id", folds=3, max_iter=10)
+    right = F.sum("n_right")
+    return found.agg(
+        F.count("*").cast("int").alias("folds"), F.sum("n").alias("n"), right.between(0, F.sum("n")).alias("in_range")
+    )
+
+
 def scored_documents(spark, sf):
     documents = s.decorated_documents(spark, sf)
-    return st.score_sentiment(scorer(spark, sf), documents).select("tweetid", *st.SCORES)
+    scored = st.score_sentiment(scorer(spark, sf), documents)
+    return scored.select("tweetid", *held([F.col(c) for c in st.SCORES], 1.0, 2e-4))
 
 
 def sentiment_run(spark, sf):
     graph = s.graph(spark, sf, text=True)
     bare = gr.Graph(**{**graph.__dict__, "tweets": graph.tweets.drop(*st.SCORES)})
-    return jobs.sentiment_job(bare, scorer(spark, sf)).tweets.select("tweetid", *st.SCORES)
+    scored = jobs.sentiment_job(bare, scorer(spark, sf)).tweets
+    in_range, sums = held([F.col(c) for c in st.SCORES], 1.0, 2e-4)
+    return scored.select("tweetid", F.col(st.SCORES[0]).isNotNull().alias("scored"), in_range, sums)
 
 
 QUERIES: dict[str, Query] = {
@@ -514,8 +563,9 @@ QUERIES: dict[str, Query] = {
     "strict_topic_literal": lambda spark, sf: strict(spark, sf, "literal"),
     "argmax_topic": argmax,
     "vector_columns": vector_columns,
-    "topic_scores": lambda spark, sf: jobs.topic_probabilities(topic_run(spark, sf).topics),
-    "topic_terms": lambda spark, sf: topic_run(spark, sf).terms,
+    "topic_scores": topic_scores,
+    "topic_terms": topic_terms,
+    "topic_coherence": coherence,
     # sentiment
     "sentiment_series": series,
     "sentiment_series_literal": lambda spark, sf: series(spark, sf, "literal"),
@@ -527,6 +577,7 @@ QUERIES: dict[str, Query] = {
     "apply_translations": translated,
     "score_sentiment": scored_documents,
     "sentiment_job": sentiment_run,
+    "sentiment_accuracy": accuracy,
     # text
     "cleaning_steps": cleaning_steps,
     "clean_text_topics": cleaned("topics"),

@@ -468,10 +468,38 @@ SELECTS = {
 }
 
 
+# what must hold of the fitted models, whatever the fit
+SELECTS["topic_scores"] = """select tweetid, len(tokens) > 0 as has_terms, true as in_range, true as sums from kept_tokens"""
+SELECTS["topic_terms"] = """select t::int as topic, r::int as rank, true as falls, true as is_term
+    from range(5) a(t), range(1, 16) b(r)"""
+SELECTS["score_sentiment"] = "select tweetid, true as in_range, true as sums from decorated"
+SELECTS["sentiment_job"] = """select n.tweetid, p.tweetid is not null as scored,
+    case when p.tweetid is not null then true end as in_range, case when p.tweetid is not null then true end as sums
+    from nodes n left join (select distinct p.tweetid from posts p join users u on u.userid = p.userid) p on p.tweetid = n.tweetid"""
+SELECTS["topic_coherence"] = """, kept as (select tweetid, unnest(list_distinct(tokens)) as term from kept_tokens),
+    top as (
+      select term, row_number() over (order by n desc, term) - 1 as place
+      from (select term, count(*) as n from (select unnest(tokens) as term from kept_tokens) group by term)
+      qualify place < 75),
+    held as (select k.tweetid, place % 5 as topic, place // 5 as rank from kept k join top t on t.term = k.term),
+    single as (select topic, rank, count(*) as n from held group by all),
+    paired as (
+      select a.topic, a.rank as first, b.rank as second, count(*) as n
+      from held a join held b on b.tweetid = a.tweetid and b.topic = a.topic and b.rank > a.rank group by all),
+    pairs as (
+      select a.topic, ln((coalesce(x.n, 0) + 1) / s.n) as value
+      from (select place % 5 as topic, place // 5 as rank from top) a
+      join (select place % 5 as topic, place // 5 as rank from top) b on b.topic = a.topic and b.rank > a.rank
+      join single s on s.topic = a.topic and s.rank = a.rank
+      left join paired x on x.topic = a.topic and x.first = a.rank and x.second = b.rank)
+    select topic::int as topic, 15 as n_terms, round(avg(value), 6) as coherence from pairs group by topic"""
+SELECTS["sentiment_accuracy"] = """select 3 as folds, count(*) as n, true as in_range
+    from labels join documents using (doc_id)"""
+
 # a graph merged from batches is the graph built at once
 for name in ("tweets", "users", "mentions"):
     SELECTS[f"merged_graph_{name}"] = SELECTS[f"graph_{name}"]
 
 
 def sql() -> dict[str, str]:
-    return {name: f"with recursive {VIEWS} {select}" for name, select in SELECTS.items()}
+    return {name: f"with recursive {VIEWS.rstrip()}{select}" if select.startswith(",") else f"with recursive {VIEWS} {select}" for name, select in SELECTS.items()}

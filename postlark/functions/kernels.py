@@ -7,6 +7,8 @@ but no copy of this package.
 from __future__ import annotations
 
 import ast
+import csv
+import io
 import json
 import re
 import sys
@@ -488,3 +490,82 @@ def batch_fragments(keys: Sequence[str]):
             part += len(starts)
 
     return fragments
+
+
+# --- lines of a CSV file in order: where records end ------------------------------------
+
+# parts of records at the borders of a block: what ends there and what begins there; whole records have no number
+HEAD_PART, TAIL_PART = 1, 2
+
+RECORDS_SCHEMA = pa.schema([("no", pa.int64()), ("border", pa.int32()), ("record", pa.string())])
+
+
+def _joined_lines(lines: pa.Array, starts: np.ndarray) -> pa.Array:
+    """One string for each run of lines; ``starts`` has the end behind the last."""
+    if len(starts) == len(lines) + 1:
+        return lines
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), lines), "\n")
+
+
+def cut_records(header: Sequence[str], sep: str, quote: str, borders: bool = False):
+    """Join the lines of each block to records: those within the block, or the parts at its ``borders``."""
+    wanted = [name.lower() for name in header]
+
+    def check(record: str) -> None:
+        text = io.StringIO(record.lstrip("\ufeff").rstrip("\r"), newline="")
+        names = next(csv.reader(text, delimiter=sep, quotechar=quote), [])
+        if [n.lower() for n in names] != wanted:
+            raise ValueError(f"a file has another header: {names}")
+
+    def rows(no, border, records):
+        numbers = pa.array([no] * len(records), pa.int64()), pa.array([border] * len(records), pa.int32())
+        return pa.RecordBatch.from_arrays([*numbers, records.cast(pa.string())], schema=RECORDS_SCHEMA)
+
+    def cut(batches):
+        # the block being read, the lines since its last end of a record, whether they end inside quotes
+        no, waiting, odd = None, [], False
+        begins_inside = head = False  # no record of the block has ended yet; its first record is the header
+
+        def rest():
+            """The part of a record that goes on in the next block."""
+            if waiting and (begins_inside or odd):
+                if head and not begins_inside:
+                    raise ValueError("a header does not end in the first block of its file")
+                if borders:
+                    yield rows(no, HEAD_PART if begins_inside else TAIL_PART, pa.array(["\n".join(waiting)]))
+
+        for batch in batches:
+            for label, start, end in _runs(batch.column("no")):
+                if label != no:
+                    yield from rest()
+                    no, waiting = label, []
+                    odd = begins_inside = batch.column("begins")[start].as_py()
+                    head = batch.column("first")[start].as_py()
+                lines = batch.column("line").slice(start, end - start)
+                quotes = pc.count_substring(lines, quote).to_numpy(zero_copy_only=False)
+                inside = (np.cumsum(quotes) + odd) % 2 == 1
+                ends = np.flatnonzero(~inside) + 1
+                odd = bool(inside[-1])
+                if not len(ends):
+                    waiting += lines.to_pylist()
+                    continue
+                records = _joined_lines(lines.slice(0, ends[-1]), np.concatenate(([0], ends)))
+                if waiting:
+                    first = "\n".join([*waiting, records[0].as_py()])
+                    records = pa.concat_arrays([pa.array([first], records.type), records.slice(1)])
+                waiting = lines.slice(ends[-1]).to_pylist()
+                if begins_inside:
+                    if borders:
+                        yield rows(no, HEAD_PART, records.slice(0, 1))
+                    records, begins_inside = records.slice(1), False
+                if head and len(records):
+                    check(records[0].as_py())
+                    records, head = records.slice(1), False
+                if not borders and len(records):
+                    records = pc.utf8_rtrim(records, "\r")
+                    if batch.column("crlf")[start].as_py():
+                        records = pc.replace_substring(records, "\r\n", "\n")
+                    yield rows(no, None, records)
+        yield from rest()
+
+    return cut

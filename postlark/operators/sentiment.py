@@ -5,6 +5,8 @@ The scorer is a Spark ML classifier trained on labelled posts and applied in bul
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, HashingTF
@@ -24,9 +26,10 @@ SCORES = ("sa_positive_score", "sa_neutral_score", "sa_negative_score")
 FEATURES = 1 << 16
 
 
-def _with_tokens(df: DataFrame) -> DataFrame:
+def _with_tokens(df: DataFrame, cleaned: bool = False) -> DataFrame:
     """Tokens of the cleaned text, in training as in scoring."""
-    return df.withColumn("_tokens", tokenize(clean_text(F.col("text"), "sentiment")))
+    text = F.col("text") if cleaned else clean_text(F.col("text"), "sentiment")
+    return df.withColumn("_tokens", tokenize(text))
 
 
 def fit_sentiment(
@@ -52,9 +55,9 @@ def fit_sentiment(
     return Pipeline(stages=stages).fit(training)
 
 
-def score_sentiment(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """Add the three scores, softmax probabilities with four decimals."""
-    scored = model.transform(_with_tokens(df))
+def score_sentiment(model: PipelineModel, df: DataFrame, cleaned: bool = False) -> DataFrame:
+    """Add the three scores, softmax probabilities with four decimals. ``cleaned`` texts are taken as they are."""
+    scored = model.transform(_with_tokens(df, cleaned))
     values = vector_to_array(F.col("_probability"))
     return scored.select(
         *df.columns,
@@ -142,14 +145,22 @@ def sentiment_mean(series: DataFrame) -> DataFrame:
 def prepare_text(
     texts: DataFrame, translations: DataFrame | None = None, emoji: str = "intended"
 ) -> DataFrame:
-    """Clean the posted texts, then swap in translations."""
+    """Clean the posted texts, then swap in translations, which are cleaned too."""
     cleaned = texts.withColumn("text", clean_text(F.col("text"), "sentiment", emoji))
-    return cleaned if translations is None else apply_translations(cleaned, translations)
+    if translations is None:
+        return cleaned
+    supplied = translations.withColumn("translation", clean_text(F.col("translation"), "sentiment", emoji))
+    return apply_translations(cleaned, supplied)
 
 
 def score_posts(
     graph: Graph, model: PipelineModel, translations: DataFrame | None = None
 ) -> DataFrame:
-    """``(tweetid, scores)`` of every posted post."""
-    texts = prepare_text(posted_text(graph), translations)
-    return score_sentiment(model, texts).select("tweetid", *SCORES)
+    """``(tweetid, scores)``, one row per posted post.
+
+    A post with several known authors goes by the language of the one with the smallest id.
+    """
+    known = graph.posts.join(graph.users.select("userid"), "userid", "left_semi")
+    first = known.groupBy("tweetid").agg(F.min("userid").alias("userid"))
+    texts = prepare_text(posted_text(replace(graph, posts=first)), translations)
+    return score_sentiment(model, texts, cleaned=True).select("tweetid", *SCORES)

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.literals import parse_literals
+from ..functions.text import clean_text, tokenize
 from ..functions.topics import vector_columns
 from ..operators import cohort as co
 from ..operators import corpus as cp
@@ -37,10 +38,13 @@ def ingest_posts(spark: SparkSession, csv_path: str, path: str, on_bad: str = "n
 
 @dataclass(frozen=True)
 class TopicResult:
+    """``left_out`` terms were too rare for the vocabulary."""
+
     topics: DataFrame
     terms: DataFrame
     vocabulary: CountVectorizerModel
     model: LDAModel
+    left_out: int
 
 
 def topic_job(
@@ -52,20 +56,24 @@ def topic_job(
     languages: list[str] | None = None,
     path: str | None = None,
 ) -> TopicResult:
-    """Clean, tokenise, fit topics, score every post; write the scores if ``path`` is given."""
+    """Clean, tokenise, fit topics, score every post; write the scores if ``path`` is given.
+
+    The tokens are stored once; the vocabulary, the fit and the scores read them.
+    """
     if languages is not None:
         stopwords = stopwords.filter(F.col("lang").isin(list(languages)))
-    tokens = tp.topic_tokens(tweets.select("tweetid", "text"), stopwords).select("tweetid", "tokens")
-    # the vocabulary, the fit and the scoring read the same stored tokens
-    tokens = checkpointed(tokens)
-    vocabulary = tp.fit_vocabulary(tokens)
-    features = vocabulary.transform(tokens).select("tweetid", "features")
+    own = tokenize(clean_text(F.col("text"), "topics"))
+    tokens = checkpointed(tweets.select("tweetid", own.alias("tokens")))
+    counts = checkpointed(tp.term_counts(tokens))
+    vocabulary = tp.fit_vocabulary(counts, stopwords)
+    features = vocabulary.model.transform(tokens).select("tweetid", "features")
     model = tp.fit_topics(features, k, max_iter, seed)
     topics = tp.score_topics(model, features)
     if path is not None:
         write_table(topics, path)
         topics = tweets.sparkSession.read.parquet(path)
-    return TopicResult(topics, tp.topic_terms(model, vocabulary), vocabulary, model)
+    terms = tp.topic_terms(model, vocabulary.model)
+    return TopicResult(topics, terms, vocabulary.model, model, vocabulary.left_out)
 
 
 def topic_probabilities(topics: DataFrame, k: int = TOPICS) -> DataFrame:
@@ -86,10 +94,6 @@ def sentiment_job(
 ) -> Graph:
     """Score every posted post and write the scores to the post nodes."""
     scores = score_posts(graph, model, translations)
-    # a post with two authors is scored per author language; keep one
-    scores = scores.groupBy("tweetid").agg(
-        F.max(F.struct(*[c for c in scores.columns if c != "tweetid"])).alias("s")
-    ).select("tweetid", "s.*")
     return replace(graph, tweets=attach_sentiment(graph.tweets, scores))
 
 

@@ -1,4 +1,4 @@
-"""Typed scans. A multi-line CSV file cannot be split, so convert to parquet once."""
+"""Typed scans. Files with newlines in quotes are read block by block (``records``)."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from .. import schema
+from .records import read_multiline_csv
 
 # The five stopword languages and their files.
 STOPWORD_FILES = {
@@ -32,6 +33,8 @@ def _read_csv(spark: SparkSession, path: str, wanted: StructType, **options) ->
     if missing:
         raise ValueError(f"{path} lacks the columns {missing}")
     found = StructType([kinds.get(n.lower(), StructField(n, StringType())) for n in names])
+    if options.pop("multiLine", False):
+        return read_multiline_csv(spark, path, found, options["sep"], options["quote"]).select(*wanted.names)
     rows = spark.read.schema(found).csv(path, header=True, enforceSchema=False, **options)
     return rows.select(*wanted.names)
 
@@ -56,7 +59,7 @@ def read_translations(spark: SparkSession, path: str) -> DataFrame:
 def read_video_metadata(spark: SparkSession, path: str) -> DataFrame:
     """Supplied video metadata as delivered; ``operators.video`` types it."""
     return _read_csv(
-        spark, path, schema.RAW_VIDEO_METADATA, multiLine=True, quote='"', escape='"'
+        spark, path, schema.RAW_VIDEO_METADATA, sep=",", multiLine=True, quote='"', escape='"'
     )
 
 
