@@ -405,6 +405,36 @@ def gated(spark, sf):
     return cp.gate(topic_texts(spark, sf), cp.TOPIC_KEYS, cp.TOPIC_ORDER)
 
 
+def summarised(found, keys, known=None):
+    """What holds of every summary, and the words in lines of the text that have a token."""
+    words = F.transform(text.text_lines(F.col("text")), lambda x: F.regexp_extract_all(x, F.lit("[^ \\t]+"), F.lit(0)))
+    spoken = F.filter(words, lambda w: F.size(text.tokenize(F.array_join(w, " "))) > 0)
+    available = F.aggregate(spoken, F.lit(0), lambda n, w: n + F.size(w)).cast("bigint")
+    lines = F.transform(words, lambda w: F.array_join(w, " "))
+
+    def is_line(line):
+        own = F.array_join(F.regexp_extract_all(line, F.lit("[^ \\t]+"), F.lit(0)), " ")
+        return F.exists(lines, lambda x: F.startswith(x, own))
+
+    least = F.least(F.lit(cp.SUMMARY_LEAST), available)
+    return found.select(
+        *keys,
+        "sampled",
+        (available if known is None else F.when(known, available)).alias("n_available"),
+        F.col("n_words").between(least, cp.SUMMARY_WORDS).alias("within"),
+        F.forall(text.text_lines(F.col("summary")), is_line).alias("of_text"),
+    )
+
+
+def topic_summaries(spark, sf):
+    return summarised(jobs.topic_summaries(s.graph(spark, sf, text=True)), cp.TOPIC_KEYS)
+
+
+def moderated_summaries(spark, sf):
+    found = jobs.moderated_summaries(shares(spark, sf), s.video_metadata(spark, sf))
+    return summarised(found, cp.VIDEO_KEYS, ~F.col("sampled"))
+
+
 def moderated_corpus(spark, sf):
     return cp.moderated_corpus(shares(spark, sf), s.video_metadata(spark, sf)).select(
         "userid", "line"
@@ -623,7 +653,8 @@ QUERIES: dict[str, Query] = {
     "packed_batches": packed_batches,
     "sampled_batches": sampled_batches,
     "gate": gated,
-    "topic_summaries": lambda spark, sf: jobs.topic_summaries(s.graph(spark, sf, text=True)),
+    "topic_summaries": topic_summaries,
+    "moderated_summaries": moderated_summaries,
     "moderated_corpus": moderated_corpus,
 }
 

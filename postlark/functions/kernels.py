@@ -10,6 +10,7 @@ import ast
 import csv
 import io
 import json
+import math
 import re
 import sys
 from collections.abc import Iterator, Sequence
@@ -569,3 +570,63 @@ def cut_records(header: Sequence[str], sep: str, quote: str, borders: bool = Fal
         yield from rest()
 
     return cut
+
+
+# --- the summary of one text ----------------------------------------------------------
+
+
+def summary(text: str, token: re.Pattern, most: int, least: int) -> tuple[str, int]:
+    """Lines of ``text`` in their order, chosen one by one for the most new weight per word, and their words.
+
+    A token weighs more the fewer lines hold it, and counts once, so lines that repeat
+    chosen ones fall behind. Lines that do not fit are passed over; if none fits and
+    the summary has fewer than ``least`` words, the best line left is cut to the rest.
+    """
+    lines, words, tokens = [], [], []
+    for line in text.split("\n"):
+        own = set(token.findall(line.lower()))
+        if own:
+            lines.append(line)
+            words.append(re.findall("[^ \t]+", line))
+            tokens.append(own)
+    holders: dict[str, list[int]] = {}
+    for k, own in enumerate(tokens):
+        for t in own:
+            holders.setdefault(t, []).append(k)
+    weight = {t: round(math.log((len(lines) + 1) / (len(ks) + 1)), 9) for t, ks in holders.items()}
+    # whole numbers, so that the order of the sums does not matter
+    new = np.array([sum(round(weight[t] * 1e9) for t in own) for own in tokens], np.int64)
+    sizes = np.array([len(w) for w in words], np.int64)
+    free, left, chosen = np.ones(len(lines), bool), most, {}
+    while True:
+        fits = np.flatnonzero(free & (sizes <= left))
+        if not len(fits):
+            break
+        k = int(fits[np.argmax(new[fits] / sizes[fits])])
+        if new[k] <= 0 and most - left >= least:
+            break
+        chosen[k] = lines[k]
+        free[k] = False
+        left -= int(sizes[k])
+        for t in tokens[k]:
+            for other in holders.pop(t, ()):
+                new[other] -= round(weight[t] * 1e9)
+    if most - left < least and free.any():
+        rest = np.flatnonzero(free)
+        k = int(rest[np.argmax(new[rest] / sizes[rest])])
+        chosen[k] = " ".join(words[k][:left])
+        left = 0
+    return "\n".join(chosen[k] for k in sorted(chosen)), most - left
+
+
+def summaries(token: str, most: int, least: int):
+    """Add ``summary`` and ``n_words`` to rows with a short ``text``."""
+    pattern = re.compile(token)
+
+    def add(batches):
+        for batch in batches:
+            found = [summary(t or "", pattern, most, least) for t in batch.column("text").to_pylist()]
+            columns = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.int64())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, "summary", "n_words"])
+
+    return add

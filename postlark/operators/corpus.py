@@ -22,13 +22,14 @@ from ..functions import kernels
 from ..functions.emoji import emoji_regex, remove_emoji
 from ..functions.text import (
     LINK_MARK_CHARACTERS,
+    MIN_TOKEN_LENGTH,
     RETWEET_MARK,
+    TOKEN_CHARACTERS,
     python_pattern,
     remove_links,
     remove_retweet_mark,
     remove_short_links,
     text_lines,
-    tokenize,
 )
 from ..functions.topics import argmax_topic, probabilities
 from ..schema import TOPICS
@@ -38,7 +39,7 @@ from .video import moderated_shares
 
 # The study's corpus settings and summary length.
 GATE_CHARS, BATCH_CHARS, BATCHES_SAMPLED = 12_000, 1_000, 12
-SUMMARY_WORDS = 150
+SUMMARY_LEAST, SUMMARY_WORDS = 100, 150
 
 
 # --- which texts form which corpus -------------------------------------------------
@@ -451,51 +452,15 @@ def gate(
 
 
 def extractive_summary(
-    texts: DataFrame, keys: Sequence[str], max_words: int = SUMMARY_WORDS, text: str = "text"
+    texts: DataFrame, keys: Sequence[str], max_words: int = SUMMARY_WORDS, min_words: int = SUMMARY_LEAST
 ) -> DataFrame:
-    """Best lines of each (gated, so short) text within ``max_words``, in text order.
+    """Add ``summary`` and ``n_words``: the best lines of each gated, so short, ``text`` in their order.
 
-    A line's weight is the mean inverse frequency of its tokens among the lines of
-    its text. Lines are taken by weight while they fit the budget in turn; a line
-    longer than the budget counts as its first ``max_words`` words, so a text with a
-    token has a summary. A text without one has an empty summary.
+    Lines are chosen greedily by the weight of their new tokens per word, until none
+    fits into ``max_words``. A text with ``min_words`` words in lines with a token has
+    at least as many in its summary; a text without such a line has an empty one.
     """
-    words = F.split(F.trim("line"), "[ \\t]+")
-    long = F.size(words) > max_words
-    lines = (
-        texts.select(*keys, F.posexplode_outer(text_lines(F.col(text))).alias("pos", "line"))
-        .withColumn("line", F.when(long, F.array_join(F.slice(words, 1, max_words), " ")).otherwise(F.col("line")))
-        .withColumn("tokens", tokenize(F.col("line")))
-        .withColumn("n_words", F.size(words))
-        .filter(F.size("tokens") > 0)
-    )
-    occurrences = (
-        lines.select(*keys, "pos", F.size("tokens").alias("n_tokens"), F.explode_outer("tokens").alias("token"))
-        .groupBy(*keys, "pos", "n_tokens", "token")
-        .agg(F.count("*").alias("tf"))
-    )
-    frequency = occurrences.groupBy(*keys, "token").agg(F.count("*").alias("df"))
-    line_count = lines.groupBy(*keys).agg(F.count("*").alias("n_lines"))
-    idf = F.log((F.col("n_lines") + 1) / (F.col("df") + 1))
-    weights = (
-        occurrences.join(frequency, [*keys, "token"])
-        .join(line_count, list(keys))
-        .groupBy(*keys, "pos")
-        .agg(F.round(F.sum(F.col("tf") * idf / F.col("n_tokens")), 6).alias("weight"))
-    )
-    best = Window.partitionBy(*keys).orderBy(F.desc("weight"), "pos")
-    chosen = (
-        lines.join(weights, [*keys, "pos"])
-        .withColumn("_total", F.sum("n_words").over(best.rowsBetween(Window.unboundedPreceding, 0)))
-        .filter(F.col("_total") <= max_words)
-    )
-    picked = F.sort_array(F.collect_list(F.struct("pos", "line")))
-    found = chosen.groupBy(*keys).agg(
-        F.array_join(F.transform(picked, lambda p: p["line"]), "\n").alias("summary"),
-        F.sum("n_words").alias("n_words"),
-    )
-    return texts.select(*keys).distinct().join(found, list(keys), "left").select(
-        *keys,
-        F.coalesce("summary", F.lit("")).alias("summary"),
-        F.coalesce("n_words", F.lit(0)).cast("bigint").alias("n_words"),
-    )
+    rows = texts.select(*keys, *[c for c in texts.columns if c not in keys])
+    schema = T.StructType([*rows.schema.fields, *T.StructType.fromDDL("summary string, n_words bigint").fields])
+    token = f"{TOKEN_CHARACTERS}{{{MIN_TOKEN_LENGTH},}}"
+    return rows.mapInArrow(kernels.summaries(token, max_words, min_words), schema)

@@ -98,11 +98,8 @@ def sentiment_job(
 
 
 def summary_job(texts: DataFrame, keys, order, max_words: int = cp.SUMMARY_WORDS) -> DataFrame:
-    """Gate each corpus to a bounded text, then summarise it.
-
-    The summary reads the texts several times, so they are written once.
-    """
-    return cp.extractive_summary(checkpointed(cp.gate(texts, keys, order)), keys, max_words)
+    """Gate each corpus to a bounded text, then summarise it: ``keys, n_chars, sampled, text, summary, n_words``."""
+    return cp.extractive_summary(cp.gate(texts, keys, order), keys, max_words)
 
 
 def topic_summaries(graph: Graph, max_words: int = cp.SUMMARY_WORDS) -> DataFrame:
@@ -112,5 +109,6 @@ def topic_summaries(graph: Graph, max_words: int = cp.SUMMARY_WORDS) -> DataFram
 def moderated_summaries(
     shares: DataFrame, metadata: DataFrame, max_words: int = cp.SUMMARY_WORDS
 ) -> DataFrame:
+    """Summaries of every user's posts about videos that are gone."""
     texts = cp.moderated_texts(shares, metadata)
     return summary_job(texts, cp.VIDEO_KEYS, cp.VIDEO_ORDER, max_words)

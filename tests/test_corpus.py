@@ -1,6 +1,7 @@
 """Corpora against a plain-Python rendering of the rules, hot groups included."""
 
 import hashlib
+import math
 import random
 import re
 from collections import defaultdict
@@ -186,16 +187,71 @@ def test_sample_takes_all_if_fewer(spark):
     assert picks(drawn) == picks(again) != picks(other)
 
 
-def test_summary_keeps_order_and_budget(spark):
-    text = "\n".join(["the the the", "rare words here", "the the", "unique thing", "the word " * 100, ""])
-    df = spark.createDataFrame([("a", text), ("b", "one line only")], "g string, text string")
-    got = {r["g"]: r for r in cp.extractive_summary(df, KEYS, 6).collect()}
-    assert got["a"]["summary"] == "rare words here\nunique thing" and got["a"]["n_words"] == 5
-    assert got["b"]["summary"] == "one line only"
+def greedy(text, most, least):
+    """The rule of the summary, written out by trying every line each time."""
+    lines = [x for x in text.split("\n") if re.findall("[a-z0-9]{3,}", x.lower())]
+    tokens = [set(re.findall("[a-z0-9]{3,}", x.lower())) for x in lines]
+    weight = {
+        t: round(round(math.log((len(lines) + 1) / (sum(t in own for own in tokens) + 1)), 9) * 1e9)
+        for own in tokens
+        for t in own
+    }
+    chosen, seen, used = {}, set(), 0
+
+    def value(k):
+        return sum(weight[t] for t in tokens[k] - seen) / len(lines[k].split())
+
+    while True:
+        left = [k for k in range(len(lines)) if k not in chosen]
+        fits = [k for k in left if used + len(lines[k].split()) <= most]
+        if not fits:
+            break
+        best = max(fits, key=lambda k: (value(k), -k))
+        if value(best) <= 0 and used >= least:
+            break
+        chosen[best] = lines[best]
+        used += len(lines[best].split())
+        seen |= tokens[best]
+    if used < least and left:
+        best = max(left, key=lambda k: (value(k), -k))
+        chosen[best] = " ".join(lines[best].split()[: most - used])
+        used = most
+    return "\n".join(chosen[k] for k in sorted(chosen)), used
+
+
+def summarised(spark, rows, *budget):
+    df = spark.createDataFrame(rows, "g string, text string")
+    return {r["g"]: (r["summary"], r["n_words"]) for r in cp.extractive_summary(df, KEYS, *budget).collect()}
+
+
+def test_summaries_equal_the_greedy_rule(spark):
+    rng = random.Random(11)
+    vocabulary = [f"word{i}" for i in range(40)] + ["to", "a"]
+    rows = []
+    for g in range(60):
+        sizes = [rng.choice([1, 3, 8, 20, 90, 200]) for _ in range(rng.randint(0, 14))]
+        rows.append((str(g), "\n".join(" ".join(rng.choices(vocabulary, k=n)) for n in sizes)))
+    got = summarised(spark, rows)
+    for g, text in rows:
+        assert got[g] == greedy(text, 150, 100)
+        available = sum(len(x.split()) for x in text.split("\n") if re.findall("[a-z0-9]{3,}", x.lower()))
+        assert min(100, available) <= got[g][1] <= 150
+
+
+def test_summary_passes_over_what_does_not_fit(spark):
+    text = "\n".join(" ".join(f"{a}{i:02d}" for i in range(n)) for a, n in (("aa", 90), ("bb", 80), ("cc", 30), ("dd", 20)))
+    summary, n_words = summarised(spark, [("a", text)])["a"]
+    assert n_words == 140 and [x[:2] for x in summary.split("\n")] == ["aa", "cc", "dd"]
+
+
+def test_summary_keeps_order_and_leaves_repeats(spark):
+    text = "\n".join(["the the the", "rare words here", "the the", "unique thing", "rare words here", "the word " * 100, ""])
+    assert summarised(spark, [("a", text)], 6, 1)["a"] == ("rare words here\nunique thing", 5)
 
 
 def test_every_text_has_a_summary(spark):
-    rows = [("long", "\n".join(["alpha beta gamma " * 70] * 3)), ("blank", "a\n!"), ("short", "alpha beta")]
-    df = spark.createDataFrame(rows, "g string, text string")
-    got = {r["g"]: (r["summary"], r["n_words"]) for r in cp.extractive_summary(df, KEYS).collect()}
-    assert got == {"long": (" ".join(["alpha beta gamma"] * 50), 150), "blank": ("", 0), "short": ("alpha beta", 2)}
+    rows = [("long", "\n".join(["alpha beta gamma " * 70] * 3)), ("blank", "a\n!"), ("short", "alpha beta"), ("none", None)]
+    got = summarised(spark, rows)
+    assert got == {
+        "long": (" ".join(["alpha beta gamma"] * 50), 150), "blank": ("", 0), "short": ("alpha beta", 2), "none": ("", 0),
+    }
