@@ -43,6 +43,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 LOW, HIGH, SIZE = 60, 75, 50
 RANGE = (datetime(2024, 1, 1), datetime(2024, 1, 20))
 SUFFIXES = ("com", "net", "org", "io", "example.com", "co.uk")
+RULES = ("*.ck", "!www.ck", "jp", "*.kobe.jp", "!city.kobe.jp", "com")
 
 
 # --- inputs built from the stand-in ------------------------------------------------
@@ -339,6 +340,31 @@ def domains(spark, sf):
     return urls.with_registered_domain(pages, "url", suffixes)
 
 
+def ruled_domains(spark, sf):
+    """Domains under wildcard and exception rules, addresses, and hosts without a suffix."""
+    rules = spark.createDataFrame([(x,) for x in RULES], "suffix string")
+    page, number = F.col("page_id"), F.col("page_id").cast("string")
+    hosts = [
+        F.concat(F.lit("x"), number, F.lit(".Foo.ck")),
+        F.lit("www.ck"),
+        F.concat(F.lit("sub"), number, F.lit(".www.ck")),
+        F.lit("foo.ck:8080"),
+        F.concat(F.lit("host"), number, F.lit(".unknown")),
+        F.concat(F.lit("10.0.0."), (page % 250).cast("string")),
+        F.concat(F.lit("user@a.b"), number, F.lit(".kobe.jp")),
+        F.concat(F.lit("c"), number, F.lit(".city.kobe.jp")),
+    ]
+    host = F.element_at(F.array(*hosts), (page % len(hosts) + 1).cast("int"))
+    pages = s.table(spark, sf, "pages").select("page_id", F.concat(F.lit("https://"), host, F.lit("/p?q=1")).alias("url"))
+    return urls.with_registered_domain(pages, "url", rules)
+
+
+def flattened(spark, sf):
+    words = F.transform(text.text_lines(F.col("text")), lambda line: F.split(line, " "))
+    found = s.documents(spark, sf).select("doc_id", values.flatten_lists(words).alias("w"))
+    return found.select("doc_id", F.size("w").alias("n_words"), F.md5(F.array_join("w", "|")).alias("words_md5"))
+
+
 def typed_metadata(spark, sf):
     typed = metadata(spark, sf)
     return typed.select(
@@ -624,6 +650,8 @@ QUERIES: dict[str, Query] = {
     ),
     "video_url_rules": url_rules,
     "registered_domain": domains,
+    "registered_domain_rules": ruled_domains,
+    "flattened_lists": flattened,
     "video_tweets": share_text,
     "distinct_videos": lambda spark, sf: vd.distinct_videos(light_shares(spark, sf)),
     "video_moderation": lambda spark, sf: vd.video_moderation(

@@ -422,6 +422,18 @@ SELECTS = {
         left join (values {SUFFIXES}) s(suffix)
           on array_to_string(p.labels, '.') = s.suffix or ends_with(array_to_string(p.labels, '.'), concat('.', s.suffix))
         group by page_id, url, labels)""",
+    "registered_domain_rules": """select page_id, case page_id % 8
+          when 0 then concat('https://x', page_id, '.Foo.ck/p?q=1') when 1 then 'https://www.ck/p?q=1'
+          when 2 then concat('https://sub', page_id, '.www.ck/p?q=1') when 3 then 'https://foo.ck:8080/p?q=1'
+          when 4 then concat('https://host', page_id, '.unknown/p?q=1') when 5 then concat('https://10.0.0.', page_id % 250, '/p?q=1')
+          when 6 then concat('https://user@a.b', page_id, '.kobe.jp/p?q=1') else concat('https://c', page_id, '.city.kobe.jp/p?q=1') end as url,
+        case page_id % 8
+          when 0 then concat('x', page_id, '.foo.ck') when 1 then 'www.ck' when 2 then 'www.ck' when 3 then '.foo.ck'
+          when 4 then 'unknown.' when 5 then concat('10.0.0.', page_id % 250, '.')
+          when 6 then concat('a.b', page_id, '.kobe.jp') else 'city.kobe.jp' end as domain
+        from pages""",
+    "flattened_lists": """select doc_id, len(words)::int as n_words, md5(array_to_string(words, '|')) as words_md5
+        from (select doc_id, string_split(replace(text, chr(10), ' '), ' ') as words from documents)""",
     "video_tweets": f"""select userid, tweetid, tweet_sharing_date, md5(tweet_text) as text_md5, video_url, video_id, {', '.join(SCORES)} from shares""",
     "distinct_videos": "select userid, count(*) as distinct_videos from (select distinct userid, video_id from shares) group by userid",
     "video_moderation": "select * from moderation",

@@ -11,22 +11,59 @@ from pyspark.sql import types as T
 from . import kernels
 from .urls import is_video_prefix
 
-_JSON_OPTIONS = {"allowSingleQuotes": "true"}
+_JSON_OPTIONS = {
+    "allowSingleQuotes": "true",
+    "allowBackslashEscapingAnyCharacter": "true",
+    "allowUnquotedControlChars": "true",
+}
 
 
+# The grammar of what Python's ``str`` writes for a list of strings, numbers, None,
+# True, False, lists and dicts with string keys. All loops are possessive: no stack,
+# however long the list.
 def _separated(item: str) -> str:
-    # possessive: a loop without a stack, however long the list
     return f"(?:{item}[ \\t]*+(?:,[ \\t]*+{item}[ \\t]*+)*+)?+"
 
 
-_STRING = r"""(?:'[^'\\]*+'|"[^"\\]*+")"""
-_SCALAR = rf"(?:{_STRING}|0|-?[1-9][0-9]*+|None|True|False)"
-_VALUE = rf"(?:{_SCALAR}|\[[ \t]*+{_separated(_SCALAR)}\])"
-_DICT = rf"\{{[ \t]*+{_separated(rf'{_STRING}[ \t]*+:[ \t]*+{_VALUE}')}\}}"
-# lists that mean the same to Python and, with the three words replaced, to JSON
-PLAIN_LIST = rf"^ *+\[[ \t]*+{_separated(rf'(?:{_SCALAR}|{_DICT})')}\] *+\z"
-_TOKEN = r"""'[^']*+'|"[^"]*+"|None|True|False|[^'"NTF]++"""
+# The escapes that ``str`` writes.
+_ESCAPE = r"""\\(?:[\\'nrt]|x[0-9a-f]{2}|u[0-9a-f]{4}|U00(?:0[0-9a-f]|10)[0-9a-f]{4})"""
+_STRING = rf"""(?:'(?:[^'\\\n\r]++|{_ESCAPE})*+'|"(?:[^"\\\n\r]++|{_ESCAPE})*+")"""
+_NUMBER = r"(?:-?(?:0|[1-9][0-9]*+)(?:\.[0-9]++(?:e[+-][0-9]++)?|e[+-][0-9]++)|0|-?[1-9][0-9]*+)"
+_SCALAR = rf"(?:{_STRING}|{_NUMBER}|None|True|False)"
+_NESTED = 2
+
+
+def _value(depth: int) -> str:
+    if depth == 0:
+        return _SCALAR
+    inner = _value(depth - 1)
+    pair = rf"{_STRING}[ \t]*+:[ \t]*+{inner}"
+    return rf"(?:{_SCALAR}|\[[ \t]*+{_separated(inner)}\]|\{{[ \t]*+{_separated(pair)}\}})"
+
+
+PLAIN_LIST = rf"^ *+\[[ \t]*+{_separated(_value(_NESTED))}\] *+\z"
+_TOKEN = r"""'(?:[^'\\]++|\\.)*+'|"(?:[^"\\]++|\\.)*+"|None|True|False|[^'"NTF]++"""
 _JSON_WORDS = {"None": "null", "True": "true", "False": "false"}
+_PIECE = r"\\x[0-9a-f]{2}|\\U[0-9a-f]{8}|\\.|[^\\]++"
+
+
+def _code_unit(value: Column) -> Column:
+    return F.concat(F.lit("\\u"), F.lpad(F.lower(F.hex(value)), 4, "0"))
+
+
+def _unescaped(raw: Column) -> Column:
+    """Python's escapes that JSON lacks, as JSON's."""
+
+    def piece(text: Column) -> Column:
+        point = F.conv(F.substring(text, 3, 8), 16, 10).cast("bigint")
+        above = point - 0x10000
+        high, low = F.lit(0xD800) + F.floor(above / 1024), F.lit(0xDC00) + above % 1024
+        wide = F.when(point < 0x10000, _code_unit(point)).otherwise(F.concat(_code_unit(high), _code_unit(low)))
+        byte = F.concat(F.lit("\\u00"), F.substring(text, 3, 2))
+        return F.when(text.startswith("\\x"), byte).when(text.startswith("\\U"), wide).otherwise(text)
+
+    pieces = F.regexp_extract_all(raw, F.lit(_PIECE), F.lit(0))
+    return F.when(raw.contains("\\"), F.array_join(F.transform(pieces, piece), "")).otherwise(raw)
 
 
 def _as_json(raw: Column) -> Column:
@@ -39,7 +76,8 @@ def _as_json(raw: Column) -> Column:
         return out
 
     tokens = F.regexp_extract_all(raw, F.lit(_TOKEN), F.lit(0))
-    return F.when(raw.rlike("None|True|False"), F.array_join(F.transform(tokens, word), "")).otherwise(raw)
+    words = F.array_join(F.transform(tokens, word), "")
+    return _unescaped(F.when(raw.rlike("None|True|False"), words).otherwise(raw))
 
 
 def _native(raw: Column, schema: T.ArrayType) -> Column:
@@ -48,27 +86,32 @@ def _native(raw: Column, schema: T.ArrayType) -> Column:
 
 
 def parse_literals(
-    df: DataFrame, schemas: Mapping[str, T.ArrayType], on_bad: str = "null"
+    df: DataFrame, schemas: Mapping[str, T.ArrayType], on_bad: str = "null", others: str = "python"
 ) -> DataFrame:
     """Replace each literal column by its parsed array, in one pass.
 
-    Almost every text parses in the JVM. What does not (escapes, floats, joined
-    strings) goes through an Arrow batch of Python, where a parsed row is a null.
-    Columns nobody reads afterwards are pruned with their parsing. Run this once at
-    ingest and store the arrays.
+    What Python's ``str`` writes parses in the JVM. ``others`` says what becomes of
+    literals in another form (joined strings, bytes, hexadecimal numbers, tuples, deep
+    nesting): ``python`` reads them in Arrow batches, in which every parsed row is a
+    null; ``bad`` takes them for bad text and keeps Python out of the plan. Columns
+    nobody reads afterwards are pruned with their parsing. Run this once at ingest and
+    store the arrays.
 
     ``on_bad``: ``null``, ``empty`` or ``fail`` for text that is no list literal.
     """
-    if on_bad not in ("null", "empty", "fail"):
-        raise ValueError(f"unknown on_bad {on_bad!r}")
-    to_json = F.pandas_udf(kernels.literals_to_json, "string")
+    if on_bad not in ("null", "empty", "fail") or others not in ("python", "bad"):
+        raise ValueError(f"unknown on_bad {on_bad!r} or others {others!r}")
     parsed = df.withColumns({f"_{n}": _native(F.col(n), schema) for n, schema in schemas.items()})
-    parsed = parsed.withColumns(
-        {f"_json_{n}": to_json(F.when(F.col(f"_{n}").isNull(), F.col(n))) for n in schemas}
-    )
+    if others == "python":
+        to_json = F.pandas_udf(kernels.literals_to_json, "string")
+        parsed = parsed.withColumns(
+            {f"_json_{n}": to_json(F.when(F.col(f"_{n}").isNull(), F.col(n))) for n in schemas}
+        )
     values = {}
     for name, schema in schemas.items():
-        value = F.coalesce(f"_{name}", F.from_json(f"_json_{name}", schema))
+        value = F.col(f"_{name}")
+        if others == "python":
+            value = F.coalesce(value, F.from_json(f"_json_{name}", schema))
         bad = F.col(name).isNotNull() & value.isNull()
         if on_bad == "fail":
             message = F.concat(F.lit(f"{name} is no list literal: "), F.col(name))

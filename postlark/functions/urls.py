@@ -44,45 +44,50 @@ def video_id(url: Column) -> Column:
     )
 
 
+# an address has no suffix and is its own domain
+ADDRESS = r"^[0-9]{1,3}([.][0-9]{1,3}){3}$"
+_WILDCARD, _EXCEPTION = 1, 2
+
+
+def suffix_rules(suffixes: DataFrame) -> DataFrame:
+    """``(tail, kind)`` of a suffix list: ``co.uk``, ``*.ck`` (any label there) or ``!www.ck`` (not a suffix)."""
+    rule = F.lower("suffix")
+    kind = F.when(rule.startswith("*."), _WILDCARD).when(rule.startswith("!"), _EXCEPTION).otherwise(0)
+    rules = suffixes.select(F.regexp_replace(rule, "^([*][.]|!)", "").alias("_tail"), kind.alias("_kind"))
+    return rules.filter(F.col("_tail").isNotNull()).distinct()
+
+
 def with_registered_domain(
     df: DataFrame, url: str, suffixes: DataFrame, out: str = "domain"
 ) -> DataFrame:
-    """Add the registered domain of ``url``: the longest known suffix plus one label.
+    """Add the registered domain of ``url``: the longest suffix that a rule gives plus one label.
 
-    ``suffixes`` has one column ``suffix``. One join per depth that occurs in it (a
-    handful, read first) keeps every row in place; no host is exploded into its
-    candidates. A host without a known
-    suffix keeps its last label followed by a dot.
+    ``suffixes`` has one column ``suffix`` with the rules. An exception beats all other
+    rules and makes the labels behind its first one the suffix. Each distinct host is
+    joined with the rules once, by its tails; links then join their host. A host without
+    a known suffix keeps its last label followed by a dot, an address itself.
     """
-    host = F.lower(F.regexp_extract(url, HOST, 1))
-    result = df.withColumn("_labels", F.split(host, "[.]"))
-    known = suffixes.select(F.lower("suffix").alias("suffix")).distinct()
-    labels = F.size(F.split("suffix", "[.]"))
-    depths = sorted(row[0] for row in known.select(labels).distinct().collect())
-    for depth in depths:
-        tail = F.array_join(
-            F.slice(
-                "_labels",
-                F.greatest(F.size("_labels") - depth + 1, F.lit(1)),
-                F.lit(depth),
-            ),
-            ".",
-        )
-        level = known.filter(F.size(F.split("suffix", "[.]")) == depth).select(
-            F.col("suffix").alias(f"_tail_{depth}"), F.lit(depth).alias(f"_depth_{depth}")
-        )
-        result = result.withColumn(
-            f"_tail_{depth}", F.when(F.size("_labels") >= depth, tail)
-        ).join(level, f"_tail_{depth}", "left")
-    depth = F.coalesce(*[f"_depth_{d}" for d in reversed(depths)], F.lit(0))
+    host = F.rtrim(F.lower(F.regexp_extract(url, HOST, 1)), F.lit("."))
+    named = df.withColumn("_host", host)
+    hosts = named.select("_host").filter(F.col("_host").isNotNull()).distinct()
+    labels = hosts.withColumn("_labels", F.split("_host", "[.]"))
     size = F.size("_labels")
-    before = F.when(size > depth, F.element_at("_labels", F.greatest(size - depth, F.lit(1))))
-    suffix = F.when(
-        depth > 0,
-        F.array_join(
-            F.slice("_labels", F.greatest(size - depth + 1, F.lit(1)), F.greatest(depth, F.lit(1))),
-            ".",
+    tails = F.transform(
+        F.sequence(F.lit(1), size),
+        lambda d: F.struct(
+            d.alias("_depth"), F.array_join(F.slice("_labels", size - d + 1, d), ".").alias("_tail")
         ),
-    ).otherwise("")
-    domain = F.concat(F.coalesce(before, F.lit("")), F.lit("."), suffix)
-    return result.select(*df.columns, F.when(F.col(url).isNotNull(), domain).alias(out))
+    )
+    each = labels.select("_host", size.alias("_size"), F.inline(tails))
+    matched = each.join(suffix_rules(suffixes), "_tail")
+    depth = F.col("_depth") + F.when(F.col("_kind") == _WILDCARD, 1).when(F.col("_kind") == _EXCEPTION, -1).otherwise(0)
+    # a host has at most 127 labels
+    rank = depth + F.when(F.col("_kind") == _EXCEPTION, 1000).otherwise(0)
+    best = matched.filter(depth <= F.col("_size")).groupBy("_host").agg((F.max(rank) % 1000).alias("_depth"))
+    found = labels.join(best, "_host", "left").withColumn("_depth", F.coalesce("_depth", F.lit(0)))
+    size, depth = F.size("_labels"), F.col("_depth")
+    before = F.when(size > depth, F.element_at("_labels", F.greatest(size - depth, F.lit(1)))).otherwise("")
+    suffix = F.array_join(F.slice("_labels", F.greatest(size - depth + 1, F.lit(1)), depth), ".")
+    own = F.when(F.col("_host").rlike(ADDRESS), F.col("_host")).otherwise(before)
+    domains = found.select("_host", F.concat(own, F.lit("."), F.when(own == before, suffix).otherwise("")).alias(out))
+    return named.join(domains, "_host", "left").select(*df.columns, out)

@@ -62,3 +62,8 @@ def time_key(date: Column, tie: Column) -> Column:
     return (micros * F.lit("10000000000000000000").cast("decimal(20,0)")).cast(
         "decimal(38,0)"
     ) + tie.cast("decimal(19,0)")
+
+
+def flatten_lists(lists: Column) -> Column:
+    """A list of lists as one list, in order; null if one of them is."""
+    return F.flatten(lists)

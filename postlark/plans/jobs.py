@@ -24,15 +24,15 @@ from ..sources.readers import read_tweets
 from ..sources.writers import write_table
 
 
-def parse_posts(raw: DataFrame, on_bad: str = "null") -> DataFrame:
-    """Raw posts with their four list columns parsed. Run once and store."""
+def parse_posts(raw: DataFrame, on_bad: str = "null", others: str = "bad") -> DataFrame:
+    """Raw posts with their four list columns parsed, in the JVM alone unless ``others`` is ``python``."""
     lists = {"hashtag": STRINGS, "mentionsn": STRINGS, "mentionid": STRINGS}
-    return parse_literals(raw, {**lists, "urls_list": EXPANDED_URLS}, on_bad)
+    return parse_literals(raw, {**lists, "urls_list": EXPANDED_URLS}, on_bad, others)
 
 
 def ingest_posts(spark: SparkSession, csv_path: str, path: str, on_bad: str = "null") -> DataFrame:
-    """Collector CSV to parsed parquet. Every other job reads the parquet, which splits."""
-    write_table(parse_posts(read_tweets(spark, csv_path), on_bad), path)
+    """Collector CSV to parsed parquet, once. Every other job reads the parquet."""
+    write_table(parse_posts(read_tweets(spark, csv_path), on_bad, "python"), path)
     return spark.read.parquet(path)
 
 

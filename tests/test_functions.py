@@ -1,3 +1,4 @@
+import json
 import random
 from datetime import datetime
 
@@ -120,6 +121,35 @@ def test_registered_domain(spark):
     assert {r["url"]: r["domain"] for r in got} == hosts
 
 
+def test_suffix_rules_with_wildcards_and_exceptions(spark):
+    rules = ["com", "ck", "*.ck", "!www.ck", "jp", "*.kobe.jp", "!city.kobe.jp", "github.io", "io", "CO.UK", None]
+    suffixes = spark.createDataFrame([(r,) for r in rules], "suffix string")
+    hosts = {
+        "https://a.b.foo.ck/x": "b.foo.ck",
+        "https://foo.ck": ".foo.ck",
+        "https://www.ck/": "www.ck",
+        "https://sub.www.ck/": "www.ck",
+        "https://ck/": ".ck",
+        "https://x.y.kobe.jp": "x.y.kobe.jp",
+        "https://city.kobe.jp/a": "city.kobe.jp",
+        "https://z.city.kobe.jp/a": "city.kobe.jp",
+        "https://kobe.jp/": "kobe.jp",
+        "https://me.github.io/": "me.github.io",
+        "https://github.io/": ".github.io",
+        "https://a.co.uk./": "a.co.uk",
+        "https://nowhere/": "nowhere.",
+        "https://a.b.unknown/": "unknown.",
+        "http://10.0.0.7:80/": "10.0.0.7.",
+        "no link": ".",
+        None: None,
+    }
+    df = spark.createDataFrame([(h, "x") for h in hosts] * 2, "url string, domain_of string")
+    got = urls.with_registered_domain(df, "url", suffixes).collect()
+    assert len(got) == 2 * len(hosts) and {r["url"]: r["domain"] for r in got} == hosts
+    plan = urls.with_registered_domain(df, "url", suffixes)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 3  # tails with rules, hosts with their depth, links with their host
+
+
 def test_parse_literals(spark):
     rows = [
         (0, "['a', \"it's\", 'x\\'y']", "[{'url': None, 'expanded_url': 'https://youtu.be/x'}]"),
@@ -176,6 +206,35 @@ def test_literals_equal_the_python_reading(spark):
     assert all(got[i] is None for i, t in enumerate(texts) if t in ("['a'] + ['b']", "['a'], ['b']", "[null, true]", "[,]"))
 
 
+def test_what_python_writes_needs_no_python(spark):
+    rng = random.Random(4)
+    texts = ["it's", 'say "x"', "both ' and \"", "tab\t", "line\nbreak", "\x00\x1f\x7f", "back\\slash", "\\x41", "é😀\u200b", "\ud7ff", "\U000e0041", "None", "", "[1, 'a']"]
+
+    def value(depth):
+        kind = rng.random()
+        if depth and kind < 0.2:
+            return [value(depth - 1) for _ in range(rng.randint(0, 3))]
+        if depth and kind < 0.4:
+            return {rng.choice(texts): value(depth - 1) for _ in range(rng.randint(0, 3))}
+        return rng.choice([rng.choice(texts), rng.randint(-(10**12), 10**12), rng.uniform(-1, 1), 1e16, 2.5e-7, None, True])
+
+    lists = [[value(2) for _ in range(rng.randint(0, 5))] for _ in range(500)]
+    df = spark.createDataFrame([(i, str(x)) for i, x in enumerate(lists)], "i int, tags string")
+    found = literals.parse_literals(df, {"tags": STRINGS}, others="bad")
+    assert "Python" not in found._jdf.queryExecution().executedPlan().toString()
+    read = spark.createDataFrame([(i, json.dumps(x)) for i, x in enumerate(lists)], "i int, j string")
+    read = read.select("i", F.from_json("j", STRINGS).alias("tags"))
+    assert {r["i"]: r["tags"] for r in found.collect()} == {r["i"]: r["tags"] for r in read.collect()}
+
+
+def test_other_literals_are_bad_without_python(spark):
+    texts = ["['a' 'b']", "[b'a']", "[0x10]", "('a',)", "['\\d']", "['a',]", "[1.]"]
+    df = spark.createDataFrame([(t,) for t in texts], "tags string")
+    assert all(r["tags"] is None for r in literals.parse_literals(df, {"tags": STRINGS}, others="bad").collect())
+    got = {t: r["tags"] for t, r in zip(texts, literals.parse_literals(df, {"tags": STRINGS}).collect())}
+    assert got["['a' 'b']"] == ["ab"] and got["[0x10]"] == ["16"] and got["['\\d']"] == ["\\d"] and got["['a',]"] == ["a"]
+
+
 def test_link_lists(spark):
     df = spark.createDataFrame(
         [([("https://youtu.be/x",), (None,), ("https://a.b/",)],), ([],), (None,)],
