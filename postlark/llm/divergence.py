@@ -7,8 +7,9 @@ all groups: ranges where two groups count alike are the same node. Two trees are
 walked together from their roots, and what is due for a pair of nodes is worked
 out once, however often the pair occurs.
 
-1. Tasks count the terms of their texts by group, with the number of documents; a
-   Spark aggregate adds them up, map-side first. Common terms are kept.
+1. Tasks count the terms of their texts by group, with the number of documents, and
+   add up what they can before they send the counts, packed, to the bucket of their
+   term. Buckets are sized by the bytes of all texts. Common terms are kept.
 2. The term ids of a language are dealt to shards, each an aligned range and so a
    subtree of its own: sums over shards are sums over the whole tree. Groups of a
    shard are dealt out in blocks of sources where a language has very many.
@@ -30,24 +31,43 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from postlark.llm.common import slices, text_buffer, travels
+from postlark.llm.common import mixed, powers, slices, text_buffer, travels
 
 travels(__name__)
 
 MIN_DOCS, TOP_TERMS = 10, 10
 SCALE_STEPS = (1000, 1000, 1000)  # their product is the scale of a share
 # text counted at once; rows that a task adds up before it sends them on
-SLICE_BYTES, HELD_ROWS = 4_000_000, 400_000
-# terms of one shard, sources of one block
-SHARD_TERMS, BLOCK_SOURCES = 1 << 14, 48
+SLICE_BYTES, HELD_ROWS = 2_000_000, 800_000
+# text whose counts one bucket of terms adds up; terms of one shard, sources of one block
+BUCKET_BYTES, SHARD_TERMS, BLOCK_SOURCES = 16 << 20, 1 << 14, 48
 
 TERM = np.zeros(256, bool)
 TERM[ord("A") : ord("Z") + 1] = TERM[ord("a") : ord("z") + 1] = TERM[128:] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
 
-COUNTS = pa.schema(
-    [("lang", pa.string()), ("source", pa.string()), ("term", pa.string()), ("n", pa.int64()), ("n_docs", pa.int64())]
+COUNTS = ("group", "term", "n", "n_docs")
+PACKED = pa.schema(
+    [
+        ("bucket", pa.int64()),
+        ("langs", pa.list_(pa.string())),
+        ("sources", pa.list_(pa.string())),
+        ("terms", pa.string()),
+        ("groups", pa.binary()),
+        ("n", pa.binary()),
+        ("n_docs", pa.binary()),
+    ]
+)
+KEPT = pa.schema(
+    [
+        ("lang", pa.string()),
+        ("source", pa.string()),
+        ("term", pa.string()),
+        ("n", pa.int64()),
+        ("lang_n", pa.int64()),
+        ("first", pa.bool_()),
+    ]
 )
 
 
@@ -84,41 +104,107 @@ def count_terms(data: np.ndarray, starts: np.ndarray, group: np.ndarray):
 
 def _added(tables: list[pa.Table]) -> pa.Table:
     table = pa.concat_tables(tables)
-    summed = table.group_by(["lang", "source", "term"]).aggregate([("n", "sum"), ("n_docs", "sum")])
-    return summed.rename_columns(COUNTS.names)
-
-
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held, rows = [], 0
-    for batch in batches:
-        if not len(batch):
-            continue
-        data, starts = text_buffer(batch["text"])
-        groups = pa.StructArray.from_arrays([batch["lang"], batch["source"]], ["lang", "source"])
-        pairs = pa.table({"lang": batch["lang"], "source": batch["source"]})
-        known = pairs.group_by(["lang", "source"]).aggregate([])
-        number = {(a, b): k for k, (a, b) in enumerate(zip(*(known[c].to_pylist() for c in ("lang", "source"))))}
-        group = np.fromiter((number[g["lang"], g["source"]] for g in groups.to_pylist()), np.int64, len(batch))
-        # a row without a term tells that the group occurs
-        empty = known.select(["lang", "source"]).append_column("term", pa.nulls(len(known), pa.string()))
-        for name in ("n", "n_docs"):
-            empty = empty.append_column(name, pa.array(np.zeros(len(known), np.int64)))
-        held.append(empty)
-        for a, b in slices(np.diff(starts), SLICE_BYTES):
-            words, of, code, n, n_docs = count_terms(
-                data[starts[a] : starts[b]], starts[a : b + 1] - starts[a], group[a:b]
-            )
-            columns = [known["lang"].take(of), known["source"].take(of), words.take(pa.array(code)).cast(pa.string())]
-            held.append(pa.table([*columns, pa.array(n), pa.array(n_docs)], names=COUNTS.names))
-            rows += len(n)
-        if rows > HELD_ROWS:
-            table = _added(held)
-            held, rows = [table], len(table)
-            if rows > HELD_ROWS // 2:
-                yield from table.cast(COUNTS).to_batches()
-                held, rows = [], 0
-    if held:
-        yield from _added(held).cast(COUNTS).to_batches()
+    summed = table.group_by(["group", "term"], use_threads=False).aggregate([("n", "sum"), ("n_docs", "sum")])
+    return summed.rename_columns(COUNTS).combine_chunks()
+
+
+def _bytes_hashes(texts: pa.Array) -> np.ndarray:
+    """Hash of the bytes of every (not empty) string."""
+    data, starts = text_buffer(texts)
+    up, down = powers(len(data))
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data + np.uint64(1)) * up[: len(data)], dtype=np.uint64, out=sums[1:])
+    return mixed((sums[starts[1:]] - sums[starts[:-1]]) * down[starts[:-1]])
+
+
+def _packed(table: pa.Table, pairs: list[tuple[str, str]], buckets: int) -> Iterator[pa.RecordBatch]:
+    """Counts dealt to the bucket of their term: one row for each bucket, numbers and terms packed."""
+    words = table["term"].combine_chunks()
+    bucket = (_bytes_hashes(words) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    bucket, words = bucket[order], words.take(pa.array(order))
+    group, n, n_docs = (table[c].to_numpy()[order] for c in ("group", "n", "n_docs"))
+    cuts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True])))
+    joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), words), "\n")
+    rows = []
+    for k, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())):
+        used, own = np.unique(group[a:b], return_inverse=True)
+        langs, sources = zip(*(pairs[i] for i in used.tolist()))
+        numbers = [x.tobytes() for x in (own.astype(np.int32), n[a:b], n_docs[a:b])]
+        rows.append((int(bucket[a]), langs, sources, joined[k].as_py(), *numbers))
+    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), PACKED)], schema=PACKED)
+
+
+def _count(buckets: int):
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
+        numbers: dict[tuple[str, str], int] = {}
+        for batch in batches:
+            data, starts = text_buffer(batch["text"])
+            own = zip(batch["lang"].to_pylist(), batch["source"].to_pylist())
+            group = np.fromiter((numbers.setdefault(pair, len(numbers)) for pair in own), np.int64, len(batch))
+            for a, b in slices(np.diff(starts), SLICE_BYTES):
+                part, at = data[starts[a] : starts[b]], starts[a : b + 1] - starts[a]
+                words, of, code, n, n_docs = count_terms(part, at, group[a:b])
+                columns = [pa.array(of, pa.int32()), words.take(pa.array(code)).cast(pa.string()), pa.array(n), pa.array(n_docs)]
+                held.append(pa.table(columns, names=COUNTS))
+                rows += len(n)
+            if rows > HELD_ROWS:
+                held = [_added(held)]
+                rows = len(held[0])
+                if rows > HELD_ROWS // 2:
+                    yield from _packed(held[0], list(numbers), buckets)
+                    held, rows = [], 0
+        if rows:
+            yield from _packed(_added(held), list(numbers), buckets)
+
+    return count
+
+
+def _keep(min_docs: int):
+    """Add up the counts of a bucket of terms and keep the common ones."""
+
+    def keep(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        numbers: dict[tuple[str, str], int] = {}
+        groups = []
+        for langs, sources, packed in zip(*(table[c].to_pylist() for c in ("langs", "sources", "groups"))):
+            own = np.array([numbers.setdefault(pair, len(numbers)) for pair in zip(langs, sources)], np.int64)
+            groups.append(own[np.frombuffer(packed, np.int32)])
+        group = np.concatenate(groups)
+        n, n_docs = (np.concatenate([np.frombuffer(x.as_py(), np.int64) for x in table[c]]) for c in ("n", "n_docs"))
+        words = pc.split_pattern(table["terms"].combine_chunks(), "\n").flatten().dictionary_encode()
+        term, width = words.indices.to_numpy().astype(np.int64), len(words.dictionary)
+        names = sorted({lang for lang, _ in numbers})
+        lang_of = np.array([names.index(lang) for lang, _ in numbers], np.int64)
+        in_lang = lang_of[group] * width + term
+        lang_docs, lang_n = np.zeros(len(names) * width, np.int64), np.zeros(len(names) * width, np.int64)
+        np.add.at(lang_docs, in_lang, n_docs)
+        np.add.at(lang_n, in_lang, n)
+        common = lang_docs[in_lang] >= min_docs
+        # a term's groups side by side, each language's together
+        order = np.argsort(lang_of, kind="stable")
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        keys, at = np.unique(term[common] * len(order) + rank[group[common]], return_inverse=True)
+        total = np.zeros(len(keys), np.int64)
+        np.add.at(total, at, n[common])
+        term, own = keys // len(order), order[keys % len(order)]
+        lang = lang_of[own]
+        first = np.ones(len(keys), bool)
+        first[1:] = (term[1:] != term[:-1]) | (lang[1:] != lang[:-1])
+        pairs = list(numbers)
+        columns = [
+            pa.array([p[0] for p in pairs], pa.string()).take(pa.array(own)),
+            pa.array([p[1] for p in pairs], pa.string()).take(pa.array(own)),
+            words.dictionary.take(pa.array(term)).cast(pa.string()),
+            pa.array(total),
+            pa.array(lang_n[lang * width + term]),
+            pa.array(first),
+        ]
+        return pa.table(columns, schema=KEPT)
+
+    return keep
 
 
 # --- trees -----------------------------------------------------------------------------
@@ -170,10 +256,17 @@ class Forest:
         one, two, times = (np.array([x], np.int64) for x in (self.roots[a], self.roots[b], 1))
         for left, right in reversed(self.levels):
             one, two = np.concatenate((left[one], right[one])), np.concatenate((left[two], right[two]))
-            n = int(two.max()) + 1
-            pairs, at = np.unique(one * n + two, return_inverse=True)
-            each = np.zeros(len(pairs), np.int64)
-            np.add.at(each, at, np.concatenate((times, times)))
+            n, weights = int(two.max()) + 1, np.concatenate((times, times))
+            codes, space = one * n + two, (int(one.max()) + 1) * n
+            if space <= 4 * len(codes):  # few nodes: count without sorting
+                each = np.zeros(space, np.int64)
+                np.add.at(each, codes, weights)
+                pairs = np.flatnonzero(each)
+                each = each[pairs]
+            else:
+                pairs, at = np.unique(codes, return_inverse=True)
+                each = np.zeros(len(pairs), np.int64)
+                np.add.at(each, at, weights)
             one, two, times = pairs // n, pairs % n, each
         return one, two, times
 
@@ -237,16 +330,18 @@ def _divergences(top_terms: int):
 # --- the audit ---------------------------------------------------------------------------
 
 
-def term_counts(docs: DataFrame, *, text_col="text", lang_col="lang", source_col="source") -> DataFrame:
-    """``lang, source, term, n, n_docs``, and a row with a null term for every group."""
-    rows = docs.select(
-        *[
-            F.coalesce(docs[c].cast("string"), F.lit("")).alias(n)
-            for c, n in ((text_col, "text"), (lang_col, "lang"), (source_col, "source"))
-        ]
-    )
-    counted = rows.mapInArrow(_count, "lang string, source string, term string, n bigint, n_docs bigint")
-    return counted.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("n_docs").alias("n_docs"))
+def common_terms(docs: DataFrame, min_docs: int, bucket_bytes: int) -> DataFrame:
+    """``lang, source, term, n, lang_n, first`` of the terms in at least ``min_docs`` documents of their language.
+
+    ``docs`` has ``text, lang, source`` without nulls. ``first`` marks one row of each
+    language and term.
+    """
+    size = docs.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
+    buckets = size // bucket_bytes + 1
+    ddl = "bucket bigint, langs array<string>, sources array<string>, terms string, groups binary, n binary, n_docs binary"
+    packed = docs.mapInArrow(_count(buckets), ddl)
+    kept = "lang string, source string, term string, n bigint, lang_n bigint, first boolean"
+    return packed.groupBy("bucket").applyInArrow(_keep(min_docs), kept)
 
 
 def audit_sources(
@@ -260,6 +355,7 @@ def audit_sources(
     top_terms: int = TOP_TERMS,
     shard_terms: int = SHARD_TERMS,
     block_sources: int = BLOCK_SOURCES,
+    bucket_bytes: int = BUCKET_BYTES,
 ) -> DataFrame:
     """``lang, source, part, item, value, rank`` of all groups of ``docs``.
 
@@ -268,54 +364,46 @@ def audit_sources(
     counts are stored below ``folder``, which all executors reach.
     """
     spark = docs.sparkSession
-    counts = term_counts(docs, text_col=text_col, lang_col=lang_col, source_col=source_col)
-    same = Window.partitionBy("lang", "term")
-    kept = (
-        counts.withColumns({"lang_n": F.sum("n").over(same), "lang_docs": F.sum("n_docs").over(same)})
-        .filter(F.col("term").isNull() | (F.col("lang_docs") >= min_docs))
-        .select("lang", "source", "term", "n", "lang_n")
-    )
-    kept.write.parquet(f"{folder}/kept")
+    columns = {"text": text_col, "lang": lang_col, "source": source_col}
+    rows = docs.select(*[F.coalesce(docs[c].cast("string"), F.lit("")).alias(n) for n, c in columns.items()])
+    common_terms(rows, min_docs, bucket_bytes).write.parquet(f"{folder}/kept")
     # read twice, so that both sides of the last step have columns of their own
-    entries = spark.read.parquet(f"{folder}/kept").filter("term is not null")
-    totals = spark.read.parquet(f"{folder}/kept").groupBy("lang", "source").agg(F.sum("n").alias("total"))
-    terms = entries.groupBy("lang", "term").agg(F.first("lang_n").alias("lang_n"))
-    vocabulary = terms.groupBy("lang").agg(F.count("*").alias("n_terms"))
+    entries, again = (spark.read.parquet(f"{folder}/kept") for _ in range(2))
+    occurring = rows.select("lang", "source").distinct()
+    counted = again.groupBy("lang", "source").agg(F.sum("n").alias("total"))
+    totals = occurring.join(counted, ["lang", "source"], "left").withColumn("total", F.coalesce("total", F.lit(0)))
+    terms = entries.filter("first")
     langs = (
         totals.groupBy("lang")
         .agg(F.sum("total").alias("lang_total"), F.count("*").alias("n_sources"))
-        .join(vocabulary, "lang", "left")
-        .select(
-            "lang",
-            "lang_total",
-            F.coalesce("n_terms", F.lit(0)).alias("n_terms"),
-            F.ceil(F.coalesce("n_terms", F.lit(0)) / shard_terms).alias("shards"),
-            F.ceil(F.col("n_sources") / block_sources).alias("blocks"),
-        )
+        .join(terms.groupBy("lang").agg(F.count("*").alias("n_terms")), "lang", "left")
+        .withColumn("n_terms", F.coalesce("n_terms", F.lit(0)))
     )
+    # all languages are dealt alike, so that no step joins on a language
+    most = langs.agg(F.max("n_terms").alias("terms"), F.max("n_sources").alias("sources")).first()
+    shards = (most["terms"] or 0) // shard_terms + 1
+    blocks = -(-(most["sources"] or 1) // block_sources)
 
     def dealt(rows: DataFrame) -> DataFrame:
         """Rows of a source once for every pair of blocks that its block is in."""
-        block = F.pmod(F.xxhash64("source"), F.col("blocks"))
-        other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))
+        block = F.pmod(F.xxhash64("source"), F.lit(blocks)).cast("int")
+        other = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))) if blocks > 1 else F.lit(0)
         each = rows.withColumn("block", block).withColumn("other", other)
         return each.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
 
-    shard = F.pmod(F.xxhash64("term"), F.col("shards"))
-    sized = terms.join(langs, "lang").groupBy("lang", shard.alias("shard")).agg(F.count("*").alias("shard_terms"))
+    shard = F.pmod(F.xxhash64("term"), F.lit(shards)).cast("int")
+    sized = terms.groupBy("lang", shard.alias("shard")).agg(F.count("*").alias("shard_terms"))
     # a language without a kept term has one empty shard
     spread = langs.join(sized, "lang", "left").select(
         "lang",
         "lang_total",
         "n_terms",
-        "blocks",
         F.coalesce("shard", F.lit(0)).alias("shard"),
         F.coalesce("shard_terms", F.lit(0)).alias("shard_terms"),
     )
     keys = ["lang", "shard", "low", "high"]
-    groups = dealt(totals.join(spread, "lang")).drop("blocks", "other")
-    placed = dealt(entries.join(langs.select("lang", "shards", "blocks"), "lang").withColumn("shard", shard))
-    placed = placed.select(*keys, "source", "term", "n", "lang_n")
+    groups = dealt(totals.join(spread, "lang")).drop("other")
+    placed = dealt(entries.withColumn("shard", shard)).select(*keys, "source", "term", "n", "lang_n")
     found = (
         placed.groupBy(*keys)
         .cogroup(groups.groupBy(*keys))
