@@ -27,7 +27,7 @@ from postlark.operators import video as vd  # noqa: E402
 from postlark.plans import jobs, reports  # noqa: E402
 from postlark.schema import EXPANDED_URLS  # noqa: E402
 from postlark.session import apply_defaults, checkpointed, shared_path  # noqa: E402
-from postlark.sources import create_graph_store, merge_into_store, read_stored  # noqa: E402
+from postlark.sources import create_graph_store, merge_into_store, read_stored, write_user_posts  # noqa: E402
 
 try:  # the subpackage and the pipeline may be absent; all else works without them
     import corpus_pipeline
@@ -204,6 +204,14 @@ def overview(spark, sf):
     return reports.overview_report(gr.Graph(**{**graph.__dict__, "tweets": renamed}))
 
 
+def clustered_user(spark, sf):
+    """Series of one user, read from the posts clustered by user."""
+    path = shared_path(spark, "user-posts")
+    write_user_posts(s.graph(spark, sf), path)
+    rows = mt.for_user(spark.read.parquet(path), "u7")
+    return rows.select("userid", "tweetid", "date", *mt.PROFILE_COUNTERS)
+
+
 def topic_means(spark, sf):
     return tp.topic_means(any_tweets(spark, sf))
 
@@ -609,6 +617,7 @@ QUERIES: dict[str, Query] = {
     "one_user": lambda spark, sf: mt.for_user(s.posts_table(spark, sf), "u7").select(
         "userid", "screen_name", "tweetid", "date"
     ),
+    "one_user_clustered": clustered_user,
     "collect_names": lambda spark, sf: mt.collect_names(s.users(spark, sf)),
     "row_count": lambda spark, sf: mt.row_count(s.posts_table(spark, sf)),
     # topics

@@ -358,6 +358,8 @@ SELECTS = {
         when 'NMYT' then 'never shared a moderated video' else 'error: category unknown' end as category_label
         from users where cat is not null""",
     "one_user": "select userid, screen_name, tweetid, date from posts_table where screen_name = 'u7'",
+    "one_user_clustered": """select userid, tweetid, date, followers_count, friends_count, favourites_count
+        from ut_any where userid in (select userid from users where screen_name = 'u7')""",
     "collect_names": "select distinct screen_name from users",
     "row_count": "select count(*) as n from posts_table",
     # topics

@@ -7,7 +7,14 @@ from .readers import (
     read_video_metadata,
 )
 from .store import create_graph_store, merge_into_store, read_graph_store, read_stored
-from .writers import read_bucketed_graph, read_graph, write_bucketed_graph, write_graph, write_table
+from .writers import (
+    read_bucketed_graph,
+    read_graph,
+    write_bucketed_graph,
+    write_graph,
+    write_table,
+    write_user_posts,
+)
 
 __all__ = [
     "create_graph_store",
@@ -25,4 +32,5 @@ __all__ = [
     "write_bucketed_graph",
     "write_graph",
     "write_table",
+    "write_user_posts",
 ]

@@ -3,11 +3,20 @@
 import itertools
 import random
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from postlark.operators import graph as gr
-from postlark.sources import create_graph_store, merge_into_store, read_graph_store, read_stored, store
+from postlark.operators import metrics as mt
+from postlark.sources import (
+    create_graph_store,
+    merge_into_store,
+    read_graph_store,
+    read_stored,
+    store,
+    write_user_posts,
+)
 from test_operators import COHORT, DAY, cohort_row
 
 
@@ -140,6 +149,37 @@ def test_empty_batches(spark, tmp_path):
     assert content(read_graph_store(spark, path)) == content(gr.build_graph(some))
 
 
+def test_one_user_reads_a_few_row_groups(spark, tmp_path):
+    rows = [cohort_row(i, 1 if i % 3 == 0 else i % 97 + 2, i, mentions=[(i % 89, f"u{i % 89}")]) for i in range(4000)]
+    graph = gr.build_graph(spark.createDataFrame(rows, COHORT))
+    path = tmp_path / "by_user"
+    write_user_posts(graph, str(path), files=12, row_group_bytes=20_000)
+    groups = []
+    for file in sorted(path.glob("*.parquet")):
+        meta = pq.ParquetFile(file).metadata
+        at = {meta.schema.column(k).name: k for k in range(meta.num_columns)}
+        for g in range(meta.num_row_groups):
+            group = meta.row_group(g)
+            name = group.column(at["screen_name"]).statistics
+            groups.append((name.min, name.max, group.num_rows))
+    total = sum(n for *_, n in groups)
+    assert len(groups) >= 24 and total == gr.user_tweets(graph).count()
+
+    def read(user):
+        """Rows of the row groups that the statistics leave for one user."""
+        return [n for low, high, n in groups if low <= user <= high]
+
+    assert len(read("u50")) <= 2 and sum(read("u50")) < total / 8
+    # the user with a third of the posts lies in many row groups, and a few weeks of theirs in few
+    stored = spark.read.parquet(str(path))
+    assert len(read("u1")) > 5
+    one = mt.for_user(stored, "u50")
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(screen_name,u50)" in plan
+    expected = gr.user_tweets(graph).join(graph.users.filter("screen_name = 'u50'").select("userid"), "userid")
+    assert sorted(r["tweetid"] for r in one.collect()) == sorted(r["tweetid"] for r in expected.collect())
+
+
 @pytest.mark.parametrize("table", ["tweet_nodes", "user_nodes", "stub_users"])
 def test_upserts_aggregate_by_hash(spark, table):
     rows = spark.createDataFrame(random_rows(5), COHORT)
