@@ -38,7 +38,7 @@ travels(__name__)
 MIN_DOCS, TOP_TERMS = 10, 10
 SCALE_STEPS = (1000, 1000, 1000)  # their product is the scale of a share
 # text counted at once; rows that a task adds up before it sends them on
-SLICE_BYTES, HELD_ROWS = 2_000_000, 800_000
+SLICE_BYTES, HELD_ROWS = 2_000_000, 400_000
 # text whose counts one bucket of terms adds up; terms of one shard, sources of one block
 BUCKET_BYTES, SHARD_TERMS, BLOCK_SOURCES = 16 << 20, 1 << 14, 48
 
