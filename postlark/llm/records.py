@@ -11,7 +11,9 @@ replaces its file with the same bytes.
 Ids come from a table of distinct words per Python worker: a text is cut before
 each space that a non-space follows, where the pre-tokeniser always cuts, and
 the library encodes each distinct part once: many side by side in one text, told
-apart by the tokens that open with a space.
+apart by the tokens that open with a space; a word of Latin letters
+and signs is cut as the pre-tokeniser cuts it, and the library's model segments each
+distinct part once.
 
 Defined results: a null or empty text is one record with only the end id; a null
 document id sorts first; repeated rows give one record each; an empty table
@@ -28,16 +30,27 @@ from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pf
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from postlark.llm.common import ids_by_word, list_array, travels, with_fields, worker_cache
+from postlark.llm.common import fresh, ids_by_word, list_array, slices, text_buffer, travels, with_fields, worker_cache
 
 travels(__name__)
 
-WORD_START = re.compile(r" (?=\S)")
+# white space, after which no word starts: ASCII, and the first bytes of the others in UTF-8
+ASCII_BLANK = np.zeros(256, bool)
+ASCII_BLANK[[*range(9, 14), *range(28, 33)]] = True
+BLANKS = [c.encode() for c in map(chr, range(0x80, 0x3001)) if c.isspace()]
+BLANK_HEAD = np.zeros(256, bool)
+BLANK_HEAD[[c[0] for c in BLANKS]] = True
+# letters of Latin scripts, of which any run behind a space is one part for the pre-tokeniser
+LATIN = [chr(c) for c in range(0x250) if chr(c).isalpha()]
+LETTERS, SIGNS = f"[{''.join(LATIN)}]+", r"[.,;:!?*$%#&()-]*"
+# a word behind a space as the pre-tokeniser cuts it: letters, signs, and after a newline both again
+CUT_WORD = re.compile(f"({LETTERS})({SIGNS})(?:\n({LETTERS})({SIGNS}))?")
 TABLE_ENTRIES = 1_000_000
 # new words that the library gets in one text
 TOGETHER = 1_000
@@ -45,6 +58,8 @@ TOGETHER = 1_000
 SPACE = "Ġ"
 FRAME = 16
 READ_BYTES = 8_000_000
+# text encoded at once, but for a longer document
+SLICE_BYTES = 4_000_000
 MASK_DELTA = 0xA282EAD8
 
 
@@ -87,12 +102,59 @@ class WordTable:
         tokens = map(self.tokenizer.id_to_token, range(max(self.tokenizer.get_vocab().values()) + 1))
         self.opens = np.array([(token or "").startswith(SPACE) for token in tokens])
         self.ids: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+        self.spelled = self._spelling()
+
+    def _spelling(self) -> dict[int, str] | None:
+        """How the vocabulary writes Latin letters and newlines; none if the model alone does not give the library's ids."""
+        parts = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        spelled = {ord(c): parts(c)[0][0] for c in [*LATIN, "\n"]}
+        probes = ["".join(LATIN[k : k + 9]) for k in range(0, len(LATIN), 9)]
+        probes += ["the", "Straße.", "naïveté.\nxqzj", "a,\nÉb!?", "ab***", "c$$$.", "d--"]
+        cut = [self._cut(CUT_WORD.fullmatch(p), spelled) for p in probes]
+        return spelled if cut == self._encoded([" " + p for p in probes]) else None
+
+    def _part(self, text: str) -> bytes:
+        """Ids of one part of the pre-tokeniser, as the vocabulary spells it; each is segmented once."""
+        ids = array("I", [t.id for t in self.tokenizer.model.tokenize(text)]).tobytes()
+        self.parts[text] = ids
+        return ids
+
+    def _cut(self, found: re.Match, spelled: dict[int, str]) -> bytes:
+        """Ids of a word behind a space from those of its parts."""
+        word, signs, second, more = found.groups()
+        known, part = self.parts.get, self._part
+        word = SPACE + (word if word.isascii() else word.translate(spelled))
+        ids = known(word) or part(word)
+        if signs:
+            ids += known(signs) or part(signs)
+        if second:
+            second = spelled[10] + second
+            ids += known(second) or self._line(second, spelled)
+            if more:
+                ids += known(more) or part(more)
+        return ids
+
+    def _line(self, text: str, spelled: dict[int, str]) -> bytes:
+        """Ids of a newline and the letters behind it."""
+        own = text[len(spelled[10]) :].translate(spelled)
+        self.parts[text] = self._part(spelled[10]) + (self.parts.get(own) or self._part(own))
+        return self.parts[text]
 
     def _encoded(self, words: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
     def _learn(self, words: list[str]) -> None:
+        if self.spelled:
+            rest = []
+            for word in words:
+                found = CUT_WORD.fullmatch(word)
+                if found:
+                    self.ids[word] = self._cut(found, self.spelled)
+                else:
+                    rest.append(word)
+            words = rest
         plain = [w for w in words if " " not in w]
         for at in range(0, len(plain), TOGETHER):
             part = plain[at : at + TOGETHER]
@@ -102,23 +164,70 @@ class WordTable:
         rest = [w for w in words if w not in self.ids]
         self.ids.update(zip(rest, self._encoded([" " + w for w in rest])))
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text; words that the table lacks are encoded together.
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts end to end, and where each text begins (one more at the end).
 
-        The table holds words behind a space; what a text begins with is encoded as it is.
+        The distinct words of the batch are looked up once, what the table lacks is
+        learned, and the ids are joined by position. The table holds words behind a
+        space; what a text begins with is encoded as it is.
         """
-        split = [WORD_START.split(text) for text in texts]
-        heads = self._encoded([words.pop(0) for words in split])
+        data, starts = text_buffer(column)
+        spaces = word_spaces(data, starts)
+        kept = np.ones(len(data), bool)
+        kept[spaces] = False
+        head = np.zeros(len(data) + 1, bool)
+        head[starts[:-1]] = starts[:-1] < starts[1:]
+        head[spaces] = False
+        cut = head.copy()
+        cut[spaces] = True
+        cuts = np.flatnonzero(cut)
+        is_head = head[cuts]
+        # the words without the space before them, side by side
+        offsets = np.append(cuts, len(data)) - np.searchsorted(spaces, np.append(cuts, len(data)), "left")
+        words = pa.Array.from_buffers(
+            pa.large_string(), len(cuts), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data[kept])]
+        )
+        coded = words.filter(pa.array(~is_head)).dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         if len(self.ids) > TABLE_ENTRIES:
             self.ids.clear()
-        self._learn([w for w in set().union(*split) if w not in self.ids])
-        return [head + b"".join(map(self.ids.__getitem__, words)) for head, words in zip(heads, split)]
+            self.parts.clear()
+        found = list(map(self.ids.get, distinct))
+        lacking = [k for k, ids in enumerate(found) if ids is None]
+        self._learn([distinct[k] for k in lacking])
+        for k in lacking:
+            found[k] = self.ids[distinct[k]]
+        found += self._encoded(words.filter(pa.array(is_head)).to_pylist())
+        entry = np.empty(len(cuts), np.int64)
+        entry[~is_head] = coded.indices.to_numpy(zero_copy_only=False)
+        entry[is_head] = len(distinct) + np.arange(is_head.sum())
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        each = sizes[entry]
+        begins = np.cumsum(sizes) - sizes
+        ends = np.cumsum(each)
+        at = np.repeat(begins[entry] - ends + each, each) + np.arange(ends[-1] if len(ends) else 0)
+        ids = np.frombuffer(b"".join(found), np.uint32)[at]
+        return ids, np.concatenate(([0], ends))[np.searchsorted(cuts, starts, "left")]
+
+
+def word_spaces(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Places of the spaces that a non-space of the same text follows."""
+    begins = np.zeros(len(data) + 1, bool)
+    begins[starts] = True
+    at = np.flatnonzero((data == 32) & ~begins[1:])
+    after = data[at + 1]
+    at, after = at[~ASCII_BLANK[after]], after[~ASCII_BLANK[after]]
+    blank = np.zeros(len(at), bool)
+    for k in np.flatnonzero(BLANK_HEAD[after]).tolist():
+        p = int(at[k]) + 1
+        blank[k] = data[p : p + 3].tobytes().startswith(tuple(BLANKS))
+    return at[~blank]
 
 
 def _write(tokenizer_path: str, folder: str, end_id: int):
     def write(batches):
         table = worker_cache(f"words_{tokenizer_path}", lambda: WordTable(tokenizer_path))
-        end = np.array([end_id], np.uint32).tobytes()
+        end = np.uint32(end_id)
         task = TaskContext.get()
         store, path = pf.FileSystem.from_uri(folder)
         name = f"part-{task.partitionId():06d}.rec"
@@ -129,12 +238,14 @@ def _write(tokenizer_path: str, folder: str, end_id: int):
                 store.create_dir(path, recursive=True)
                 out = store.open_output_stream(own)
             sizes, counts = [], []
-            for data in table.encode(batch.column(1).to_pylist()):
-                ids = np.frombuffer(data + end, np.uint32)
-                record = frame(ids)
-                out.write(record)
-                sizes.append(len(record))
-                counts.append(len(ids))
+            for a, b in slices(pc.binary_length(pc.fill_null(batch.column(1), "")).to_numpy(), SLICE_BYTES):
+                flat, begins = table.encode(batch.column(1)[a:b])
+                for x, y in zip(begins[:-1].tolist(), begins[1:].tolist()):
+                    ids = np.append(flat[x:y], end)
+                    record = frame(ids)
+                    out.write(record)
+                    sizes.append(len(record))
+                    counts.append(len(ids))
             ends, tokens = offset + np.cumsum(sizes, dtype=np.int64), start + np.cumsum(counts, dtype=np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -163,7 +274,8 @@ def write_records(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
     counts the tokens before the record in its file. File names ascend with ids.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    # rows that share an id are in the order of their texts: a repeated task writes the same bytes
+    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     index = ordered.mapInArrow(
         _write(tokenizer_path, f"{folder}/records", end_id),
         f"file string, doc_id {kind}, offset bigint, n_bytes bigint, start bigint, n_tokens bigint",
@@ -198,7 +310,7 @@ def _runs(files: list[str], offsets: list[int], sizes: list[int]):
             begin = i
 
 
-def _read(folder: str, raw: bool):
+def _read(folder: str, raw: bool, name: str):
     def read(batches):
         store, path = pf.FileSystem.from_uri(folder)
         for batch in batches:
@@ -214,7 +326,7 @@ def _read(folder: str, raw: bool):
                     rows.append(ids.tobytes())
                 part = batch.slice(a, b - a)
                 column = pa.array(rows, pa.binary()) if raw else list_array(rows, "int32")
-                yield pa.RecordBatch.from_arrays([*part.columns, column], [*part.schema.names, "ids"])
+                yield pa.RecordBatch.from_arrays([*part.columns, column], [*part.schema.names, name])
 
     return read
 
@@ -224,5 +336,5 @@ def read_records(index: DataFrame, folder: str, *, raw: bool = False) -> DataFra
 
     Rows that lie side by side are read in one piece; every checksum is verified.
     """
-    kind = "binary" if raw else "array<int>"
-    return index.mapInArrow(_read(f"{folder}/records", raw), with_fields(index.schema, f"ids {kind}"))
+    kind, name = "binary" if raw else "array<int>", fresh("ids", index.columns)
+    return index.mapInArrow(_read(f"{folder}/records", raw, name), with_fields(index.schema, f"{name} {kind}"))
