@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postlark.llm.common import slices, travels, with_fields
+from postlark.llm.common import fresh, slices, travels, with_fields
 
 travels(__name__)
 
@@ -146,6 +146,7 @@ def _predict(text: str, names: tuple[str, str], model):
 
 def identify_language(docs: DataFrame, model, *, text_col="text", lang_as="lang_pred", score_as="score") -> DataFrame:
     """``docs`` with the predicted language and its probability; ``model`` comes from `train_language`."""
+    lang_as, score_as = fresh(lang_as, docs.columns), fresh(score_as, docs.columns)
     schema = with_fields(docs.schema, f"{lang_as} string, {score_as} double")
     shared = docs.sparkSession.sparkContext.broadcast(model)
     return docs.mapInArrow(_predict(text_col, (lang_as, score_as), shared), schema)

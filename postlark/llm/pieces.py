@@ -21,7 +21,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from postlark.llm.common import ids_by_word, list_array, slices, travels, with_fields, worker_cache
+from postlark.llm.common import fresh, ids_by_word, list_array, slices, travels, with_fields, worker_cache
 
 travels(__name__)
 
@@ -139,5 +139,6 @@ def _decode(path: str, ids: str, text: str):
 
 def decode_pieces(encoded: DataFrame, model_path: str, *, ids_col="ids", text_col="decoded") -> DataFrame:
     """``encoded`` with the text that the library decodes from ``ids_col`` (null: the empty text)."""
+    text_col = fresh(text_col, encoded.columns)
     schema = with_fields(encoded.schema, f"{text_col} string")
     return encoded.mapInArrow(_decode(model_path, ids_col, text_col), schema)

@@ -45,7 +45,7 @@ ANY = (
 )
 # from so many owners on, a value counts as widely copied
 SHARED_OWNERS = 5
-LIVE_ENTROPY, LIVE_LENGTH = 3.0, 12
+LIVE_ENTROPY = 3.0
 # neighbours that are common in words of code and of the four languages; fixed values
 PAIRS = frozenset(
     (
@@ -60,16 +60,18 @@ PAIRS = frozenset(
 # the score of a stretch is what it has of them above this share
 ODD_SHARE, ODD_SCORE = 0.55, 2.0
 
-SPAN = "struct<kind:int,start:int,end:int,value:string,looks_live:boolean>"
+SPAN = "struct<kind:int,start:int,end:int,value:string,value_start:int>"
 SPAN_TYPE = pa.struct(
     [
         ("kind", pa.int32()),
         ("start", pa.int32()),
         ("end", pa.int32()),
         ("value", pa.string()),
-        ("looks_live", pa.bool_()),
+        ("value_start", pa.int32()),
     ]
 )
+# a value in very many texts is joined in so many parts
+SALTS = 16
 
 
 def most_odd(value: str) -> float:
@@ -97,22 +99,21 @@ def looks_random(value: str) -> bool:
 
 
 def find_spans(text: str) -> list[tuple]:
-    """Candidates of one text: kind, start, end (code points), hash of the value, live if few own it."""
+    """Candidates of one text: kind, start, end (code points), hash of the value, where the value begins."""
     found = [
-        (0, m.start(), m.end(), m[2]) for m in ASSIGN.finditer(text) if len(m[2]) >= LEAST_ASSIGNED
+        (0, m.start(), m.end(), m[2], m.start(2)) for m in ASSIGN.finditer(text) if len(m[2]) >= LEAST_ASSIGNED
     ]
-    found += [(1, m.start(), m.end(), m[0]) for m in ACCESS.finditer(text)]
-    found += [(2, m.start(), m.end(), m[0]) for m in HEX.finditer(text)]
-    base = sorted((start, end) for _, start, end, _ in found)
+    found += [(1, m.start(), m.end(), m[0], m.start()) for m in ACCESS.finditer(text)]
+    found += [(2, m.start(), m.end(), m[0], m.start()) for m in HEX.finditer(text)]
+    base = sorted(x[1:3] for x in found)
     at = 0
     for m in TOKEN.finditer(text):
         while at < len(base) and base[at][1] <= m.start():
             at += 1
         if (at == len(base) or base[at][0] >= m.end()) and looks_random(m[0]):
-            found.append((3, m.start(), m.end(), m[0]))
+            found.append((3, m.start(), m.end(), m[0], m.start()))
     return [
-        (k, s, e, hashlib.sha256(v.encode("utf-8", "surrogatepass")).hexdigest(), k > 0 or len(v) >= LIVE_LENGTH)
-        for k, s, e, v in found
+        (k, s, e, hashlib.sha256(v.encode("utf-8", "surrogatepass")).hexdigest(), at) for k, s, e, v, at in found
     ]
 
 
@@ -125,7 +126,7 @@ def _scan(text: str, names: tuple[str, str]):
             for i in pc.indices_nonzero(hit).to_pylist():
                 value = column[i].as_py()
                 if found := find_spans(value):
-                    spans[i] = [dict(zip(("kind", "start", "end", "value", "looks_live"), x)) for x in found]
+                    spans[i] = [dict(zip(("kind", "start", "end", "value", "value_start"), x)) for x in found]
                     keys[i] = hashlib.sha256(value.encode("utf-8", "surrogatepass")).hexdigest()
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(spans, pa.list_(SPAN_TYPE)), pa.array(keys, pa.string())],
@@ -157,12 +158,18 @@ def ownership(candidates: DataFrame) -> DataFrame:
 
 
 def judged(hits: DataFrame, spans: str, key: str, owner: Column, repo: Column) -> DataFrame:
-    """``key`` and the judged spans of each text: kind, start, end, value hash, owners, repos, live."""
+    """``key`` and the judged spans of each text: kind, start, end, value hash, owners, repos, live.
+
+    A candidate is live, whatever its length, unless so many owners hold it that it is
+    a copied example.
+    """
     flat = hits.select(F.col(key).alias("key"), owner.alias("owner"), repo.alias("repo"), F.explode(spans).alias("s"))
     known = ownership(flat.select(F.col("s.value").alias("value"), "owner", "repo"))
-    each = flat.select("key", "s.*").distinct().join(known, "value")
-    live = F.col("looks_live") & (F.col("n_owners") < SHARED_OWNERS)
-    span = F.struct("start", "kind", "end", "value", "n_owners", "n_repos", live.alias("live"))
+    spread = flat.select("key", "s.*").distinct().withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int"))
+    known = known.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    each = spread.join(known, ["value", "salt"])
+    live = F.col("n_owners") < SHARED_OWNERS
+    span = F.struct("start", "kind", "end", "value", "n_owners", "n_repos", live.alias("live"), "value_start")
     kept = each.filter((F.col("kind") < 3) | live)
     return kept.groupBy("key").agg(F.array_sort(F.collect_list(span)).alias("judged"))
 
@@ -181,7 +188,7 @@ def scan_secrets(docs: DataFrame, *, id_col="doc_id", text_col="text", owner_col
     )
     scanned = checkpointed(scan_texts(narrow, "text", "spans", "key").drop("text"))
     none = F.array().cast(
-        "array<struct<start:int,kind:int,end:int,value:string,n_owners:bigint,n_repos:bigint,live:boolean>>"
+        "array<struct<start:int,kind:int,end:int,value:string,n_owners:bigint,n_repos:bigint,live:boolean,value_start:int>>"
     )
     hits = scanned.filter(F.col("key").isNotNull())
     verdicts = judged(hits, "spans", "key", F.col("owner"), F.col("repo"))
@@ -198,7 +205,7 @@ def _mask(text: str, spans: str, mask: str):
                 end, parts = 0, []
                 for s in found or []:
                     if s["live"]:
-                        parts += [value[end : max(end, s["start"])], mask if s["end"] > end else ""]
+                        parts += [value[end : max(end, s["value_start"])], mask if s["end"] > end else ""]
                         end = max(end, s["end"])
                 out.append("".join([*parts, value[end:]]))
             columns = [*batch.columns]
@@ -212,7 +219,7 @@ def _mask(text: str, spans: str, mask: str):
 
 
 def mask_live(docs: DataFrame, mask: str = "[SECRET]", *, text_col="text", owner_col="source", repo_col="lang") -> DataFrame:
-    """``docs`` with every live-looking secret replaced; widely copied examples stay.
+    """``docs`` with the value of every live-looking secret replaced; labels and widely copied examples stay.
 
     Only documents with a candidate are shuffled; the others pass unread by the join.
     """

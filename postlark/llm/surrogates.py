@@ -320,8 +320,12 @@ def _replace(text: str, spans: str):
 
 
 def replace_entities(docs: DataFrame, key: bytes, *, text_col="text", entities_as="entities") -> DataFrame:
-    """``docs`` with every entity replaced, and the list of entities: kind, start, end in the original, surrogate."""
-    spans, row = fresh("found_spans", docs.columns), fresh("found_key", docs.columns)
+    """``docs`` with every entity replaced, and the list of entities: kind, start, end in the original, surrogate.
+
+    Where ``docs`` has a column of that name, the list gets a longer one.
+    """
+    entities_as = fresh(entities_as, docs.columns)
+    spans, row = fresh("found_spans", [*docs.columns, entities_as]), fresh("found_key", [*docs.columns, entities_as])
     scanned = scan_entities(docs, text_col, spans, row)
     kind = "array<struct<start:int,end:int,kind:int,surrogate:string>>"
     hits = scanned.filter(F.col(row).isNotNull())

@@ -154,9 +154,11 @@ def test_secret_spans_and_ownership(spark):
     assert found[10] == [[(1, 4, 24, True), (3, 29, 52, True)]]
     assert found[11] == [[]] and found[12] == [[]]
     # the short value of `secret` uses up `token`; `abcde` is too short
-    assert found[13] == [[(0, 37, 53, False)]] * 2
+    assert found[13] == [[(0, 37, 53, True)]] * 2
     masked = {r.doc_id: r.text for r in secret_scan.mask_live(docs).collect()}
     assert masked[10] == "see [SECRET] and [SECRET]"
+    # the label stays, and so does what stands around the value
+    assert masked[13] == "secret=token: abcdefgh api_key:abcde PASSWD='[SECRET]'"
     assert masked[0] == rows[0][1] and masked[11] is None and masked[12] == ""
     assert secret_scan.scan_secrets(docs.limit(0)).count() == 0
 
@@ -222,9 +224,12 @@ def test_contained_items(spark):
     docs += [(100, None), (101, ""), (102, items[0][1] + "!"), (103, words(rng, 500)), (None, items[3][1]), (5, items[4][1])]
     expected = set()
     for row, (doc, text) in enumerate(docs):
-        have = decontaminate.shingles(decontaminate.words_of(text or ""))
+        own = decontaminate.words_of(text or "")
         for item, body in items:
-            want = decontaminate.shingles(decontaminate.words_of(body or ""))
+            asked = decontaminate.words_of(body or "")
+            want, have = decontaminate.shingles(asked), decontaminate.shingles(own)
+            if 0 < len(asked) < 5:
+                have = {" ".join(own[k : k + len(asked)]) for k in range(len(own) - len(asked) + 1)}
             if want and len(want & have) >= 0.8 * len(want):
                 expected.add((row, doc, item, len(want & have), len(want)))
     table = spark.createDataFrame(items, "item_id long, text string")
@@ -237,6 +242,31 @@ def test_contained_items(spark):
     assert decontaminate.contained_items(texts_of(spark, []), table).count() == 0
 
 
+def test_sketches_need_no_copy_of_the_package(tmp_path):
+    """What is broadcast holds plain values; the task functions travel by value."""
+    import pickle
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    block = tuple(decontaminate.sketches_of([(1, "one two three four five six"), (2, "only two")]))
+    (tmp_path / "block").write_bytes(pickle.dumps(block))
+    (tmp_path / "task").write_bytes(cloudpickle.dumps((decontaminate._search, decontaminate._flag)))
+    code = """
+import pickle, sys, types
+import pyarrow as pa
+block, (search, flag) = pickle.load(open('block', 'rb')), pickle.load(open('task', 'rb'))
+held = types.SimpleNamespace(value=block)
+batch = pa.RecordBatch.from_pydict({'doc_id': [1, 2, 3], 'text': ['x one two three four five six', 'only two y', 'z']})
+found = [r for b in search('text', held, ['doc_id'])([batch]) for r in b.to_pylist()]
+assert sorted((r['doc_id'], r['item_id']) for r in found) == [(1, 1), (2, 2)], found
+assert [r['doc_id'] for b in flag('text', held)([batch]) for r in b.to_pylist()] == [3]
+assert 'postlark' not in sys.modules
+"""
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, timeout=120, env={"PATH": "/usr/bin"})
+
+
 # --- surrogates ----------------------------------------------------------------------
 
 
@@ -373,12 +403,21 @@ def test_a_prediction_depends_on_its_text_alone():
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.text(st.one_of(st.sampled_from("ab 's\n\t\x1c1.É"), st.characters(exclude_categories=("Cs",))), max_size=30))
-def test_word_table_encodes_like_the_library(text):
+@given(
+    st.lists(
+        st.text(st.one_of(st.sampled_from("ab 's\n\t\x1c1.Éß,\u3000\xa0"), st.characters(exclude_categories=("Cs",))), max_size=30),
+        min_size=1,
+        max_size=4,
+    )
+)
+def test_word_table_encodes_like_the_library(texts):
     from postlark.llm.common import worker_cache
 
     table = worker_cache("test_words", lambda: records.WordTable(WORD_MODEL))
-    assert np.frombuffer(table.encode([text])[0], np.uint32).tolist() == table.tokenizer.encode(text, add_special_tokens=False).ids
+    assert table.spelled is not None
+    ids, begins = table.encode(pa.array(texts))
+    for text, a, b in zip(texts, begins[:-1], begins[1:]):
+        assert ids[a:b].tolist() == table.tokenizer.encode(text, add_special_tokens=False).ids
 
 
 def test_records_round_trip(spark, tmp_path):
@@ -433,16 +472,108 @@ def test_edited_texts_and_likeness(spark):
     assert np.mean([r.near_edited for r in long]) > 0.4 > np.mean([r.near_next for r in long])
 
 
-def test_anchors_are_context_free_and_closed(spark):
-    rng = random.Random(8)
-    shared = words(rng, 40)
-    rows = [(0, shared), (1, words(rng, 9) + " " + shared + " " + words(rng, 7))]
-    found = {r.doc_id: r.a for r in texts_of(spark, rows).select("doc_id", syncmers.anchors(F.col("text")).alias("a")).collect()}
-    shift = {}
-    for a, b in itertools.product(found[0], found[1]):
-        if a.hash == b.hash:
-            shift[b.place - a.place] = shift.get(b.place - a.place, 0) + 1
-    assert max(shift.values()) == len(found[0]) > 10
+SPACELESS = re.compile("[\u3040-\u30ff\u4e00-\u9fff\u0e00-\u0e7f]")
+
+
+def plain_units(text):
+    out = []
+    for run in re.findall(r"[^ \t\n\x0b\f\r]+", text):
+        while run:
+            free = SPACELESS.search(run)
+            head = run[: free.start()] if free else run
+            cut = re.match("[^\\0]*?[aeiouAEIOUtT0-9=/.,+-]", head, re.S)
+            n = 1 if not head else len(head) if len(head) <= 24 or not cut else cut.end()
+            out.append(run[:n])
+            run = run[n:]
+    return out
+
+
+def chained(*numbers):
+    """Spark's hash of several longs, each with the hash so far as its seed."""
+    import xxhash
+
+    seed = 42
+    for x in numbers:
+        seed = xxhash.xxh64_intdigest((x & (2**64 - 1)).to_bytes(8, "little"), seed)
+    return seed - (1 << 64) if seed >> 63 else seed
+
+
+def plain_sketch(text):
+    """(hash, place) of the kept anchors, by hash."""
+    import xxhash
+
+    own = [xxhash.xxh64_intdigest(u.encode(), 42) for u in plain_units(text or "")]
+    own = [h - (1 << 64) if h >> 63 else h for h in own]
+    inner = [chained(*own[i : i + 2]) for i in range(len(own) - 1)]
+    found = {}
+    for i in range(len(own) - 3):
+        if min(inner[i], inner[i + 2]) <= inner[i + 1]:
+            found.setdefault((chained(inner[i], inner[i + 2]) & (2**64 - 1)) >> 33, i)
+    if not found and own:
+        return None  # the hash of the whole list
+    ranked = sorted(found.items())
+    return [x for k, x in enumerate(ranked) if k < 64 or x[0] < 1 << 28]
+
+
+def plain_likeness(a, b):
+    bounds = [1 << 31 if len(x) < 64 else max((1 << 28) - 1, x[-1][0]) for x in (a, b)]
+    a, b = ({h: p for h, p in x if h <= min(bounds)} for x in (a, b))
+    both = sorted((a[h], b[h]) for h in a.keys() & b.keys())
+    follow = sum(i == 0 or both[i - 1][1] < p for i, (_, p) in enumerate(both))
+    return follow / (len(a) + len(b) - len(both))
+
+
+def prints(spark, rows):
+    return {r.doc_id: r for r in syncmers.fingerprints(texts_of(spark, rows)).collect()}
+
+
+def test_fingerprints_and_likeness_equal_brute_force(spark):
+    rng = random.Random(5)
+    rows = corpus(n=40) + [
+        (1000, words(rng, 3000)), (1001, "漢字" + words(rng, 300) + "とかな" * 40), (1002, "A" * 40 + "CGT" * 60 + "x" * 99),
+        (1003, " ".join(["same four words here"] * 60)),
+    ]
+    found = prints(spark, rows)
+    for (doc, text), (after_id, after) in zip(rows, [*rows[1:], rows[0]]):
+        text, after = text or "", after or ""
+        quarter = len(text) // 4
+        edited = text[: len(text) - quarter] + after[:quarter]
+        own, changed, other = (plain_sketch(t) for t in (text, edited, after))
+        if own is not None:
+            assert found[doc].fingerprint == ",".join(f"{h:08x}:{p:x}" for h, p in own)
+            if own and changed:
+                assert found[doc].near_edited == pytest.approx(plain_likeness(own, changed))
+            if own and other:
+                assert found[doc].near_next == pytest.approx(plain_likeness(own, other))
+    assert len(found[1000].fingerprint.split(",")) > 150
+
+
+def test_a_passage_shared_by_long_texts_is_found(spark):
+    rng = random.Random(12)
+    rows = []
+    for k in range(10):
+        passage = words(rng, 200)
+        for side in range(2):
+            at = rng.randint(0, 20_000)
+            rows.append((4 * k + side, " ".join([words(rng, at), passage, words(rng, 20_000 - at)])))
+    found = prints(spark, rows)
+    assert all(found[4 * k].near_next > 0 for k in range(10))
+    assert all(found[4 * k + 1].near_next < 0.001 for k in range(10))
+
+
+@pytest.mark.parametrize("alphabet", ["天地玄黄宇宙洪荒日月盈昃辰宿列张寒来暑往秋收冬藏", "ACGT", "กขคงจฉชซ"])
+def test_a_spaceless_text_is_like_itself_behind_one_more_character(spark, alphabet):
+    rng = random.Random(3)
+    text = "".join(rng.choices(alphabet, k=4000))
+    found = prints(spark, [(1, text), (2, alphabet[0] + text)])
+    assert found[1].near_next > 0.95
+
+
+def test_matches_count_in_order_only(spark):
+    rng = random.Random(2)
+    parts = [words(rng, 40) for _ in range(12)]
+    found = prints(spark, [(1, " ".join(parts)), (2, " ".join(parts[::-1])), (3, " ".join(parts))])
+    assert found[1].near_next < 0.95 and found[3].near_next == 1
 
 
 def test_fingerprints_of_odd_rows(spark):
@@ -574,3 +705,24 @@ def test_keep_first_of_empty_and_clashing_tables(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, copy_number int")
     assert sorted((r.doc_id or 0) for r in simhash.keep_first(docs).collect()) == [0, 1]
     assert simhash.keep_first(docs.limit(0)).count() == 0
+
+
+# --- clashing names ------------------------------------------------------------------
+
+
+def test_results_beside_columns_of_the_same_name(spark, tmp_path):
+    docs = spark.createDataFrame(
+        [(1, "Mail a.b@corp.org to Mr. Smith", 5, "x", "y", 0.5, [7])],
+        "doc_id long, text string, entities int, decoded string, lang_pred string, score double, ids array<int>",
+    )
+    found = surrogates.replace_entities(docs, b"k").first()
+    assert found["entities"] == 5 and len(found["entities_"]) == 2 and "corp" not in found["text"]
+    model = language.train_language(spark.createDataFrame([("aa", "x")], "text string, lang string"))
+    row = language.identify_language(docs, model).first()
+    assert (row["lang_pred"], row["score"], row["lang_pred_"]) == ("y", 0.5, "x")
+    encoded = pieces.encode_pieces(docs, PIECE_MODEL).withColumn("decoded", F.lit("own"))
+    row = pieces.decode_pieces(encoded, PIECE_MODEL).first()
+    assert row["decoded"] == "own" and row["decoded_"] == "Mail a.b@corp.org to Mr. Smith"
+    index = records.write_records(docs, str(tmp_path / "r"), WORD_MODEL, 2).withColumn("ids", F.lit(1))
+    row = records.read_records(index, str(tmp_path / "r")).first()
+    assert row["ids"] == 1 and row["ids_"][-1] == 2

@@ -8,7 +8,7 @@ import pytest
 import corpus_pipeline
 from postlark.llm import simhash
 from postlark.llm.queries import PIECE_MODEL
-from tests.llm.test_operators import words
+from test_llm_operators import words
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
