@@ -193,6 +193,52 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_suffix_dedup": """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+place AS (SELECT doc_id, h, unnest(range(0, len(h) // 2)) AS i FROM d),
+window_at AS (
+  SELECT doc_id, i, substr(h, 2 * i + 1, 2) AS byte,
+    CASE WHEN 2 * i + 100 <= len(h) THEN substr(h, 2 * i + 1, 100) END AS win
+  FROM place),
+again AS (
+  SELECT doc_id, i, byte, win IS NOT NULL AND min(doc_id) OVER (PARTITION BY win) < doc_id AS repeats FROM window_at),
+covered AS (
+  SELECT doc_id, i, byte,
+    max(repeats::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone
+  FROM again),
+spans AS (
+  SELECT *, gone = 1 AND coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), 0) = 0 AS opens FROM covered),
+summed AS (
+  SELECT doc_id, sum(gone) AS n_removed, count_if(opens) AS n_spans,
+    string_agg(byte, '' ORDER BY i) FILTER (gone = 0) AS kept
+  FROM spans GROUP BY doc_id)
+SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+  coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM d LEFT JOIN summed USING (doc_id)
+""",
+    "op3_decontaminate": """
+WITH found AS (
+  SELECT 'd' AS side, doc_id AS id, text FROM documents
+  UNION ALL SELECT DISTINCT 'i', item_id, text FROM benchmark),
+words AS (
+  SELECT side, id, row_number() OVER () AS r,
+    regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9\\x{C0}-\\x{1FFF}\\x{2040}-\\x{10FFFF}]+') AS w
+  FROM found),
+starts AS (SELECT side, id, r, w, unnest(range(1, len(w) - 3)) AS k FROM words),
+shingle AS (SELECT DISTINCT side, id, r, array_to_string(w[k:k + 4], ' ') AS s FROM starts),
+size AS (SELECT r, id, count(*) AS n FROM shingle WHERE side = 'i' GROUP BY r, id),
+long AS (
+  SELECT a.id AS doc_id, z.id AS item_id, count(*) AS n_shared, any_value(z.n) AS n_item
+  FROM shingle a JOIN shingle b ON b.s = a.s AND b.side = 'i' JOIN size z ON z.r = b.r
+  WHERE a.side = 'd' GROUP BY a.r, a.id, z.r, z.id HAVING count(*) >= 0.8 * any_value(z.n)),
+short AS (
+  SELECT a.id AS doc_id, b.id AS item_id, 1::BIGINT AS n_shared, 1::BIGINT AS n_item
+  FROM words a JOIN words b ON b.side = 'i' AND len(b.w) BETWEEN 1 AND 4
+    AND contains(' ' || array_to_string(a.w, ' ') || ' ', ' ' || array_to_string(b.w, ' ') || ' ')
+  WHERE a.side = 'd')
+SELECT doc_id, item_id, n_shared, n_item, n_shared / n_item AS containment
+FROM (SELECT * FROM long UNION ALL SELECT * FROM short)
+""",
     "op11_divergence": """
 WITH d AS (
   SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
