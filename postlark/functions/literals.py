@@ -139,24 +139,29 @@ def video_urls(urls: Column) -> Column:
     )
 
 
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once, however often ``use`` names it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def zip_mentions(ids: Column, names: Column) -> Column:
     """Pair ids with names in order, cut to the shorter list, last name per id.
 
-    Gives ``array<struct<id: string, name: string>>``.
+    Gives ``array<struct<id: string, name: string>>``. Pairs are sorted by id, the last
+    of each stays, and what stays goes back to its place.
     """
-    n = F.coalesce(F.least(F.size(ids), F.size(names)), F.lit(0))
-    n = F.greatest(n, F.lit(0))
-    pairs = F.transform(
-        F.arrays_zip(
-            F.slice(ids, F.lit(1), n).alias("id"), F.slice(names, F.lit(1), n).alias("name")
-        ),
-        lambda pair: F.struct(
-            pair["id"].cast("string").alias("id"), pair["name"].cast("string").alias("name")
-        ),
-    )
-    return F.filter(
-        pairs,
-        lambda pair, i: ~F.exists(
-            F.slice(pairs, i + F.lit(2), F.size(pairs)), lambda later: later["id"] == pair["id"]
+    n = F.greatest(F.coalesce(F.least(F.size(ids), F.size(names)), F.lit(0)), F.lit(0))
+    zipped = F.arrays_zip(F.slice(ids, F.lit(1), n).alias("id"), F.slice(names, F.lit(1), n).alias("name"))
+    placed = F.transform(
+        zipped,
+        lambda pair, i: F.struct(
+            pair["id"].cast("string").alias("id"), (-i).alias("back"), pair["name"].cast("string").alias("name")
         ),
     )
+
+    def last_of_each(rows: Column) -> Column:
+        return F.filter(rows, lambda r, i: (i == 0) | ~F.get(rows, i - 1)["id"].eqNullSafe(r["id"]))
+
+    kept = _bound(F.sort_array(placed), last_of_each)
+    ordered = F.sort_array(F.transform(kept, lambda r: F.struct((-r["back"]).alias("at"), r["id"], r["name"])))
+    return F.transform(ordered, lambda r: F.struct(r["id"].alias("id"), r["name"].alias("name")))
