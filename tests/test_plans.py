@@ -8,8 +8,12 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from postlark.functions import kernels
+from postlark.operators import cohort as co
+from postlark.operators import corpus
 from postlark.operators import metrics as mt
 from postlark.operators import topics as tp
+from postlark.plans import jobs
+from postlark.schema import TWEETS
 
 
 def plan(df):
@@ -48,8 +52,30 @@ def test_user_filter_reaches_the_scan(spark, tmp_path):
     assert "EqualTo(screen_name,u1)" in text
 
 
+def test_ranking_keeps_python_out(spark):
+    raw = spark.createDataFrame([], TWEETS)
+    assert "Python" not in plan(co.rank_users(jobs.parse_posts(raw)))
+
+
+def test_a_corpus_moves_its_texts_once(spark):
+    """One range exchange of the texts; all else that moves is a row or two per chunk."""
+    texts = spark.createDataFrame([("a", 1, "x")], "g string, tweetid long, text string")
+    ordered = corpus._ordered_texts(texts, ["g"], ["tweetid"])
+    for lines in (corpus._chunk_lines(ordered, ["g"], ["tweetid"]), corpus.corpus_lines(texts, ["g"], ["tweetid"])):
+        text = plan(lines)
+        assert "SortMergeJoin" not in text and "SortAggregate" not in text
+        assert text.count("Exchange hashpartitioning") == 1  # the fold of chunk borders
+    assert ordered.columns == ["g", "tweetid", "text", "_mark", "_group", "_chunk"]
+
+
 def test_task_code_needs_no_copy_of_the_package(tmp_path):
-    functions = (kernels.number_lines(10, ["a"]), kernels.border_summaries(10), kernels.fold_chunks(10), kernels.literals_to_json)
+    cleaner = kernels.Cleaner("^@", "RT", "[]", "x")
+    functions = (
+        kernels.number_lines(10, ["a"]), kernels.group_summaries(10), kernels.fold_chunks(10), kernels.literals_to_json,
+        kernels.border_marks(cleaner), kernels.fold_marks, kernels.place_texts(["a"]), kernels.merge_lines(cleaner, ["a"]),
+        kernels.batch_fragments(["a"]), kernels.cut_records(["a"], ",", '"'), kernels.summaries("a", 1, 1),
+        kernels.chained(kernels.with_sizes),
+    )
     (tmp_path / "f").write_bytes(cloudpickle.dumps(functions))
     code = "import pickle, sys; pickle.load(open('f', 'rb')); assert 'postlark' not in sys.modules"
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, timeout=120, env={"PATH": "/usr/bin"})
