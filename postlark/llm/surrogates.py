@@ -1,7 +1,9 @@
 """PII surrogates: detected entities get keyed, type-consistent replacements.
 
 Entities are e-mail addresses, phone numbers, IPv4 addresses, payment card
-numbers, and names behind a title. A surrogate keeps the form of its original:
+numbers, and names: words behind a title, and the same words elsewhere in that text.
+Given and family names are entities of their own, so a family name has one surrogate
+wherever it stands. A surrogate keeps the form of its original:
 letters stay letters of the same script and case, digits stay digits, separators
 stay; a name keeps the gender of its title, an address stays a valid address, a
 card number keeps its check digit. One original has one surrogate in the whole
@@ -45,6 +47,11 @@ IP = re.compile(r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?![\d]|\.\d)")
 PHONE = re.compile(
     r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?\d{3}[ .-]\d{4}|\d{3}[ .-]\d{3}[ .-]\d{4})(?!\w)"
 )
+# a number with its country code: 8 to 15 digits in any grouping
+WORLD_PHONE = re.compile(r"(?<![\w+])\+\d{1,3}(?:[ .-]?\(?\d{1,4}\)?){2,6}(?![\w])")
+WORD = re.compile(r"[^\W\d_]+(?:-[^\W\d_]+)?")
+# shorter words that follow a title are not looked for elsewhere
+LEAST_MENTION = 3
 RESERVED = re.compile(r"(.*?)((?:(?:^|\.)example)?\.[a-z]+)")
 # titles with the gender they tell; fixed values
 TITLES = {
@@ -57,7 +64,7 @@ NAME = re.compile(
 # every text with an entity has a match of this
 ANY = (
     r"@[A-Za-z0-9-]+\.|\d{1,3}\.\d{1,3}\.\d{1,3}\.\d|\d{4}[ -]?\d{4}[ -]?\d{4}|\d{3}[ .-]\d{3}[ .-]\d{4}"
-    r"|\(\d{2,4}\)[ .-]?\d{3}|\b(?:Mrs?|Ms|Miss|Herr|Frau|Señora?|Monsieur|Madame|Dr)\.? "
+    r"|\(\d{2,4}\)[ .-]?\d{3}|\+\d{1,3}[ .(-]?\d|\b(?:Mrs?|Ms|Miss|Herr|Frau|Señora?|Monsieur|Madame|Dr)\.? "
 )
 SPAN = "struct<kind:int,start:int,end:int,value:string>"
 SPAN_TYPE = pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), ("value", pa.string())])
@@ -100,16 +107,31 @@ def find_entities(text: str) -> list[tuple[int, int, int, str]]:
             add(2, m.start(), m.end())
     for m in PHONE.finditer(text):
         add(1, m.start(), m.end())
+    for m in WORLD_PHONE.finditer(text):
+        if 8 <= sum(c.isdigit() for c in m[0]) <= 15:
+            add(1, m.start(), m.end())
+    known: dict[str, str] = {}
+
+    def name(start: int, word: str, value: str) -> None:
+        if all(start + len(word) <= a or b <= start for a, b in taken):
+            taken.append((start, start + len(word)))
+            found.append((4, start, start + len(word), value))
+
     for m in NAME.finditer(text):
-        words = m[2].split(" ")
-        kept = [w for w in words if w[0].isupper()]
-        if kept and words[0][0].isupper():
+        words = [w for w in m[2].split(" ") if w[0].isupper()]
+        if words and m[2].startswith(words[0]):
             start = m.start(2)
-            length = len(words[0]) if len(kept) == 1 else len(m[2])
-            if all(start + length <= a or b <= start for a, b in taken):
-                taken.append((start, start + length))
-                gender = TITLES[m[1]]
-                found.append((4, start, start + length, gender + ":" + text[start : start + length].lower()))
+            # the first of two is a given name, which tells the gender; a family name is the same for all who bear it
+            for k, word in enumerate(words):
+                given = k == 0 and len(words) == 2
+                value = (TITLES[m[1]] if given else "n") + ":" + word.lower()
+                known.setdefault(word, value)
+                name(start, word, value)
+                start += len(word) + 1
+    if known:
+        for m in WORD.finditer(text):
+            if len(m[0]) >= LEAST_MENTION and m[0] in known:
+                name(m.start(), m[0], known[m[0]])
     return sorted(found, key=lambda x: x[1])
 
 

@@ -295,6 +295,23 @@ def test_surrogates_keep_form_distinctness_and_coreference(spark):
     assert surrogates.replace_entities(docs.limit(0), b"key").count() == 0
 
 
+def test_mentions_of_a_name_and_numbers_with_country_codes(spark):
+    rows = [
+        (1, "Mr. John Smith came. John Smith spoke, and Smith left with Mrs. Anna Smith."),
+        (2, "Dr. Smith and John stayed. Smithers too"),
+        (3, "+33 1 42 68 53 00, +14155552671, +49 30 901820, +34 612 345 678; 2+33 1 2, +1 23"),
+    ]
+    found = {r.doc_id: r for r in surrogates.replace_entities(frame(spark, rows), b"key").collect()}
+    m = re.fullmatch(r"Mr\. (\w+) (\w+) came\. (\w+) (\w+) spoke, and (\w+) left with Mrs\. (\w+) (\w+)\.", found[1].text)
+    assert m[1] == m[3] != "John" and m[2] == m[4] == m[5] == m[7] != "Smith" and m[6] not in ("Anna", m[1])
+    # the family name is the same person's in another text; a name without a title there is no entity
+    assert found[2].text == f"Dr. {m[2]} and John stayed. Smithers too"
+    assert len(found[3].entities) == 4 and found[3].text.endswith("; 2+33 1 2, +1 23")
+    numbers = found[3].text.split("; ")[0].split(", ")
+    for new, old in zip(numbers, rows[2][1].split("; ")[0].split(", ")):
+        assert new != old and re.sub(r"\d", "0", new) == re.sub(r"\d", "0", old)
+
+
 def test_colliding_surrogates_draw_again(spark, monkeypatch):
     originals = spark.createDataFrame([(2, f"1.1.1.{i}") for i in range(40)], "kind int, value string")
     plain = surrogates.surrogate
