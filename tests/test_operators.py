@@ -1,8 +1,10 @@
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
+import __spark_entry__
 from postlark import sources
 from postlark.operators import cohort as co
 from postlark.operators import graph as gr
@@ -254,6 +256,29 @@ def test_topic_model(spark, tmp_path):
     assert counts["cats"] == (8, 8) and len(counts) == 7
 
 
+def test_the_topic_fit_keeps_its_own_copy_in_one_part_per_core(spark, monkeypatch):
+    seen = {}
+
+    def fit(lda, dataset):
+        seen.update(parts=dataset.rdd.getNumPartitions(), kept=dataset.storageLevel, rows=dataset.count())
+
+    monkeypatch.setattr(tp.LDA, "fit", fit)
+    features = spark.createDataFrame([(i, Vectors.sparse(2, {i % 2: 1.0})) for i in range(40)], ["tweetid", "features"])
+    tp.fit_topics(features.repartition(20), 2, 3)
+    assert seen["rows"] == 40 and seen["parts"] == spark.sparkContext.defaultParallelism
+    # the fit keeps the rows it iterates over only if nobody has
+    assert not seen["kept"].useMemory and not seen["kept"].useDisk
+
+
+def test_stopwords_are_counted_once(spark, tmp_path):
+    rows = [(k, f"alpha beta word{k}", "en", "s") for k in range(30)]
+    path = tmp_path / "documents.parquet"
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(str(path))
+    listed = __spark_entry__.stopwords(spark, str(tmp_path))
+    assert "Exchange" not in listed._jdf.queryExecution().executedPlan().toString()
+    assert {"alpha", "beta"} <= {r["word"] for r in listed.collect()} and listed.count() == 32
+
+
 def test_sentiment_model(spark):
     labelled = [("great lovely good", "positive"), ("awful terrible bad", "negative"), ("table chair wall", "neutral")]
     train = spark.createDataFrame(labelled * 5, "text string, label string")
