@@ -7,7 +7,8 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark import StorageLevel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, HashingTF
 from pyspark.ml.functions import vector_to_array
@@ -35,24 +36,31 @@ def _with_tokens(df: DataFrame, cleaned: bool = False) -> DataFrame:
 def fit_sentiment(
     labelled: DataFrame, max_iter: int = 20, reg_param: float = 0.01
 ) -> PipelineModel:
-    """Train on ``(text, label)`` with the labels negative, neutral and positive."""
+    """Train on ``(text, label)`` with the labels negative, neutral and positive.
+
+    The texts are read once: every later pass over them reads their kept term counts.
+    """
     index = F.array_position(F.array(*[F.lit(x) for x in LABELS]), F.col("label")) - 1
     training = _with_tokens(labelled.select("text", index.cast("double").alias("_class")))
-    stages = [
-        HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=FEATURES),
-        IDF(inputCol="_tf", outputCol="_features"),
-        LogisticRegression(
-            featuresCol="_features",
-            labelCol="_class",
-            probabilityCol="_probability",
-            rawPredictionCol="_raw",
-            predictionCol="_prediction",
-            family="multinomial",
-            maxIter=max_iter,
-            regParam=reg_param,
-        ),
-    ]
-    return Pipeline(stages=stages).fit(training)
+    counting = HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=FEATURES)
+    weighting = IDF(inputCol="_tf", outputCol="_features")
+    classifier = LogisticRegression(
+        featuresCol="_features",
+        labelCol="_class",
+        probabilityCol="_probability",
+        rawPredictionCol="_raw",
+        predictionCol="_prediction",
+        family="multinomial",
+        maxIter=max_iter,
+        regParam=reg_param,
+    )
+    counted = counting.transform(training).select("_tf", "_class").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        weights = weighting.fit(counted)
+        fitted = classifier.fit(weights.transform(counted))
+    finally:
+        counted.unpersist()
+    return PipelineModel(stages=[counting, weights, fitted])
 
 
 def score_sentiment(model: PipelineModel, df: DataFrame, cleaned: bool = False) -> DataFrame:

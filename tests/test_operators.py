@@ -279,6 +279,20 @@ def test_stopwords_are_counted_once(spark, tmp_path):
     assert {"alpha", "beta"} <= {r["word"] for r in listed.collect()} and listed.count() == 32
 
 
+def test_the_sentiment_fit_reads_its_texts_once(spark):
+    reads = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(text):
+        reads.add(1)
+        return text
+
+    rows = [(f"{word} w{k}", label) for k in range(10) for word, label in (("good", "positive"), ("bad", "negative"), ("wall", "neutral"))]
+    train = spark.createDataFrame(rows, "text string, label string").withColumn("text", counted("text"))
+    st.fit_sentiment(train, max_iter=3)
+    assert reads.value == len(rows)
+
+
 def test_sentiment_model(spark):
     labelled = [("great lovely good", "positive"), ("awful terrible bad", "negative"), ("table chair wall", "neutral")]
     train = spark.createDataFrame(labelled * 5, "text string, label string")
