@@ -11,7 +11,7 @@ string only where it is known to be short (``gate``).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -81,15 +81,19 @@ VIDEO_KEYS, VIDEO_ORDER = ("userid",), ("date", "tweetid", "video_url")
 # --- one ordered, stored layout ----------------------------------------------------
 
 
-def _in_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+def _in_chunks(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], then: Callable[[DataFrame], DataFrame] = lambda rows: rows
+) -> DataFrame:
     """Sort by key and order into range partitions, numbered ``_chunk``; ``_group`` names the key.
 
     The order is unique, so a hot group spreads over many chunks. The result is
-    checkpointed: a second run of the range partitioner may cut elsewhere.
+    checkpointed: a second run of the range partitioner may cut elsewhere. What ``then``
+    adds to the ordered rows is computed once; what stands before them runs twice, as the
+    partitioner samples it first.
     """
-    named = df.withColumn("_group", F.to_json(F.struct(*keys)))
-    ordered = named.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
-    return checkpointed(ordered.withColumn("_chunk", F.spark_partition_id()))
+    ordered = df.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
+    named = ordered.withColumn("_group", F.to_json(F.struct(*keys))).withColumn("_chunk", F.spark_partition_id())
+    return checkpointed(then(named))
 
 
 def corpus_sizes(texts: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -132,9 +136,14 @@ def _ordered_texts(texts: DataFrame, keys: Sequence[str], order: Sequence[str])
 
     Links end at whitespace, so removing them per text is removing them from the corpus.
     """
-    unlinked = remove_short_links(remove_links(F.col("text")))
-    present = texts.filter(F.col("text").isNotNull()).select(*keys, *order, unlinked.alias("text"))
-    return _in_chunks(present.withColumn("_mark", _border_mark(F.col("text"))), keys, order)
+
+    def unlinked(rows: DataFrame) -> DataFrame:
+        plain = rows.withColumn("text", remove_short_links(remove_links(F.col("text"))))
+        marked = plain.withColumn("_mark", _border_mark(F.col("text")))
+        return marked.select(*keys, *order, "text", "_mark", "_group", "_chunk")
+
+    present = texts.filter(F.col("text").isNotNull()).select(*keys, *order, "text")
+    return _in_chunks(present, keys, order, unlinked)
 
 
 def _cleaner() -> kernels.Cleaner:
