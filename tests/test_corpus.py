@@ -7,8 +7,11 @@ import re
 from collections import defaultdict
 from datetime import datetime, timedelta
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
+from postlark.functions import kernels
 from postlark.operators import corpus as cp
 
 KEYS, ORDER = ["g"], ["date", "tweetid"]
@@ -121,6 +124,38 @@ def test_marks_across_texts_and_chunks_equal_one_string(many_chunks, seed):
         check_batches(want, [b for b in cut if b], 12)
 
 
+def test_tasks_copy_texts_in_slices_of_bounded_size():
+    n = 2_500
+    rows = {name: [None] * n for name in kernels.CARRIED} | {
+        "text": ["x"] * n, "_group": ["g"] * n, "_mark": pa.array([0] * n, pa.int8()),
+        "_later": [False] * n, "_earlier": [False] * n, "_open": [False] * n,
+    }
+    batch = pa.RecordBatch.from_pydict(rows)
+    placed = list(kernels.place_texts(["text"])(iter([batch, batch])))
+    assert sum(b.num_rows for b in placed) == 2 * n
+    assert all(b.num_rows <= kernels.TEXTS_AT_ONCE + 2 for b in placed)
+    places = [x for b in placed for x in b.column("_place").to_pylist()]
+    assert places == [kernels.FIRST, *[0] * (2 * n - 2), kernels.LAST]
+    texts = pa.RecordBatch.from_pydict({"text": ["one two three"] * 250})
+    found = list(kernels.summaries("[a-z]{3,}", 150, 100)(iter([texts])))
+    assert sum(b.num_rows for b in found) == 250 and all(b.num_rows <= 100 for b in found)
+
+
+def test_texts_are_cleaned_after_the_partitioner_has_sampled_them(spark):
+    cleaned = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(text):
+        cleaned.add(1)
+        return text
+
+    def then(rows):
+        return rows.withColumn("text", seen("text"))
+
+    cp._in_chunks(frame(spark, posts()).filter("text is not null"), KEYS, ORDER, then)
+    assert cleaned.value == len([r for r in posts() if r[3] is not None])
+
+
 def test_lengths(spark):
     lines = cp.corpus_lines(frame(spark, posts()), KEYS, ORDER)
     lengths = {r["g"]: (r["n_lines"], r["n_chars"]) for r in cp.corpus_lengths(lines, KEYS).collect()}
