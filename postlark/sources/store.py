@@ -7,7 +7,7 @@ between rows is stored beside them, so batches may come in any order and may be
 merged again: the result is that of building the graph from all rows at once.
 
 A merge first writes the new buckets below ``merge`` and marks them complete; then
-it replaces the old ones. If it is cut off, ``finish_merge`` (which the next merge
+it moves them to the place of the old ones. If it is cut off, ``finish_merge`` (which the next merge
 calls) replaces the rest, or drops buckets that were not complete. While buckets
 are being replaced, a reader may see some tables of the batch and not yet others.
 """
@@ -52,10 +52,9 @@ def _in_buckets(rows: DataFrame, key: str, buckets: int) -> DataFrame:
     return rows.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
 
 
-def _write(rows: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """One file per bucket; of an existing table only the buckets of ``rows`` are replaced."""
-    writer = rows.repartition("bucket").write.mode(mode).option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("bucket").parquet(path)
+def _write(rows: DataFrame, path: str) -> None:
+    """One file per bucket."""
+    rows.repartition("bucket").write.partitionBy("bucket").parquet(path)
 
 
 def _folder(spark: SparkSession, path: str):
@@ -74,6 +73,23 @@ def _drop(spark: SparkSession, path: str) -> None:
     files.delete(folder, True)
 
 
+def _replace_buckets(spark: SparkSession, staged: str, path: str) -> None:
+    """Move the buckets below ``staged`` to the place of those in ``path``; no row is read or written.
+
+    What was moved is no longer staged, so a move that was cut off goes on where it stopped.
+    """
+    files, folder = _folder(spark, staged)
+    _, table = _folder(spark, path)
+    for found in files.listStatus(folder):
+        bucket = found.getPath()
+        if not bucket.getName().startswith("bucket="):
+            continue
+        target = table.suffix(f"/{bucket.getName()}")
+        files.delete(target, True)
+        if not files.rename(bucket, target):
+            raise OSError(f"cannot move {bucket} to {target}")
+
+
 def create_graph_store(
     cohort: DataFrame, path: str, buckets: int = BUCKETS, names: Sequence[str] = GRAPH_TABLES
 ) -> None:
@@ -132,8 +148,7 @@ def finish_merge(spark: SparkSession, path: str) -> None:
     if _exists(spark, f"{path}/{STAGED}/{COMPLETE}/_SUCCESS"):
         _, schemas = _settings(spark, path)
         for name in schemas:
-            staged = spark.read.schema(schemas[name]).parquet(f"{path}/{STAGED}/{name}")
-            _write(staged, f"{path}/{name}", "overwrite")
+            _replace_buckets(spark, f"{path}/{STAGED}/{name}", f"{path}/{name}")
     _drop(spark, f"{path}/{STAGED}")
 
 

@@ -138,6 +138,23 @@ def test_a_merge_that_was_cut_off_is_finished_or_dropped(spark, tmp_path):
     assert content(read_graph_store(spark, path)) == whole and not (tmp_path / "g" / "merge").exists()
 
 
+def test_a_merge_writes_its_rows_once(spark, tmp_path):
+    rows = random_rows()
+    a, b = (spark.createDataFrame(x, COHORT) for x in (rows[::2], rows[1::2]))
+    path = str(tmp_path / "g")
+    create_graph_store(a, path, 4, names=["tweets"])
+    old, store.finish_merge = store.finish_merge, lambda *_: None
+    try:
+        merge_into_store(b, path)
+    finally:
+        store.finish_merge = old
+    staged = {f.name for f in (tmp_path / "g" / "merge" / "tweets").glob("bucket=*/*.parquet")}
+    # some buckets were moved before the merge was cut off
+    store._replace_buckets(spark, f"{path}/merge/tweets", f"{path}/tweets")
+    store.finish_merge(spark, path)
+    assert staged and staged == {f.name for f in (tmp_path / "g" / "tweets").glob("bucket=*/*.parquet")}
+
+
 def test_empty_batches(spark, tmp_path):
     path = str(tmp_path / "g")
     none = spark.createDataFrame([], COHORT)
