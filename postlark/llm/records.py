@@ -8,12 +8,12 @@ files, holds one row per record, so that any subset can be read in any order. A
 task writes under a name of its own and renames at the end: a repeated task
 replaces its file with the same bytes.
 
-Ids come from a table of distinct words per Python worker: a text is cut before
+Ids come from a table of distinct parts of texts per Python worker. A text is cut before
 each space that a non-space follows, where the pre-tokeniser always cuts, and
-the library encodes each distinct part once: many side by side in one text, told
-apart by the tokens that open with a space; a word of Latin letters
-and signs is cut as the pre-tokeniser cuts it, and the library's model segments each
-distinct part once.
+between Latin letters, digits, signs and single newlines, where it cuts as well
+(tried at the start; if it does not, only the spaces count). The library segments
+each distinct part once: its model alone what is of one kind, the whole library
+all others, many side by side in one text, told apart by the tokens that open with a space.
 
 Defined results: a null or empty text is one record with only the end id; a null
 document id sorts first; repeated rows give one record each; an empty table
@@ -48,10 +48,19 @@ BLANK_HEAD = np.zeros(256, bool)
 BLANK_HEAD[[c[0] for c in BLANKS]] = True
 # letters of Latin scripts, of which any run behind a space is one part for the pre-tokeniser
 LATIN = [chr(c) for c in range(0x250) if chr(c).isalpha()]
-LETTERS, SIGNS = f"[{''.join(LATIN)}]+", r"[.,;:!?*$%#&()-]*"
-# a word behind a space as the pre-tokeniser cuts it: letters, signs, and after a newline both again
-CUT_WORD = re.compile(f"({LETTERS})({SIGNS})(?:\n({LETTERS})({SIGNS}))?")
-TABLE_ENTRIES = 1_000_000
+IS_LATIN = np.zeros(0x800, bool)
+IS_LATIN[list(map(ord, LATIN))] = True
+SIGNS, DIGITS = ".,;:!?*$%#&()-", "0123456789"
+# kinds of bytes between which the pre-tokeniser cuts; 0: all others
+LETTER, SIGN, DIGIT, NEWLINE = 1, 2, 3, 4
+KIND = np.zeros(256, np.uint8)
+for kind, chars in ((LETTER, LATIN), (SIGN, SIGNS), (DIGIT, DIGITS), (NEWLINE, "\n")):
+    KIND[[ord(c) for c in chars if c.isascii()]] = kind
+# a part of one kind, with the space before it
+PURE = re.compile(f" ?(?:[{''.join(LATIN)}]+|[{re.escape(SIGNS)}]+|[{DIGITS}]+)")
+# parts that the table holds, and their characters; longer ones are segmented anew
+TABLE_ENTRIES = 500_000
+HELD_CHARS = 64
 # new words that the library gets in one text
 TOGETHER = 1_000
 # how a byte-level vocabulary writes a space
@@ -91,7 +100,7 @@ def unframe(data: bytes, at: int) -> tuple[np.ndarray, int]:
 
 
 class WordTable:
-    """Ids of distinct words with the space before them, as bytes of 32-bit integers."""
+    """Ids of distinct parts of texts, with the space before them, as bytes of 32-bit integers."""
 
     def __init__(self, path: str):
         # its threads cost more than they give on short words, and Spark fills the cores
@@ -102,105 +111,90 @@ class WordTable:
         tokens = map(self.tokenizer.id_to_token, range(max(self.tokenizer.get_vocab().values()) + 1))
         self.opens = np.array([(token or "").startswith(SPACE) for token in tokens])
         self.ids: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
         self.spelled = self._spelling()
 
     def _spelling(self) -> dict[int, str] | None:
-        """How the vocabulary writes Latin letters and newlines; none if the model alone does not give the library's ids."""
+        """How the vocabulary writes Latin letters; none if parts alone do not give the library's ids."""
         parts = self.tokenizer.pre_tokenizer.pre_tokenize_str
-        spelled = {ord(c): parts(c)[0][0] for c in [*LATIN, "\n"]}
+        spelled = {ord(c): parts(c)[0][0] for c in LATIN}
         probes = ["".join(LATIN[k : k + 9]) for k in range(0, len(LATIN), 9)]
-        probes += ["the", "Straße.", "naïveté.\nxqzj", "a,\nÉb!?", "ab***", "c$$$.", "d--"]
-        cut = [self._cut(CUT_WORD.fullmatch(p), spelled) for p in probes]
-        return spelled if cut == self._encoded([" " + p for p in probes]) else None
-
-    def _part(self, text: str) -> bytes:
-        """Ids of one part of the pre-tokeniser, as the vocabulary spells it; each is segmented once."""
-        ids = array("I", [t.id for t in self.tokenizer.model.tokenize(text)]).tobytes()
-        self.parts[text] = ids
-        return ids
-
-    def _cut(self, found: re.Match, spelled: dict[int, str]) -> bytes:
-        """Ids of a word behind a space from those of its parts."""
-        word, signs, second, more = found.groups()
-        known, part = self.parts.get, self._part
-        word = SPACE + (word if word.isascii() else word.translate(spelled))
-        ids = known(word) or part(word)
-        if signs:
-            ids += known(signs) or part(signs)
-        if second:
-            second = spelled[10] + second
-            ids += known(second) or self._line(second, spelled)
-            if more:
-                ids += known(more) or part(more)
-        return ids
-
-    def _line(self, text: str, spelled: dict[int, str]) -> bytes:
-        """Ids of a newline and the letters behind it."""
-        own = text[len(spelled[10]) :].translate(spelled)
-        self.parts[text] = self._part(spelled[10]) + (self.parts.get(own) or self._part(own))
-        return self.parts[text]
-
-    def _encoded(self, words: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        probes += ["the", "Straße.", "naïveté.\nxqzj", "a,\nÉb!?", "ab***", "c$$$.", "d--", "(e)\n12", "3f\n-4th", "'s5's", "it's."]
+        probes += [f" {a}{b}{c}" for a in "aé.-7" for b in "aé.-7" for c in "aé.-7"]
+        # tokens that the library finds before it cuts must stay whole
+        probes += [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        texts = [*probes, *(" " + p for p in probes)]
+        for text, whole in zip(texts, self._encoded(texts)):
+            data = np.frombuffer(text.encode(), np.uint8)
+            cuts = [0, *part_places(data, np.array([0, len(data)])).tolist(), len(data)]
+            parts = [data[a:b].tobytes().decode() for a, b in zip(cuts, cuts[1:])]
+            found = [self._pure([p], spelled) if PURE.fullmatch(p) else self._encoded([p]) for p in parts]
+            if b"".join(ids for (ids,) in found) != whole:
+                return None
+        return spelled
+
+    def _pure(self, parts: list[str], spelled: dict[int, str]) -> list[bytes]:
+        """Ids of parts of one kind, as the vocabulary spells them."""
+        segment, found = self.tokenizer.model.tokenize, []
+        for part in parts:
+            if not part.isascii():
+                part = part.translate(spelled)
+            if part[0] == " ":
+                part = SPACE + part[1:]
+            found.append(array("I", [t.id for t in segment(part)]).tobytes())
+        return found
+
+    def _encoded(self, parts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
-    def _learn(self, words: list[str]) -> None:
+    def _learned(self, parts: list[str]) -> dict[str, bytes]:
+        """Ids of parts that the table lacks."""
+        pure = list(filter(PURE.fullmatch, parts)) if self.spelled else []
+        found = dict(zip(pure, self._pure(pure, self.spelled)))
+        if len(found) < len(parts):
+            rest = [p for p in parts if p not in found]
+            plain = [p for p in rest if p.rfind(" ") == 0]
+            for at in range(0, len(plain), TOGETHER):
+                some = plain[at : at + TOGETHER]
+                (together,) = self.tokenizer.encode_batch_fast(["".join(some)], add_special_tokens=False)
+                found.update(zip(some, ids_by_word(np.array(together.ids, np.uint32), self.opens, len(some))))
+            rest = [p for p in rest if p not in found]
+            found.update(zip(rest, self._encoded(rest)))
+        return found
+
+    def _cuts(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Where parts begin: each text that is not empty, each space before a word, places within words."""
+        cut = np.zeros(len(data) + 1, bool)
+        cut[starts] = True
+        cut[len(data)] = False
+        cut[word_spaces(data, starts)] = True
         if self.spelled:
-            rest = []
-            for word in words:
-                found = CUT_WORD.fullmatch(word)
-                if found:
-                    self.ids[word] = self._cut(found, self.spelled)
-                else:
-                    rest.append(word)
-            words = rest
-        plain = [w for w in words if " " not in w]
-        for at in range(0, len(plain), TOGETHER):
-            part = plain[at : at + TOGETHER]
-            found = self.tokenizer.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)
-            ids = np.array(found[0].ids, np.uint32)
-            self.ids.update(zip(part, ids_by_word(ids, self.opens, len(part))))
-        rest = [w for w in words if w not in self.ids]
-        self.ids.update(zip(rest, self._encoded([" " + w for w in rest])))
+            cut[part_places(data, starts)] = True
+        return np.flatnonzero(cut)
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, and where each text begins (one more at the end).
 
-        The distinct words of the batch are looked up once, what the table lacks is
-        learned, and the ids are joined by position. The table holds words behind a
-        space; what a text begins with is encoded as it is.
+        The distinct parts of the batch are looked up once, what the table lacks is
+        learned, and the ids are joined by position.
         """
         data, starts = text_buffer(column)
-        spaces = word_spaces(data, starts)
-        kept = np.ones(len(data), bool)
-        kept[spaces] = False
-        head = np.zeros(len(data) + 1, bool)
-        head[starts[:-1]] = starts[:-1] < starts[1:]
-        head[spaces] = False
-        cut = head.copy()
-        cut[spaces] = True
-        cuts = np.flatnonzero(cut)
-        is_head = head[cuts]
-        # the words without the space before them, side by side
-        offsets = np.append(cuts, len(data)) - np.searchsorted(spaces, np.append(cuts, len(data)), "left")
-        words = pa.Array.from_buffers(
-            pa.large_string(), len(cuts), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data[kept])]
+        cuts = self._cuts(data, starts)
+        offsets = np.append(cuts, len(data)).astype(np.int64)
+        parts = pa.Array.from_buffers(
+            pa.large_string(), len(cuts), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))]
         )
-        coded = words.filter(pa.array(~is_head)).dictionary_encode()
+        coded = parts.dictionary_encode()
         distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         if len(self.ids) > TABLE_ENTRIES:
             self.ids.clear()
-            self.parts.clear()
         found = list(map(self.ids.get, distinct))
         lacking = [k for k, ids in enumerate(found) if ids is None]
-        self._learn([distinct[k] for k in lacking])
+        learned = self._learned([distinct[k] for k in lacking])
         for k in lacking:
-            found[k] = self.ids[distinct[k]]
-        found += self._encoded(words.filter(pa.array(is_head)).to_pylist())
-        entry = np.empty(len(cuts), np.int64)
-        entry[~is_head] = coded.indices.to_numpy(zero_copy_only=False)
-        entry[is_head] = len(distinct) + np.arange(is_head.sum())
+            found[k] = learned[distinct[k]]
+        self.ids.update((part, ids) for part, ids in learned.items() if len(part) <= HELD_CHARS)
+        entry = coded.indices.to_numpy()
         sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
         each = sizes[entry]
         begins = np.cumsum(sizes) - sizes
@@ -210,6 +204,24 @@ class WordTable:
         return ids, np.concatenate(([0], ends))[np.searchsorted(cuts, starts, "left")]
 
 
+def part_places(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Places within texts where one kind of bytes follows another, or a single newline stands between them."""
+    kind = KIND[data]
+    # of two bytes each; they begin with one of seven bytes
+    lead = np.flatnonzero((data >= 0xC2) & (data <= 0xC9))
+    lead = lead[lead + 1 < len(data)]
+    lead = lead[IS_LATIN[(data[lead] & 31).astype(np.int64) << 6 | data[lead + 1] & 63]]
+    kind[lead] = kind[lead + 1] = LETTER
+    begins = np.zeros(len(data) + 1, bool)
+    begins[starts] = True
+    known = (kind != 0) & (kind != NEWLINE)
+    change = np.flatnonzero((kind[1:] != kind[:-1]) & known[1:] & known[:-1]) + 1
+    lines = np.flatnonzero(kind == NEWLINE)
+    lines = lines[(lines > 0) & (lines + 1 < len(data))]
+    lines = lines[known[lines - 1] & known[lines + 1] & ~begins[lines] & ~begins[lines + 1]]
+    return np.sort(np.concatenate((change[~begins[change]], lines, lines + 1)))
+
+
 def word_spaces(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Places of the spaces that a non-space of the same text follows."""
     begins = np.zeros(len(data) + 1, bool)

@@ -437,6 +437,49 @@ def test_word_table_encodes_like_the_library(texts):
         assert ids[a:b].tolist() == table.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(st.sampled_from("aZé ßx'st.,-$(\n\r\t 709²½ªʼ\u0301\u3000αя字"), max_size=40), min_size=1, max_size=4))
+def test_parts_of_words_encode_like_the_library(texts):
+    from postlark.llm.common import worker_cache
+
+    table = worker_cache("test_words", lambda: records.WordTable(WORD_MODEL))
+    ids, begins = table.encode(pa.array(texts))
+    for text, a, b in zip(texts, begins[:-1], begins[1:]):
+        assert ids[a:b].tolist() == table.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_a_word_is_segmented_once_whatever_signs_follow():
+    table = records.WordTable(WORD_MODEL)
+    text = "So alpha, alpha. alpha*** (alpha) alpha\nalpha 12 alpha$ alpha! alpha-12"
+    assert table.encode(pa.array([text]))[0].tolist() == table.tokenizer.encode(text, add_special_tokens=False).ids
+    assert [p for p in sorted(table.ids) if "alpha" in p] == [" alpha", "alpha"]
+
+
+def test_the_word_table_keeps_its_size(monkeypatch):
+    table = records.WordTable(WORD_MODEL)
+    texts = ["字" * 500, "and " + "y" * 500 + "'z end", "", "\n"]
+    ids, begins = table.encode(pa.array(texts))
+    assert [ids[a:b].tolist() for a, b in zip(begins[:-1], begins[1:])] == [
+        table.tokenizer.encode(t, add_special_tokens=False).ids for t in texts
+    ]
+    assert max(map(len, table.ids)) <= records.HELD_CHARS
+    monkeypatch.setattr(records, "TABLE_ENTRIES", 2)
+    table.encode(pa.array(["one two three"]))
+    assert len(table.ids) == 3
+
+
+def test_added_tokens_stay_whole(tmp_path):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(WORD_MODEL)
+    tokenizer.add_tokens(["end.", "a-b"])
+    tokenizer.save(str(tmp_path / "more.json"))
+    table = records.WordTable(str(tmp_path / "more.json"))
+    text = "the end. of a-b, end.\na-b"
+    assert table.spelled is None
+    assert table.encode(pa.array([text]))[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_records_round_trip(spark, tmp_path):
     from tokenizers import Tokenizer
 
