@@ -17,8 +17,12 @@ leaves its block of documents but where a repeat is possible:
 3. The repeats go back to their block, which cuts them out.
 
 Repeats between documents of one block are found by the same family inside the
-block. Anchors of very many blocks are dealt out by whole windows instead of by
-anchor, so that one hot passage does not fill one task.
+block. The windows of an anchor in very many blocks are dealt out in two halves,
+each by the anchor and the bytes on the side where all of its windows go on, so
+that one hot string with many contexts does not fill one task.
+
+Messages are small: keys travel with 32 bits and are answered with one bit each,
+numbers travel byte by byte, spans as maximal runs.
 
 Defined results: a null or short text loses nothing; documents that share an id
 do not count as earlier for each other; a row without an id loses nothing and
@@ -39,9 +43,11 @@ travels(__name__)
 
 LENGTH, ANCHOR = 50, 24
 BLOCK_DOCS = 1024
-# an anchor in so many blocks is dealt out by whole windows
+# the windows of an anchor in so many blocks are dealt out in halves
 HOT_BLOCKS = 512
 BATCH_STRINGS = 4096
+# of a string's key so many bytes travel: keys only spare work, strings decide
+KEY_BYTES = 3
 SLICE_BYTES = 1_000_000
 # a longer document is cut for its anchors, whose places have 24 bits
 LONG_BYTES = 1 << 22
@@ -80,15 +86,24 @@ def smallest(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[:n], values[width - size : width - size + n])
 
 
+def at_hashes(data: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+    """`string_hashes` at some positions only."""
+    factors = np.array([pow(BASE, length - 1 - i, 1 << 64) for i in range(length)], np.uint64)
+    total = np.zeros(len(at), np.uint64)
+    for i, factor in enumerate(factors):
+        total += (data[at + i] + np.uint64(1)) * factor
+    return mixed(total)
+
+
 def anchors(data: np.ndarray, starts: np.ndarray, length: int, anchor: int):
-    """Anchors of all windows within documents: their hashes, and first and last window of each.
+    """Anchors of all windows within documents: their hashes and places, and first and last window of each.
 
     ``data`` holds the documents end to end, fewer than 2^24 bytes in all.
     """
     n = len(data) - length + 1
     none = np.zeros(0, np.int64)
     if n <= 0:
-        return np.zeros(0, np.uint64), none, none
+        return np.zeros(0, np.uint64), none, none, none
     hashes = string_hashes(data, anchor)
     low = np.uint64((1 << 24) - 1)
     # the smallest hash, the first position among equal ones
@@ -99,16 +114,23 @@ def anchors(data: np.ndarray, starts: np.ndarray, length: int, anchor: int):
     whole = window + length <= starts[doc + 1]
     window, chosen, doc = window[whole], chosen[whole], doc[whole]
     if not len(window):
-        return np.zeros(0, np.uint64), none, none
+        return np.zeros(0, np.uint64), none, none, none
     new = np.concatenate(([True], (chosen[1:] != chosen[:-1]) | (window[1:] != window[:-1] + 1)))
     first = window[new]
     last = window[np.concatenate((np.flatnonzero(new)[1:] - 1, [len(window) - 1]))]
-    return hashes[chosen[new]], first, last
+    return hashes[chosen[new]], chosen[new], first, last
 
 
 def block_anchors(data: np.ndarray, starts: np.ndarray, length: int, anchor: int):
+    """Hashes of the anchors of a whole block, and first and last window of each."""
+    keys, _, first, last = placed_anchors(data, starts, length, anchor)
+    return keys, first, last
+
+
+def placed_anchors(data: np.ndarray, starts: np.ndarray, length: int, anchor: int):
     """`anchors` of a whole block, in slices of whole documents; long documents in pieces."""
-    keys, first, last = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    keys = [np.zeros(0, np.uint64)]
+    place, first, last = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     pieces = []
     for a, b in slices(np.diff(starts), SLICE_BYTES):
         begin, end = int(starts[a]), int(starts[b])
@@ -121,11 +143,31 @@ def block_anchors(data: np.ndarray, starts: np.ndarray, length: int, anchor: int
                 q = min(end, p + LONG_BYTES + length - 1)
                 pieces.append((p, q, np.array([0, q - p])))
     for begin, end, own in pieces:
-        k, f, t = anchors(data[begin:end], own, length, anchor)
+        k, p, f, t = anchors(data[begin:end], own, length, anchor)
         keys.append(k)
+        place.append(p + begin)
         first.append(f + begin)
         last.append(t + begin)
-    return np.concatenate(keys), np.concatenate(first), np.concatenate(last)
+    return np.concatenate(keys), np.concatenate(place), np.concatenate(first), np.concatenate(last)
+
+
+def halves(data, place, first, last, length: int, anchor: int):
+    """The windows of each anchor in two halves: key, first and last window, and the anchor's number.
+
+    A window that begins at least ``reach`` bytes before its anchor holds all of these bytes,
+    another one the bytes behind the anchor that the first half may lack. Equal windows are of
+    the same half, and share its key.
+    """
+    reach = (length - anchor) // 2
+    middle = place - reach  # the last window of the first half
+    left, right = np.flatnonzero(first <= middle), np.flatnonzero(last > middle)
+    keys = (
+        at_hashes(data, middle[left], anchor + reach),
+        at_hashes(data, place[right], length - reach + 1),
+    )
+    begin = (first[left], np.maximum(first, middle + 1)[right])
+    end = (np.minimum(last, middle)[left], last[right])
+    return tuple(map(np.concatenate, (keys, begin, end, (left, right))))
 
 
 # --- the family ------------------------------------------------------------------------
@@ -254,30 +296,79 @@ def _packed(rows: list[tuple], names: list[str], schema: pa.Schema) -> pa.Table:
 
 
 KEYS_SCHEMA = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("keys", pa.binary())])
-ASKED_SCHEMA = pa.schema([("block", pa.int64()), ("shared", pa.binary()), ("hot", pa.binary())])
+ASKED_SCHEMA = pa.schema(
+    [("block", pa.int64()), ("bucket", pa.int32()), ("shared", pa.binary()), ("hot", pa.binary())]
+)
 STRINGS_SCHEMA = pa.schema(
     [
         ("bucket", pa.int32()),
         ("block", pa.int64()),
         ("local", pa.bool_()),
+        ("n", pa.int32()),
         ("keys", pa.binary()),
-        ("places", pa.binary()),
-        ("sizes", pa.binary()),
+        ("numbers", pa.binary()),
         ("strings", pa.binary()),
     ]
 )
-SPANS_SCHEMA = pa.schema([("block", pa.int64()), ("spans", pa.binary())])
+SPANS_SCHEMA = pa.schema([("block", pa.int64()), ("n", pa.int32()), ("spans", pa.binary())])
+
+
+def short_keys(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of each key, and in the low half 32 bits that tell keys of a bucket apart.
+
+    Two keys with the same bits are dealt out as one, which costs work but no result:
+    strings decide.
+    """
+    rest = (keys // np.uint64(buckets)) & np.uint64((1 << 32) - 1)
+    return (keys % np.uint64(buckets)) << np.uint64(32) | rest
+
+
+def bucket_cuts(short: np.ndarray, buckets: int) -> np.ndarray:
+    """Where each bucket begins among sorted short keys, and where the last ends."""
+    borders = np.arange(buckets + 1, dtype=np.uint64) << np.uint64(32)
+    return np.searchsorted(short, borders)
+
+
+def squeezed(*columns: np.ndarray) -> bytes:
+    """Columns of small numbers of one length, byte by byte, so that equal high bytes cost little."""
+    planes = np.stack(columns).astype("<u8").view(np.uint8).reshape(len(columns), -1, 8)
+    return pa.Codec("zstd", 1).compress(np.ascontiguousarray(planes.transpose(0, 2, 1)), asbytes=True)
+
+
+def spread(packed: bytes, n_columns: int, n: int) -> np.ndarray:
+    """The columns that were `squeezed`, as rows of an array."""
+    planes = pa.decompress(packed, n_columns * n * 8, codec="zstd", asbytes=True)
+    planes = np.frombuffer(planes, np.uint8).reshape(n_columns, 8, n).transpose(0, 2, 1)
+    return np.ascontiguousarray(planes).view("<u8").reshape(n_columns, n).astype(np.int64)
+
+
+def packed_spans(begins: np.ndarray, ends: np.ndarray) -> tuple[int, bytes]:
+    """Number and bytes of the maximal runs that the spans cover: the gap before each, and its length."""
+    order = np.argsort(begins, kind="stable")
+    begins, ends = begins[order], np.maximum.accumulate(ends[order])
+    new = np.concatenate(([True], begins[1:] > ends[:-1]))
+    begins, ends = begins[new], ends[np.concatenate((np.flatnonzero(new)[1:] - 1, [len(ends) - 1]))]
+    return len(begins), squeezed(begins - np.concatenate(([0], ends[:-1])), ends - begins)
+
+
+def spans_of(found: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Begins and ends of the runs in rows of `packed_spans`."""
+    begins, ends = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for n, packed in zip(found["n"].to_pylist(), found["spans"].to_pylist()):
+        gaps, sizes = spread(packed, 2, n)
+        stops = np.cumsum(gaps + sizes)
+        begins.append(stops - sizes)
+        ends.append(stops)
+    return np.concatenate(begins), np.concatenate(ends)
 
 
 def _send_keys(buckets: int, length: int, anchor: int):
     def send(table: pa.Table) -> pa.Table:
         table, data, starts, _ = _block(table)
         block = table["block"][0].as_py()
-        keys = np.unique(block_anchors(data, starts, length, anchor)[0])
-        bucket = keys % np.uint64(buckets)
-        order = np.argsort(bucket, kind="stable")
-        keys, bucket = keys[order], bucket[order]
-        cuts = np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64))
+        short = np.unique(short_keys(block_anchors(data, starts, length, anchor)[0], buckets))
+        cuts = bucket_cuts(short, buckets)
+        keys = short.astype(np.uint32)
         rows = [
             (k, block, keys[cuts[k] : cuts[k + 1]].tobytes()) for k in range(buckets) if cuts[k] < cuts[k + 1]
         ]
@@ -289,25 +380,31 @@ def _send_keys(buckets: int, length: int, anchor: int):
 def _answer_keys(hot_blocks: int):
     def answer(table: pa.Table) -> pa.Table:
         blocks = table["block"].to_pylist()
-        parts = [np.frombuffer(k.as_py(), np.uint64) for k in table["keys"]]
+        bucket = table["bucket"][0].as_py()
+        parts = [np.frombuffer(k.as_py(), np.uint32) for k in table["keys"]]
         keys, counts = np.unique(np.concatenate(parts), return_counts=True)
-        shared, hot = keys[counts > 1], keys[counts > hot_blocks]
         rows = []
-        for block, own in zip(blocks, parts):
-            both = own[np.isin(own, shared, assume_unique=True)]
-            if len(both):
-                rows.append((block, both.tobytes(), both[np.isin(both, hot, assume_unique=True)].tobytes()))
+        for block, own in zip(blocks, parts):  # one bit for each key in the order in which the block has them
+            held = counts[np.searchsorted(keys, own)]
+            shared, hot = held > 1, held > hot_blocks
+            if shared.any():
+                bits = np.packbits(hot).tobytes() if hot.any() else b""
+                rows.append((block, bucket, np.packbits(shared).tobytes(), bits))
         return _packed(rows, ASKED_SCHEMA.names, ASKED_SCHEMA)
 
     return answer
 
 
-def _squeezed(strings: list[bytes]) -> bytes:
-    return pa.Codec("zstd", 3).compress(b"".join(strings), asbytes=True)
-
-
-def _numbers(column, dtype) -> np.ndarray:
-    return np.concatenate([np.zeros(0, dtype), *[np.frombuffer(x.as_py(), dtype) for x in column]])
+def _answered(asked: pa.Table, short: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which of a block's sorted short keys other blocks hold, and which very many do."""
+    shared, hot = np.zeros(len(short), bool), np.zeros(len(short), bool)
+    cuts = bucket_cuts(short, buckets).tolist()
+    for bucket, *bits in zip(*(asked[n].to_pylist() for n in ("bucket", "shared", "hot"))):
+        a, b = cuts[bucket], cuts[bucket + 1]
+        for flags, own in zip((shared, hot), bits):
+            if own:
+                flags[a:b] = np.unpackbits(np.frombuffer(own, np.uint8), count=b - a)
+    return shared, hot
 
 
 def _send_strings(buckets: int, length: int, anchor: int):
@@ -316,7 +413,7 @@ def _send_strings(buckets: int, length: int, anchor: int):
             return _packed([], STRINGS_SCHEMA.names, STRINGS_SCHEMA)
         docs, data, starts, ids = _block(docs)
         block = docs["block"][0].as_py()
-        keys, first, last = block_anchors(data, starts, length, anchor)
+        keys, anchored, first, last = placed_anchors(data, starts, length, anchor)
         text = data.tobytes()
         doc = ids[np.searchsorted(starts, first, "right") - 1]
         rows = []
@@ -334,38 +431,41 @@ def _send_strings(buckets: int, length: int, anchor: int):
         found = repeats(strings, keys[at], doc[at], length)
         if found:
             number, a, b = (np.array(x, np.int64) for x in zip(*found))
-            spans = np.stack([first[at][number] + a, first[at][number] + b + length], axis=1)
-            rows.append((block % buckets, block, True, b"", spans.tobytes(), b"", b""))
+            n, spans = packed_spans(first[at][number] + a, first[at][number] + b + length)
+            rows.append((block % buckets, block, True, n, b"", spans, b""))
         # repeats of earlier blocks: one copy of each string, where its first document has it
-        shared, hot = _numbers(asked["shared"], np.uint64), _numbers(asked["hot"], np.uint64)
-        at = np.flatnonzero(np.isin(keys, shared))
-        is_hot = np.isin(keys[at], hot)
+        short, number = np.unique(short_keys(keys, buckets), return_inverse=True)
+        shared, hot = _answered(asked, short, buckets)
+        at = np.flatnonzero(shared[number])
+        apart = hot[number[at]]
+        cold, at = at[~apart], at[apart]
+        key, begin, end, owner = halves(data, anchored[at], first[at], last[at], length, anchor)
+        key, owner = np.concatenate((keys[cold], key)), np.concatenate((cold, at[owner]))
+        begin, end = np.concatenate((first[cold], begin)), np.concatenate((last[cold], end))
+        order = np.argsort(begin, kind="stable")
+        key, begin, end, owner = key[order], begin[order], end[order], doc[owner[order]]
         sent: dict[bytes, int] = {}
-        out: list[tuple[int, int, bytes]] = []
-        for i, apart in zip(at.tolist(), is_hot.tolist()):
-            begin, end = int(first[i]), int(last[i])
-            if apart:
-                own = string_hashes(data[begin : end + length], length).tolist()
-                pieces = [(h, begin + k, text[begin + k : begin + k + length]) for k, h in enumerate(own)]
-            else:
-                pieces = [(int(keys[i]), begin, text[begin : end + length])]
-            for key, place, string in pieces:
-                if sent.setdefault(string, int(doc[i])) == doc[i]:
-                    out.append((key, place, string))
-        if out:
-            key = np.array([k for k, _, _ in out], np.uint64)
-            place = np.array([p for _, p, _ in out], np.int64)
-            bucket = key % np.uint64(buckets)
-            order = np.argsort(bucket, kind="stable")
+        kept, strings = [], []
+        for i, (a, b, who) in enumerate(zip(begin.tolist(), end.tolist(), owner.tolist())):
+            string = text[a : b + length]
+            if sent.setdefault(string, who) == who:
+                kept.append(i)
+                strings.append(string)
+        if kept:
+            key, place = short_keys(key[kept], buckets), begin[kept]
+            bucket = key >> np.uint64(32)
+            order = np.argsort(bucket, kind="stable")  # places ascend within a bucket
             cuts = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
+            marks = key.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :KEY_BYTES]
+            codec = pa.Codec("zstd", 3)
             for k in range(buckets):
                 own = order[cuts[k] : cuts[k + 1]]
                 if len(own):
-                    strings = [out[i][2] for i in own.tolist()]
-                    sizes = np.fromiter(map(len, strings), np.int32, len(strings))
-                    rows.append(
-                        (k, block, False, key[own].tobytes(), place[own].tobytes(), sizes.tobytes(), _squeezed(strings))
-                    )
+                    some = [strings[i] for i in own.tolist()]
+                    sizes = np.fromiter(map(len, some), np.int64, len(some))
+                    numbers = squeezed(np.diff(place[own], prepend=0), sizes)
+                    joined = codec.compress(b"".join(some), asbytes=True)
+                    rows.append((k, block, False, len(own), marks[own].tobytes(), numbers, joined))
         return _packed(rows, STRINGS_SCHEMA.names, STRINGS_SCHEMA)
 
     return send
@@ -376,30 +476,32 @@ def _find_repeats(length: int):
         table = table.sort_by("block")
         strings, keys, places, blocks, rows = [], [], [], [], []
         for row in range(len(table)):
-            block, local, key, place, sizes, joined = (
-                table[n][row].as_py() for n in ("block", "local", "keys", "places", "sizes", "strings")
+            block, local, n, key, numbers, joined = (
+                table[c][row].as_py() for c in ("block", "local", "n", "keys", "numbers", "strings")
             )
             if local:
-                rows.append((block, place))
+                rows.append((block, n, numbers))
                 continue
-            ends = np.cumsum(np.frombuffer(sizes, np.int32), dtype=np.int64)
+            gaps, sizes = spread(numbers, 2, n)
+            ends = np.cumsum(sizes)
             joined = pa.decompress(joined, int(ends[-1]), codec="zstd", asbytes=True)
             strings += [joined[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
-            keys.append(np.frombuffer(key, np.uint64))
-            places.append(np.frombuffer(place, np.int64))
-            blocks.append(np.full(len(ends), block, np.int64))
+            marks = np.zeros((n, 4), np.uint8)
+            marks[:, :KEY_BYTES] = np.frombuffer(key, np.uint8).reshape(n, KEY_BYTES)
+            keys.append(marks.view("<u4").reshape(-1))
+            places.append(np.cumsum(gaps))
+            blocks.append(np.full(n, block, np.int64))
         if strings:
             order = np.concatenate(blocks)
             found = repeats(strings, np.concatenate(keys), order, length)
             if found:
                 number, a, b = (np.array(x, np.int64) for x in zip(*found))
                 place = np.concatenate(places)[number]
-                spans = np.stack([place + a, place + b + length], axis=1)
                 owner = order[number]
                 rank = np.argsort(owner, kind="stable")
-                spans, owner = spans[rank], owner[rank]
+                begins, ends, owner = (place + a)[rank], (place + b + length)[rank], owner[rank]
                 cuts = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1], [True])))
-                rows += [(int(owner[a]), spans[a:b].tobytes()) for a, b in zip(cuts, cuts[1:])]
+                rows += [(int(owner[a]), *packed_spans(begins[a:b], ends[a:b])) for a, b in zip(cuts, cuts[1:])]
         return _packed(rows, SPANS_SCHEMA.names, SPANS_SCHEMA)
 
     return find
@@ -410,10 +512,10 @@ def _cut_out(docs: pa.Table, found: pa.Table) -> pa.Table:
     if not len(docs):
         return pa.table([pa.array([], t) for t in CUT_TYPES], names)
     docs, data, starts, _ = _block(docs)
-    spans = _numbers(found["spans"], np.int64).reshape(-1, 2)
+    span_begins, span_ends = spans_of(found)
     change = np.zeros(len(data) + 1, np.int32)
-    np.add.at(change, spans[:, 0], 1)
-    np.add.at(change, spans[:, 1], -1)
+    np.add.at(change, span_begins, 1)
+    np.add.at(change, span_ends, -1)
     gone = np.cumsum(change[:-1]) > 0
     sizes = np.diff(starts)
     removed = np.concatenate(([0], np.cumsum(gone)))
@@ -476,13 +578,13 @@ def remove_repeats(
         _send_keys(buckets, length, anchor), "bucket int, block bigint, keys binary"
     )
     asked = keys.groupBy("bucket").applyInArrow(
-        _answer_keys(hot_blocks), "block bigint, shared binary, hot binary"
+        _answer_keys(hot_blocks), "block bigint, bucket int, shared binary, hot binary"
     )
     strings = blocks.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(
         _send_strings(buckets, length, anchor),
-        "bucket int, block bigint, local boolean, keys binary, places binary, sizes binary, strings binary",
+        "bucket int, block bigint, local boolean, n int, keys binary, numbers binary, strings binary",
     )
-    found = strings.groupBy("bucket").applyInArrow(_find_repeats(length), "block bigint, spans binary")
+    found = strings.groupBy("bucket").applyInArrow(_find_repeats(length), "block bigint, n int, spans binary")
     cut = blocks.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(
         _cut_out,
         "doc_id bigint, n_bytes bigint, n_removed bigint, spans array<struct<start:bigint,end:bigint>>, kept binary",

@@ -11,6 +11,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -96,6 +97,33 @@ def test_repeats_of_one_id_and_of_no_id(spark):
     assert suffix_dedup.remove_repeats(texts_of(spark, [])).count() == 0
 
 
+def grouped(table, by):
+    """The rows of an Arrow table by the value of a column."""
+    values = table[by].to_pylist()
+    return {v: table.filter(pc.equal(table[by], v)) for v in sorted(set(values))}
+
+
+@pytest.mark.parametrize("hot,most", [(512, 0.7), (2, 0.9)])
+def test_messages_of_repeated_passages_stay_small(hot, most):
+    rng = random.Random(5)
+    passages = [words(rng, 60) for _ in range(20)]
+    rows = [(i, words(rng, 150) + " " + rng.choice(passages) + " " + words(rng, 30)) for i in range(400)]
+    docs = pa.table({"doc_id": [i for i, _ in rows], "text": [t for _, t in rows], "block": [i // 50 for i, _ in rows]})
+    blocks, buckets = grouped(docs, "block"), 8
+    keys = pa.concat_tables(suffix_dedup._send_keys(buckets, 50, 24)(b) for b in blocks.values())
+    asked = pa.concat_tables(suffix_dedup._answer_keys(hot)(b) for b in grouped(keys, "bucket").values())
+    answers = grouped(asked, "block")
+    strings = [suffix_dedup._send_strings(buckets, 50, 24)(b, answers.get(k, asked[:0])) for k, b in blocks.items()]
+    strings = pa.concat_tables(strings)
+    spans = pa.concat_tables(suffix_dedup._find_repeats(50)(b) for b in grouped(strings, "bucket").values())
+    found = grouped(spans, "block")
+    cut = [suffix_dedup._cut_out(b, found.get(k, spans[:0])) for k, b in blocks.items()]
+    removed = {d: n for t in cut for d, n in zip(t["doc_id"].to_pylist(), t["n_removed"].to_pylist())}
+    assert removed == {d: out[1] for d, out in removed_bytes(rows).items()}
+    sent = sum(t.nbytes for t in (keys, asked, strings, spans))
+    assert sent < most * sum(len(t) for _, t in rows)
+
+
 @settings(max_examples=30, deadline=None)
 @given(st.lists(st.text("ab", min_size=0, max_size=40), min_size=1, max_size=12), st.integers(2, 9))
 def test_family_finds_all_earlier_windows(strings, length):
