@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__
 from postlark import sources
+from postlark.functions import kernels, text
 from postlark.operators import cohort as co
 from postlark.operators import graph as gr
 from postlark.operators import metrics as mt
@@ -270,6 +271,35 @@ def test_the_topic_fit_keeps_its_own_copy_in_one_part_per_core(spark, monkeypatc
     assert not seen["kept"].useMemory and not seen["kept"].useDisk
 
 
+def test_topic_queries_tokenise_once(spark, tmp_path, monkeypatch):
+    rows = [(k, f"alpha beta word{k % 9} word{k % 5}", "en", "s") for k in range(60)]
+    path = tmp_path / "documents.parquet"
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(str(path))
+    calls, tokenize, fit = [], text.tokenize, tp.fit_topics
+
+    def counted(col):
+        calls.append(col)
+        return tokenize(col)
+
+    for module in (text, tp, jobs):
+        monkeypatch.setattr(module, "tokenize", counted)
+    monkeypatch.setattr(tp, "fit_topics", lambda features, k, max_iter, seed: fit(features, k, 3, seed))
+    monkeypatch.setattr(__spark_entry__, "stopwords", lambda spark, sf, tokens=None: spark.createDataFrame([("en", "beta")], "lang string, word string"))
+    found = __spark_entry__.topic_terms(spark, str(tmp_path)).collect()
+    assert len(calls) == 1 and found and all(r["is_term"] and r["falls"] for r in found)
+    scores = __spark_entry__.topic_scores(spark, str(tmp_path)).collect()
+    assert len(calls) == 2 and len(scores) == 60 and all(r["in_range"] and r["sums"] for r in scores)
+
+
+def test_terms_are_counted_over_many_documents(spark, monkeypatch):
+    rows = [(["a", "b", "a", None],), (None,), ([],), (["b"],), ([None],), (["é", "a"],)] * 7
+    df = spark.createDataFrame(rows, "tokens array<string>").coalesce(1)
+    for most in (3, 1 << 20):
+        monkeypatch.setattr(kernels, "TOKENS_AT_ONCE", most)
+        counts = {r["term"]: tuple(r)[1:] for r in tp.term_counts(df).collect()}
+        assert counts == {"a": (21, 14), "b": (14, 14), "é": (7, 7)}
+
+
 def test_stopwords_are_counted_once(spark, tmp_path):
     rows = [(k, f"alpha beta word{k}", "en", "s") for k in range(30)]
     path = tmp_path / "documents.parquet"
