@@ -22,7 +22,10 @@ each by the anchor and the bytes on the side where all of its windows go on, so
 that one hot string with many contexts does not fill one task.
 
 Messages are small: keys travel with 32 bits and are answered with one bit each,
-numbers travel byte by byte, spans as maximal runs.
+numbers travel byte by byte, spans as maximal runs. Along with its keys a block sends
+128-bit digests of its segments, runs of anchors that end where the text says so. A
+segment that an earlier block holds is a repeat throughout, and sends no strings: the
+first block that holds it has all of its windows.
 
 Defined results: a null or short text loses nothing; documents that share an id
 do not count as earlier for each other; a row without an id loses nothing and
@@ -31,6 +34,8 @@ removes nothing; an empty table gives no row.
 
 from __future__ import annotations
 
+from hashlib import blake2b
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -46,6 +51,8 @@ BLOCK_DOCS = 1024
 # the windows of an anchor in so many blocks are dealt out in halves
 HOT_BLOCKS = 512
 BATCH_STRINGS = 4096
+# a segment ends before one in so many anchors, by bits that do not decide what is an anchor
+SEGMENT_ANCHORS, DIGEST_BYTES = 16, 16
 # of a string's key so many bytes travel: keys only spare work, strings decide
 KEY_BYTES = 3
 SLICE_BYTES = 1_000_000
@@ -295,9 +302,17 @@ def _packed(rows: list[tuple], names: list[str], schema: pa.Schema) -> pa.Table:
     return pa.table([pa.array(c, schema.field(n).type) for c, n in zip(columns, names)], names)
 
 
-KEYS_SCHEMA = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("keys", pa.binary())])
+KEYS_SCHEMA = pa.schema(
+    [("bucket", pa.int32()), ("block", pa.int64()), ("keys", pa.binary()), ("segments", pa.binary())]
+)
 ASKED_SCHEMA = pa.schema(
-    [("block", pa.int64()), ("bucket", pa.int32()), ("shared", pa.binary()), ("hot", pa.binary())]
+    [
+        ("block", pa.int64()),
+        ("bucket", pa.int32()),
+        ("shared", pa.binary()),
+        ("hot", pa.binary()),
+        ("earlier", pa.binary()),
+    ]
 )
 STRINGS_SCHEMA = pa.schema(
     [
@@ -362,15 +377,43 @@ def spans_of(found: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(begins), np.concatenate(ends)
 
 
+def segments(data: np.ndarray, keys, first, last, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first anchor of each segment of a block (one more at the end), and the digests of all."""
+    if not len(keys):
+        return np.zeros(1, np.int64), np.zeros(0, f"S{DIGEST_BYTES}")
+    ends = (keys[1:] % np.uint64(SEGMENT_ANCHORS) == 0) | (first[1:] != last[:-1] + 1)
+    cuts = np.concatenate(([0], np.flatnonzero(ends) + 1, [len(keys)]))
+    text = memoryview(np.ascontiguousarray(data))
+    digests = [
+        blake2b(text[a : b + length], digest_size=DIGEST_BYTES).digest()
+        for a, b in zip(first[cuts[:-1]].tolist(), last[cuts[1:] - 1].tolist())
+    ]
+    return cuts, np.frombuffer(b"".join(digests), f"S{DIGEST_BYTES}")
+
+
+def dealt_digests(digests: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct digests by bucket, the place of each digest among them, and where each bucket begins."""
+    some, number = np.unique(digests, return_inverse=True)
+    bucket = some.view("<u8").reshape(-1, DIGEST_BYTES // 8)[:, 0] % np.uint64(buckets)
+    order = np.argsort(bucket, kind="stable")
+    place = np.empty(len(some), np.int64)
+    place[order] = np.arange(len(some))
+    return some[order], place[number], np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
+
+
 def _send_keys(buckets: int, length: int, anchor: int):
     def send(table: pa.Table) -> pa.Table:
         table, data, starts, _ = _block(table)
         block = table["block"][0].as_py()
-        short = np.unique(short_keys(block_anchors(data, starts, length, anchor)[0], buckets))
+        keys, first, last = block_anchors(data, starts, length, anchor)
+        digests, _, ends = dealt_digests(segments(data, keys, first, last, length)[1], buckets)
+        short = np.unique(short_keys(keys, buckets))
         cuts = bucket_cuts(short, buckets)
         keys = short.astype(np.uint32)
         rows = [
-            (k, block, keys[cuts[k] : cuts[k + 1]].tobytes()) for k in range(buckets) if cuts[k] < cuts[k + 1]
+            (k, block, keys[cuts[k] : cuts[k + 1]].tobytes(), digests[ends[k] : ends[k + 1]].tobytes())
+            for k in range(buckets)
+            if cuts[k] < cuts[k + 1] or ends[k] < ends[k + 1]
         ]
         return _packed(rows, KEYS_SCHEMA.names, KEYS_SCHEMA)
 
@@ -383,28 +426,35 @@ def _answer_keys(hot_blocks: int):
         bucket = table["bucket"][0].as_py()
         parts = [np.frombuffer(k.as_py(), np.uint32) for k in table["keys"]]
         keys, counts = np.unique(np.concatenate(parts), return_counts=True)
+        digests = [np.frombuffer(d.as_py(), f"S{DIGEST_BYTES}") for d in table["segments"]]
+        some, number = np.unique(np.concatenate(digests), return_inverse=True)
+        holder = np.repeat(np.array(blocks, np.int64), list(map(len, digests)))
+        least = np.full(len(some), np.iinfo(np.int64).max)
+        np.minimum.at(least, number, holder)
+        earlier = np.split(least[number] < holder, np.cumsum(list(map(len, digests)))[:-1])
+
+        def bits(flags: np.ndarray) -> bytes:
+            return np.packbits(flags).tobytes() if flags.any() else b""
+
         rows = []
-        for block, own in zip(blocks, parts):  # one bit for each key in the order in which the block has them
+        for block, own, before in zip(blocks, parts, earlier):  # one bit for each in the order in which the block has them
             held = counts[np.searchsorted(keys, own)]
             shared, hot = held > 1, held > hot_blocks
-            if shared.any():
-                bits = np.packbits(hot).tobytes() if hot.any() else b""
-                rows.append((block, bucket, np.packbits(shared).tobytes(), bits))
+            if shared.any() or before.any():
+                rows.append((block, bucket, bits(shared), bits(hot), bits(before)))
         return _packed(rows, ASKED_SCHEMA.names, ASKED_SCHEMA)
 
     return answer
 
 
-def _answered(asked: pa.Table, short: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Which of a block's sorted short keys other blocks hold, and which very many do."""
-    shared, hot = np.zeros(len(short), bool), np.zeros(len(short), bool)
-    cuts = bucket_cuts(short, buckets).tolist()
-    for bucket, *bits in zip(*(asked[n].to_pylist() for n in ("bucket", "shared", "hot"))):
-        a, b = cuts[bucket], cuts[bucket + 1]
-        for flags, own in zip((shared, hot), bits):
-            if own:
-                flags[a:b] = np.unpackbits(np.frombuffer(own, np.uint8), count=b - a)
-    return shared, hot
+def _answered(asked: pa.Table, name: str, cuts: np.ndarray) -> np.ndarray:
+    """The bits that the buckets answered for what a block has in each, bucket by bucket."""
+    flags = np.zeros(cuts[-1], bool)
+    for bucket, own in zip(asked["bucket"].to_pylist(), asked[name].to_pylist()):
+        if own:
+            a, b = cuts[bucket], cuts[bucket + 1]
+            flags[a:b] = np.unpackbits(np.frombuffer(own, np.uint8), count=b - a)
+    return flags
 
 
 def _send_strings(buckets: int, length: int, anchor: int):
@@ -417,6 +467,16 @@ def _send_strings(buckets: int, length: int, anchor: int):
         text = data.tobytes()
         doc = ids[np.searchsorted(starts, first, "right") - 1]
         rows = []
+        # segments that an earlier block holds: repeats throughout, whose windows need no other place
+        cuts, digests = segments(data, keys, first, last, length)
+        _, place, ends = dealt_digests(digests, buckets)
+        gone = _answered(asked, "earlier", ends)[place]
+        begins, stops = first[cuts[:-1]][gone], last[cuts[1:] - 1][gone] + length
+        kept = np.repeat(~gone, np.diff(cuts))
+        short, number = np.unique(short_keys(keys, buckets), return_inverse=True)
+        cuts = bucket_cuts(short, buckets)
+        shared, hot = (_answered(asked, name, cuts)[number][kept] for name in ("shared", "hot"))
+        keys, anchored, first, last, doc = (x[kept] for x in (keys, anchored, first, last, doc))
         # repeats inside the block: anchors of several documents
         order = np.lexsort((doc, keys))
         same = np.zeros(len(keys), bool)
@@ -431,13 +491,14 @@ def _send_strings(buckets: int, length: int, anchor: int):
         found = repeats(strings, keys[at], doc[at], length)
         if found:
             number, a, b = (np.array(x, np.int64) for x in zip(*found))
-            n, spans = packed_spans(first[at][number] + a, first[at][number] + b + length)
+            begins = np.concatenate((begins, first[at][number] + a))
+            stops = np.concatenate((stops, first[at][number] + b + length))
+        if len(begins):
+            n, spans = packed_spans(begins, stops)
             rows.append((block % buckets, block, True, n, b"", spans, b""))
         # repeats of earlier blocks: one copy of each string, where its first document has it
-        short, number = np.unique(short_keys(keys, buckets), return_inverse=True)
-        shared, hot = _answered(asked, short, buckets)
-        at = np.flatnonzero(shared[number])
-        apart = hot[number[at]]
+        at = np.flatnonzero(shared)
+        apart = hot[at]
         cold, at = at[~apart], at[apart]
         key, begin, end, owner = halves(data, anchored[at], first[at], last[at], length, anchor)
         key, owner = np.concatenate((keys[cold], key)), np.concatenate((cold, at[owner]))
@@ -575,10 +636,10 @@ def remove_repeats(
     )
     blocks = named.repartition("block")
     keys = blocks.groupBy("block").applyInArrow(
-        _send_keys(buckets, length, anchor), "bucket int, block bigint, keys binary"
+        _send_keys(buckets, length, anchor), "bucket int, block bigint, keys binary, segments binary"
     )
     asked = keys.groupBy("bucket").applyInArrow(
-        _answer_keys(hot_blocks), "block bigint, bucket int, shared binary, hot binary"
+        _answer_keys(hot_blocks), "block bigint, bucket int, shared binary, hot binary, earlier binary"
     )
     strings = blocks.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(
         _send_strings(buckets, length, anchor),
