@@ -284,7 +284,7 @@ def test_topic_queries_tokenise_once(spark, tmp_path, monkeypatch):
     for module in (text, tp, jobs):
         monkeypatch.setattr(module, "tokenize", counted)
     monkeypatch.setattr(tp, "fit_topics", lambda features, k, max_iter, seed: fit(features, k, 3, seed))
-    monkeypatch.setattr(__spark_entry__, "stopwords", lambda spark, sf, tokens=None: spark.createDataFrame([("en", "beta")], "lang string, word string"))
+    monkeypatch.setattr(__spark_entry__, "stopwords", lambda spark, sf, counts=None: spark.createDataFrame([("en", "beta")], "lang string, word string"))
     found = __spark_entry__.topic_terms(spark, str(tmp_path)).collect()
     assert len(calls) == 1 and found and all(r["is_term"] and r["falls"] for r in found)
     scores = __spark_entry__.topic_scores(spark, str(tmp_path)).collect()
